@@ -60,3 +60,4 @@ def _union(parts):
 
 from tessera.plans import queries_clean  # noqa: E402,F401
 from tessera.plans import queries_quality  # noqa: E402,F401
+from tessera.plans import queries_metrics  # noqa: E402,F401

@@ -56,3 +56,39 @@ def documents_labelled(spark: SparkSession, sf_dir: str, how: str = "left") -> D
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels")
     return docs.join(labels, "doc_id", how)
+
+
+# Fixed feed parameters: latency bucket bounds (seconds) and the counter restart period.
+LATENCY_BOUNDS = [0.1, 0.25, 0.5, 1.0, 2.5, 5.0]
+RESET_EVERY = "1 day"
+
+
+def request_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Served-request counter per (path, status), restarted daily."""
+    from tessera.operators.feeds import to_counters
+    return to_counters(request_log(spark, sf_dir), ["path", "status"], reset_every=RESET_EVERY)
+
+
+def latency_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cumulative latency histogram per (path, le), restarted daily."""
+    from tessera.operators.feeds import to_buckets
+    return to_buckets(request_log(spark, sf_dir), ["path"], LATENCY_BOUNDS, reset_every=RESET_EVERY)
+
+
+def cpu_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CPU seconds per pod: running sum of request durations, restarted daily."""
+    from tessera.operators.feeds import to_counters
+    return to_counters(request_log(spark, sf_dir), ["pod"], weight="duration", reset_every=RESET_EVERY)
+
+
+def memory_gauge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Memory bytes per pod as a gauge: ``value * 1e6`` at each request."""
+    return request_log(spark, sf_dir).select("pod", "ts", (F.col("value") * 1e6).alias("value"))
+
+
+def prediction_class_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions per class as a counter; the class is ``value >= 50`` of the request."""
+    from tessera.operators.feeds import to_counters
+    scored = request_log(spark, sf_dir).withColumn(
+        "prediction_class", F.when(F.col("value") >= 50, F.lit("1")).otherwise(F.lit("0")))
+    return to_counters(scored, ["prediction_class"], reset_every=RESET_EVERY)

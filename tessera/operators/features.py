@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import c
@@ -41,3 +41,71 @@ def apply_scaler(df: DataFrame, stats: DataFrame | dict, suffix: str = "") -> Da
         else:
             out.append(c(name))
     return df.select(*out)
+
+
+# Special tokens and their ids, and the word pattern (letters,
+# digits and underscore form words; every other non-space character is a token).
+PAD, UNK, CLS, SEP = "[PAD]", "[UNK]", "[CLS]", "[SEP]"
+SPECIAL_IDS = {PAD: 0, UNK: 1, CLS: 2, SEP: 3}
+TOKEN_PATTERN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
+
+
+def words(text) -> "Column":
+    """Lower-cased word and punctuation tokens of a text column (whole text)."""
+    from pyspark.sql import Column  # noqa: F401
+    col = text if not isinstance(text, str) else c(text)
+    return F.regexp_extract_all(F.lower(F.coalesce(col.cast("string"), F.lit(""))),
+                                F.lit(TOKEN_PATTERN), 0)
+
+
+def tokenize(df: DataFrame, text_col: str = "text", max_length: int = 128,
+             out: str = "tokens") -> DataFrame:
+    """``[CLS] + first (max_length - 2) tokens + [SEP]`` per row; null text gives an empty body."""
+    body = F.slice(words(text_col), 1, max_length - 2)
+    return df.withColumn(out, F.concat(F.array(F.lit(CLS)), body, F.array(F.lit(SEP))))
+
+
+def build_vocab(df: DataFrame, text_col: str = "text", size: int = 30000) -> DataFrame:
+    """``(token, id, n)``: the ``size`` most frequent tokens of the whole texts,
+    ties by token; ids start after the four special ids.
+
+    Counting is a partial aggregation; ``orderBy + limit`` runs as a per-partition
+    top-k merged on one task, which holds ``size`` rows at most.
+    """
+    counts = df.select(F.explode(words(text_col)).alias("token")).groupBy("token") \
+               .agg(F.count(F.lit(1)).alias("n"))
+    top = counts.orderBy(F.desc("n"), F.asc("token")).limit(size)
+    w = Window.orderBy(F.desc("n"), F.asc("token"))
+    return top.select("token", (F.row_number().over(w) + len(SPECIAL_IDS) - 1).cast("int").alias("id"), "n")
+
+
+def encode(df: DataFrame, vocab: DataFrame, key: str, tokens_col: str = "tokens",
+           max_length: int = 128, pad: str = "max", batch_col: str | None = None) -> DataFrame:
+    """Token ids, padded with 0, and the attention mask (1 real, 0 pad).
+
+    Tokens go through a broadcast join to the vocabulary (its size is the
+    ``size`` it was built with, a fixed bound); unknown tokens get the UNK id.
+    ``pad="longest"`` pads to the longest row of each ``batch_col`` group
+    instead of ``max_length``.
+    """
+    from tessera.functions.arrays import mask_for, pad_right
+    specials = df.sparkSession.createDataFrame(list(SPECIAL_IDS.items()), "token string, id int")
+    lookup = F.broadcast(vocab.select("token", "id").unionByName(specials))
+    toks = df.select(c(key).alias("__key"), F.posexplode(c(tokens_col)).alias("__pos", "token"))
+    ids = (toks.join(lookup, "token", "left")
+               .groupBy("__key")
+               .agg(F.array_sort(F.collect_list(F.struct("__pos", F.coalesce("id", F.lit(SPECIAL_IDS[UNK])).alias("id"))))
+                    .alias("__pairs")))
+    ids = ids.select("__key", F.transform("__pairs", lambda p: p["id"]).alias("__ids"))
+    joined = df.join(ids, df[key] == ids["__key"], "left").drop("__key")
+    joined = joined.withColumn("__ids", F.coalesce("__ids", F.array().cast("array<int>")))
+    if pad == "max":
+        length = F.lit(max_length)
+    elif pad == "longest":
+        part = Window.partitionBy(c(batch_col)) if batch_col else Window.partitionBy(F.lit(0))
+        length = F.max(F.size("__ids")).over(part)
+    else:
+        raise ValueError(f"Unknown padding: {pad}")
+    return (joined.withColumn("input_ids", pad_right(F.col("__ids"), length))
+                  .withColumn("attention_mask", mask_for(F.col("__ids"), length))
+                  .drop("__ids"))

@@ -62,3 +62,4 @@ from tessera.plans import queries_clean  # noqa: E402,F401
 from tessera.plans import queries_quality  # noqa: E402,F401
 from tessera.plans import queries_metrics  # noqa: E402,F401
 from tessera.plans import queries_split  # noqa: E402,F401
+from tessera.plans import queries_text  # noqa: E402,F401

@@ -85,3 +85,37 @@ def fill_missing(df: DataFrame, string_value: str = "unknown", numeric_value=0,
         else:
             out.append(col)
     return df.select(*out)
+
+
+def profile_with_nulls(df: DataFrame) -> DataFrame:
+    """Null counts for every column plus the :func:`profile` statistics, in one aggregate.
+
+    ``(column_name, null_count, n, mean, stddev, min_num, max_num, min_str, max_str)``;
+    statistics are null for columns :func:`profile` skips.
+    """
+    schema = ("column_name string, null_count bigint, n bigint, mean double, stddev double, "
+              "min_num double, max_num double, min_str string, max_str string")
+    if not df.columns:
+        return df.sparkSession.createDataFrame([], schema)
+    aggs, structs = [], []
+    for i, (name, f) in enumerate(zip(df.columns, df.schema.fields)):
+        col, dtype = c(name), f.dataType
+        aggs.append(F.count_if(col.isNull()).alias(f"z{i}"))
+        fields = [F.lit(name).alias("column_name"), F.col(f"z{i}").alias("null_count")]
+        if is_numeric(dtype) or is_string(dtype):
+            as_num = col.cast("double") if is_numeric(dtype) else col.try_cast("double")
+            aggs += [F.count(col).alias(f"n{i}"), F.avg(as_num).alias(f"a{i}"), F.stddev_samp(as_num).alias(f"s{i}"),
+                     F.min(as_num if is_numeric(dtype) else col).alias(f"lo{i}"),
+                     F.max(as_num if is_numeric(dtype) else col).alias(f"hi{i}")]
+            num = is_numeric(dtype)
+            fields += [F.col(f"n{i}").alias("n"), F.col(f"a{i}").alias("mean"), F.col(f"s{i}").alias("stddev"),
+                       (F.col(f"lo{i}") if num else F.lit(None).cast("double")).alias("min_num"),
+                       (F.col(f"hi{i}") if num else F.lit(None).cast("double")).alias("max_num"),
+                       (F.lit(None).cast("string") if num else F.col(f"lo{i}")).alias("min_str"),
+                       (F.lit(None).cast("string") if num else F.col(f"hi{i}")).alias("max_str")]
+        else:
+            fields += [F.lit(None).cast(t).alias(n) for n, t in
+                       [("n", "bigint"), ("mean", "double"), ("stddev", "double"), ("min_num", "double"),
+                        ("max_num", "double"), ("min_str", "string"), ("max_str", "string")]]
+        structs.append(F.struct(*fields))
+    return df.agg(*aggs).select(F.inline(F.array(*structs)))

@@ -64,3 +64,4 @@ from tessera.plans import queries_metrics  # noqa: E402,F401
 from tessera.plans import queries_split  # noqa: E402,F401
 from tessera.plans import queries_text  # noqa: E402,F401
 from tessera.plans import queries_models  # noqa: E402,F401
+from tessera.plans import queries_stream  # noqa: E402,F401

@@ -31,3 +31,16 @@ def is_floating(dtype: T.DataType) -> bool:
 
 def is_string(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.StringType, T.VarcharType, T.CharType))
+
+
+# Fixed value: text shapes that can be read as a double (decimal, exponent, nan, inf).
+NUMERIC_TEXT = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:nan|inf|infinity))\s*$"
+
+
+def to_double(col: Column) -> Column:
+    """Text as double, null when it is not a number.
+
+    The regex guard keeps non-numeric text away from the parser, whose
+    failure path is far slower than a regex test.
+    """
+    return F.when(col.rlike(NUMERIC_TEXT), col.try_cast("double"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.columns import c, is_numeric, is_string
+from tessera.functions.columns import c, is_numeric, is_string, to_double
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -23,6 +23,62 @@ def null_counts(df: DataFrame) -> DataFrame:
     return df.agg(*aggs).select(F.inline(rows))
 
 
+def _stats_rows(df: DataFrame, picked, with_nulls: bool):
+    """Aggregates and result structs for :func:`profile` / :func:`profile_with_nulls`.
+
+    Numeric statistics (and null counts) go in one hash aggregate; text
+    min/max need variable-width buffers, which force a slower sort-based
+    aggregate, so they run as a second aggregate over the text columns only.
+    Parquet is columnar, so the two still read every column once.
+    """
+    num_aggs, str_aggs, rows = [F.count(F.lit(1)).alias("__rows")], [F.count(F.lit(1)).alias("__rows2")], []
+    for i, (name, dtype) in enumerate(picked):
+        col = c(name)
+        if with_nulls:
+            num_aggs.append(F.count_if(col.isNull()).alias(f"z{i}"))
+        if is_numeric(dtype) or is_string(dtype):
+            as_num = col.cast("double") if is_numeric(dtype) else to_double(col)
+            num_aggs += [F.count(col).alias(f"n{i}"), F.avg(as_num).alias(f"a{i}"),
+                         F.stddev_samp(as_num).alias(f"s{i}")]
+            if is_numeric(dtype):
+                num_aggs += [F.min(as_num).alias(f"lo{i}"), F.max(as_num).alias(f"hi{i}")]
+            else:
+                str_aggs += [F.min(col).alias(f"lo{i}"), F.max(col).alias(f"hi{i}")]
+    return num_aggs, str_aggs
+
+
+def _profile_frame(df: DataFrame, picked, with_nulls: bool) -> DataFrame:
+    num_aggs, str_aggs = _stats_rows(df, picked, with_nulls)
+    num_structs, str_structs = [], []
+    for i, (name, dtype) in enumerate(picked):
+        fields = [F.lit(name).alias("column_name")]
+        if with_nulls:
+            fields.append(F.col(f"z{i}").alias("null_count"))
+        if is_numeric(dtype) or is_string(dtype):
+            num = is_numeric(dtype)
+            fields += [F.col(f"n{i}").alias("n"), F.col(f"a{i}").alias("mean"), F.col(f"s{i}").alias("stddev"),
+                       (F.col(f"lo{i}") if num else F.lit(None).cast("double")).alias("min_num"),
+                       (F.col(f"hi{i}") if num else F.lit(None).cast("double")).alias("max_num")]
+            if not num:
+                str_structs.append(F.struct(F.lit(name).alias("column_name"), F.col(f"lo{i}").alias("min_str"),
+                                            F.col(f"hi{i}").alias("max_str")))
+        else:
+            fields += [F.lit(None).cast(t).alias(n) for n, t in
+                       [("n", "bigint"), ("mean", "double"), ("stddev", "double"), ("min_num", "double"),
+                        ("max_num", "double")]]
+        num_structs.append(F.struct(*fields))
+    out = df.agg(*num_aggs).select(F.inline(F.array(*num_structs)))
+    if str_structs:
+        # one row per text column: bounded by the column count, broadcast
+        texts = df.agg(*str_aggs).select(F.inline(F.array(*str_structs)))
+        out = out.join(F.broadcast(texts), "column_name", "left")
+    else:
+        out = out.withColumns({"min_str": F.lit(None).cast("string"), "max_str": F.lit(None).cast("string")})
+    cols = ["column_name"] + (["null_count"] if with_nulls else []) + \
+        ["n", "mean", "stddev", "min_num", "max_num", "min_str", "max_str"]
+    return out.select(*cols)
+
+
 def profile(df: DataFrame) -> DataFrame:
     """Count, mean, sample stddev, min and max of numeric and string columns.
 
@@ -37,26 +93,7 @@ def profile(df: DataFrame) -> DataFrame:
               "max_num double, min_str string, max_str string")
     if not picked:
         return df.sparkSession.createDataFrame([], schema)
-    aggs, structs = [], []
-    for i, (name, dtype) in enumerate(picked):
-        col = c(name)
-        as_num = col.cast("double") if is_numeric(dtype) else col.try_cast("double")
-        aggs += [F.count(col).alias(f"n{i}"), F.avg(as_num).alias(f"a{i}"),
-                 F.stddev_samp(as_num).alias(f"s{i}")]
-        if is_numeric(dtype):
-            aggs += [F.min(as_num).alias(f"lo{i}"), F.max(as_num).alias(f"hi{i}")]
-            lo_num, hi_num = F.col(f"lo{i}"), F.col(f"hi{i}")
-            lo_str = hi_str = F.lit(None).cast("string")
-        else:
-            aggs += [F.min(col).alias(f"lo{i}"), F.max(col).alias(f"hi{i}")]
-            lo_num = hi_num = F.lit(None).cast("double")
-            lo_str, hi_str = F.col(f"lo{i}"), F.col(f"hi{i}")
-        structs.append(F.struct(
-            F.lit(name).alias("column_name"), F.col(f"n{i}").alias("n"),
-            F.col(f"a{i}").alias("mean"), F.col(f"s{i}").alias("stddev"),
-            lo_num.alias("min_num"), hi_num.alias("max_num"),
-            lo_str.alias("min_str"), hi_str.alias("max_str")))
-    return df.agg(*aggs).select(F.inline(F.array(*structs)))
+    return _profile_frame(df, picked, with_nulls=False)
 
 
 class UnfillableColumnError(TypeError):
@@ -88,7 +125,7 @@ def fill_missing(df: DataFrame, string_value: str = "unknown", numeric_value=0,
 
 
 def profile_with_nulls(df: DataFrame) -> DataFrame:
-    """Null counts for every column plus the :func:`profile` statistics, in one aggregate.
+    """Null counts for every column plus the :func:`profile` statistics, in one pass.
 
     ``(column_name, null_count, n, mean, stddev, min_num, max_num, min_str, max_str)``;
     statistics are null for columns :func:`profile` skips.
@@ -97,25 +134,4 @@ def profile_with_nulls(df: DataFrame) -> DataFrame:
               "min_num double, max_num double, min_str string, max_str string")
     if not df.columns:
         return df.sparkSession.createDataFrame([], schema)
-    aggs, structs = [], []
-    for i, (name, f) in enumerate(zip(df.columns, df.schema.fields)):
-        col, dtype = c(name), f.dataType
-        aggs.append(F.count_if(col.isNull()).alias(f"z{i}"))
-        fields = [F.lit(name).alias("column_name"), F.col(f"z{i}").alias("null_count")]
-        if is_numeric(dtype) or is_string(dtype):
-            as_num = col.cast("double") if is_numeric(dtype) else col.try_cast("double")
-            aggs += [F.count(col).alias(f"n{i}"), F.avg(as_num).alias(f"a{i}"), F.stddev_samp(as_num).alias(f"s{i}"),
-                     F.min(as_num if is_numeric(dtype) else col).alias(f"lo{i}"),
-                     F.max(as_num if is_numeric(dtype) else col).alias(f"hi{i}")]
-            num = is_numeric(dtype)
-            fields += [F.col(f"n{i}").alias("n"), F.col(f"a{i}").alias("mean"), F.col(f"s{i}").alias("stddev"),
-                       (F.col(f"lo{i}") if num else F.lit(None).cast("double")).alias("min_num"),
-                       (F.col(f"hi{i}") if num else F.lit(None).cast("double")).alias("max_num"),
-                       (F.lit(None).cast("string") if num else F.col(f"lo{i}")).alias("min_str"),
-                       (F.lit(None).cast("string") if num else F.col(f"hi{i}")).alias("max_str")]
-        else:
-            fields += [F.lit(None).cast(t).alias(n) for n, t in
-                       [("n", "bigint"), ("mean", "double"), ("stddev", "double"), ("min_num", "double"),
-                        ("max_num", "double"), ("min_str", "string"), ("max_str", "string")]]
-        structs.append(F.struct(*fields))
-    return df.agg(*aggs).select(F.inline(F.array(*structs)))
+    return _profile_frame(df, [(n, f.dataType) for n, f in zip(df.columns, df.schema.fields)], with_nulls=True)

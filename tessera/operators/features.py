@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import c
+from tessera.session import spread
 
 
 def fit_scaler(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -62,7 +63,7 @@ def tokenize(df: DataFrame, text_col: str = "text", max_length: int = 128,
              out: str = "tokens") -> DataFrame:
     """``[CLS] + first (max_length - 2) tokens + [SEP]`` per row; null text gives an empty body."""
     body = F.slice(words(text_col), 1, max_length - 2)
-    return df.withColumn(out, F.concat(F.array(F.lit(CLS)), body, F.array(F.lit(SEP))))
+    return spread(df).withColumn(out, F.concat(F.array(F.lit(CLS)), body, F.array(F.lit(SEP))))
 
 
 def build_vocab(df: DataFrame, text_col: str = "text", size: int = 30000) -> DataFrame:
@@ -72,7 +73,7 @@ def build_vocab(df: DataFrame, text_col: str = "text", size: int = 30000) -> Dat
     Counting is a partial aggregation; ``orderBy + limit`` runs as a per-partition
     top-k merged on one task, which holds ``size`` rows at most.
     """
-    counts = df.select(F.explode(words(text_col)).alias("token")).groupBy("token") \
+    counts = spread(df).select(F.explode(words(text_col)).alias("token")).groupBy("token") \
                .agg(F.count(F.lit(1)).alias("n"))
     top = counts.orderBy(F.desc("n"), F.asc("token")).limit(size)
     w = Window.orderBy(F.desc("n"), F.asc("token"))

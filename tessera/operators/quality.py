@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.columns import c, is_floating, is_numeric, is_string
+from tessera.functions.columns import c, is_floating, is_numeric, is_string, to_double
 
 RESULT_SCHEMA = T.StructType([
     T.StructField("check", T.StringType()),
@@ -63,7 +63,7 @@ def _range_value(df: DataFrame, name: str, nan_as_missing: bool) -> tuple[Column
         if nan_as_missing and is_floating(dtype):
             val = F.nanvl(val, F.lit(None).cast("double"))
         return val, False
-    return col.try_cast("double"), True
+    return to_double(col), True
 
 
 def _stat_plan(df: DataFrame, missing_cols, ranges, threshold, nan_as_missing):

@@ -45,8 +45,8 @@ def counter_delta(df: DataFrame, keys: list[str], ts: str = "ts", value: str = "
     """
     iv = _intervals(df, keys, seconds(chunk), ts, value, True)
     return (iv.groupBy(*[c(k) for k in keys])
-              .agg(F.sum(F.col("inner") + F.col("bstep")).alias("increase"),
-                   F.sum("n").alias("samples")))
+              .agg(F.sum(F.col("__inner") + F.col("__bstep")).alias("increase"),
+                   F.sum("__n").alias("samples")))
 
 
 def _with_interval(df: DataFrame, ts: str, step_us: int) -> DataFrame:
@@ -57,7 +57,10 @@ def _with_interval(df: DataFrame, ts: str, step_us: int) -> DataFrame:
 def _intervals(df: DataFrame, keys: list[str], step_s: float, ts: str, value: str,
                counter: bool) -> DataFrame:
     """One row per (series, step interval): count, first/last sample, inner increase,
-    plus the boundary step to the previous non-empty interval and running sums."""
+    plus the boundary step to the previous non-empty interval and running sums.
+
+    Internal columns carry a ``__`` prefix so they never meet a label name.
+    """
     step_us = int(round(step_s * 1_000_000))
     kcols = [c(k) for k in keys]
     s = _with_interval(df.select(*kcols, c(ts), c(value).cast("double").alias("__v")), ts, step_us)
@@ -65,19 +68,19 @@ def _intervals(df: DataFrame, keys: list[str], step_s: float, ts: str, value: st
     w_in = Window.partitionBy(*kcols, F.col("__k")).orderBy("__us")
     s = s.withColumn("__step", reset_step(F.col("__v"), F.lag("__v").over(w_in)) if counter
                      else F.lit(0.0))
-    iv = s.groupBy(*kcols, F.col("__k").alias("k")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("__us").alias("first_us"), F.min_by("__v", "__us").alias("first_v"),
-        F.max("__us").alias("last_us"), F.max_by("__v", "__us").alias("last_v"),
-        F.coalesce(F.sum("__step"), F.lit(0.0)).alias("inner"))
-    w_s = Window.partitionBy(*kcols).orderBy("k")
-    prev_last = F.lag("last_v").over(w_s)
-    bstep = F.coalesce(reset_step(F.col("first_v"), prev_last), F.lit(0.0)) if counter else F.lit(0.0)
-    iv = iv.withColumns({"prev_k": F.lag("k").over(w_s), "next_k": F.lead("k").over(w_s),
-                         "bstep": bstep})
+    iv = s.groupBy(*kcols, "__k").agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.min("__us").alias("__first_us"), F.min_by("__v", "__us").alias("__first_v"),
+        F.max("__us").alias("__last_us"), F.max_by("__v", "__us").alias("__last_v"),
+        F.coalesce(F.sum("__step"), F.lit(0.0)).alias("__inner"))
+    w_s = Window.partitionBy(*kcols).orderBy("__k")
+    prev_last = F.lag("__last_v").over(w_s)
+    bstep = F.coalesce(reset_step(F.col("__first_v"), prev_last), F.lit(0.0)) if counter else F.lit(0.0)
+    iv = iv.withColumns({"__prev_k": F.lag("__k").over(w_s), "__next_k": F.lead("__k").over(w_s),
+                         "__bstep": bstep})
     run = w_s.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return iv.withColumns({"cum": F.sum(F.col("inner") + F.col("bstep")).over(run),
-                           "ncum": F.sum("n").over(run)})
+    return iv.withColumns({"__cum": F.sum(F.col("__inner") + F.col("__bstep")).over(run),
+                           "__ncum": F.sum("__n").over(run)})
 
 
 def range_summary(df: DataFrame, keys: list[str], range: str | float, step: str | float,
@@ -97,25 +100,27 @@ def range_summary(df: DataFrame, keys: list[str], range: str | float, step: str
     step_us = int(round(step_s * 1_000_000))
     kcols = [c(k) for k in keys]
     iv = _intervals(df, keys, step_s, ts, value, counter)
+    k = F.col("__k")
 
     # Side A: K whose last non-empty interval is k.
-    hi = F.least(F.coalesce(F.col("next_k") - 1, F.col("k") + n_steps - 1), F.col("k") + n_steps - 1)
-    last_side = iv.select(*kcols, F.explode(F.sequence(F.col("k"), hi)).alias("K"),
-                          F.col("last_us"), F.col("last_v"), F.col("cum").alias("cum_last"),
-                          F.col("ncum").alias("ncum_last"))
+    hi = F.least(F.coalesce(F.col("__next_k") - 1, k + n_steps - 1), k + n_steps - 1)
+    last_side = iv.select(*kcols, F.explode(F.sequence(k, hi)).alias("__K"),
+                          "__last_us", "__last_v", F.col("__cum").alias("__cum_last"),
+                          F.col("__ncum").alias("__ncum_last"))
     # Side B: K whose first non-empty interval is k.
-    lo = F.greatest(F.col("k"), F.coalesce(F.col("prev_k") + n_steps, F.col("k")))
-    first_side = iv.select(*kcols, F.explode(F.sequence(lo, F.col("k") + n_steps - 1)).alias("K"),
-                           F.col("first_us"), F.col("first_v"), F.col("n").alias("n_first"),
-                           F.col("inner").alias("inner_first"), F.col("cum").alias("cum_first"),
-                           F.col("ncum").alias("ncum_first"))
-    j = last_side.join(first_side, [*keys, "K"])
-    t_us = F.col("K") * F.lit(step_us)
+    lo = F.greatest(k, F.coalesce(F.col("__prev_k") + n_steps, k))
+    first_side = iv.select(*kcols, F.explode(F.sequence(lo, k + n_steps - 1)).alias("__K"),
+                           "__first_us", "__first_v", F.col("__n").alias("__n_first"),
+                           F.col("__inner").alias("__inner_first"), F.col("__cum").alias("__cum_first"),
+                           F.col("__ncum").alias("__ncum_first"))
+    j = last_side.join(first_side, [*keys, "__K"])
+    t_us = F.col("__K") * F.lit(step_us)
     return j.select(
         *kcols, ntz_from_micros(t_us).alias("t"), t_us.alias("t_us"),
-        (F.col("ncum_last") - F.col("ncum_first") + F.col("n_first")).alias("n"),
-        "first_us", "first_v", "last_us", "last_v",
-        (F.col("cum_last") - F.col("cum_first") + F.col("inner_first")).alias("delta"))
+        (F.col("__ncum_last") - F.col("__ncum_first") + F.col("__n_first")).alias("n"),
+        F.col("__first_us").alias("first_us"), F.col("__first_v").alias("first_v"),
+        F.col("__last_us").alias("last_us"), F.col("__last_v").alias("last_v"),
+        (F.col("__cum_last") - F.col("__cum_first") + F.col("__inner_first")).alias("delta"))
 
 
 def _extrapolated(summary: DataFrame, range_s: float, counter: bool, as_rate: bool) -> Column:

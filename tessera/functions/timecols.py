@@ -47,3 +47,11 @@ def stamp(col: Column) -> Column:
 def elapsed_seconds(start: Column, end: Column) -> Column:
     """Seconds between two timestamps, with microsecond precision."""
     return (F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / 1e6
+
+
+def seconds_text(micros_col: Column, digits: int = 4) -> Column:
+    """Seconds as text with ``digits`` decimals, rounded half-up on the exact
+    microsecond value (integer arithmetic, so every engine prints the same)."""
+    unit = 10 ** (6 - digits)
+    q = F.floor((micros_col + F.lit(unit // 2)) / F.lit(unit)).cast("long")
+    return F.format_string(f"%d.%0{digits}d", F.floor(q / 10 ** digits).cast("long"), q % (10 ** digits))

@@ -92,3 +92,23 @@ def prediction_class_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = request_log(spark, sf_dir).withColumn(
         "prediction_class", F.when(F.col("value") >= 50, F.lit("1")).otherwise(F.lit("0")))
     return to_counters(scored, ["prediction_class"], reset_every=RESET_EVERY)
+
+
+# The metric names the dashboard queries.
+REQUEST_COUNT = "flask_http_request_duration_seconds_count"
+REQUEST_BUCKET = "flask_http_request_duration_seconds_bucket"
+POD_CPU = "container_cpu_usage_seconds_total"
+POD_MEMORY = "container_memory_usage_bytes"
+CLASS_TOTAL = "ml_prediction_class_total"
+
+
+def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All feeds as one sample store ``(metric, labels map, ts, value)``."""
+    def long(df, metric, labels):
+        m = F.create_map(*[x for name in labels for x in (F.lit(name), F.col(name))])
+        return df.select(F.lit(metric).alias("metric"), m.alias("labels"), "ts", "value")
+    return (long(request_counter(spark, sf_dir), REQUEST_COUNT, ["path", "status"])
+            .unionByName(long(latency_buckets(spark, sf_dir), REQUEST_BUCKET, ["path", "le"]))
+            .unionByName(long(cpu_counter(spark, sf_dir), POD_CPU, ["pod"]))
+            .unionByName(long(memory_gauge(spark, sf_dir), POD_MEMORY, ["pod"]))
+            .unionByName(long(prediction_class_counter(spark, sf_dir), CLASS_TOTAL, ["prediction_class"])))

@@ -39,3 +39,16 @@ def test_profile_skips_timestamps_and_types_stats(spark):
     assert set(rows) == {"n", "s"}
     assert rows["n"]["mean"] == 2.0 and rows["n"]["min_num"] == 1.0 and rows["n"]["max_num"] == 3.0
     assert rows["s"]["mean"] == 10.0 and rows["s"]["min_str"] == "10" and rows["s"]["max_str"] == "abc"
+
+
+def test_etl_run_end_to_end(spark, tmp_path):
+    from tessera.plans.etl import run_pipeline
+
+    src = tmp_path / "raw"
+    spark.createDataFrame([(1, "a", 2.0), (2, None, None)], "id int, s string, x double") \
+         .write.option("header", True).csv(str(src))
+    filled, stats = run_pipeline(spark, str(src), str(tmp_path / "out"), "csv", "parquet")
+    back = spark.read.parquet(str(tmp_path / "out")).orderBy("id").collect()
+    assert back[1]["s"] == "unknown" and back[1]["x"] == 0.0
+    assert {r["column_name"]: r["null_count"] for r in stats} == {"id": 0, "s": 1, "x": 1}
+    assert filled.count() == 2

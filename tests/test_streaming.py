@@ -36,3 +36,29 @@ def test_stream_quality_per_batch(spark):
     batch = {r["column_name"]: r["missing_fraction"] for r in res.collect()}
     assert batch == {r["column_name"]: r["missing_fraction"] for r in check_missing(df).collect()}
     assert spark.read.parquet(f"{base}/ver").first()["overall_passed"] is False
+
+
+def test_stream_scoring_writes_scores_and_log(spark):
+    from tessera.operators.models import build_model
+    from tessera.streaming.scoring import stream_scores
+    from tessera.streaming.triggers import trigger_for
+
+    base = tempfile.mkdtemp(prefix="tessera-stream-s-")
+    train = spark.range(200).select((F.col("id") % 7).cast("double").alias("a"),
+                                    ((F.col("id") % 7) > 3).cast("int").alias("label"))
+    pipe = build_model("gbt", ["a"])
+    gbt = pipe.getStages()[-1]
+    model = pipe.fit(train, {gbt.maxIter: 3, gbt.maxDepth: 2})
+    reqs = spark.createDataFrame([(1, '{"a": 6}'), (2, '[{"a": 1}, {"a": 5}]'), (3, '{"b": 1}'), (4, "{")],
+                                 "request_id bigint, body string")
+    reqs.write.parquet(f"{base}/in")
+    q = stream_scores(spark, f"{base}/in", model, ["a"], "a double", ["a"], f"{base}/scores",
+                      f"{base}/log", f"{base}/ck")
+    q.awaitTermination(180)
+    scores = {(r["request_id"], r["pos"]): r for r in spark.read.parquet(f"{base}/scores").collect()}
+    assert scores[(1, 0)]["prediction"] == 1 and scores[(2, 0)]["prediction"] == 0
+    assert scores[(3, None)]["status"] == "rejected" and scores[(4, None)]["status"] == "malformed"
+    log = spark.read.parquet(f"{base}/log").collect()
+    assert sum(r["rows"] for r in log) == 5 and all(r["processing_time_seconds"] >= 0 for r in log)
+    assert trigger_for(None) == {"availableNow": True}
+    assert trigger_for("5 seconds") == {"processingTime": "5 seconds"}

@@ -37,14 +37,15 @@ def parse_tabular_requests(df: DataFrame, json_col: str, schema: str, required:
             .when(F.col("status") == "rejected",
                   F.concat(F.lit("Missing features: "), F.array_join("__missing", ", "))))
     d = d.withColumn("error", err)
-    ok = d.where(F.col("status") == "ok").select(id_col, "status", "error",
-                                                 F.posexplode("__rec").alias("pos", "__r")).select(
-        id_col, "pos", "__r.*", "status", "error")
-    fields = [f for f in ok.columns if f not in (id_col, "pos", "status", "error")]
-    bad = d.where(F.col("status") != "ok").select(
-        id_col, F.lit(None).cast("int").alias("pos"),
-        *[F.lit(None).cast(ok.schema[f].dataType).alias(f) for f in fields], "status", "error")
-    return ok.unionByName(bad)
+    # one generator for both outcomes: records of good requests, a single
+    # all-null record for rejected and malformed ones (no second pass)
+    rec_type = d.schema["__rec"].dataType
+    none = F.array(F.lit(None).cast(rec_type.elementType))
+    recs = F.when(F.col("status") == "ok", F.col("__rec")).otherwise(none)
+    out = d.select(id_col, "status", "error", F.posexplode(recs).alias("__pos", "__r"))
+    fields = [f.name for f in rec_type.elementType.fields]
+    return out.select(id_col, F.when(F.col("status") == "ok", F.col("__pos")).alias("pos"),
+                      *[F.col("__r")[f].alias(f) for f in fields], "status", "error")
 
 
 def parse_text_requests(df: DataFrame, json_col: str, id_col: str = "request_id") -> DataFrame:

@@ -66,3 +66,4 @@ from tessera.plans import queries_text  # noqa: E402,F401
 from tessera.plans import queries_models  # noqa: E402,F401
 from tessera.plans import queries_stream  # noqa: E402,F401
 from tessera.plans import queries_store  # noqa: E402,F401
+from tessera.plans import queries_io  # noqa: E402,F401

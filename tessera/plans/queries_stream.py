@@ -29,3 +29,33 @@ def q_stream_rate_1h(spark, sf_dir):
     stream = spark.readStream.schema(samples.schema).parquet(src)
     out = stream_rate(stream, ["path", "status"], RANGE_S, STEP_S, watermark=f"{DELAY_S} seconds")
     return rounded(drain(out, f"{base}/out", f"{base}/ckpt"), 9)
+
+
+from tessera.plans.catalog import LINEITEM_COLS, LINEITEM_NULLS_SQL, _union  # noqa: E402
+from tessera.plans.derived import lineitem_with_nulls  # noqa: E402
+from tessera.streaming.quality import stream_quality  # noqa: E402
+
+STREAM_THRESHOLD = 0.1
+
+
+def _stream_missing_sql():
+    parts = [f"select 'missing_values' as \"check\", '{c}' as column_name, "
+             f"(count(*) filter (where {c} is null))::double / count(*) as missing_fraction, "
+             f"(count(*) filter (where {c} is null))::double / count(*) <= {STREAM_THRESHOLD} as passed, "
+             f"cast(0 as bigint) as batch_id from t" for c in LINEITEM_COLS]
+    return f"with t as ({LINEITEM_NULLS_SQL})\n" + _union(parts)
+
+
+@register("stream_quality", _stream_missing_sql())
+def q_stream_quality(spark, sf_dir):
+    base = scratch_path(spark, "stream-quality")
+    data = lineitem_with_nulls(spark, sf_dir)
+    src = publish_samples(data, f"{base}/in")
+    stream = spark.readStream.schema(data.schema).parquet(src)
+    q = stream_quality(stream, f"{base}/results", f"{base}/verdict", f"{base}/ckpt",
+                       missing_threshold=STREAM_THRESHOLD)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    res = spark.read.parquet(f"{base}/results")
+    return res.select("check", "column_name", "missing_fraction", "passed", "batch_id")

@@ -67,6 +67,8 @@ def spread(df):
     run on a handful of tasks when the input is a few large files. On a big
     input with many splits this is a no-op, so no shuffle is added there.
     """
+    if df.isStreaming:
+        return df
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:

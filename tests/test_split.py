@@ -51,3 +51,10 @@ def test_batches_ranks_and_loss(spark):
         [r["key"] for r in other.orderBy("batch", "key").collect()]
     el = epoch_loss(b).collect()[0]
     assert el["n_batches"] == 4
+
+
+def test_approximate_split_needs_no_counting(spark):
+    df = spark.range(2000).withColumnRenamed("id", "key")
+    s = train_test_split(df, "key", 0.2, exact=False)
+    n_test = s.where(F.col("split") == "test").count()
+    assert 300 < n_test < 500 and s.count() == 2000

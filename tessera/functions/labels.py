@@ -54,9 +54,18 @@ def select_metric(df: DataFrame, name: str, metric_col: str = "metric") -> DataF
     return df.where(c(metric_col) == F.lit(name))
 
 
+def _bound(value, dtype) -> Column:
+    """A time bound in the column's own type; text goes through a cast, so a
+    wall-clock bound on ``timestamp_ntz`` does not move with the session zone."""
+    if hasattr(value, "isoformat"):
+        value = value.isoformat(sep=" ")
+    return F.lit(value).cast(dtype)
+
+
 def time_range(df: DataFrame, start, end, ts: str = "ts") -> DataFrame:
     """Samples with ``start < ts <= end`` (a dashboard's visible range); pushed to the scan."""
-    return df.where((c(ts) > F.lit(start)) & (c(ts) <= F.lit(end)))
+    dtype = df.schema[ts].dataType
+    return df.where((c(ts) > _bound(start, dtype)) & (c(ts) <= _bound(end, dtype)))
 
 
 _TEMPLATE = re.compile(r"\{\{\s*([A-Za-z_][A-Za-z0-9_]*)\s*\}\}")

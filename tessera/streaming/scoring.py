@@ -5,7 +5,8 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.plans.scoring import score_requests
 from tessera.sources.requests import parse_tabular_requests
@@ -31,9 +32,10 @@ def stream_scores(spark: SparkSession, source_path: str, model: PipelineModel, f
 
     def handle(batch, batch_id):
         parsed = parse_tabular_requests(batch, json_col, request_schema, required)
-        scored = score_requests(model, parsed, features)
+        obs = Observation(f"scores-{batch_id}")
+        scored = score_requests(model, parsed, features).observe(obs, F.count(F.lit(1)).alias("rows"))
         seconds = write_batch(scored, batch_id, sink_path)
-        rows = spark.read.parquet(sink_path).where(f"batch_id = {batch_id}").count()
+        rows = obs.get["rows"]  # counted by the write itself, no second pass
         log = spark.createDataFrame([(rows, float(seconds), datetime.now(timezone.utc).isoformat())],
                                     "rows long, processing_time_seconds double, logged_at string")
         write_batch(log, batch_id, log_path)

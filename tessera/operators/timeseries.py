@@ -16,9 +16,9 @@ Scale design (no range join, no per-sample fan-out, no whole-series task):
    prefix sums.
 3. Every output step ``K`` is generated exactly once from its last non-empty
    interval and once from its first non-empty interval (``sequence`` +
-   ``explode`` bounded by the range in steps), and the two sides meet in an
-   equi-join on ``(series, K)``, which spreads even a hot series over all
-   partitions.
+   ``explode`` bounded by the range in steps); one ``groupBy(series, K)``
+   pairs the two rows, which spreads even a hot series over all partitions
+   and computes the interval table once.
 """
 
 from __future__ import annotations
@@ -102,18 +102,26 @@ def range_summary(df: DataFrame, keys: list[str], range: str | float, step: str
     iv = _intervals(df, keys, step_s, ts, value, counter)
     k = F.col("__k")
 
-    # Side A: K whose last non-empty interval is k.
+    # Each output step K is emitted once by its last non-empty interval (tag L)
+    # and once by its first (tag F); one groupBy on (series, K) pairs them up.
     hi = F.least(F.coalesce(F.col("__next_k") - 1, k + n_steps - 1), k + n_steps - 1)
-    last_side = iv.select(*kcols, F.explode(F.sequence(k, hi)).alias("__K"),
-                          "__last_us", "__last_v", F.col("__cum").alias("__cum_last"),
-                          F.col("__ncum").alias("__ncum_last"))
-    # Side B: K whose first non-empty interval is k.
     lo = F.greatest(k, F.coalesce(F.col("__prev_k") + n_steps, k))
-    first_side = iv.select(*kcols, F.explode(F.sequence(lo, k + n_steps - 1)).alias("__K"),
-                           "__first_us", "__first_v", F.col("__n").alias("__n_first"),
-                           F.col("__inner").alias("__inner_first"), F.col("__cum").alias("__cum_first"),
-                           F.col("__ncum").alias("__ncum_first"))
-    j = last_side.join(first_side, [*keys, "__K"])
+    tagged = F.concat(
+        F.transform(F.sequence(k, hi), lambda x: F.struct(x.alias("K"), F.lit(True).alias("L"))),
+        F.transform(F.sequence(lo, k + n_steps - 1), lambda x: F.struct(x.alias("K"), F.lit(False).alias("L"))))
+    e = iv.select(*kcols, F.explode(tagged).alias("__e"), "__first_us", "__first_v", "__last_us", "__last_v",
+                  "__n", "__inner", "__cum", "__ncum")
+    is_last = F.col("__e.L")
+
+    def side(flag, col):
+        return F.max(F.when(is_last if flag else ~is_last, F.col(col)))
+
+    j = e.groupBy(*kcols, F.col("__e.K").alias("__K")).agg(
+        side(True, "__last_us").alias("__last_us"), side(True, "__last_v").alias("__last_v"),
+        side(True, "__cum").alias("__cum_last"), side(True, "__ncum").alias("__ncum_last"),
+        side(False, "__first_us").alias("__first_us"), side(False, "__first_v").alias("__first_v"),
+        side(False, "__n").alias("__n_first"), side(False, "__inner").alias("__inner_first"),
+        side(False, "__cum").alias("__cum_first"), side(False, "__ncum").alias("__ncum_first"))
     t_us = F.col("__K") * F.lit(step_us)
     return j.select(
         *kcols, ntz_from_micros(t_us).alias("t"), t_us.alias("t_us"),

@@ -6,8 +6,9 @@ so each row only needs to be compared with a few boundary rows. Boundaries
 are found without sorting the data:
 
 1. count rows per 3-hex-digit hash prefix (4,096 groups, partial aggregation);
-2. inside the one prefix bucket holding a boundary, count per 6-digit prefix;
-3. rank only the rows of that 6-digit bucket (about n / 16.7 million rows).
+2. inside the one prefix bucket holding a boundary, count per 6-digit prefix
+   (skipped when that bucket holds at most ``DIRECT_RANK_MAX`` rows);
+3. rank only the rows of that bucket (about n / 16.7 million rows at scale).
 
 The split itself is then a per-row comparison, with no shuffle and no join.
 Mini-batches need every row's rank: the data is range-partitioned and sorted
@@ -28,6 +29,8 @@ from tessera.session import cut_lineage
 
 H = "__h"
 G = "__g"
+# Boundary buckets up to this many rows are ranked directly (one job fewer).
+DIRECT_RANK_MAX = 200_000
 
 
 def order_hash(key: str, seed: int = 42, epoch: int | None = None) -> Column:
@@ -68,6 +71,10 @@ def boundary_rows(df: DataFrame, key: str, counts: dict, targets: dict) -> dict:
     if not wanted:
         return {}
     level1 = {(g, r): _walk(counts[g], r) for g, r in wanted}
+    sizes = {(g, p): n for g, buckets in counts.items() for p, n in buckets}
+    if all(sizes[(g, p)] <= DIRECT_RANK_MAX for (g, _), (p, _) in level1.items()):
+        # boundary buckets are small: rank inside them, no second counting job
+        return _rank_in_buckets(df, key, level1, 3)
     need3 = sorted({(g, p) for (g, _), (p, _) in level1.items()})
     cond3 = F.lit(False)
     for g, p in need3:
@@ -80,18 +87,23 @@ def boundary_rows(df: DataFrame, key: str, counts: dict, targets: dict) -> dict:
     level2 = {}
     for (g, r), (p3, r1) in level1.items():
         level2[(g, r)] = _walk(sorted(sub[(g, p3)]), r1)
-    cond6 = F.lit(False)
-    for g, p6 in sorted({(g, p6) for (g, _), (p6, _) in level2.items()}):
-        cond6 = cond6 | ((F.col(G) == F.lit(g)) & (F.substring(H, 1, 6) == F.lit(p6)))
-    w = Window.partitionBy(G, F.substring(H, 1, 6)).orderBy(H, c(key))
-    ranked = df.where(cond6).select(G, H, c(key).alias("__k"), F.substring(H, 1, 6).alias("__p6"),
-                                    F.row_number().over(w).alias("__rn"))
+    return _rank_in_buckets(df, key, level2, 6)
+
+
+def _rank_in_buckets(df: DataFrame, key: str, located: dict, width: int) -> dict:
+    """Rank only the rows of the located prefix buckets and pick the target rows."""
+    prefix = F.substring(H, 1, width)
+    cond = F.lit(False)
+    for g, p in sorted({(g, p) for (g, _), (p, _) in located.items()}):
+        cond = cond | ((F.col(G) == F.lit(g)) & (prefix == F.lit(p)))
+    w = Window.partitionBy(G, prefix).orderBy(H, c(key))
+    ranked = df.where(cond).select(G, H, c(key).alias("__k"), prefix.alias("__p"),
+                                   F.row_number().over(w).alias("__rn"))
     pick = F.lit(False)
-    for (g, r), (p6, r2) in level2.items():
-        pick = pick | ((F.col(G) == F.lit(g)) & (F.col("__p6") == F.lit(p6)) & (F.col("__rn") == r2))
-    found = {(row[G], row["__p6"], row["__rn"]): (row[H], row["__k"])
-             for row in ranked.where(pick).collect()}
-    return {(g, r): found[(g, level2[(g, r)][0], level2[(g, r)][1])] for g, r in wanted}
+    for (g, r), (p, rr) in located.items():
+        pick = pick | ((F.col(G) == F.lit(g)) & (F.col("__p") == F.lit(p)) & (F.col("__rn") == rr))
+    found = {(row[G], row["__p"], row["__rn"]): (row[H], row["__k"]) for row in ranked.where(pick).collect()}
+    return {(g, r): found[(g, located[(g, r)][0], located[(g, r)][1])] for (g, r) in located}
 
 
 def _after(key: str, bound: tuple) -> Column:

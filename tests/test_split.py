@@ -58,3 +58,17 @@ def test_approximate_split_needs_no_counting(spark):
     s = train_test_split(df, "key", 0.2, exact=False)
     n_test = s.where(F.col("split") == "test").count()
     assert 300 < n_test < 500 and s.count() == 2000
+
+
+def test_three_level_boundary_search_matches_direct(spark, monkeypatch):
+    import tessera.operators.split as sp
+
+    df = spark.range(3001).repartition(3).withColumnRenamed("id", "key")
+    direct = {r["key"]: r["split"] for r in sp.train_test_split(df, "key", 0.2).collect()}
+    monkeypatch.setattr(sp, "DIRECT_RANK_MAX", 0)
+    staged = {r["key"]: r["split"] for r in sp.train_test_split(df, "key", 0.2).collect()}
+    assert staged == direct and sum(v == "test" for v in staged.values()) == math.ceil(0.2 * 3001)
+    y = df.withColumn("y", (F.col("key") % 4 == 0).cast("int"))
+    folds = {r["key"]: r["fold"] for r in sp.stratified_folds(y, "y", "key", 5).collect()}
+    monkeypatch.setattr(sp, "DIRECT_RANK_MAX", 10 ** 9)
+    assert folds == {r["key"]: r["fold"] for r in sp.stratified_folds(y, "y", "key", 5).collect()}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import c
@@ -51,9 +51,8 @@ SPECIAL_IDS = {PAD: 0, UNK: 1, CLS: 2, SEP: 3}
 TOKEN_PATTERN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
 
 
-def words(text) -> "Column":
+def words(text) -> Column:
     """Lower-cased word and punctuation tokens of a text column (whole text)."""
-    from pyspark.sql import Column  # noqa: F401
     col = text if not isinstance(text, str) else c(text)
     return F.regexp_extract_all(F.lower(F.coalesce(col.cast("string"), F.lit(""))),
                                 F.lit(TOKEN_PATTERN), 0)

@@ -14,7 +14,7 @@ from tessera.plans.catalog import (LINEITEM_COLS, LINEITEM_NULLS_SQL, LINEITEM_N
                                    _union, register, rounded)
 from tessera.plans.derived import documents_labelled, lineitem_with_nulls
 from tessera.plans.scoring import score_requests
-from tessera.plans.training import split_xy, test_metrics, text_label, train_tabular, train_text
+from tessera.plans.training import split_xy, holdout_metrics, text_label, train_tabular, train_text
 from tessera.plans.queries_text import REQUEST_SCHEMA, REQUIRED, tabular_request_text
 from tessera.sources.requests import parse_tabular_requests
 from tessera.sources.tables import table
@@ -72,7 +72,7 @@ def _orders_training(spark, sf_dir):
 def q_gbt_cv_eval(spark, sf_dir):
     _, _, scored, _ = train_tabular(_orders_training(spark, sf_dir), "o_orderkey", "is_final",
                                     ["o_totalprice", "o_custkey", "o_dayofyear"], "gbt", reduced=True)
-    return rounded(test_metrics(scored), 9)
+    return rounded(holdout_metrics(scored), 9)
 
 
 @register("gbt_leaf_leaderboard")
@@ -86,7 +86,7 @@ def q_gbt_leaf_leaderboard(spark, sf_dir):
 def q_text_model_eval(spark, sf_dir):
     docs = documents_labelled(spark, sf_dir, "inner")
     _, scored = train_text(docs, "doc_id", "text", "quality")
-    return rounded(test_metrics(scored), 9)
+    return rounded(holdout_metrics(scored), 9)
 
 
 @register("request_scoring")

@@ -73,5 +73,6 @@ def train_text_pipeline(spark: SparkSession, path: str, key: str, text_col: str,
     return save_model(spark, model, registry, [text_col], metrics, "text_classifier"), metrics
 
 
-def test_metrics(scored: DataFrame) -> DataFrame:
+def holdout_metrics(scored: DataFrame) -> DataFrame:
+    """Accuracy and weighted precision, recall, F1 of scored test rows."""
     return evaluate(scored, "label", "prediction")

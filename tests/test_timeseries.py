@@ -114,3 +114,16 @@ def test_gauge_reduction_and_colour(spark):
     g = last_not_null(df, []).withColumn("c", threshold_band(F.col("value"), [(None, "green"), (80.0, "red")]))
     r = g.collect()[0]
     assert r["value"] == 90.0 and r["c"] == "red"
+
+
+def test_running_total_across_chunks_and_resets(spark):
+    from tessera.operators.feeds import running_total
+
+    rows = [("a", T0 + timedelta(minutes=40 * i), 1.0) for i in range(80)]  # spans ~2.2 days
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, w double")
+    plain = [r["value"] for r in running_total(df, ["k"], weight="w").orderBy("ts").collect()]
+    assert plain == [float(i + 1) for i in range(80)]
+    daily = running_total(df, ["k"], weight="w", reset_every="1 day").orderBy("ts").collect()
+    for r in daily:
+        same_day = [x for x in rows if x[1].date() == r["ts"].date() and x[1] <= r["ts"]]
+        assert r["value"] == len(same_day)

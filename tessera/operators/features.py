@@ -69,12 +69,20 @@ def build_vocab(df: DataFrame, text_col: str = "text", size: int = 30000) -> Dat
     """``(token, id, n)``: the ``size`` most frequent tokens of the whole texts,
     ties by token; ids start after the four special ids.
 
-    Counting is a partial aggregation; ``orderBy + limit`` runs as a per-partition
-    top-k merged on one task, which holds ``size`` rows at most.
+    Counting is a partial aggregation. To avoid merging ``size`` rows from
+    every partition on one task, the exact count threshold comes first from
+    the counts-of-counts table (one row per distinct frequency, at most
+    sqrt(2 x tokens) rows); only tokens at or above it are sorted.
     """
     counts = spread(df).select(F.explode(words(text_col)).alias("token")).groupBy("token") \
-               .agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.desc("n"), F.asc("token")).limit(size)
+        .agg(F.count(F.lit(1)).alias("n"))
+    by_freq = counts.groupBy("n").agg(F.count(F.lit(1)).alias("tokens"))
+    # frequencies from the top down, with the number of tokens at or above each
+    ahead = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cut = (by_freq.withColumn("at_or_above", F.sum("tokens").over(ahead))
+                  .where(F.col("at_or_above") >= size).agg(F.max("n").alias("n")).first())
+    threshold = cut["n"] if cut is not None and cut["n"] is not None else 1
+    top = counts.where(F.col("n") >= threshold).orderBy(F.desc("n"), F.asc("token")).limit(size)
     w = Window.orderBy(F.desc("n"), F.asc("token"))
     return top.select("token", (F.row_number().over(w) + len(SPECIAL_IDS) - 1).cast("int").alias("id"), "n")
 

@@ -13,7 +13,9 @@ Scale design (no range join, no per-sample fan-out, no whole-series task):
    reduces them to one row per non-empty interval.
 2. The interval table (one row per series and step, whatever the raw sample
    rate) gets running sums per series, so any window is a difference of two
-   prefix sums.
+   prefix sums. The running sums are two-phase: a window inside each
+   (series, day of intervals) plus the exclusive totals of earlier days from
+   a per-day table, so a long history is never sorted in one task.
 3. Every output step ``K`` is generated exactly once from its last non-empty
    interval and once from its first non-empty interval (``sequence`` +
    ``explode`` bounded by the range in steps); one ``groupBy(series, K)``
@@ -30,6 +32,9 @@ from tessera.functions.columns import c
 from tessera.functions.timecols import micros, ntz_from_micros, seconds
 
 
+DAY_S = 86400.0
+
+
 def reset_step(value: Column, prev: Column) -> Column:
     """Counter increase between two samples: a drop means a reset, so the new value counts."""
     return F.when(prev.isNull(), F.lit(None).cast("double")) \
@@ -55,13 +60,18 @@ def _with_interval(df: DataFrame, ts: str, step_us: int) -> DataFrame:
 
 
 def _intervals(df: DataFrame, keys: list[str], step_s: float, ts: str, value: str,
-               counter: bool) -> DataFrame:
+               counter: bool, chunk_s: float = DAY_S) -> DataFrame:
     """One row per (series, step interval): count, first/last sample, inner increase,
     plus the boundary step to the previous non-empty interval and running sums.
 
-    Internal columns carry a ``__`` prefix so they never meet a label name.
+    Running values are two-phase, so no task sorts a whole series: a window
+    inside each (series, chunk of intervals), plus a per-chunk table (one row
+    per series and chunk) that carries the neighbours across chunk edges and
+    the exclusive totals of earlier chunks. Internal columns carry a ``__``
+    prefix so they never meet a label name.
     """
     step_us = int(round(step_s * 1_000_000))
+    per_chunk = max(1, int(chunk_s // step_s))
     kcols = [c(k) for k in keys]
     s = _with_interval(df.select(*kcols, c(ts), c(value).cast("double").alias("__v")), ts, step_us)
     s = s.where(F.col("__us").isNotNull() & F.col("__v").isNotNull())
@@ -73,24 +83,54 @@ def _intervals(df: DataFrame, keys: list[str], step_s: float, ts: str, value: st
         F.min("__us").alias("__first_us"), F.min_by("__v", "__us").alias("__first_v"),
         F.max("__us").alias("__last_us"), F.max_by("__v", "__us").alias("__last_v"),
         F.coalesce(F.sum("__step"), F.lit(0.0)).alias("__inner"))
-    w_s = Window.partitionBy(*kcols).orderBy("__k")
-    prev_last = F.lag("__last_v").over(w_s)
-    bstep = F.coalesce(reset_step(F.col("__first_v"), prev_last), F.lit(0.0)) if counter else F.lit(0.0)
-    iv = iv.withColumns({"__prev_k": F.lag("__k").over(w_s), "__next_k": F.lead("__k").over(w_s),
-                         "__bstep": bstep})
-    run = w_s.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return iv.withColumns({"__cum": F.sum(F.col("__inner") + F.col("__bstep")).over(run),
-                           "__ncum": F.sum("__n").over(run)})
+    iv = iv.withColumn("__c", F.expr(f"__k div {per_chunk}"))
+
+    # phase 1: neighbours and running sums inside each (series, chunk)
+    w_c = Window.partitionBy(*kcols, F.col("__c")).orderBy("__k")
+    run_c = w_c.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    prev_last = F.lag("__last_v").over(w_c)
+    inner_b = F.coalesce(reset_step(F.col("__first_v"), prev_last), F.lit(0.0)) if counter else F.lit(0.0)
+    iv = iv.withColumns({"__prev_in": F.lag("__k").over(w_c), "__next_in": F.lead("__k").over(w_c),
+                         "__b_in": inner_b})
+    iv = iv.withColumns({"__cum_in": F.sum(F.col("__inner") + F.col("__b_in")).over(run_c),
+                         "__ncum_in": F.sum("__n").over(run_c)})
+
+    # phase 2: one row per (series, chunk); same partitioning as phase 1, no exchange
+    ch = iv.groupBy(*kcols, "__c").agg(
+        F.min("__k").alias("__ck_first"), F.min_by("__first_v", "__k").alias("__cv_first"),
+        F.max("__k").alias("__ck_last"), F.max_by("__last_v", "__k").alias("__cv_last"),
+        F.sum(F.col("__inner") + F.col("__b_in")).alias("__csum"), F.sum("__n").alias("__cn"))
+    w_ch = Window.partitionBy(*kcols).orderBy("__c")
+    before = w_ch.rowsBetween(Window.unboundedPreceding, -1)
+    cb = F.coalesce(reset_step(F.col("__cv_first"), F.lag("__cv_last").over(w_ch)), F.lit(0.0)) \
+        if counter else F.lit(0.0)
+    ch = ch.withColumns({"__cprev_k": F.lag("__ck_last").over(w_ch), "__cnext_k": F.lead("__ck_first").over(w_ch),
+                         "__cb": cb})
+    ch = ch.select(*kcols, "__c", "__cprev_k", "__cnext_k", "__cb",
+                   F.coalesce(F.sum(F.col("__csum") + F.col("__cb")).over(before), F.lit(0.0)).alias("__coff"),
+                   F.coalesce(F.sum("__cn").over(before), F.lit(0)).alias("__cnoff"))
+
+    first_in_chunk = F.col("__prev_in").isNull()
+    out = iv.join(ch, [*keys, "__c"])
+    return out.select(
+        *kcols, "__k", "__n", "__first_us", "__first_v", "__last_us", "__last_v", "__inner",
+        F.coalesce("__prev_in", "__cprev_k").alias("__prev_k"),
+        F.coalesce("__next_in", "__cnext_k").alias("__next_k"),
+        F.when(first_in_chunk, F.col("__cb")).otherwise(F.col("__b_in")).alias("__bstep"),
+        (F.col("__coff") + F.col("__cb") + F.col("__cum_in")).alias("__cum"),
+        (F.col("__cnoff") + F.col("__ncum_in")).alias("__ncum"))
 
 
 def range_summary(df: DataFrame, keys: list[str], range: str | float, step: str | float,
-                  ts: str = "ts", value: str = "value", counter: bool = True) -> DataFrame:
+                  ts: str = "ts", value: str = "value", counter: bool = True,
+                  chunk: str | float = DAY_S) -> DataFrame:
     """Per series and step end ``t``: the samples in ``(t - range, t]``.
 
     Columns: keys, ``t`` (timestamp_ntz), ``t_us``, ``n``, ``first_us``,
     ``first_v``, ``last_us``, ``last_v``, ``delta`` (reset-aware increase
     between first and last sample when ``counter``). One row for every step
-    whose window holds at least one sample.
+    whose window holds at least one sample. ``chunk`` is the span of
+    intervals one running-sum task sorts (results do not depend on it).
     """
     range_s, step_s = seconds(range), seconds(step)
     n_steps = range_s / step_s
@@ -99,7 +139,7 @@ def range_summary(df: DataFrame, keys: list[str], range: str | float, step: str
     n_steps = int(round(n_steps))
     step_us = int(round(step_s * 1_000_000))
     kcols = [c(k) for k in keys]
-    iv = _intervals(df, keys, step_s, ts, value, counter)
+    iv = _intervals(df, keys, step_s, ts, value, counter, seconds(chunk))
     k = F.col("__k")
 
     # Each output step K is emitted once by its last non-empty interval (tag L)

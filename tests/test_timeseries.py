@@ -57,8 +57,9 @@ def brute(rows, range_s, step_s):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_range_summary_matches_brute_force(spark, seed):
+@pytest.mark.parametrize("seed,chunk", [(1, "1 day"), (2, "1 day"), (3, "1 day"), (4, 600), (5, 900)])
+def test_range_summary_matches_brute_force(spark, seed, chunk):
+    # small chunks put many running-sum chunk edges inside the series
     rnd = random.Random(seed)
     t, v, rows = 0, 0.0, []
     for _ in range(120):
@@ -68,7 +69,7 @@ def test_range_summary_matches_brute_force(spark, seed):
     df = spark.createDataFrame([("s", T0 + timedelta(seconds=a), b) for a, b in rows],
                                "k string, ts timestamp_ntz, value double")
     got = {int((r["t"] - T0).total_seconds()): (r["n"], r["delta"])
-           for r in range_summary(df, ["k"], 900, 300).collect()}
+           for r in range_summary(df, ["k"], 900, 300, chunk=chunk).collect()}
     # the step grid is aligned to the epoch; T0 is a multiple of 300 s, so offsets line up
     assert got == brute(rows, 900, 300)
 

@@ -1,10 +1,19 @@
 """Streaming rate / increase over counter samples with watermarks.
 
-Streams have no ``lag``, so each sliding window collects its samples
-(``array_sort(collect_list(struct(us, value)))``, bounded by samples per
-window) and folds the reset-aware steps with ``aggregate``. Windows are
-shifted by one microsecond so that ``[start, end)`` becomes ``(t - range, t]``.
-A window is emitted once the watermark passes its end (append mode).
+Streams have no ``lag``, so ordering happens inside two chained windowed
+aggregations (append mode, one watermark):
+
+1. a tumbling window per (series, step interval) collects that interval's
+   samples and folds their reset-aware steps; its state is the samples of
+   one series in one step (one per scrape at the dashboard's 15 s step);
+2. a sliding window of ``range`` over the interval rows collects at most
+   ``range / step`` interval summaries and joins them with the reset-aware
+   step across each interval edge.
+
+So no state holds a whole window of raw samples, and a sample is kept once,
+not once per overlapping window. Timestamps are shifted by one microsecond
+so that ``[start, end)`` becomes ``(t - range, t]``. A window is emitted once
+the watermark passes its end.
 """
 
 from __future__ import annotations
@@ -17,27 +26,50 @@ from tessera.functions.timecols import micros, ntz_from_micros, seconds
 from tessera.operators.timeseries import _extrapolated, reset_step
 
 
+def _fold_steps(arr: str, value_of, prev_of) -> F.Column:
+    """Sum of reset-aware steps between consecutive elements of a sorted array column."""
+    n = F.size(arr)
+    idx = F.when(n >= 2, F.sequence(F.lit(2), n)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(idx, F.lit(0.0),
+                       lambda acc, i: acc + F.coalesce(
+                           reset_step(value_of(F.element_at(arr, i)), prev_of(F.element_at(arr, i - 1))),
+                           F.lit(0.0)))
+
+
 def stream_range_summary(stream: DataFrame, keys: list[str], range, step, ts: str = "ts",
                          value: str = "value", watermark: str = "10 minutes") -> DataFrame:
     """Per series and window end: n, first/last sample and reset-aware delta (n >= 2)."""
     range_s, step_s = seconds(range), seconds(step)
+    if range_s < step_s or abs(range_s / step_s - round(range_s / step_s)) > 1e-9:
+        raise ValueError("range must be a positive whole multiple of step")
+    kcols = [c(k) for k in keys]
     us = micros(c(ts), stream.schema[ts].dataType)
-    d = stream.select(*[c(k) for k in keys], us.alias("__us"), c(value).cast("double").alias("__v"))
+    d = stream.select(*kcols, us.alias("__us"), c(value).cast("double").alias("__v"))
     d = d.withColumn("__wts", F.timestamp_micros(F.col("__us") - 1))
     d = d.withWatermark("__wts", watermark)
-    win = F.window("__wts", f"{int(range_s)} seconds", f"{int(step_s)} seconds")
-    g = d.groupBy(*[c(k) for k in keys], win.alias("w")).agg(
+
+    # stage 1: one row per (series, step interval)
+    g1 = d.groupBy(*kcols, F.window("__wts", f"{int(step_s)} seconds").alias("__w")).agg(
         F.array_sort(F.collect_list(F.struct(F.col("__us").alias("us"), F.col("__v").alias("v")))).alias("s"))
-    n = F.size("s")
-    steps = F.aggregate(F.sequence(F.lit(2), F.greatest(n, F.lit(2))), F.lit(0.0),
-                        lambda acc, i: acc + F.coalesce(
-                            reset_step(F.element_at("s", i)["v"], F.element_at("s", i - 1)["v"]), F.lit(0.0)))
+    iv = g1.select(
+        *kcols, F.window_time("__w").alias("__wt"),
+        F.struct(F.element_at("s", 1)["us"].alias("first_us"), F.element_at("s", 1)["v"].alias("first_v"),
+                 F.element_at("s", -1)["us"].alias("last_us"), F.element_at("s", -1)["v"].alias("last_v"),
+                 F.size("s").alias("n"), _fold_steps("s", lambda x: x["v"], lambda x: x["v"]).alias("inner"))
+         .alias("iv"))
+
+    # stage 2: sliding windows over interval summaries (at most range/step per window)
+    win = F.window("__wt", f"{int(range_s)} seconds", f"{int(step_s)} seconds")
+    g = iv.groupBy(*kcols, win.alias("w")).agg(F.array_sort(F.collect_list("iv")).alias("ivs"))
+    n = F.aggregate("ivs", F.lit(0), lambda acc, x: acc + x["n"])
+    inner = F.aggregate("ivs", F.lit(0.0), lambda acc, x: acc + x["inner"])
+    edges = _fold_steps("ivs", lambda x: x["first_v"], lambda x: x["last_v"])
     t_us = F.unix_micros(F.col("w.end"))
-    return g.where(n >= 2).select(
-        *[c(k) for k in keys], ntz_from_micros(t_us).alias("t"), t_us.alias("t_us"), n.alias("n"),
-        F.element_at("s", 1)["us"].alias("first_us"), F.element_at("s", 1)["v"].alias("first_v"),
-        F.element_at("s", -1)["us"].alias("last_us"), F.element_at("s", -1)["v"].alias("last_v"),
-        steps.alias("delta"))
+    return g.select(
+        *kcols, ntz_from_micros(t_us).alias("t"), t_us.alias("t_us"), n.alias("n"),
+        F.element_at("ivs", 1)["first_us"].alias("first_us"), F.element_at("ivs", 1)["first_v"].alias("first_v"),
+        F.element_at("ivs", -1)["last_us"].alias("last_us"), F.element_at("ivs", -1)["last_v"].alias("last_v"),
+        (inner + edges).alias("delta")).where(F.col("n") >= 2)
 
 
 def stream_increase(stream: DataFrame, keys: list[str], range, step, ts: str = "ts", value: str = "value",

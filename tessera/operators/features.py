@@ -109,9 +109,12 @@ def encode(df: DataFrame, vocab: DataFrame, key: str, tokens_col: str = "tokens"
     joined = joined.withColumn("__ids", F.coalesce("__ids", F.array().cast("array<int>")))
     if pad == "max":
         length = F.lit(max_length)
+    elif pad == "longest" and batch_col:
+        length = F.max(F.size("__ids")).over(Window.partitionBy(c(batch_col)))
     elif pad == "longest":
-        part = Window.partitionBy(c(batch_col)) if batch_col else Window.partitionBy(F.lit(0))
-        length = F.max(F.size("__ids")).over(part)
+        # one batch: the longest row is one number from a partial aggregate (no one-task window)
+        longest = joined.agg(F.max(F.size("__ids")).alias("m")).first()["m"] or 0
+        length = F.lit(int(longest))
     else:
         raise ValueError(f"Unknown padding: {pad}")
     return (joined.withColumn("input_ids", pad_right(F.col("__ids"), length))

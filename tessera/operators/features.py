@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import c
-from tessera.session import spread
+from tessera.session import cut_lineage, spread
 
 
 def fit_scaler(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -72,10 +72,14 @@ def build_vocab(df: DataFrame, text_col: str = "text", size: int = 30000) -> Dat
     Counting is a partial aggregation. To avoid merging ``size`` rows from
     every partition on one task, the exact count threshold comes first from
     the counts-of-counts table (one row per distinct frequency, at most
-    sqrt(2 x tokens) rows); only tokens at or above it are sorted.
+    sqrt(2 x tokens) rows); only tokens at or above it are sorted. The
+    counts are checkpointed once, so the texts are tokenised in one pass.
     """
     counts = spread(df).select(F.explode(words(text_col)).alias("token")).groupBy("token") \
         .agg(F.count(F.lit(1)).alias("n"))
+    # the threshold and the top-k both read the counts: tokenise the texts once and
+    # keep the (distinct-token sized) counts in the shared checkpoint folder
+    counts = cut_lineage(counts)
     by_freq = counts.groupBy("n").agg(F.count(F.lit(1)).alias("tokens"))
     # frequencies from the top down, with the number of tokens at or above each
     ahead = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -99,7 +103,10 @@ def encode(df: DataFrame, vocab: DataFrame, key: str, tokens_col: str = "tokens"
     from tessera.functions.arrays import mask_for, pad_right
     specials = df.sparkSession.createDataFrame(list(SPECIAL_IDS.items()), "token string, id int")
     lookup = F.broadcast(vocab.select("token", "id").unionByName(specials))
-    toks = df.select(c(key).alias("__key"), F.posexplode(c(tokens_col)).alias("__pos", "token"))
+    # the outer form keeps Catalyst from inferring ``size(tokens) > 0`` and pushing that
+    # (the whole tokenising regex) into the scan as a filter; empty rows are dropped here
+    toks = (df.select(c(key).alias("__key"), F.posexplode_outer(c(tokens_col)).alias("__pos", "token"))
+              .where(F.col("__pos").isNotNull()))
     ids = (toks.join(lookup, "token", "left")
                .groupBy("__key")
                .agg(F.array_sort(F.collect_list(F.struct("__pos", F.coalesce("id", F.lit(SPECIAL_IDS[UNK])).alias("id"))))

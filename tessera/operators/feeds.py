@@ -36,22 +36,26 @@ def running_total(df: DataFrame, keys: list[str], ts: str = "ts", weight: str |
     d = d.withColumns({"__chunk": F.expr(f"__us div {chunk_us}"),
                        "__period": F.expr(f"__us div {reset_us}") if reset_us else F.lit(0)})
     ordering = [F.col("__us")] + [c(o) for o in (order or [])]
-    # (period, chunk) partitioning also serves the join with the chunk offsets below,
-    # so the full rows are shuffled once
-    within = Window.partitionBy(*kcols, F.col("__period"), F.col("__chunk")).orderBy(*ordering) \
+    # one non-null struct key per (series, period, chunk): labels may be null, and struct
+    # equality keeps such rows in the offset join; the window's partitioning on this key
+    # also serves that join, so the full rows are shuffled once
+    d = d.withColumn("__jk", F.struct(*[c(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+                                      F.col("__period"), F.col("__chunk")))
+    within = Window.partitionBy("__jk").orderBy(*ordering) \
                    .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = d.withColumn("__run", F.sum("__w").over(within))
     if reset_us == chunk_us:
         total = F.col("__run")
     else:
-        per_chunk = d.groupBy(*kcols, "__period", "__chunk").agg(F.sum("__w").alias("__ct"))
-        before = Window.partitionBy(*kcols, F.col("__period")).orderBy("__chunk") \
+        per_chunk = d.groupBy("__jk").agg(F.sum("__w").alias("__ct"))
+        series_period = F.struct(*[F.col("__jk").getField(f"__k{i}") for i in range(len(keys))],
+                                 F.col("__jk").getField("__period"))
+        before = Window.partitionBy(series_period).orderBy(F.col("__jk").getField("__chunk")) \
                        .rowsBetween(Window.unboundedPreceding, -1)
-        per_chunk = per_chunk.select(*kcols, "__period", "__chunk",
-                                     F.coalesce(F.sum("__ct").over(before), F.lit(0.0)).alias("__off"))
-        d = d.join(per_chunk, [*keys, "__period", "__chunk"])
+        per_chunk = per_chunk.select("__jk", F.coalesce(F.sum("__ct").over(before), F.lit(0.0)).alias("__off"))
+        d = d.join(per_chunk, "__jk")
         total = F.col("__off") + F.col("__run")
-    return d.withColumn(out, total).drop("__w", "__us", "__chunk", "__period", "__run", "__off")
+    return d.withColumn(out, total).drop("__w", "__us", "__chunk", "__period", "__jk", "__run", "__off")
 
 
 def to_counters(df: DataFrame, keys: list[str], ts: str = "ts", weight: str | None = None,

@@ -72,21 +72,25 @@ def _intervals(df: DataFrame, keys: list[str], step_s: float, ts: str, value: st
     """
     step_us = int(round(step_s * 1_000_000))
     per_chunk = max(1, int(chunk_s // step_s))
-    kcols = [c(k) for k in keys]
-    s = _with_interval(df.select(*kcols, c(ts), c(value).cast("double").alias("__v")), ts, step_us)
+    # the series is one non-null struct of its labels: a label may be null (a series
+    # without it), and struct equality keeps such series in the chunk join below
+    sk = F.struct(*[c(k) for k in keys]) if keys else F.lit(0)
+    s = _with_interval(df.select(sk.alias("__sk"), c(ts), c(value).cast("double").alias("__v")), ts, step_us)
     s = s.where(F.col("__us").isNotNull() & F.col("__v").isNotNull())
-    w_in = Window.partitionBy(*kcols, F.col("__k")).orderBy("__us")
+    w_in = Window.partitionBy("__sk", "__k").orderBy("__us")
     s = s.withColumn("__step", reset_step(F.col("__v"), F.lag("__v").over(w_in)) if counter
                      else F.lit(0.0))
-    iv = s.groupBy(*kcols, "__k").agg(
+    iv = s.groupBy("__sk", "__k").agg(
         F.count(F.lit(1)).alias("__n"),
         F.min("__us").alias("__first_us"), F.min_by("__v", "__us").alias("__first_v"),
         F.max("__us").alias("__last_us"), F.max_by("__v", "__us").alias("__last_v"),
         F.coalesce(F.sum("__step"), F.lit(0.0)).alias("__inner"))
-    iv = iv.withColumn("__c", F.expr(f"__k div {per_chunk}"))
+    # non-null chunk number: no null filter is inferred from the join, so both join
+    # branches keep the same plan and share the sample shuffle
+    iv = iv.withColumn("__c", F.coalesce(F.expr(f"__k div {per_chunk}"), F.lit(0).cast("long")))
 
     # phase 1: neighbours and running sums inside each (series, chunk)
-    w_c = Window.partitionBy(*kcols, F.col("__c")).orderBy("__k")
+    w_c = Window.partitionBy("__sk", "__c").orderBy("__k")
     run_c = w_c.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     prev_last = F.lag("__last_v").over(w_c)
     inner_b = F.coalesce(reset_step(F.col("__first_v"), prev_last), F.lit(0.0)) if counter else F.lit(0.0)
@@ -96,24 +100,25 @@ def _intervals(df: DataFrame, keys: list[str], step_s: float, ts: str, value: st
                          "__ncum_in": F.sum("__n").over(run_c)})
 
     # phase 2: one row per (series, chunk); same partitioning as phase 1, no exchange
-    ch = iv.groupBy(*kcols, "__c").agg(
+    ch = iv.groupBy("__sk", "__c").agg(
         F.min("__k").alias("__ck_first"), F.min_by("__first_v", "__k").alias("__cv_first"),
         F.max("__k").alias("__ck_last"), F.max_by("__last_v", "__k").alias("__cv_last"),
         F.sum(F.col("__inner") + F.col("__b_in")).alias("__csum"), F.sum("__n").alias("__cn"))
-    w_ch = Window.partitionBy(*kcols).orderBy("__c")
+    w_ch = Window.partitionBy("__sk").orderBy("__c")
     before = w_ch.rowsBetween(Window.unboundedPreceding, -1)
     cb = F.coalesce(reset_step(F.col("__cv_first"), F.lag("__cv_last").over(w_ch)), F.lit(0.0)) \
         if counter else F.lit(0.0)
     ch = ch.withColumns({"__cprev_k": F.lag("__ck_last").over(w_ch), "__cnext_k": F.lead("__ck_first").over(w_ch),
                          "__cb": cb})
-    ch = ch.select(*kcols, "__c", "__cprev_k", "__cnext_k", "__cb",
+    ch = ch.select("__sk", "__c", "__cprev_k", "__cnext_k", "__cb",
                    F.coalesce(F.sum(F.col("__csum") + F.col("__cb")).over(before), F.lit(0.0)).alias("__coff"),
                    F.coalesce(F.sum("__cn").over(before), F.lit(0)).alias("__cnoff"))
 
     first_in_chunk = F.col("__prev_in").isNull()
-    out = iv.join(ch, [*keys, "__c"])
+    out = iv.join(ch, ["__sk", "__c"])
     return out.select(
-        *kcols, "__k", "__n", "__first_us", "__first_v", "__last_us", "__last_v", "__inner",
+        *[F.col("__sk").getField(k).alias(k) for k in keys],
+        "__k", "__n", "__first_us", "__first_v", "__last_us", "__last_v", "__inner",
         F.coalesce("__prev_in", "__cprev_k").alias("__prev_k"),
         F.coalesce("__next_in", "__cnext_k").alias("__next_k"),
         F.when(first_in_chunk, F.col("__cb")).otherwise(F.col("__b_in")).alias("__bstep"),

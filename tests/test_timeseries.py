@@ -128,3 +128,17 @@ def test_running_total_across_chunks_and_resets(spark):
     for r in daily:
         same_day = [x for x in rows if x[1].date() == r["ts"].date() and x[1] <= r["ts"]]
         assert r["value"] == len(same_day)
+
+
+def test_series_with_a_null_label_is_kept(spark):
+    # a series without ``status`` (null label) still gets its windows and running totals
+    from tessera.operators.feeds import running_total
+    rows = [(None if k == "b" else "200", k, T0 + timedelta(hours=h, seconds=15 * i), float(i))
+            for k in ("a", "b") for h in (0, 30) for i in range(1, 5)]
+    df = spark.createDataFrame(rows, "status string, k string, ts timestamp_ntz, value double")
+    s = range_summary(df, ["status", "k"], "1 minute", "15 seconds", chunk="1 hour")
+    assert {r["k"] for r in s.collect()} == {"a", "b"}
+    assert s.where(F.col("status").isNull()).count() == s.where(F.col("status").isNotNull()).count()
+    tot = running_total(df, ["status", "k"], reset_every="1 day")
+    assert tot.where(F.col("status").isNull()).agg(F.max("value")).first()[0] == 4.0
+    assert tot.count() == len(rows)

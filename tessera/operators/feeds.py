@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import c
-from tessera.functions.timecols import micros, seconds
+from tessera.functions.timecols import micros, ntz_from_micros, seconds
 
 
 def running_total(df: DataFrame, keys: list[str], ts: str = "ts", weight: str | None = None,
@@ -92,3 +92,19 @@ def to_buckets(df: DataFrame, keys: list[str], bounds: list[float], observed: st
 def class_counter(scored: DataFrame, prediction: str = "prediction") -> DataFrame:
     """Predictions per class: ``(prediction_class, n)``."""
     return scored.groupBy(c(prediction).alias("prediction_class")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def scrape(df: DataFrame, keys: list[str], every: str | float = "15 seconds", ts: str = "ts",
+           value: str = "value") -> DataFrame:
+    """Samples a scraper would store: at each scrape time ``T`` (a multiple of
+    ``every``), the newest value of the series in ``(T - every, T]``.
+
+    Only scrape times whose interval saw an update get a sample. One partial
+    aggregation on ``(series, T)``, so a hot series is spread over all tasks.
+    """
+    every_us = int(round(seconds(every) * 1_000_000))
+    us = micros(c(ts), df.schema[ts].dataType)
+    at = F.expr(f"(__us - 1) div {every_us} + 1") * F.lit(every_us)
+    d = df.select(*[c(k) for k in keys], us.alias("__us"), c(value).cast("double").alias("__v"))
+    g = d.groupBy(*[c(k) for k in keys], at.alias("__at")).agg(F.max_by("__v", "__us").alias(value))
+    return g.select(*[c(k) for k in keys], ntz_from_micros(F.col("__at")).alias(ts), value)

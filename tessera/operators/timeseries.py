@@ -128,8 +128,9 @@ def _intervals(df: DataFrame, keys: list[str], step_s: float, ts: str, value: st
 
 def range_summary(df: DataFrame, keys: list[str], range: str | float, step: str | float,
                   ts: str = "ts", value: str = "value", counter: bool = True,
-                  chunk: str | float = DAY_S) -> DataFrame:
-    """Per series and step end ``t``: the samples in ``(t - range, t]``.
+                  chunk: str | float = DAY_S, closed: str = "right") -> DataFrame:
+    """Per series and step end ``t``: the samples in ``(t - range, t]``
+    (``closed="both"``: ``[t - range, t]``, the older rule).
 
     Columns: keys, ``t`` (timestamp_ntz), ``t_us``, ``n``, ``first_us``,
     ``first_v``, ``last_us``, ``last_v``, ``delta`` (reset-aware increase
@@ -137,6 +138,8 @@ def range_summary(df: DataFrame, keys: list[str], range: str | float, step: str
     whose window holds at least one sample. ``chunk`` is the span of
     intervals one running-sum task sorts (results do not depend on it).
     """
+    if closed not in ("right", "both"):
+        raise ValueError(f"closed must be 'right' or 'both', not {closed!r}")
     range_s, step_s = seconds(range), seconds(step)
     n_steps = range_s / step_s
     if n_steps < 1 or abs(n_steps - round(n_steps)) > 1e-9:
@@ -147,33 +150,53 @@ def range_summary(df: DataFrame, keys: list[str], range: str | float, step: str
     iv = _intervals(df, keys, step_s, ts, value, counter, seconds(chunk))
     k = F.col("__k")
 
-    # Each output step K is emitted once by its last non-empty interval (tag L)
-    # and once by its first (tag F); one groupBy on (series, K) pairs them up.
+    # Each output step K is emitted once by its last non-empty interval (tag 1)
+    # and once by its first (tag 0); one groupBy on (series, K) pairs them up.
+    # With closed="both" an interval whose last sample sits exactly on its right
+    # edge also emits that sample (tag 2) to the window starting at that edge.
+    def tag(x, t):
+        return F.struct(x.alias("K"), F.lit(t).alias("T"))
     hi = F.least(F.coalesce(F.col("__next_k") - 1, k + n_steps - 1), k + n_steps - 1)
     lo = F.greatest(k, F.coalesce(F.col("__prev_k") + n_steps, k))
-    tagged = F.concat(
-        F.transform(F.sequence(k, hi), lambda x: F.struct(x.alias("K"), F.lit(True).alias("L"))),
-        F.transform(F.sequence(lo, k + n_steps - 1), lambda x: F.struct(x.alias("K"), F.lit(False).alias("L"))))
-    e = iv.select(*kcols, F.explode(tagged).alias("__e"), "__first_us", "__first_v", "__last_us", "__last_v",
-                  "__n", "__inner", "__cum", "__ncum")
-    is_last = F.col("__e.L")
-
-    def side(flag, col):
-        return F.max(F.when(is_last if flag else ~is_last, F.col(col)))
-
-    j = e.groupBy(*kcols, F.col("__e.K").alias("__K")).agg(
-        side(True, "__last_us").alias("__last_us"), side(True, "__last_v").alias("__last_v"),
-        side(True, "__cum").alias("__cum_last"), side(True, "__ncum").alias("__ncum_last"),
-        side(False, "__first_us").alias("__first_us"), side(False, "__first_v").alias("__first_v"),
-        side(False, "__n").alias("__n_first"), side(False, "__inner").alias("__inner_first"),
-        side(False, "__cum").alias("__cum_first"), side(False, "__ncum").alias("__ncum_first"))
+    parts = [F.transform(F.sequence(k, hi), lambda x: tag(x, 1)),
+             F.transform(F.sequence(lo, k + n_steps - 1), lambda x: tag(x, 0))]
+    if closed == "both":
+        on_edge = F.col("__last_us") == k * F.lit(step_us)
+        parts.append(F.filter(F.array(tag(k + n_steps, 2)), lambda x: on_edge))
+    e = iv.select(*kcols, F.explode(F.concat(*parts)).alias("__e"), "__first_us", "__first_v", "__last_us",
+                  "__last_v", "__n", "__inner", "__cum", "__ncum")
+    kind = F.col("__e.T")
+
+    def side(t, col):
+        return F.max(F.when(kind == t, F.col(col)))
+
+    aggs = [side(1, "__last_us").alias("__last_us"), side(1, "__last_v").alias("__last_v"),
+            side(1, "__cum").alias("__cum_last"), side(1, "__ncum").alias("__ncum_last"),
+            side(0, "__first_us").alias("__first_us"), side(0, "__first_v").alias("__first_v"),
+            side(0, "__n").alias("__n_first"), side(0, "__inner").alias("__inner_first"),
+            side(0, "__cum").alias("__cum_first"), side(0, "__ncum").alias("__ncum_first")]
+    if closed == "both":
+        aggs += [side(2, "__last_us").alias("__edge_us"), side(2, "__last_v").alias("__edge_v")]
+    j = e.groupBy(*kcols, F.col("__e.K").alias("__K")).agg(*aggs)
     t_us = F.col("__K") * F.lit(step_us)
+    n = F.col("__ncum_last") - F.col("__ncum_first") + F.col("__n_first")
+    first_us, first_v = F.col("__first_us"), F.col("__first_v")
+    last_us, last_v = F.col("__last_us"), F.col("__last_v")
+    delta = F.col("__cum_last") - F.col("__cum_first") + F.col("__inner_first")
+    if closed == "both":
+        edge = F.col("__edge_us").isNotNull()
+        inside = n.isNotNull()
+        edge_step = reset_step(first_v, F.col("__edge_v")) if counter else F.lit(0.0)
+        delta = F.when(edge & inside, delta + edge_step).when(edge, F.lit(0.0)).otherwise(delta)
+        n = F.coalesce(n, F.lit(0)) + F.when(edge, 1).otherwise(0)
+        first_us = F.when(edge, F.col("__edge_us")).otherwise(first_us)
+        first_v = F.when(edge, F.col("__edge_v")).otherwise(first_v)
+        last_us = F.coalesce(last_us, F.col("__edge_us"))
+        last_v = F.when(inside, last_v).otherwise(F.col("__edge_v"))
     return j.select(
-        *kcols, ntz_from_micros(t_us).alias("t"), t_us.alias("t_us"),
-        (F.col("__ncum_last") - F.col("__ncum_first") + F.col("__n_first")).alias("n"),
-        F.col("__first_us").alias("first_us"), F.col("__first_v").alias("first_v"),
-        F.col("__last_us").alias("last_us"), F.col("__last_v").alias("last_v"),
-        (F.col("__cum_last") - F.col("__cum_first") + F.col("__inner_first")).alias("delta"))
+        *kcols, ntz_from_micros(t_us).alias("t"), t_us.alias("t_us"), n.alias("n"),
+        first_us.alias("first_us"), first_v.alias("first_v"), last_us.alias("last_us"),
+        last_v.alias("last_v"), delta.alias("delta"))
 
 
 def _extrapolated(summary: DataFrame, range_s: float, counter: bool, as_rate: bool) -> Column:
@@ -205,10 +228,11 @@ def _extrapolated(summary: DataFrame, range_s: float, counter: bool, as_rate: bo
 
 def increase(df: DataFrame, keys: list[str], range: str | float, step: str | float,
              ts: str = "ts", value: str = "value", extrapolate: bool = True,
-             as_rate: bool = False) -> DataFrame:
-    """Counter increase over ``(t - range, t]`` per series and step; needs 2 samples."""
+             as_rate: bool = False, closed: str = "right") -> DataFrame:
+    """Counter increase over ``(t - range, t]`` (or ``[t - range, t]``) per series
+    and step; needs 2 samples."""
     range_s = seconds(range)
-    s = range_summary(df, keys, range, step, ts, value, counter=True).where(F.col("n") >= 2)
+    s = range_summary(df, keys, range, step, ts, value, counter=True, closed=closed).where(F.col("n") >= 2)
     if extrapolate:
         out = _extrapolated(s, range_s, counter=True, as_rate=as_rate)
     else:
@@ -217,9 +241,9 @@ def increase(df: DataFrame, keys: list[str], range: str | float, step: str | flo
 
 
 def rate(df: DataFrame, keys: list[str], range: str | float, step: str | float,
-         ts: str = "ts", value: str = "value", extrapolate: bool = True) -> DataFrame:
-    """Per-second counter rate over ``(t - range, t]`` per series and step."""
-    return increase(df, keys, range, step, ts, value, extrapolate, as_rate=True)
+         ts: str = "ts", value: str = "value", extrapolate: bool = True, closed: str = "right") -> DataFrame:
+    """Per-second counter rate over ``(t - range, t]`` (or ``[t - range, t]``) per series and step."""
+    return increase(df, keys, range, step, ts, value, extrapolate, as_rate=True, closed=closed)
 
 
 def latest(df: DataFrame, keys: list[str], step: str | float, lookback: str | float = "5 minutes",

@@ -69,6 +69,13 @@ def request_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_counters(request_log(spark, sf_dir), ["path", "status"], reset_every=RESET_EVERY)
 
 
+def scraped_request_counter(spark: SparkSession, sf_dir: str, every: str = "1 minute") -> DataFrame:
+    """The request counter as a scraper stores it: one sample per minute that saw requests,
+    stamped at the minute's end (so samples fall on window edges)."""
+    from tessera.operators.feeds import scrape
+    return scrape(request_counter(spark, sf_dir), ["path", "status"], every)
+
+
 def latency_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cumulative latency histogram per (path, le), restarted daily."""
     from tessera.operators.feeds import to_buckets

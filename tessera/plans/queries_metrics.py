@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from tessera.functions.labels import match
 from tessera.operators.feeds import class_counter
-from tessera.operators.timeseries import counter_delta, increase, rate
+from tessera.operators.timeseries import _extrapolated, counter_delta, increase, range_summary, rate
 from tessera.plans import dashboard as dash
 from tessera.plans.catalog import REQUEST_LOG_SQL, register, rounded
 from tessera.plans.derived import (LATENCY_BOUNDS, cpu_counter, latency_buckets, memory_gauge,
+                                   scraped_request_counter,
                                    prediction_class_counter, request_counter)
 from tessera.sources.tables import table
 
@@ -55,10 +56,12 @@ CLASS_COUNTER_SQL = (
 
 
 def summary_sql(src: str, keys: list[str], range_s: int, step_s: int, counter: bool = True,
-                prefix: str = "") -> str:
+                prefix: str = "", closed: str = "right") -> str:
     """CTEs ending in ``{prefix}summ(keys, K, t_us, n, first_us, first_v, last_us, last_v, delta)``."""
     S, R = step_s * 1_000_000, range_s * 1_000_000
     N = R // S
+    left = ">=" if closed == "both" else ">"
+    spread = N + 1 if closed == "both" else N
     k = ", ".join(keys)
     gk = ", ".join(f"g.{x}" for x in keys)
     on = " and ".join(f"g.{x} = s.{x}" for x in keys)
@@ -67,10 +70,10 @@ def summary_sql(src: str, keys: list[str], range_s: int, step_s: int, counter: b
     return f"""{p}s0 as (select {k}, epoch_us(ts) as us, cast(value as double) as v from ({src})),
 {p}s1 as (select *, lag(v) over (partition by {k} order by us) as pv from {p}s0),
 {p}s as (select *, {st} as st from {p}s1),
-{p}g as (select distinct {k}, (us - 1) // {S} + 1 + j as K from {p}s, range(0, {N}) r(j)),
+{p}g as (select distinct {k}, (us - 1) // {S} + 1 + j as K from {p}s, range(0, {spread}) r(j)),
 {p}m as (select {gk}, g.K, s.us, s.v, s.st,
           row_number() over (partition by {gk}, g.K order by s.us) as rn
-        from {p}g g join {p}s s on {on} and s.us > g.K * {S} - {R} and s.us <= g.K * {S}),
+        from {p}g g join {p}s s on {on} and s.us {left} g.K * {S} - {R} and s.us <= g.K * {S}),
 {p}summ as (select {k}, K, K * {S} as t_us, count(*) as n, min(us) as first_us,
           max(case when rn = 1 then v end) as first_v, max(us) as last_us, arg_max(v, us) as last_v,
           coalesce(sum(case when rn > 1 then st end), 0.0) as delta
@@ -177,6 +180,27 @@ def q_rate_1h(spark, sf_dir):
     return rounded(rate(request_counter(spark, sf_dir), ["path", "status"], RANGE_S, STEP_S), DIGITS)
 
 
+SCRAPED_COUNTER_SQL = (
+    f"select path, status, make_timestamp(((epoch_us(ts) - 1) // 60000000 + 1) * 60000000) as ts, "
+    f"arg_max(value, ts) as value from ({REQUEST_COUNTER_SQL}) group by all")
+
+
+@register("scraped_counter", f"select path, status, ts, value from ({SCRAPED_COUNTER_SQL})")
+def q_scraped_counter(spark, sf_dir):
+    return scraped_request_counter(spark, sf_dir)
+
+
+@register("rate_1h_closed_both", (
+    f"with {summary_sql(SCRAPED_COUNTER_SQL, ['path', 'status'], RANGE_S, STEP_S, closed='both')} "
+    f"select path, status, {_t()}, n, {_r(extrapolated_sql(RANGE_S, True))} as value from summ where n >= 2"))
+def q_rate_1h_closed_both(spark, sf_dir):
+    """The older window rule ``[t - 1h, t]`` on minute-scraped samples, many of them on an edge."""
+    s = range_summary(scraped_request_counter(spark, sf_dir), ["path", "status"], RANGE_S, STEP_S,
+                      closed="both").where(F.col("n") >= 2)
+    return rounded(s.select("path", "status", "t", "n",
+                            _extrapolated(s, RANGE_S, counter=True, as_rate=True).alias("value")), DIGITS)
+
+
 @register("increase_24h_raw", (
     f"with {summary_sql(CLASS_COUNTER_SQL, ['prediction_class'], LONG_RANGE_S, LONG_STEP_S)} "
     f"select prediction_class, {_t()}, {_r('delta')} as value from summ where n >= 2"))

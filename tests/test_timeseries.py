@@ -39,15 +39,15 @@ def test_one_sample_window_gives_no_rate(spark):
     assert inc.count() == 0
 
 
-def brute(rows, range_s, step_s):
-    """Per step end: samples in (t - range, t] -> (n, delta)."""
+def brute(rows, range_s, step_s, closed="right"):
+    """Per step end: samples in (t - range, t] (or [t - range, t]) -> (n, delta)."""
     out = {}
     ts = [t for t, _ in rows]
     lo = (min(ts) // step_s) * step_s
     hi = max(ts) + range_s + step_s
     t = lo
     while t <= hi:
-        win = [(a, v) for a, v in rows if t - range_s < a <= t]
+        win = [(a, v) for a, v in rows if (t - range_s < a or (closed == "both" and t - range_s == a)) and a <= t]
         if win:
             d = 0.0
             for (_, p), (_, v) in zip(win, win[1:]):
@@ -142,3 +142,22 @@ def test_series_with_a_null_label_is_kept(spark):
     tot = running_total(df, ["status", "k"], reset_every="1 day")
     assert tot.where(F.col("status").isNull()).agg(F.max("value")).first()[0] == 4.0
     assert tot.count() == len(rows)
+
+
+@pytest.mark.parametrize("seed,chunk", [(7, "1 day"), (8, 600)])
+def test_closed_both_matches_brute_force(spark, seed, chunk):
+    # samples on a 15 s grid put many of them exactly on window edges
+    rnd = random.Random(seed)
+    t, v, rows = 0, 0.0, []
+    for _ in range(150):
+        t += 15 * rnd.randint(1, 12)
+        v = 0.0 if rnd.random() < 0.05 else v + rnd.randint(0, 5)
+        rows.append((t, v))
+    df = spark.createDataFrame([("s", T0 + timedelta(seconds=a), b) for a, b in rows],
+                               "k string, ts timestamp_ntz, value double")
+    got = {int((r["t"] - T0).total_seconds()): (r["n"], r["delta"])
+           for r in range_summary(df, ["k"], 300, 60, chunk=chunk, closed="both").collect()}
+    assert got == brute(rows, 300, 60, closed="both")
+    right = {int((r["t"] - T0).total_seconds()): (r["n"], r["delta"])
+             for r in range_summary(df, ["k"], 300, 60, chunk=chunk).collect()}
+    assert right == brute(rows, 300, 60) and right != got

@@ -16,46 +16,55 @@ from tessera.functions.columns import c
 from tessera.functions.timecols import micros, ntz_from_micros, seconds
 
 
-def running_total(df: DataFrame, keys: list[str], ts: str = "ts", weight: str | None = None,
+def running_total(df: DataFrame, keys: list[str], ts: str = "ts", weight: str | list[str] | None = None,
                   order: list[str] | None = None, reset_every: str | float | None = None,
-                  chunk: str | float = "1 hour", out: str = "value") -> DataFrame:
+                  chunk: str | float = "1 hour", out: str | list[str] = "value") -> DataFrame:
     """Cumulative sum of ``weight`` (default 1 per row) per series in time order.
 
-    ``reset_every`` restarts the total at each period boundary (a process
-    restart). ``chunk`` bounds the rows one window task sorts (a hot series is
-    cut into hours, not held whole); it must divide ``reset_every``.
+    ``weight`` and ``out`` may be lists: several running sums in the same
+    order then share one shuffle and one window. ``reset_every`` restarts the
+    total at each period boundary (a process restart). ``chunk`` bounds the
+    rows one window task sorts (a hot series is cut into hours, not held
+    whole); it must divide ``reset_every``.
     """
+    weights = weight if isinstance(weight, list) else [weight]
+    outs = out if isinstance(out, list) else [out]
+    if len(weights) != len(outs):
+        raise ValueError("one output column per weight")
     chunk_us = int(seconds(chunk) * 1_000_000)
     reset_us = int(seconds(reset_every) * 1_000_000) if reset_every else None
     if reset_us and reset_us % chunk_us:
         raise ValueError("chunk must divide reset_every")
     kcols = [c(k) for k in keys]
-    w = F.lit(1).cast("double") if weight is None else c(weight).cast("double")
+    ws = {f"__w{i}": F.lit(1).cast("double") if w is None else c(w).cast("double") for i, w in enumerate(weights)}
     us = micros(c(ts), df.schema[ts].dataType)
-    d = df.withColumns({"__w": w, "__us": us})
+    d = df.withColumns({**ws, "__us": us})
     d = d.withColumns({"__chunk": F.expr(f"__us div {chunk_us}"),
                        "__period": F.expr(f"__us div {reset_us}") if reset_us else F.lit(0)})
     ordering = [F.col("__us")] + [c(o) for o in (order or [])]
     # one non-null struct key per (series, period, chunk): labels may be null, and struct
     # equality keeps such rows in the offset join; the window's partitioning on this key
     # also serves that join, so the full rows are shuffled once
-    d = d.withColumn("__jk", F.struct(*[c(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+    d = d.withColumn("__jk", F.struct(*[k.alias(f"__k{i}") for i, k in enumerate(kcols)],
                                       F.col("__period"), F.col("__chunk")))
     within = Window.partitionBy("__jk").orderBy(*ordering) \
                    .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = d.withColumn("__run", F.sum("__w").over(within))
+    d = d.withColumns({f"__run{i}": F.sum(w).over(within) for i, w in enumerate(ws)})
     if reset_us == chunk_us:
-        total = F.col("__run")
+        totals = [F.col(f"__run{i}") for i in range(len(ws))]
     else:
-        per_chunk = d.groupBy("__jk").agg(F.sum("__w").alias("__ct"))
+        per_chunk = d.groupBy("__jk").agg(*[F.sum(w).alias(f"__ct{i}") for i, w in enumerate(ws)])
         series_period = F.struct(*[F.col("__jk").getField(f"__k{i}") for i in range(len(keys))],
                                  F.col("__jk").getField("__period"))
         before = Window.partitionBy(series_period).orderBy(F.col("__jk").getField("__chunk")) \
                        .rowsBetween(Window.unboundedPreceding, -1)
-        per_chunk = per_chunk.select("__jk", F.coalesce(F.sum("__ct").over(before), F.lit(0.0)).alias("__off"))
+        per_chunk = per_chunk.select("__jk", *[F.coalesce(F.sum(f"__ct{i}").over(before), F.lit(0.0))
+                                               .alias(f"__off{i}") for i in range(len(ws))])
         d = d.join(per_chunk, "__jk")
-        total = F.col("__off") + F.col("__run")
-    return d.withColumn(out, total).drop("__w", "__us", "__chunk", "__period", "__jk", "__run", "__off")
+        totals = [F.col(f"__off{i}") + F.col(f"__run{i}") for i in range(len(ws))]
+    internal = [*ws, "__us", "__chunk", "__period", "__jk", *[f"__run{i}" for i in range(len(ws))],
+                *[f"__off{i}" for i in range(len(ws))]]
+    return d.withColumns(dict(zip(outs, totals))).drop(*internal)
 
 
 def to_counters(df: DataFrame, keys: list[str], ts: str = "ts", weight: str | None = None,
@@ -77,15 +86,20 @@ def to_buckets(df: DataFrame, keys: list[str], bounds: list[float], observed: st
     """Cumulative histogram samples ``(keys..., le, ts, value)``.
 
     Each observation adds 1 to every bucket whose upper bound ``le`` it does
-    not exceed; ``+Inf`` is added when missing.
+    not exceed; ``+Inf`` is added when missing. All buckets of a series share
+    the time order, so their running counts come from one window over the
+    requests (one shuffle of the request rows, not one per bucket); the
+    per-bucket rows are made after it.
     """
     bounds = sorted(set(float(b) for b in bounds) | {float("inf")})
-    spec = F.array(*[F.struct(F.lit(bucket_label(b)).alias("le"), F.lit(b).alias("ub")) for b in bounds])
-    d = df.select(*[c(k) for k in keys], c(ts), c(observed).alias("__obs"),
-                  *[c(o) for o in (order or [])], F.explode(spec).alias("__b"))
-    d = d.withColumns({"le": F.col("__b.le"),
-                       "__hit": (F.col("__obs") <= F.col("__b.ub")).cast("double")}).drop("__b")
-    out = running_total(d, [*keys, "le"], ts, "__hit", order, reset_every)
+    hits = {f"__h{i}": (F.col("__obs") <= F.lit(b)).cast("double") for i, b in enumerate(bounds)}
+    d = df.select(*[c(k) for k in keys], c(ts), c(observed).alias("__obs"), *[c(o) for o in (order or [])])
+    d = d.withColumns(hits)
+    counts = [f"__b{i}" for i in range(len(bounds))]
+    run = running_total(d, keys, ts, list(hits), order, reset_every, out=counts)
+    per_bucket = F.array(*[F.struct(F.lit(bucket_label(b)).alias("le"), F.col(n).alias("value"))
+                           for b, n in zip(bounds, counts)])
+    out = run.select(*[c(k) for k in keys], c(ts), F.inline(per_bucket))
     return out.select(*[c(k) for k in keys], "le", c(ts), "value")
 
 

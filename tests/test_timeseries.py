@@ -161,3 +161,27 @@ def test_closed_both_matches_brute_force(spark, seed, chunk):
     right = {int((r["t"] - T0).total_seconds()): (r["n"], r["delta"])
              for r in range_summary(df, ["k"], 300, 60, chunk=chunk).collect()}
     assert right == brute(rows, 300, 60) and right != got
+
+
+def test_scrape_takes_newest_value_per_interval(spark):
+    from tessera.operators.feeds import scrape
+    # scrape every minute: samples in (T - 1 min, T] give the newest one, stamped T
+    rows = [("a", T0 + timedelta(seconds=s), float(v)) for s, v in [(10, 1), (50, 2), (60, 3), (61, 4), (170, 5)]]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, value double")
+    got = {(r["ts"], r["value"]) for r in scrape(df, ["k"], "1 minute").collect()}
+    assert got == {(T0 + timedelta(minutes=1), 3.0), (T0 + timedelta(minutes=2), 4.0),
+                   (T0 + timedelta(minutes=3), 5.0)}
+
+
+def test_running_total_with_several_weights_equals_separate_runs(spark):
+    from tessera.operators.feeds import running_total
+    rnd = random.Random(3)
+    rows = [("a" if i % 3 else "b", T0 + timedelta(minutes=7 * i), float(rnd.randint(0, 9)), float(rnd.random()))
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, x double, y double")
+    both = running_total(df, ["k"], weight=["x", "y"], out=["cx", "cy"], reset_every="1 day")
+    got = {(r["k"], r["ts"]): (r["cx"], round(r["cy"], 9)) for r in both.collect()}
+    sx = {(r["k"], r["ts"]): r["value"] for r in running_total(df, ["k"], weight="x", reset_every="1 day").collect()}
+    sy = {(r["k"], r["ts"]): round(r["value"], 9)
+          for r in running_total(df, ["k"], weight="y", reset_every="1 day").collect()}
+    assert got == {key: (sx[key], sy[key]) for key in sx}

@@ -247,9 +247,10 @@ def rate(df: DataFrame, keys: list[str], range: str | float, step: str | float,
 
 
 def latest(df: DataFrame, keys: list[str], step: str | float, lookback: str | float = "5 minutes",
-           ts: str = "ts", value: str = "value") -> DataFrame:
-    """Gauge value at each step: the newest sample in ``(t - lookback, t]``."""
-    s = range_summary(df, keys, lookback, step, ts, value, counter=False)
+           ts: str = "ts", value: str = "value", closed: str = "right") -> DataFrame:
+    """Gauge value at each step: the newest sample in ``(t - lookback, t]``
+    (``closed="both"``: ``[t - lookback, t]``)."""
+    s = range_summary(df, keys, lookback, step, ts, value, counter=False, closed=closed)
     return s.select(*[c(k) for k in keys], "t", F.col("last_v").alias("value"))
 
 

@@ -185,3 +185,13 @@ def test_running_total_with_several_weights_equals_separate_runs(spark):
     sy = {(r["k"], r["ts"]): round(r["value"], 9)
           for r in running_total(df, ["k"], weight="y", reset_every="1 day").collect()}
     assert got == {key: (sx[key], sy[key]) for key in sx}
+
+
+def test_latest_closed_both_sees_the_edge_sample(spark):
+    from tessera.operators.timeseries import latest
+    # a gauge sampled once at 00:00:00; at 00:05:00 only the closed rule still sees it
+    df = spark.createDataFrame([("p", T0, 7.0)], "pod string, ts timestamp_ntz, value double")
+    t = T0 + timedelta(minutes=5)
+    right = {r["t"] for r in latest(df, ["pod"], "1 minute").collect()}
+    both = {r["t"]: r["value"] for r in latest(df, ["pod"], "1 minute", closed="both").collect()}
+    assert t not in right and both[t] == 7.0

@@ -19,15 +19,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tessera.llm.common import text_or_empty
+from tessera.llm.common import Remembered, text_or_empty
 
 #: Fixed value: the pre-tokenising pattern of byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
-#: Words whose ids a Python worker remembers; beyond it the older half is forgotten.
-CACHE_WORDS = 400_000
-#: Words longer than this are merged anew each time instead of being remembered.
-CACHE_WORD_CHARS = 64
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -37,26 +33,6 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
-class _Words(dict):
-    """Word -> ids, filled on demand; two generations bound its size."""
-
-    def __init__(self, merge):
-        super().__init__()
-        self.merge, self.old = merge, {}
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = self.old.get(word)
-        if ids is None:
-            ids = self.merge(word.encode("utf-8"))
-            if len(word) > CACHE_WORD_CHARS:
-                return ids
-        if len(self) >= CACHE_WORDS // 2:
-            self.old = dict(self)
-            self.clear()
-        self[word] = ids
-        return ids
-
-
 class ByteBpe:
     """Encoder and decoder of one vocabulary file in the tokenizers library's JSON format."""
 
@@ -82,7 +58,7 @@ class ByteBpe:
         longest_first = sorted(self.added, key=len, reverse=True)
         self.split_added = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if added else None
         self.find = regex.compile(PATTERN).findall
-        self.words = _Words(self.merge_word)
+        self.words = Remembered(lambda word: self.merge_word(word.encode("utf-8")))
 
     def merge_word(self, word: bytes) -> tuple[int, ...]:
         """Ids of one pre-token."""

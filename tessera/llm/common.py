@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +14,32 @@ _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _S30, _S27, _S31 = np.uint64(30), np.uint64(27), np.uint64(31)
 
 
+#: Words whose values a Python worker remembers; beyond it the older half is forgotten.
+REMEMBERED_WORDS = 400_000
+#: Longer words are worked out anew each time.
+REMEMBERED_CHARS = 64
+
+
+class Remembered(dict):
+    """Word -> value, worked out on demand; two generations bound its size, not its results."""
+
+    def __init__(self, value_of: Callable):
+        super().__init__()
+        self.value_of, self.old = value_of, {}
+
+    def __missing__(self, word):
+        value = self.old.get(word)
+        if value is None:
+            value = self.value_of(word)
+            if len(word) > REMEMBERED_CHARS:
+                return value
+        if len(self) >= REMEMBERED_WORDS // 2:
+            self.old = dict(self)
+            self.clear()
+        self[word] = value
+        return value
+
+
 def text_or_empty(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id (as long) and the text, a null text as the empty one; other columns are left behind."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, mixing, secret_scan, topk
+from tessera.llm import bpe, mixing, secret_scan, spotsigs, topk
 from tessera.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def _query(name: str, sql: str | None = None):
     return add
 
 
+@_query("op3_spotsigs")
+def op3(spark, sf_dir):
+    return spotsigs.against_edited_and_next(table(spark, sf_dir, "documents"))
+
+
 @_query("op4_secret_scan", secret_scan.SCAN_SQL)
 def op4(spark, sf_dir):
     return secret_scan.scan(table(spark, sf_dir, "documents"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, minhash, mixing, quality, secret_scan, spotsigs, topk, toxicity
+from tessera.llm import bpe, minhash, mixing, quality, secret_scan, spotsigs, suffix_dedup, topk, toxicity
 from tessera.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def _query(name: str, sql: str | None = None):
     return add
 
 
+@_query("op1_suffix_dedup")
+def op1(spark, sf_dir):
+    return suffix_dedup.cut(table(spark, sf_dir, "documents"))
+
+
 @_query("op2_minhash")
 def op2(spark, sf_dir):
     return minhash.near(table(spark, sf_dir, "documents")).drop("text_key")

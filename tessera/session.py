@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -41,10 +40,10 @@ def get_spark(master: str | None = None, app_name: str = "tessera",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder the cluster names, setting one only if unset.
+    """Return the shared folder that ``spark.checkpoint.dir`` names.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is. Local runs and tests get a fresh scratch folder.
+    Only a session that runs on this machine alone gets a scratch folder if none is named;
+    on a cluster that would be a different disk for each executor, so it is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,7 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

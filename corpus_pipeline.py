@@ -4,13 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, mixing, secret_scan
+from tessera.llm import bpe, language, minhash, mixing, secret_scan
 from tessera.sources.tables import table
 
 #: SQL can state neither the learned language evidence nor BPE; tests hold the rows against brute force.
 ORACLE_SQL = None
 
 
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language stays open go."""
+    return language.keep_identified(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return minhash.keep_one(docs)
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Live credentials are masked; every document stays."""
     return secret_scan.redact(docs)
@@ -26,7 +36,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs)
 
 
-STAGES = [("secrets", secrets), ("mixing", mixture), ("bpe", tokens)]
+STAGES = [("languages", languages), ("near_duplicates", near_duplicates), ("secrets", secrets), ("mixing", mixture), ("bpe", tokens)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

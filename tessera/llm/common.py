@@ -8,6 +8,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import ensure_checkpoint_dir
+
 #: A word, for every operator that counts or hashes words.
 WORD = r"[^\x20\x09-\x0D]+"
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -59,16 +61,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` in the folder that spark.checkpoint.dir names.
-
-    The setting is read from the session; a folder must be set, by the cluster or by the caller.
-    """
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(folder)
+    """Cut the lineage of ``df`` in the folder that spark.checkpoint.dir names; see ensure_checkpoint_dir."""
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, minhash, mixing, quality, secret_scan, spotsigs, suffix_dedup, topk, toxicity
+from tessera.llm import bpe, language, minhash, mixing, quality, secret_scan, spotsigs, suffix_dedup, topk, toxicity
 from tessera.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,13 @@ def op6(spark, sf_dir):
     return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"))
 
 
+@_query("op7_language")
+def op7(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    items = language.from_documents(docs).unionByName(language.from_pages(table(spark, sf_dir, "pages")))
+    return language.identify(items, language.train_on(docs)).drop("text_key")
+
+
 @_query("op8_quality")
 def op8(spark, sf_dir):
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -54,7 +54,7 @@ def _list(spans, kinds: int):
     names = F.array(*[F.lit(k) for k in KINDS])
     kept = F.sort_array(F.filter(spans, lambda x: x["kind"] < kinds))
     return F.concat_ws(",", F.transform(kept, lambda x: F.concat_ws(
-        ":", F.element_at(names, x["kind"] + 1), x["start"].cast("string"), x["end"].cast("string"))))
+        ":", F.try_element_at(names, x["kind"] + 1), x["start"].cast("string"), x["end"].cast("string"))))
 
 
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id",
@@ -78,7 +78,7 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_
     hits = checkpointed(hits.withColumn("value_hash", F.md5("value")))  # the patterns run once over the texts
     here = Window.partitionBy("doc_id", "text_key", "kind").orderBy("i")
     end = F.sum("step").over(here)
-    least = F.element_at(F.array(*[F.lit(n) for _, _, n in _KINDS.values()]), F.col("kind") + 1)
+    least = F.try_element_at(F.array(*[F.lit(n) for _, _, n in _KINDS.values()]), F.col("kind") + 1)
     base = (hits.drop("repo", "owner").distinct().withColumn("end", end)
             .where(F.length("value") >= least)
             .select("doc_id", "text_key", "kind", (F.col("end") - F.col("length")).alias("start"), "end", "value",

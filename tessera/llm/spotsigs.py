@@ -196,7 +196,7 @@ def against_edited_and_next(docs: DataFrame, id_col: str = "doc_id", text_col: s
                        F.bitwise_not(F.coalesce("doc_id", F.lit(0))).alias("down"), row_key(F.col("text")).alias("text_key"),
                        F.coalesce(-F.col("doc_id").cast("double"), F.lit(float("inf"))).alias("place"))
     cuts = rows.where("no_id = 0").approxQuantile("place", [k / n for k in range(1, n)], 0.2 / n) if n > 1 else []
-    splits = [-float("inf"), *sorted({c for c in cuts}), float("inf")]
+    splits = [-float("inf"), *sorted({0.0} | {c for c in cuts if abs(c) < float("inf")}), float("inf")]
     rows = Bucketizer(splits=splits, inputCol="place", outputCol="stretch").transform(rows)
     order = ["no_id", "down", "text_key"]
     # one row for each stretch: as many as the shuffle has partitions

@@ -15,7 +15,8 @@ from tessera.functions.columns import c
 
 
 def anchored(pattern: str) -> str:
-    return f"^(?:{pattern})$"
+    """The whole value, a trailing newline included; a dot matches newlines too."""
+    return rf"\A(?s:{pattern})\z"
 
 
 def label_value(df: DataFrame, label: str, labels_col: str = "labels") -> Column:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import c
-from tessera.session import cut_lineage, spread
+from tessera.session import cut_lineage
 
 
 def fit_scaler(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -62,7 +63,7 @@ def tokenize(df: DataFrame, text_col: str = "text", max_length: int = 128,
              out: str = "tokens") -> DataFrame:
     """``[CLS] + first (max_length - 2) tokens + [SEP]`` per row; null text gives an empty body."""
     body = F.slice(words(text_col), 1, max_length - 2)
-    return spread(df).withColumn(out, F.concat(F.array(F.lit(CLS)), body, F.array(F.lit(SEP))))
+    return df.withColumn(out, F.concat(F.array(F.lit(CLS)), body, F.array(F.lit(SEP))))
 
 
 def build_vocab(df: DataFrame, text_col: str = "text", size: int = 30000) -> DataFrame:
@@ -75,7 +76,7 @@ def build_vocab(df: DataFrame, text_col: str = "text", size: int = 30000) -> Dat
     sqrt(2 x tokens) rows); only tokens at or above it are sorted. The
     counts are checkpointed once, so the texts are tokenised in one pass.
     """
-    counts = spread(df).select(F.explode(words(text_col)).alias("token")).groupBy("token") \
+    counts = df.select(F.explode(words(text_col)).alias("token")).groupBy("token") \
         .agg(F.count(F.lit(1)).alias("n"))
     # the threshold and the top-k both read the counts: tokenise the texts once and
     # keep the (distinct-token sized) counts in the shared checkpoint folder
@@ -91,37 +92,44 @@ def build_vocab(df: DataFrame, text_col: str = "text", size: int = 30000) -> Dat
     return top.select("token", (F.row_number().over(w) + len(SPECIAL_IDS) - 1).cast("int").alias("id"), "n")
 
 
-def encode(df: DataFrame, vocab: DataFrame, key: str, tokens_col: str = "tokens",
+#: Vocabulary rows up to which a task holds them as a lookup (a default vocabulary has 30,000).
+MAX_LOOKUP = 1_000_000
+
+
+def _lookup(vocab: DataFrame) -> dict[str, int]:
+    """Token ids on the driver; the vocabulary's size is checked first."""
+    n = vocab.count()
+    if n > MAX_LOOKUP:
+        raise ValueError(f"vocabulary of {n} tokens; encode holds at most {MAX_LOOKUP}")
+    return {r["token"]: r["id"] for r in vocab.select("token", "id").collect()} | SPECIAL_IDS
+
+
+def encode(df: DataFrame, vocab: DataFrame, tokens_col: str = "tokens",
            max_length: int = 128, pad: str = "max", batch_col: str | None = None) -> DataFrame:
     """Token ids, padded with 0, and the attention mask (1 real, 0 pad).
 
-    Tokens go through a broadcast join to the vocabulary (its size is the
-    ``size`` it was built with, a fixed bound); unknown tokens get the UNK id.
-    ``pad="longest"`` pads to the longest row of each ``batch_col`` group
-    instead of ``max_length``.
+    Each row is encoded by itself, so no key is needed and nothing is shuffled; the vocabulary,
+    whose size is checked, travels as a broadcast lookup. Unknown and null tokens get the UNK id, a
+    null token list is empty. ``pad="longest"`` pads to the longest row of each ``batch_col``
+    group (of the table without one) instead of ``max_length``.
     """
     from tessera.functions.arrays import mask_for, pad_right
-    specials = df.sparkSession.createDataFrame(list(SPECIAL_IDS.items()), "token string, id int")
-    lookup = F.broadcast(vocab.select("token", "id").unionByName(specials))
-    # the outer form keeps Catalyst from inferring ``size(tokens) > 0`` and pushing that
-    # (the whole tokenising regex) into the scan as a filter; empty rows are dropped here
-    toks = (df.select(c(key).alias("__key"), F.posexplode_outer(c(tokens_col)).alias("__pos", "token"))
-              .where(F.col("__pos").isNotNull()))
-    ids = (toks.join(lookup, "token", "left")
-               .groupBy("__key")
-               .agg(F.array_sort(F.collect_list(F.struct("__pos", F.coalesce("id", F.lit(SPECIAL_IDS[UNK])).alias("id"))))
-                    .alias("__pairs")))
-    ids = ids.select("__key", F.transform("__pairs", lambda p: p["id"]).alias("__ids"))
-    joined = df.join(ids, df[key] == ids["__key"], "left").drop("__key")
-    joined = joined.withColumn("__ids", F.coalesce("__ids", F.array().cast("array<int>")))
+    ids_of = df.sparkSession.sparkContext.broadcast(_lookup(vocab))
+
+    @F.pandas_udf("array<int>")
+    def ids(tokens: pd.Series) -> pd.Series:
+        get, unk = ids_of.value.get, SPECIAL_IDS[UNK]
+        return tokens.map(lambda row: [] if row is None else [get(t, unk) for t in row])
+
+    joined = df.withColumn("__ids", ids(c(tokens_col)))
     if pad == "max":
         length = F.lit(max_length)
     elif pad == "longest" and batch_col:
         length = F.max(F.size("__ids")).over(Window.partitionBy(c(batch_col)))
     elif pad == "longest":
         # one batch: the longest row is one number from a partial aggregate (no one-task window)
-        longest = joined.agg(F.max(F.size("__ids")).alias("m")).first()["m"] or 0
-        length = F.lit(int(longest))
+        longest = df.agg(F.max(F.size(c(tokens_col))).alias("m")).first()["m"] or 0
+        length = F.lit(max(int(longest), 0))
     else:
         raise ValueError(f"Unknown padding: {pad}")
     return (joined.withColumn("input_ids", pad_right(F.col("__ids"), length))

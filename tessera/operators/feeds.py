@@ -120,5 +120,5 @@ def scrape(df: DataFrame, keys: list[str], every: str | float = "15 seconds", ts
     us = micros(c(ts), df.schema[ts].dataType)
     at = F.expr(f"(__us - 1) div {every_us} + 1") * F.lit(every_us)
     d = df.select(*[c(k) for k in keys], us.alias("__us"), c(value).cast("double").alias("__v"))
-    g = d.groupBy(*[c(k) for k in keys], at.alias("__at")).agg(F.max_by("__v", "__us").alias(value))
+    g = d.groupBy(*[c(k) for k in keys], at.alias("__at")).agg(F.max(F.struct("__us", "__v"))["__v"].alias(value))
     return g.select(*[c(k) for k in keys], ntz_from_micros(F.col("__at")).alias(ts), value)

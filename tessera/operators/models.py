@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -36,8 +37,6 @@ GRID = {
     "colsample_bytree": [0.8, 1.0],
 }
 LEAF_GRID = dict(GRID, num_leaves=[31, 50, 70])
-REDUCED_GRID = {"n_estimators": [5], "max_depth": [2, 3], "learning_rate": [0.1],
-                "subsample": [1.0], "colsample_bytree": [1.0]}
 
 
 def _check_features(df: DataFrame, features: list[str]) -> None:
@@ -62,15 +61,15 @@ def build_model(kind: str, features: list[str], label: str = "label", seed: int
     return Pipeline(stages=[assembler, scaler, gbt])
 
 
-def param_grid(pipeline: Pipeline, kind: str, reduced: bool = False) -> list[dict]:
-    """Parameter maps for the family's grid (72 points, or 216 before de-duplication).
+def param_grid(pipeline: Pipeline, kind: str, grid: dict | None = None) -> list[dict]:
+    """Parameter maps of ``grid``, by default the family's (72 points, or 216 before de-duplication).
 
     Leaf counts have no MLlib parameter: they cap the depth at
     ``ceil(log2(num_leaves))`` and identical resulting points are dropped.
     Column subsampling is per tree in the originals and per split here.
     """
     gbt = pipeline.getStages()[-1]
-    grid = dict(REDUCED_GRID) if reduced else dict(LEAF_GRID if kind == "gbt_leaf" else GRID)
+    grid = dict(grid or (LEAF_GRID if kind == "gbt_leaf" else GRID))
     names = list(grid)
     seen, maps = set(), []
     for combo in itertools.product(*[grid[n] for n in names]):
@@ -138,11 +137,11 @@ REGISTRY_SCHEMA = ("name string, model_type string, path string, feature_names a
 
 def save_model(spark: SparkSession, model: PipelineModel, registry: str, feature_names: list[str],
                metrics: dict, model_type: str) -> str:
-    """Save under ``{registry}/{model_type}_{yyyyMMdd_HHmmss}`` and append a registry row."""
+    """Save under ``{registry}/{model_type}_{yyyyMMdd_HHmmss}_{random}`` and append a registry row."""
     stamp = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
-    name = f"{model_type}_{stamp}"
+    name = f"{model_type}_{stamp}_{uuid.uuid4().hex[:8]}"
     path = f"{registry.rstrip('/')}/{name}"
-    model.write().overwrite().save(path)
+    model.save(path)
     row = [(name, model_type, path, list(feature_names), {k: float(v) for k, v in metrics.items()}, stamp)]
     spark.createDataFrame(row, REGISTRY_SCHEMA).write.mode("append").parquet(f"{registry.rstrip('/')}/_registry")
     return path

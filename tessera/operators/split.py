@@ -6,8 +6,7 @@ so each row only needs to be compared with a few boundary rows. Boundaries
 are found without sorting the data:
 
 1. count rows per 3-hex-digit hash prefix (4,096 groups, partial aggregation);
-2. inside the one prefix bucket holding a boundary, count per 6-digit prefix
-   (skipped when that bucket holds at most ``DIRECT_RANK_MAX`` rows);
+2. inside the one prefix bucket holding a boundary, count per 6-digit prefix;
 3. rank only the rows of that bucket (about n / 16.7 million rows at scale).
 
 The split itself is then a per-row comparison, with no shuffle and no join.
@@ -29,8 +28,6 @@ from tessera.session import cut_lineage
 
 H = "__h"
 G = "__g"
-# Boundary buckets up to this many rows are ranked directly (one job fewer).
-DIRECT_RANK_MAX = 200_000
 
 
 def order_hash(key: str, seed: int = 42, epoch: int | None = None) -> Column:
@@ -71,10 +68,6 @@ def boundary_rows(df: DataFrame, key: str, counts: dict, targets: dict) -> dict:
     if not wanted:
         return {}
     level1 = {(g, r): _walk(counts[g], r) for g, r in wanted}
-    sizes = {(g, p): n for g, buckets in counts.items() for p, n in buckets}
-    if all(sizes[(g, p)] <= DIRECT_RANK_MAX for (g, _), (p, _) in level1.items()):
-        # boundary buckets are small: rank inside them, no second counting job
-        return _rank_in_buckets(df, key, level1, 3)
     need3 = sorted({(g, p) for (g, _), (p, _) in level1.items()})
     cond3 = F.lit(False)
     for g, p in need3:
@@ -146,13 +139,6 @@ def train_test_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int
     return hashed.withColumn(split_col, out).drop(H)
 
 
-def split_frames(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42):
-    """``(train, test)`` frames of :func:`train_test_split`."""
-    s = train_test_split(df, key, test_size, seed)
-    return (s.where(F.col("split") == "train").drop("split"),
-            s.where(F.col("split") == "test").drop("split"))
-
-
 def fold_allocation(class_counts: list[tuple[object, int]], k: int) -> dict:
     """Rows of each class per fold for an unshuffled stratified k-fold.
 
@@ -176,6 +162,8 @@ def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int
     sizes follow an unshuffled stratified k-fold over the sorted labels."""
     hashed = df.withColumn(H, order_hash(key, seed)).withColumn(G, c(label))
     counts = group_counts(hashed)
+    if None in counts:
+        raise ValueError(f"{sum(n for _, n in counts[None])} rows have no {label}; folds need a label on every row")
     totals = [(g, sum(cnt for _, cnt in b)) for g, b in counts.items()]
     if any(n < k for _, n in totals) and sum(n for _, n in totals) < k:
         raise ValueError(f"Cannot make {k} folds from {sum(n for _, n in totals)} rows")

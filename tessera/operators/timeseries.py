@@ -77,13 +77,13 @@ def _intervals(df: DataFrame, keys: list[str], step_s: float, ts: str, value: st
     sk = F.struct(*[c(k) for k in keys]) if keys else F.lit(0)
     s = _with_interval(df.select(sk.alias("__sk"), c(ts), c(value).cast("double").alias("__v")), ts, step_us)
     s = s.where(F.col("__us").isNotNull() & F.col("__v").isNotNull())
-    w_in = Window.partitionBy("__sk", "__k").orderBy("__us")
+    w_in = Window.partitionBy("__sk", "__k").orderBy("__us", "__v")  # equal times by value
     s = s.withColumn("__step", reset_step(F.col("__v"), F.lag("__v").over(w_in)) if counter
                      else F.lit(0.0))
     iv = s.groupBy("__sk", "__k").agg(
         F.count(F.lit(1)).alias("__n"),
-        F.min("__us").alias("__first_us"), F.min_by("__v", "__us").alias("__first_v"),
-        F.max("__us").alias("__last_us"), F.max_by("__v", "__us").alias("__last_v"),
+        F.min("__us").alias("__first_us"), F.min(F.struct("__us", "__v"))["__v"].alias("__first_v"),
+        F.max("__us").alias("__last_us"), F.max(F.struct("__us", "__v"))["__v"].alias("__last_v"),
         F.coalesce(F.sum("__step"), F.lit(0.0)).alias("__inner"))
     # non-null chunk number: no null filter is inferred from the join, so both join
     # branches keep the same plan and share the sample shuffle
@@ -264,7 +264,7 @@ def last_not_null(df: DataFrame, keys: list[str], ts: str = "t", value: str = "v
     """Newest non-null value per series (a gauge panel's reduction)."""
     return (df.where(c(value).isNotNull() & ~F.isnan(c(value)))
               .groupBy(*[c(k) for k in keys])
-              .agg(F.max_by(c(value), c(ts)).alias(value), F.max(c(ts)).alias(ts)))
+              .agg(F.max(F.struct(c(ts).alias("t"), c(value).alias("v")))["v"].alias(value), F.max(c(ts)).alias(ts)))
 
 
 def histogram_quantile(df: DataFrame, q: float, by: list[str], le: str = "le",
@@ -280,8 +280,10 @@ def histogram_quantile(df: DataFrame, q: float, by: list[str], le: str = "le",
     """
     bound = F.when(F.lower(c(le)).isin("+inf", "inf"), F.lit(float("inf"))).otherwise(c(le).cast("double"))
     group = [c(time_col)] + [c(b) for b in by]
-    g = df.groupBy(*group).agg(F.array_sort(F.collect_list(
-        F.struct(bound.alias("ub"), c(value).cast("double").alias("cnt")))).alias("__b"))
+    # bounds that are equal as numbers ("1", "1.0") are one bucket
+    merged = df.withColumn("__ub", bound).groupBy(*group, "__ub").agg(F.sum(c(value).cast("double")).alias("__cnt"))
+    g = merged.groupBy(*group).agg(F.array_sort(F.collect_list(
+        F.struct(F.col("__ub").alias("ub"), F.col("__cnt").alias("cnt")))).alias("__b"))
     mono = F.expr("transform(__b, (x, i) -> named_struct('ub', x.ub, 'cnt', "
                   "array_max(transform(slice(__b, 1, i + 1), y -> y.cnt))))")
     g = g.withColumn("__b", mono)
@@ -294,8 +296,9 @@ def histogram_quantile(df: DataFrame, q: float, by: list[str], le: str = "le",
     prev = F.element_at("__b", F.greatest(idx - 1, F.lit(1)).cast("int"))
     start = F.when(idx > 1, prev["ub"]).otherwise(F.lit(0.0))
     below = F.when(idx > 1, prev["cnt"]).otherwise(F.lit(0.0))
-    inside = start + (cur["ub"] - start) * ((rank - below) / (cur["cnt"] - below))
     nan = F.lit(float("nan"))
+    # an empty first bucket holds rank 0: nothing to interpolate in
+    inside = start + (cur["ub"] - start) * F.coalesce(F.try_divide(rank - below, cur["cnt"] - below), nan)
     result = (F.when(F.lit(q) < 0, F.lit(float("-inf")))
                .when(F.lit(q) > 1, F.lit(float("inf")))
                .when((nb < 2) | (last["ub"] != float("inf")) | total.isNull() | (total == 0), nan)

@@ -70,19 +70,19 @@ def q_batches(spark, sf_dir):
     return assign_batches(ev, "event_id", BATCH, epoch=1, seed=SEED)
 
 
-@register("epoch_loss", f"""with e as (select vec_id, label % 2 as y, cast(embedding[1] as double) as a,
-       cast(embedding[2] as double) as b from embeddings),
-p as (select vec_id, y, exp(a - greatest(a, b)) as ea, exp(b - greatest(a, b)) as eb from e),
-l as (select vec_id, -ln(case when y = 0 then ea / (ea + eb) else eb / (ea + eb) end) as loss,
+@register("epoch_loss", f"""with e as (select vec_id, label, list_transform(embedding, lambda x: cast(x as double)) as l
+       from embeddings),
+p as (select vec_id, label, l, list_max(l) as m from e),
+l as (select vec_id, ln(list_sum(list_transform(l, lambda x: exp(x - m)))) - (l[label + 1] - m) as loss,
        cast(floor((row_number() over (order by md5('{SEED}:0:' || cast(vec_id as varchar)), vec_id) - 1)
        / {BATCH}) as bigint) as batch from p),
 bl as (select batch, avg(loss) as bl from l group by batch)
 select round(avg(bl), 9) as epoch_loss, count(*) as n_batches from bl""")
 def q_epoch_loss(spark, sf_dir):
     emb = table(spark, sf_dir, "embeddings")
-    logits = F.transform(F.slice("embedding", 1, 2), lambda x: x.cast("double"))
-    scored = emb.select("vec_id", (F.col("label") % 2).alias("y"), softmax(logits).alias("p"))
-    scored = scored.withColumn("loss", -F.log(F.element_at("p", (F.col("y") + 1).cast("int"))))
+    logits = F.transform("embedding", lambda x: x.cast("double"))
+    scored = emb.select("vec_id", "label", softmax(logits).alias("p"))
+    scored = scored.withColumn("loss", -F.log(F.element_at("p", (F.col("label") + 1).cast("int"))))
     batched = assign_batches(scored.select("vec_id", "loss"), "vec_id", BATCH, epoch=0, seed=SEED)
     return rounded(epoch_loss(batched), 9)
 

@@ -13,8 +13,8 @@ from tessera.sources.logs import format_log_line, parse_service_log
 from tessera.sources.requests import parse_tabular_requests, parse_text_requests
 from tessera.sources.tables import table
 
-# Fixed parameters: sequence length, vocabulary size, batch size, logits width.
-MAX_LEN, VOCAB, BATCH, N_LOGITS = 128, 1000, 16, 10
+# Fixed parameters: sequence length, vocabulary size (the operator's default), batch size.
+MAX_LEN, VOCAB, BATCH = 128, 30000, 16
 
 _TOK = "regexp_extract_all(lower(coalesce(text, '')), '" + TOKEN_PATTERN.replace("'", "''") + "')"
 _BODY = f"['[CLS]'] || w[1:{MAX_LEN - 2}] || ['[SEP]']"
@@ -55,7 +55,7 @@ from ids""")
 def q_encode(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     vocab = build_vocab(docs, "text", VOCAB)
-    enc = encode(tokenize(docs.select("doc_id", "text"), "text", MAX_LEN), vocab, "doc_id",
+    enc = encode(tokenize(docs.select("doc_id", "text"), "text", MAX_LEN), vocab,
                  max_length=MAX_LEN)
     return enc.select("doc_id", F.array_join("input_ids", " ").alias("input_ids"),
                       F.array_join("attention_mask", " ").alias("attention_mask"))
@@ -71,21 +71,21 @@ def q_encode_longest(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     vocab = build_vocab(docs, "text", VOCAB)
     batched = assign_batches(docs.select("doc_id", "text"), "doc_id", BATCH, shuffle=False)
-    enc = encode(tokenize(batched, "text", MAX_LEN), vocab, "doc_id", max_length=MAX_LEN,
+    enc = encode(tokenize(batched, "text", MAX_LEN), vocab, max_length=MAX_LEN,
                  pad="longest", batch_col="batch")
     return enc.select("doc_id", "batch", F.size("input_ids").alias("padded_len"),
                       F.array_join("input_ids", " ").alias("input_ids"))
 
 
-@register("softmax_predictions", f"""with e as (select vec_id,
-       list_transform(embedding[1:{N_LOGITS}], lambda x: cast(x as double)) as l from embeddings),
+@register("softmax_predictions", """with e as (select vec_id,
+       list_transform(embedding, lambda x: cast(x as double)) as l from embeddings),
 x as (select vec_id, list_transform(l, lambda v: exp(v - list_max(l))) as ex from e),
 p as (select vec_id, list_transform(ex, lambda v: v / list_sum(ex)) as p from x)
 select vec_id, cast(list_position(p, list_max(p)) - 1 as integer) as prediction,
        round(list_max(p), 9) as confidence, round(list_sum(p), 9) as p_sum from p""")
 def q_softmax_predictions(spark, sf_dir):
     emb = table(spark, sf_dir, "embeddings")
-    logits = F.transform(F.slice("embedding", 1, N_LOGITS), lambda x: x.cast("double"))
+    logits = F.transform("embedding", lambda x: x.cast("double"))
     p = emb.select("vec_id", softmax(logits).alias("p"))
     out = p.select("vec_id", argmax(F.col("p")).alias("prediction"), confidence(F.col("p")).alias("confidence"),
                    F.aggregate("p", F.lit(0.0), lambda a, x: a + x).alias("p_sum"))

@@ -25,7 +25,7 @@ def text_label(df: DataFrame, text_col: str, label_col: str) -> DataFrame:
 
 
 def train_tabular(df: DataFrame, key: str, target: str, features: list[str] | None = None,
-                  kind: str = "gbt", reduced: bool = False, folds: int = 5, test_size: float = 0.2,
+                  kind: str = "gbt", grid: dict | None = None, folds: int = 5, test_size: float = 0.2,
                   seed: int = 42, parallelism: int = 4):
     """Fit on the training part with CV; returns ``(model, features, test_scores, cv_model)``."""
     data = df.withColumn("label", c(target).cast("int"))
@@ -36,7 +36,7 @@ def train_tabular(df: DataFrame, key: str, target: str, features: list[str] | No
     test = s.where(F.col("split") == "test").drop("split")
     train = stratified_folds(train, "label", key, folds, seed).cache()
     pipe = build_model(kind, feats, "label", seed)
-    cv_model = grid_search(train, pipe, param_grid(pipe, kind, reduced), "label", "fold", parallelism, seed,
+    cv_model = grid_search(train, pipe, param_grid(pipe, kind, grid), "label", "fold", parallelism, seed,
                            folds)
     model = cv_model.bestModel
     scored = score(model, test, keep=[key, "label"])
@@ -45,11 +45,11 @@ def train_tabular(df: DataFrame, key: str, target: str, features: list[str] | No
 
 
 def train_pipeline(spark: SparkSession, path: str, key: str, target: str, registry: str,
-                   features: list[str] | None = None, kind: str = "gbt", reduced: bool = False,
+                   features: list[str] | None = None, kind: str = "gbt", grid: dict | None = None,
                    format: str | None = None):
     """Read the training file, train, evaluate on the test part, save; returns ``(path, metrics)``."""
     df = read_training(spark, path, format)
-    model, feats, scored, _ = train_tabular(df, key, target, features, kind, reduced)
+    model, feats, scored, _ = train_tabular(df, key, target, features, kind, grid)
     metrics = metrics_dict(scored, "label", "prediction")
     return save_model(spark, model, registry, feats, metrics, kind), metrics
 

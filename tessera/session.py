@@ -63,18 +63,3 @@ def cut_lineage(df):
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
-
-def spread(df):
-    """Round-robin a frame whose scan yields fewer splits than the cluster has cores.
-
-    CPU-heavy per-row work (regex tokenising, JSON parsing) would otherwise
-    run on a handful of tasks when the input is a few large files. On a big
-    input with many splits this is a no-op, so no shuffle is added there.
-    """
-    if df.isStreaming:
-        return df
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import c
-from tessera.session import spread
 
 
 def parse_tabular_requests(df: DataFrame, json_col: str, schema: str, required: list[str],
@@ -23,7 +22,7 @@ def parse_tabular_requests(df: DataFrame, json_col: str, schema: str, required:
     as_list = F.when(text.startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text)
     raw = F.from_json(as_list, "array<string>")
     req = F.array(*[F.lit(r) for r in required])
-    d = spread(df).select(c(id_col).alias(id_col), raw.alias("__raw"),
+    d = df.select(c(id_col).alias(id_col), raw.alias("__raw"),
                   F.from_json(as_list, f"array<struct<{schema}>>").alias("__rec"))
     keys = F.array_distinct(F.flatten(F.transform("__raw", lambda e: F.coalesce(
         F.json_object_keys(e), F.array().cast("array<string>")))))
@@ -54,7 +53,7 @@ def parse_text_requests(df: DataFrame, json_col: str, id_col: str = "request_id"
     keys = F.json_object_keys(j)
     has_text = F.coalesce(F.array_contains(keys, "text"), F.lit(False))
     text = F.get_json_object(j, "$.text")
-    return spread(df).select(
+    return df.select(
         c(id_col).alias(id_col),
         F.when(has_text, text).alias("text"),
         F.when(has_text, F.lit("ok")).otherwise(F.lit("rejected")).alias("status"),

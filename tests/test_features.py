@@ -19,15 +19,22 @@ def test_encode_pads_and_masks(spark):
     df = spark.createDataFrame([(0, "b a b b"), (1, "a z"), (2, "")], "id int, text string")
     vocab = build_vocab(df, "text", 2)
     assert [(r["token"], r["id"]) for r in vocab.orderBy("id").collect()] == [("b", 4), ("a", 5)]
-    enc = {r["id"]: r for r in encode(tokenize(df, "text", 8), vocab, "id", max_length=8).collect()}
+    enc = {r["id"]: r for r in encode(tokenize(df, "text", 8), vocab, max_length=8).collect()}
     assert enc[0]["input_ids"] == [2, 4, 5, 4, 4, 3, 0, 0]
     assert enc[0]["attention_mask"] == [1, 1, 1, 1, 1, 1, 0, 0]
     assert enc[1]["input_ids"][:4] == [2, 5, 1, 3]  # z is unknown
     assert enc[2]["input_ids"] == [2, 3, 0, 0, 0, 0, 0, 0]
-    longest = encode(tokenize(df, "text", 8), vocab, "id", pad="longest").collect()
+    longest = encode(tokenize(df, "text", 8), vocab, pad="longest").collect()
     assert {len(r["input_ids"]) for r in longest} == {6}
 
 
+def test_encode_needs_no_key(spark):
+    df = spark.createDataFrame([(1, "a b"), (1, "c d"), (None, "a"), (None, None)], "id int, text string")
+    enc = encode(tokenize(df, "text", 8), build_vocab(df, "text", 9), max_length=5).collect()
+    # by count, then by token: a, b, c, d
+    assert sorted(tuple(r["input_ids"]) for r in enc) == [(2, 3, 0, 0, 0), (2, 4, 3, 0, 0), (2, 4, 5, 3, 0), (2, 6, 7, 3, 0)]
+
+
 def test_softmax_argmax_confidence(spark):
     df = spark.createDataFrame([([1.0, 3.0, 3.0],), ([1000.0, 0.0],)], "l array<double>")
     rows = df.select(softmax(F.col("l")).alias("p")).select(

@@ -43,7 +43,7 @@ def test_model_fits_saves_reloads_and_scores(spark, tmp_path):
     assert acc > 0.95  # majority class is 4/7
     path = save_model(spark, model, str(tmp_path / "reg"), ["a", "b"], {"accuracy": acc}, "gbt")
     m2, feats, metrics = load_model(spark, str(tmp_path / "reg"))
-    assert feats == ["a", "b"] and metrics["accuracy"] == acc and path.endswith(tuple("0123456789"))
+    assert feats == ["a", "b"] and metrics["accuracy"] == acc and "gbt_" in path
     again = score(m2, df, keep=["label"])
     assert again.select("prediction").collect() == scored.select("prediction").collect()
     req = spark.createDataFrame([(1, '{"a": 6, "b": 1}'), (2, '{"a": 1}')], "request_id long, body string")

@@ -60,15 +60,17 @@ def test_approximate_split_needs_no_counting(spark):
     assert 300 < n_test < 500 and s.count() == 2000
 
 
-def test_three_level_boundary_search_matches_direct(spark, monkeypatch):
-    import tessera.operators.split as sp
+def test_boundary_search_equals_a_full_sort(spark):
+    import hashlib
 
     df = spark.range(3001).repartition(3).withColumnRenamed("id", "key")
-    direct = {r["key"]: r["split"] for r in sp.train_test_split(df, "key", 0.2).collect()}
-    monkeypatch.setattr(sp, "DIRECT_RANK_MAX", 0)
-    staged = {r["key"]: r["split"] for r in sp.train_test_split(df, "key", 0.2).collect()}
-    assert staged == direct and sum(v == "test" for v in staged.values()) == math.ceil(0.2 * 3001)
-    y = df.withColumn("y", (F.col("key") % 4 == 0).cast("int"))
-    folds = {r["key"]: r["fold"] for r in sp.stratified_folds(y, "y", "key", 5).collect()}
-    monkeypatch.setattr(sp, "DIRECT_RANK_MAX", 10 ** 9)
-    assert folds == {r["key"]: r["fold"] for r in sp.stratified_folds(y, "y", "key", 5).collect()}
+    split = {r["key"]: r["split"] for r in train_test_split(df, "key", 0.2).collect()}
+    order = sorted(split, key=lambda k: (hashlib.md5(f"42:{k}".encode()).hexdigest(), k))
+    cut = math.ceil(0.2 * 3001)
+    assert {k for k, v in split.items() if v == "test"} == set(order[:cut])
+
+
+def test_folds_reject_rows_without_label(spark):
+    df = spark.createDataFrame([(k, k % 2 if k else None) for k in range(20)], "key long, y int")
+    with pytest.raises(ValueError, match="no y"):
+        stratified_folds(df, "y", "key", 5)

@@ -10,9 +10,8 @@ are found without sorting the data:
 3. rank only the rows of that bucket (about n / 16.7 million rows at scale).
 
 The split itself is then a per-row comparison, with no shuffle and no join.
-Mini-batches need every row's rank: the data is range-partitioned and sorted
-once, frozen with a checkpoint, and ranks are the per-partition position plus
-the partition's offset (one row per partition, broadcast).
+Mini-batches need every row's rank: rows are counted by hash prefix (or stretch
+of the key), and a rank is the position within the prefix plus the rows before it.
 """
 
 from __future__ import annotations
@@ -20,11 +19,11 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import c
-from tessera.session import cut_lineage
 
 H = "__h"
 G = "__g"
@@ -95,8 +94,15 @@ def _rank_in_buckets(df: DataFrame, key: str, located: dict, width: int) -> dict
     pick = F.lit(False)
     for (g, r), (p, rr) in located.items():
         pick = pick | ((F.col(G) == F.lit(g)) & (F.col("__p") == F.lit(p)) & (F.col("__rn") == rr))
-    found = {(row[G], row["__p"], row["__rn"]): (row[H], row["__k"]) for row in ranked.where(pick).collect()}
-    return {(g, r): found[(g, located[(g, r)][0], located[(g, r)][1])] for (g, r) in located}
+    ties = Window.partitionBy(G, H, "__k")
+    ranked = ranked.withColumn("__after", F.max("__rn").over(ties) - F.col("__rn"))
+    found = {(row[G], row["__p"], row["__rn"]): (row[H], row["__k"], row["__after"])
+             for row in ranked.where(pick).collect()}
+    out = {(g, r): found[(g, located[(g, r)][0], located[(g, r)][1])] for (g, r) in located}
+    for (_, _), (_, k, after) in out.items():
+        if after:
+            raise ValueError(f"{after} more rows share the boundary key {k}; name columns that tell rows apart")
+    return {at: (h, k) for at, (h, k, _) in out.items()}
 
 
 def _after(key: str, bound: tuple) -> Column:
@@ -193,25 +199,19 @@ def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int
     return hashed.withColumn(fold_col, fold.cast("int")).drop(H, G)
 
 
-def global_rank(df: DataFrame, order: list[Column], partitions: int | None = None,
-                rank_col: str = "rank") -> DataFrame:
-    """1-based position of every row in ``order`` (which must be a total order).
+def rank_in_groups(df: DataFrame, group: Column, order: list[Column], rank_col: str = "rank") -> DataFrame:
+    """1-based position of every row, for groups that follow each other in the wanted order.
 
-    Range-partitions and sorts once, freezes the result in the checkpoint
-    folder, then adds each partition's offset (one row per partition).
+    ``group`` is a column of few values (it is counted first: one row for each value, whose running
+    total is the group's offset); ``order`` is total within a group. The rows are shuffled once.
     """
-    spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    s = s.withColumns({"__pid": F.spark_partition_id(), "__mid": F.monotonically_increasing_id()})
-    s = cut_lineage(s)
-    per = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"), F.min("__mid").alias("__first"))
-    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.select("__pid", "__first", F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"))
-    # one row per partition: bounded by the partition count, safe to broadcast
-    out = s.join(F.broadcast(per), "__pid")
-    return out.withColumn(rank_col, F.col("__off") + (F.col("__mid") - F.col("__first")) + 1) \
-              .drop("__pid", "__mid", "__first", "__off")
+    d = df.withColumn(G, group)
+    before = Window.orderBy(G).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = d.groupBy(G).agg(F.count(F.lit(1)).alias("__n")).select(
+        G, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    inside = F.row_number().over(Window.partitionBy(G).orderBy(*order))
+    return (d.withColumn(rank_col, inside).join(F.broadcast(offsets), G)
+             .withColumn(rank_col, F.col(rank_col) + F.col("__off")).drop(G, "__off"))
 
 
 def assign_batches(df: DataFrame, key: str, batch_size: int = 16, epoch: int = 0, seed: int = 42,
@@ -219,17 +219,21 @@ def assign_batches(df: DataFrame, key: str, batch_size: int = 16, epoch: int = 0
     """Mini-batch number per row: ``floor((rank - 1) / batch_size)``.
 
     Shuffled batches order rows by ``md5("seed:epoch:key")`` (a new order each
-    epoch); unshuffled ones keep key order. The last batch may be partial.
+    epoch); unshuffled ones keep the order of a numeric, non-null key. The last batch may be partial.
     """
     if shuffle:
         d = df.withColumn(H, order_hash(key, seed, epoch))
-        order = [F.col(H), c(key)]
+        # 65,536 prefixes of the hash, whatever the input
+        r = rank_in_groups(d, F.substring(H, 1, 4), [F.col(H), c(key)], "__rank").drop(H)
     else:
-        d = df
-        order = [c(key)]
-    r = global_rank(d, order, rank_col="__rank")
-    out = r.withColumn(batch_col, F.floor((F.col("__rank") - 1) / batch_size).cast("long"))
-    return out.drop("__rank", *( [H] if shuffle else []))
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        place = c(key).cast("double")
+        cuts = df.select(place.alias("__x")).where("__x is not null").approxQuantile(
+            "__x", [k / n for k in range(1, n)], 0.2 / n) if n > 1 else []
+        splits = [-float("inf"), *sorted({0.0, *cuts}), float("inf")]
+        d = Bucketizer(splits=splits, inputCol="__x", outputCol="__stretch").transform(df.withColumn("__x", place))
+        r = rank_in_groups(d, F.col("__stretch"), [c(key)], "__rank").drop("__x", "__stretch")
+    return r.withColumn(batch_col, F.floor((F.col("__rank") - 1) / batch_size).cast("long")).drop("__rank")
 
 
 def epoch_loss(df: DataFrame, loss: str = "loss", batch: str = "batch") -> DataFrame:

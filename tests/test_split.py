@@ -74,3 +74,10 @@ def test_folds_reject_rows_without_label(spark):
     df = spark.createDataFrame([(k, k % 2 if k else None) for k in range(20)], "key long, y int")
     with pytest.raises(ValueError, match="no y"):
         stratified_folds(df, "y", "key", 5)
+
+
+def test_split_of_repeated_keys_is_exact_or_refused(spark):
+    df = spark.createDataFrame([(k // 10,) for k in range(100)], "key long")
+    with pytest.raises(ValueError, match="share the boundary key"):
+        train_test_split(df, "key", 0.25).count()
+    assert train_test_split(df, "key", 0.2).where("split = 'test'").count() == 20

@@ -13,20 +13,23 @@ from tessera.functions.labels import match, series_name
 from tessera.operators.timeseries import (histogram_quantile, increase, last_not_null, latest, rate,
                                           sum_by, threshold_band)
 
-# Fixed values from the dashboard: gauge colours, its red line and quantiles.
+# Fixed values from the dashboard: label matchers (also applied to a feed's log, before its running
+# totals), gauge colours, its red line and quantiles.
+OK, FAILED = ("status", "=", "200"), ("status", "!=", "200")
+PREDICT, ML_PODS = ("path", "=~", "/predict.*"), ("pod", "=~", "ml-api.*")
 GAUGE_STEPS = [(None, "green"), (80.0, "red")]
 P95, P50 = 0.95, 0.50
 
 
 def request_rate(counter: DataFrame, range="1 minute", step="15 seconds") -> DataFrame:
     """Successful requests per second by path (``status="200"``)."""
-    r = rate(match(counter, ("status", "=", "200")), ["path", "status"], range, step)
+    r = rate(match(counter, OK), ["path", "status"], range, step)
     return r.withColumn("series", series_name(r, "{{path}}"))
 
 
 def error_rate(counter: DataFrame, range="1 minute", step="15 seconds") -> DataFrame:
     """Non-200 requests per second by status and path."""
-    r = rate(match(counter, ("status", "!=", "200")), ["path", "status"], range, step)
+    r = rate(match(counter, FAILED), ["path", "status"], range, step)
     return r.withColumn("series", series_name(r, "{{status}} - {{path}}"))
 
 
@@ -40,7 +43,7 @@ def latency_quantile(buckets: DataFrame, q: float, range="1 minute", step="15 se
 
 def prediction_rate(counter: DataFrame, range="5 minutes", step="15 seconds") -> DataFrame:
     """Total successful ``/predict...`` requests per second."""
-    sel = match(counter, ("status", "=", "200"), ("path", "=~", "/predict.*"))
+    sel = match(counter, OK, PREDICT)
     return sum_by(rate(sel, ["path", "status"], range, step), [])
 
 
@@ -52,7 +55,7 @@ def prediction_rate_gauge(counter: DataFrame, range="5 minutes", step="15 second
 
 def pod_cpu(cpu_counter: DataFrame, range="1 minute", step="15 seconds") -> DataFrame:
     """CPU percent by pod: summed 1 min rate of CPU seconds x 100, pods ``ml-api.*``."""
-    r = sum_by(rate(match(cpu_counter, ("pod", "=~", "ml-api.*")), ["pod"], range, step), ["pod"])
+    r = sum_by(rate(match(cpu_counter, ML_PODS), ["pod"], range, step), ["pod"])
     return r.withColumn("value", F.col("value") * 100).withColumn("series", series_name(r, "{{pod}}"))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.labels import match
 from tessera.sources.tables import table
 
 
@@ -63,10 +64,23 @@ LATENCY_BOUNDS = [0.1, 0.25, 0.5, 1.0, 2.5, 5.0]
 RESET_EVERY = "1 day"
 
 
-def request_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Served-request counter per (path, status), restarted daily."""
+def selected_log(spark: SparkSession, sf_dir: str, *matchers, since=None, until=None) -> DataFrame:
+    """The request log of some series and days, cut before any running total is made.
+
+    Matchers select whole series, and totals restart each day, so samples after ``since`` need
+    requests from the start of its day on; ``until`` needs none after it.
+    """
+    log = match(request_log(spark, sf_dir), *matchers)
+    if since is not None:
+        log = log.where(F.col("ts") >= F.lit(since.replace(hour=0, minute=0, second=0, microsecond=0)).cast("timestamp_ntz"))
+    return log if until is None else log.where(F.col("ts") <= F.lit(until).cast("timestamp_ntz"))
+
+
+def request_counter(spark: SparkSession, sf_dir: str, *matchers, since=None, until=None) -> DataFrame:
+    """Served-request counter per (path, status), restarted daily; see :func:`selected_log`."""
     from tessera.operators.feeds import to_counters
-    return to_counters(request_log(spark, sf_dir), ["path", "status"], reset_every=RESET_EVERY)
+    log = selected_log(spark, sf_dir, *matchers, since=since, until=until)
+    return to_counters(log, ["path", "status"], reset_every=RESET_EVERY)
 
 
 def scraped_request_counter(spark: SparkSession, sf_dir: str, every: str = "1 minute") -> DataFrame:
@@ -82,10 +96,10 @@ def latency_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_buckets(request_log(spark, sf_dir), ["path"], LATENCY_BOUNDS, reset_every=RESET_EVERY)
 
 
-def cpu_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cpu_counter(spark: SparkSession, sf_dir: str, *matchers) -> DataFrame:
     """CPU seconds per pod: running sum of request durations, restarted daily."""
     from tessera.operators.feeds import to_counters
-    return to_counters(request_log(spark, sf_dir), ["pod"], weight="duration", reset_every=RESET_EVERY)
+    return to_counters(selected_log(spark, sf_dir, *matchers), ["pod"], weight="duration", reset_every=RESET_EVERY)
 
 
 def memory_gauge(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -135,8 +135,7 @@ def q_class_counter(spark, sf_dir):
     f"select path, status, count(*) as n from ({REQUEST_COUNTER_SQL}) "
     f"where status = '200' and regexp_full_match(path, '/predict/(click|view)') group by path, status"))
 def q_label_match(spark, sf_dir):
-    sel = match(request_counter(spark, sf_dir), ("status", "=", "200"),
-                ("path", "=~", "/predict/(click|view)"))
+    sel = request_counter(spark, sf_dir, ("status", "=", "200"), ("path", "=~", "/predict/(click|view)"))
     return sel.groupBy("path", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -144,7 +143,7 @@ def q_label_match(spark, sf_dir):
     f"select status, count(*) as n from ({REQUEST_COUNTER_SQL}) "
     f"where status <> '200' and not regexp_full_match(path, 'predict.*') group by status"))
 def q_label_not_match(spark, sf_dir):
-    sel = match(request_counter(spark, sf_dir), ("status", "!=", "200"), ("path", "!~", "predict.*"))
+    sel = request_counter(spark, sf_dir, ("status", "!=", "200"), ("path", "!~", "predict.*"))
     return sel.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -157,7 +156,8 @@ def q_time_range_filter(spark, sf_dir):
 
     from tessera.functions.labels import time_range
     end = datetime(2024, 1, 15)
-    sel = time_range(request_counter(spark, sf_dir), end - timedelta(hours=1), end)
+    start = end - timedelta(hours=1)
+    sel = time_range(request_counter(spark, sf_dir, since=start, until=end), start, end)
     return sel.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("max_value"))
 
 
@@ -239,7 +239,7 @@ def q_increase_24h(spark, sf_dir):
     f"select path, status, {_t()}, {_r(extrapolated_sql(RANGE_S, True))} as value, path as series "
     f"from summ where n >= 2 and status = '200'"))
 def q_panel_request_rate(spark, sf_dir):
-    return rounded(dash.request_rate(request_counter(spark, sf_dir), RANGE_S, STEP_S), DIGITS)
+    return rounded(dash.request_rate(request_counter(spark, sf_dir, dash.OK), RANGE_S, STEP_S), DIGITS)
 
 
 @register("panel_error_rate", (
@@ -247,7 +247,7 @@ def q_panel_request_rate(spark, sf_dir):
     f"select path, status, {_t()}, {_r(extrapolated_sql(RANGE_S, True))} as value, "
     f"status || ' - ' || path as series from summ where n >= 2 and status <> '200'"))
 def q_panel_error_rate(spark, sf_dir):
-    return rounded(dash.error_rate(request_counter(spark, sf_dir), RANGE_S, STEP_S), DIGITS)
+    return rounded(dash.error_rate(request_counter(spark, sf_dir, dash.FAILED), RANGE_S, STEP_S), DIGITS)
 
 
 def _quantile_sql(q: float, legend: str) -> str:
@@ -296,7 +296,7 @@ _PRED_RATE_SQL = (
 
 @register("panel_prediction_rate", _PRED_RATE_SQL + f"select {_t()}, {_r('value')} as value from pr")
 def q_panel_prediction_rate(spark, sf_dir):
-    return rounded(dash.prediction_rate(request_counter(spark, sf_dir), RANGE_S, STEP_S), DIGITS)
+    return rounded(dash.prediction_rate(request_counter(spark, sf_dir, dash.OK, dash.PREDICT), RANGE_S, STEP_S), DIGITS)
 
 
 @register("panel_prediction_gauge", _PRED_RATE_SQL + (
@@ -304,7 +304,7 @@ def q_panel_prediction_rate(spark, sf_dir):
     f"case when arg_max(value, t_us) >= 80 then 'red' else 'green' end as colour "
     f"from pr where value is not null and not isnan(value)"))
 def q_panel_prediction_gauge(spark, sf_dir):
-    return rounded(dash.prediction_rate_gauge(request_counter(spark, sf_dir), RANGE_S, STEP_S), DIGITS)
+    return rounded(dash.prediction_rate_gauge(request_counter(spark, sf_dir, dash.OK, dash.PREDICT), RANGE_S, STEP_S), DIGITS)
 
 
 @register("panel_pod_cpu", (
@@ -312,7 +312,7 @@ def q_panel_prediction_gauge(spark, sf_dir):
     f"select {_t()}, pod, {_r(f'sum({extrapolated_sql(RANGE_S, True)}) * 100')} as value, pod as series "
     f"from summ where n >= 2 and regexp_full_match(pod, 'ml-api.*') group by t_us, pod"))
 def q_panel_pod_cpu(spark, sf_dir):
-    return rounded(dash.pod_cpu(cpu_counter(spark, sf_dir), RANGE_S, STEP_S), DIGITS)
+    return rounded(dash.pod_cpu(cpu_counter(spark, sf_dir, dash.ML_PODS), RANGE_S, STEP_S), DIGITS)
 
 
 @register("panel_pod_memory", (

@@ -8,7 +8,8 @@ a band and whose bitmaps are close enough are confirmed on the full sets.
 
 Pairs within a band's bucket are not listed. First each class meets one pivot of its bucket.
 Components of those links are found; then only buckets that still hold several components are
-searched, in blocks of bounded size, for pairs that cross components.
+searched, in tiles of bounded size, for links that cross components. A tile hands on the rows
+whose sketches look alike, gets their full sets, and returns only links that join components.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ BANDS, ROWS = 20, 5
 #: Samples and bits of an Odd sketch; bits that may differ: 4.5 deviations beyond those of similarity 0.85.
 SAMPLES, BITS, MAX_ODD = 128, 512, 68
 #: Classes of a bucket that one search task compares; larger buckets are searched block against block.
-BLOCK = 512
+BLOCK = 256
 _RNG = np.random.default_rng(20)
 _FACTORS = _RNG.integers(0, 2 ** 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SALTS = _RNG.integers(0, 2 ** 63, SAMPLES, dtype=np.uint64)
@@ -106,38 +107,82 @@ def _odd_bits(a: str, b: str):
     return F.aggregate(bits, F.lit(0), lambda s, x: s + x)
 
 
-def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one tile (a block, or two blocks, of one bucket) that cross components and look alike.
+_TILE = ["bucket", "tile_a", "tile_b"]
 
-    Of the candidates of one class in one other component all are handed on; none is dropped.
+
+def _pairs(cols: dict, close: np.ndarray) -> np.ndarray:
+    """Which pairs of a tile (a block, or two blocks, of one bucket) are compared: each once, across components."""
+    label = np.unique(cols["label"], return_inverse=True)[1]
+    block, a, b = cols["block"], cols["tile_a"][0], cols["tile_b"][0]
+    wanted = (block[:, None] == a) & (block[None, :] == b) & (label[:, None] != label[None, :]) & close
+    return np.triu(wanted, 1) if a == b else wanted
+
+
+def _columns(table: pa.Table, names: list[str]) -> dict:
+    return {n: np.array(table.column(n).to_pylist(), object) if pa.types.is_binary(table.schema.field(n).type)
+            else table.column(n).to_numpy() for n in names}
+
+
+def _search(table: pa.Table) -> pa.Table:
+    """The rows of a tile that look alike to one of another component: by size and by Odd sketch."""
+    cols = _columns(table, ["label", "block", "tile_a", "tile_b", "n_shingles"])
+    size = cols["n_shingles"]
+    odd = np.stack([np.asarray(x, np.int64) for x in table.column("odd").to_pylist()]).view(np.uint64)
+    bits = sum(np.bitwise_count(odd[:, None, k] ^ odd[None, :, k]).astype(np.int16) for k in range(odd.shape[1]))
+    close = (bits <= MAX_ODD) & (100 * np.minimum.outer(size, size) >= LINK * np.maximum.outer(size, size))
+    pairs = _pairs(cols, close)
+    return table.drop_columns(["odd"]).filter(pa.array(pairs.any(axis=0) | pairs.any(axis=1)))
+
+
+def _link(table: pa.Table) -> pa.Table:
+    """Links of a tile on its full sets, as few as join its components.
+
+    Intersections of all pairs at once: a product of the 0/1 matrix of the shingles that more than
+    one set holds, in slices of columns.
     """
-    t = pa.Table.from_batches(list(batches))  # one tile: two blocks at most
-    node = np.array(t.column("node").to_pylist(), object)
-    label = np.unique(np.array(t.column("label").to_pylist(), object), return_inverse=True)[1]
-    size = t.column("n_shingles").to_numpy()
-    block = t.column("block").to_numpy()
-    odd = np.stack([np.asarray(x, np.int64) for x in t.column("odd").to_pylist()]).view(np.uint8)
-    a, b = t.column("tile_a")[0].as_py(), t.column("tile_b")[0].as_py()
-    left, right = np.flatnonzero(block == a), np.flatnonzero(block == b)
+    cols = _columns(table, ["node", "label", "block", "tile_a", "tile_b", "n_shingles"])
+    n, size = table.num_rows, cols["n_shingles"]
+    found = table.column("found").combine_chunks()
+    values, back, count = np.unique(found.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(n), np.diff(found.offsets.to_numpy()))
+    column = np.where(count > 1, np.cumsum(count > 1) - 1, -1)[back]
+    both = np.zeros((n, n), np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for s in range(0, int((count > 1).sum()), 4096):
+        part = slice(*np.searchsorted(column, [s, s + 4096]))
+        holds = np.zeros((n, 4096), np.float32)
+        holds[row[part], column[part] - s] = 1
+        both += holds @ holds.T
+    alike = 100 * both >= LINK * (np.add.outer(size, size) - both)
+    head: dict = {}
+
+    def top(x):
+        while head.get(x, x) != x:
+            x = head[x]
+        return x
+
     out = [[], []]
-    for i in left:
-        other = right[right > i] if a == b else right
-        other = other[label[other] != label[i]]
-        other = other[100 * np.minimum(size[other], size[i]) >= LINK * np.maximum(size[other], size[i])]
-        other = other[np.bitwise_count(odd[other] ^ odd[i]).sum(axis=1) <= MAX_ODD]
-        for j in other:
-            out[0].append(min(node[i], node[j]))
-            out[1].append(max(node[i], node[j]))
-    yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in out], ["u", "v"])
+    for i, j in zip(*np.nonzero(_pairs(cols, alike))):
+        x, y = top(cols["label"][i]), top(cols["label"][j])
+        if x != y:
+            head[max(x, y)] = min(x, y)
+            out[0].append(cols["node"][i])
+            out[1].append(cols["node"][j])
+    return pa.Table.from_arrays([pa.array(c, pa.binary()) for c in out], ["u", "v"])
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of candidate pairs ``u, v`` those whose full sets are alike enough."""
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+def _full_sets(wanted: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``node, found``: the full sets of some classes, from the text of one row each."""
     named = wanted.join(classes.select("node", "first"), "node").select("node", "first.*")
     found = (texts.join(named, texts.doc_id.eqNullSafe(named.doc_id) & (texts.text_key == named.text_key))
              .select("node", "text").dropDuplicates(["node"]).mapInArrow(_sets, "node binary, found array<long>"))
-    found = checkpointed(found)
+    return checkpointed(found)
+
+
+def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Of candidate pairs ``u, v`` those whose full sets are alike enough."""
+    found = _full_sets(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), classes, texts)
     u = found.select(F.col("node").alias("u"), F.col("found").alias("fu"))
     v = found.select(F.col("node").alias("v"), F.col("found").alias("fv"))
     shared = F.size(F.array_intersect("fu", "fv"))
@@ -145,13 +190,14 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
     return (pairs.join(u, "u").join(v, "v").where(100 * shared >= LINK * union).select("u", "v"))
 
 
-def near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_label: bool = False) -> DataFrame:
     """``doc_id, text_key, n_shingles, component_id, kept`` of every row.
 
     ``component_id`` is the least id that links reach, the row's own included; ``kept`` says that
     it is the row's own. Texts without words (null, empty) are linked with nothing. Equal sets are
     linked. Null ids keep their row and name no component as long as an id is there; rows with the
-    same id are rows of their own. Other columns are ignored, whatever their names.
+    same id are rows of their own. Other columns are ignored, whatever their names. ``with_label``
+    adds the component's own key, null without words.
     """
     texts = text_or_empty(docs, id_col, text_col).withColumn("text_key", row_key(F.col("text")))
     rows = checkpointed(texts.select("doc_id", "text_key", "text").mapInArrow(
@@ -182,30 +228,32 @@ def near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                         lambda k: F.struct(F.least(k, F.col("block")).alias("a"), F.greatest(k, F.col("block")).alias("b")))
     dealt = dealt.select("bucket", "node", "label", "n_shingles", "odd", "block", F.explode(tiles).alias("t")).select(
         "*", F.col("t.a").alias("tile_a"), F.col("t.b").alias("tile_b")).drop("t")
-    crossing = (dealt.groupBy("bucket", "tile_a", "tile_b").applyInArrow(_search, "u binary, v binary").distinct()
-                .join(close, ["u", "v"], "left_anti"))
-    crossing = checkpointed(crossing)
-    more = checkpointed(_confirmed(crossing, classes, texts))
+    schema = "bucket long, node binary, label binary, n_shingles long, block int, tile_a int, tile_b int"
+    close = checkpointed(dealt.groupBy(*_TILE).applyInArrow(_search, schema))
+    found = _full_sets(close.select("node").distinct(), classes, texts)
+    more = checkpointed(close.join(found, "node").groupBy(*_TILE).applyInArrow(_link, "u binary, v binary"))
     labels = components(links.union(more), "u", "v")
 
     named = (classes.select("node", "least_id").join(labels, "node", "left")
              .select("node", "least_id", F.coalesce("label", "node").alias("label")))
     least = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    by_node = named.join(least, "label").select("node", "component_id")
+    by_node = named.join(least, "label").select("node", "component_id", "label")
     r = rows.select("doc_id", "text_key", "n_shingles", "node")
     return r.join(by_node, "node", "left").select(
-        "doc_id", "text_key", "n_shingles",
+        "doc_id", "text_key", "n_shingles", *["label"] * with_label,
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component, that of the least id; rows without words all stay."""
-    kept = near(docs, id_col, text_col).where("kept").select("doc_id", "text_key", "n_shingles").distinct()
-    d = docs.withColumn("_text_key", row_key(F.coalesce(F.col(text_col).cast("string"), F.lit("")))).alias("d")
-    k = kept.alias("k")
-    stay = d.join(k, F.col(f"d.{id_col}").cast("long").eqNullSafe(F.col("k.doc_id"))
-                  & (F.col("d._text_key") == F.col("k.text_key")))
-    wordless = stay.where("k.n_shingles = 0").select("d.*").drop("_text_key")
-    one = stay.where("k.n_shingles > 0").select("d.*").dropDuplicates([id_col]).drop("_text_key")
-    return wordless.unionByName(one)
+    """``docs`` with one row of each component, of the least id (then text hash); rows without words all stay."""
+    found = near(docs, id_col, text_col, with_label=True)
+    per_row = found.where("kept and label is not null").groupBy("label", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    one = per_row.groupBy("label").agg(F.min(F.struct("doc_id", "text_key", "n")).alias("f")).select("f.*")
+    stays = one.unionByName(found.where("label is null").select("doc_id", "text_key", F.lit(1).alias("n")).distinct())
+    names = docs.columns
+    d = docs.select(F.struct(*[F.col(c) for c in names]).alias("row"), F.col(id_col).cast("long").alias("id"),
+                    row_key(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("key"))
+    joined = d.join(stays, d.id.eqNullSafe(stays.doc_id) & (d.key == stays.text_key))
+    repeats = joined.where("n > 1").dropDuplicates(["id", "key"])  # whole rows that stand there more than once
+    return joined.where("n = 1").select("row.*").unionByName(repeats.select("row.*"))

@@ -1,8 +1,8 @@
 """Queries for ETL profiling, projections, model training, search and scoring.
 
-The searches here have one point each, at values of the full grids (100 trees); the grids
-themselves, 72 points and more times five folds, are the default of ``train_tabular`` and a
-matter for a cluster. Queries that fit a model return what SQL can state about the result.
+`gbt_cv_eval` fits one point of its family's grid (100 trees), `gbt_leaf_leaderboard` searches one
+point of the other's over five folds; the grids themselves, 72 points and more times five folds,
+are the default of ``train_tabular`` and a matter for a cluster. Queries that fit a model return what SQL can state about the result.
 """
 
 from __future__ import annotations
@@ -10,15 +10,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators.clean import profile_with_nulls
-from tessera.operators.models import build_model, leaderboard
+from tessera.operators.models import build_model, leaderboard, load_model, score
 from tessera.plans.catalog import (LINEITEM_COLS, LINEITEM_NULLS_SQL, LINEITEM_NUMERIC, LINEITEM_STRING,
                                    _union, register, rounded)
 from tessera.plans.derived import documents_labelled, lineitem_with_nulls
 from tessera.plans.scoring import score_requests
-from tessera.plans.training import split_xy, holdout_metrics, text_label, train_tabular, train_text
+from tessera.operators.split import test_count
+from tessera.plans.training import (holdout_metrics, split_xy, text_label, train_pipeline, train_tabular, train_text,
+                                    train_text_pipeline)
 from tessera.plans.queries_text import _TAB_REQ_SQL, REQUEST_SCHEMA, REQUIRED, tabular_request_text, text_request_text
 from tessera.sources.requests import parse_tabular_requests, parse_text_requests
 from tessera.sources.tables import table
+from tessera.streaming.runs import scratch_path
 
 
 def _etl_profile_sql():
@@ -77,7 +80,7 @@ LEAF_POINT = dict(POINT, max_depth=[7], num_leaves=[31])
 @register("gbt_cv_eval")
 def q_gbt_cv_eval(spark, sf_dir):
     _, _, scored, _ = train_tabular(_orders_training(spark, sf_dir), "o_orderkey", "is_final",
-                                    ["o_totalprice", "o_custkey", "o_dayofyear"], "gbt", grid=POINT)
+                                    ["o_totalprice", "o_custkey", "o_dayofyear"], "gbt", grid=POINT, search=False)
     return rounded(holdout_metrics(scored), 9)
 
 
@@ -88,6 +91,40 @@ def q_gbt_leaf_leaderboard(spark, sf_dir):
     return leaderboard(spark, cv)
 
 
+_TEST_ROWS_SQL = "cast(ceil(0.2 * count(*)) as bigint)"
+
+
+def _saved_run(spark, registry, kind, metrics, data, score_with):
+    """Facts of a pipeline run: what was saved, and that the reloaded model answers every row."""
+    model, features, stored = load_model(spark, registry, model_type=kind)
+    answered = score_with(model).where(F.col("prediction").isin(0, 1)).count()
+    return spark.createDataFrame(
+        [(kind, len(features), sorted(stored) == sorted(metrics), answered, test_count(data, 0.2))],
+        "model_type string, n_features int, metrics_stored boolean, answered long, test_rows long")
+
+
+@register("tabular_pipeline", f"select 'gbt' as model_type, 3::integer as n_features, true as metrics_stored, "
+                              f"count(*) as answered, {_TEST_ROWS_SQL} as test_rows from orders")
+def q_tabular_pipeline(spark, sf_dir):
+    base = scratch_path(spark, "tabular-pipeline")
+    _orders_training(spark, sf_dir).write.parquet(f"{base}/train.parquet")
+    feats = ["o_totalprice", "o_custkey", "o_dayofyear"]
+    _, metrics = train_pipeline(spark, f"{base}/train.parquet", "o_orderkey", "is_final", f"{base}/models", feats,
+                                "gbt", grid=dict(POINT, n_estimators=[20]))
+    data = spark.read.parquet(f"{base}/train.parquet")
+    return _saved_run(spark, f"{base}/models", "gbt", metrics, data.count(), lambda m: score(m, data))
+
+
+@register("text_pipeline", f"select 'text_classifier' as model_type, 1::integer as n_features, true as metrics_stored, "
+                           f"count(*) as answered, {_TEST_ROWS_SQL} as test_rows from documents join labels using (doc_id)")
+def q_text_pipeline(spark, sf_dir):
+    base = scratch_path(spark, "text-pipeline")
+    documents_labelled(spark, sf_dir, "inner").write.parquet(f"{base}/train.parquet")
+    _, metrics = train_text_pipeline(spark, f"{base}/train.parquet", "doc_id", "text", "quality", f"{base}/models")
+    data = spark.read.parquet(f"{base}/train.parquet")
+    return _saved_run(spark, f"{base}/models", "text_classifier", metrics, data.count(), lambda m: score(m, data))
+
+
 @register("text_model_eval")
 def q_text_model_eval(spark, sf_dir):
     docs = documents_labelled(spark, sf_dir, "inner")

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from tessera.functions.labels import match, select_metric
 from tessera.functions.timecols import elapsed_seconds, seconds_text, stamp
 from tessera.plans.catalog import register
-from tessera.plans.derived import REQUEST_COUNT, metric_samples
+from tessera.plans.derived import CLASS_TOTAL, REQUEST_COUNT, metric_samples
 from tessera.plans.queries_metrics import (CLASS_COUNTER_SQL, CPU_COUNTER_SQL, LATENCY_BUCKETS_SQL,
                                            MEMORY_GAUGE_SQL, REQUEST_COUNTER_SQL)
+from tessera.sources.files import read_samples
 from tessera.sources.tables import table
+from tessera.streaming.runs import scratch_path
 
 _STORE_SQL = (f"select 'flask_http_request_duration_seconds_count' as metric, ts, value from ({REQUEST_COUNTER_SQL}) "
               f"union all select 'flask_http_request_duration_seconds_bucket', ts, value from ({LATENCY_BUCKETS_SQL}) "
@@ -27,6 +29,16 @@ def q_metric_store(spark, sf_dir):
                                    F.max("ts").alias("last_ts"))
 
 
+@register("metric_scan", f"select metric, count(*) as samples, sum(value) as total from ({_STORE_SQL}) "
+                         "where metric = 'ml_prediction_class_total' group by metric")
+def q_metric_scan(spark, sf_dir):
+    """The store on disk, one folder for each metric, read back for one metric."""
+    path = scratch_path(spark, "samples")
+    metric_samples(spark, sf_dir).write.partitionBy("metric").parquet(path)
+    s = read_samples(spark, path, metric=CLASS_TOTAL)
+    return s.groupBy("metric").agg(F.count(F.lit(1)).alias("samples"), F.sum("value").alias("total"))
+
+
 @register("metric_select", f"select path, count(*) as samples, max(value) as max_value from ({REQUEST_COUNTER_SQL}) "
                            f"where status = '200' and regexp_full_match(path, '/predict.*') group by path")
 def q_metric_select(spark, sf_dir):

@@ -26,8 +26,11 @@ def text_label(df: DataFrame, text_col: str, label_col: str) -> DataFrame:
 
 def train_tabular(df: DataFrame, key: str, target: str, features: list[str] | None = None,
                   kind: str = "gbt", grid: dict | None = None, folds: int = 5, test_size: float = 0.2,
-                  seed: int = 42, parallelism: int = 4):
-    """Fit on the training part with CV; returns ``(model, features, test_scores, cv_model)``."""
+                  seed: int = 42, parallelism: int = 4, search: bool = True):
+    """Fit on the training part with CV; returns ``(model, features, test_scores, cv_model)``.
+
+    ``search=False`` fits the first grid point once, without folds (``cv_model`` is then None).
+    """
     data = df.withColumn("label", c(target).cast("int"))
     feats = list(features) if features else [x for x in df.columns if x not in (target, key)]
     _check_features(data, feats)
@@ -36,9 +39,12 @@ def train_tabular(df: DataFrame, key: str, target: str, features: list[str] | No
     test = s.where(F.col("split") == "test").drop("split")
     train = stratified_folds(train, "label", key, folds, seed).cache()
     pipe = build_model(kind, feats, "label", seed)
-    cv_model = grid_search(train, pipe, param_grid(pipe, kind, grid), "label", "fold", parallelism, seed,
-                           folds)
-    model = cv_model.bestModel
+    points, cv_model = param_grid(pipe, kind, grid), None
+    if search:
+        cv_model = grid_search(train, pipe, points, "label", "fold", parallelism, seed, folds)
+        model = cv_model.bestModel
+    else:
+        model = pipe.fit(train, points[0])
     scored = score(model, test, keep=[key, "label"])
     train.unpersist()
     return model, feats, scored, cv_model

@@ -9,18 +9,20 @@ from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.plans.scoring import score_requests
-from tessera.sources.requests import parse_tabular_requests
+from tessera.sources.requests import parse_tabular_requests, parse_text_requests
 from tessera.streaming.triggers import trigger_for, write_batch
 
 REQUEST_FILE_SCHEMA = "request_id bigint, body string"
 
 
 def stream_scores(spark: SparkSession, source_path: str, model: PipelineModel, features: list[str],
-                  request_schema: str, required: list[str], sink_path: str, log_path: str,
+                  request_schema: str | None, required: list[str], sink_path: str, log_path: str,
                   checkpoint: str, cadence: str | None = None, json_col: str = "body",
                   file_schema: str = REQUEST_FILE_SCHEMA, max_files_per_trigger: int | None = None):
     """Start a query that parses, checks and scores request files as they arrive.
 
+    Without a ``request_schema`` the requests are text ones (one ``text`` each) for a text model.
+
     Each micro-batch writes its scores and one request-log row
     ``(batch_id, rows, seconds, logged_at)`` under its batch id, so a
     restarted query (from ``checkpoint``) replaces rather than repeats them.
@@ -31,9 +33,12 @@ def stream_scores(spark: SparkSession, source_path: str, model: PipelineModel, f
     source = reader.load(source_path)
 
     def handle(batch, batch_id):
-        parsed = parse_tabular_requests(batch, json_col, request_schema, required)
         obs = Observation(f"scores-{batch_id}")
-        scored = score_requests(model, parsed, features).observe(obs, F.count(F.lit(1)).alias("rows"))
+        if request_schema is None:
+            scored = score_requests(model, parse_text_requests(batch, json_col), ["text"], ("request_id",))
+        else:
+            scored = score_requests(model, parse_tabular_requests(batch, json_col, request_schema, required), features)
+        scored = scored.observe(obs, F.count(F.lit(1)).alias("rows"))
         seconds = write_batch(scored, batch_id, sink_path)
         rows = obs.get["rows"]  # counted by the write itself, no second pass
         log = spark.createDataFrame([(rows, float(seconds), datetime.now(timezone.utc).isoformat())],

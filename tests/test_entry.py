@@ -8,7 +8,7 @@ from tessera.plans.catalog import QUERIES, SQL
 from tessera.sources.tables import TABLES
 
 SMALL = "/root/testdata/sf0.001"
-HEAVY = {"gbt_cv_eval", "gbt_leaf_leaderboard", "text_model_eval"}
+HEAVY = {"gbt_cv_eval", "gbt_leaf_leaderboard", "text_model_eval"}  # fitted figures: no SQL form
 
 
 def _norm(v):

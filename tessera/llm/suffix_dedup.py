@@ -19,6 +19,7 @@ one by one, each by the hash of its own 200 bytes, where equal ones of a run are
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -100,10 +101,10 @@ def _chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[byte
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``k, hash, ref, spot, n``; equal strings of a batch send one witness with their number.
+    """Rows ``hash, ref, spot, n``; equal strings of a batch send one witness with their number.
 
     n = 1: a string that is alone in its batch and waits for a verdict; n > 1: the witness; n = 0:
-    one of several in its batch, which stays whatever the others hold, and is dealt out evenly.
+    one of several in its batch, which stays whatever the others hold, and may go anywhere.
     """
     for batch in batches:
         ref, found = batch.column(0).to_numpy(), []
@@ -116,17 +117,16 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, back, n = np.unique(h, return_inverse=True, return_counts=True)
         alone = n[back] == 1
         witness = values[n > 1]
-        k = np.where(alone, h, mix64((ref ^ spot * 31).view(np.uint64)).view(np.int64))
         none = np.zeros(len(witness), np.int64)
-        columns = (np.concatenate([k, witness]), np.concatenate([h, witness]), np.concatenate([ref, none]),
-                   np.concatenate([spot, none]), np.concatenate([alone.astype(np.int64), n[n > 1]]))
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["k", "hash", "ref", "spot", "n"])
+        columns = (np.concatenate([h, witness]), np.concatenate([ref, none]), np.concatenate([spot, none]),
+                   np.concatenate([alone.astype(np.int64), n[n > 1]]))
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["hash", "ref", "spot", "n"])
 
 
 def _verdicts(hot: int):
-    """Of rows sorted by k: those whose string occurs again, and a row n = -1 for each hot string."""
+    """Of rows sorted by hash: those whose string occurs again, and a row n = -1 for each hot string."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carry = [np.empty(0, np.int64)] * 5
+        carry = [np.empty(0, np.int64)] * 4
         for batch in batches:
             now = [np.concatenate([c, batch.column(i).to_numpy()]) for i, c in enumerate(carry)]
             if not len(now[0]):
@@ -139,15 +139,15 @@ def _verdicts(hot: int):
 
 
 def _decided(rows: list[np.ndarray], hot: int) -> pa.RecordBatch:
-    k, h, ref, spot, n = rows
-    if len(k):
-        first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+    h, ref, spot, n = rows
+    if len(h):
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         total = np.add.reduceat(n, first)
-        again = np.repeat(total, np.diff([*first, len(k)])) > 1
+        again = np.repeat(total, np.diff([*first, len(h)])) > 1
         keep = np.flatnonzero((n == 0) | (n == 1) & again)
-        big = k[first[total > hot]]
+        big = h[first[total > hot]]
         h, ref, spot, n = (np.concatenate([c[keep], x]) for c, x in
-                           ((h, big), (ref, big * 0), (spot, big * 0), (np.zeros(len(k), np.int64), big * 0 - 1)))
+                           ((h, big), (ref, big * 0), (spot, big * 0), (np.zeros(len(h), np.int64), big * 0 - 1)))
     return pa.RecordBatch.from_arrays([pa.array(c) for c in (h, ref, spot, n)], ["hash", "ref", "spot", "n"])
 
 
@@ -280,7 +280,8 @@ def _runs(parts: int):
                 count = [len(entries[k]) for k in keys]
                 d = ids[:, 0]
                 packed = np.stack([doc_id[d], text_key[d], ids[:, 1], no_id[d], np.minimum(copies[d], 2)], axis=1)
-                rows.append((part, *front_code([k[0] for k in keys]), b"".join(k[1] for k in keys),
+                common, size, rest = front_code([k[0] for k in keys])
+                rows.append((part, common, size, zlib.compress(rest, 1), zlib.compress(b"".join(k[1] for k in keys), 1),
                              bytes(len(k[1]) for k in keys),
                              np.repeat(np.arange(len(keys)), count).astype(np.int32).tobytes(),
                              packed.astype(np.int64).tobytes()))
@@ -304,7 +305,7 @@ _FOUND = "doc_id long, text_key long, no_id boolean, low array<int>, high array<
 def _receive(table: pa.Table) -> pa.Table:
     """Repeated windows of one receiver's suffixes: for each text the ranges of their starts."""
     cols = {n: table.column(n).to_pylist() for n in table.column_names if n != "part"}
-    runs = [Run(*x) for x in zip(cols["common"], cols["size"], cols["rest"])]
+    runs = [Run(c, s, zlib.decompress(r)) for c, s, r in zip(cols["common"], cols["size"], cols["rest"])]
     base = np.cumsum([0, *(len(r.common) for r in runs)])
     n = int(base[-1])
     order, lcp = np.empty(n, np.int64), np.empty(n, np.int64)
@@ -316,7 +317,7 @@ def _receive(table: pa.Table) -> pa.Table:
     low, high = LENGTH - right, left
     # the bytes before the anchors, backwards, sorted likewise
     grid = np.zeros((n, SPAN), np.uint8)
-    grid[np.arange(SPAN) < left[:, None]] = np.frombuffer(b"".join(cols["left"]), np.uint8)
+    grid[np.arange(SPAN) < left[:, None]] = np.frombuffer(b"".join(map(zlib.decompress, cols["left"])), np.uint8)
     by_left = np.argsort(grid.view(f"S{SPAN}").ravel(), kind="stable")
     differ = grid[by_left[1:]] != grid[by_left[:-1]]
     left_lcp = np.concatenate([[0], np.where(differ.any(axis=1), differ.argmax(axis=1), SPAN)])
@@ -383,8 +384,9 @@ def repeated_windows(rows: DataFrame, firsts: DataFrame, hot: int) -> DataFrame:
     ``rows`` are ``doc_id, text_key, ref, text``; ``firsts`` names one row of each distinct text and
     its number of copies.
     """
-    sent = rows.select("ref", "text").mapInArrow(_occurrences, "k long, hash long, ref long, spot long, n long")
-    found = checkpointed(sent.repartition(partitions(rows), "k").sortWithinPartitions("k").mapInArrow(
+    sent = rows.select("ref", "text").mapInArrow(_occurrences, "hash long, ref long, spot long, n long")
+    deal = F.when(F.col("n") == 0, F.xxhash64("ref", "spot")).otherwise(F.col("hash"))
+    found = checkpointed(sent.repartition(partitions(rows), deal).sortWithinPartitions("hash").mapInArrow(
         _verdicts(hot), "hash long, ref long, spot long, n long"))
     hottest = found.where("n = -1").select("hash", F.lit(True).alias("is_hot"))
     n_hot = hottest.count()

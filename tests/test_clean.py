@@ -2,7 +2,6 @@ import math
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.operators.clean import UnfillableColumnError, fill_missing, null_counts, profile
 

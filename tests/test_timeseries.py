@@ -195,3 +195,41 @@ def test_latest_closed_both_sees_the_edge_sample(spark):
     right = {r["t"] for r in latest(df, ["pod"], "1 minute").collect()}
     both = {r["t"]: r["value"] for r in latest(df, ["pod"], "1 minute", closed="both").collect()}
     assert t not in right and both[t] == 7.0
+
+
+def test_quantile_zero_and_equal_bounds(spark):
+    schema = "t timestamp_ntz, path string, le string, value double"
+    empty_first = spark.createDataFrame([(T0, "p", "0.1", 0.0), (T0, "p", "0.5", 4.0), (T0, "p", "+Inf", 4.0)], schema)
+    assert math.isnan(histogram_quantile(empty_first, 0.0, ["path"]).collect()[0]["value"])
+    twice = spark.createDataFrame([(T0, "p", "1", 5.0), (T0, "p", "1.0", 5.0), (T0, "p", "+Inf", 10.0), (T0, "p", "Inf", 0.0)],
+                                  schema)
+    assert histogram_quantile(twice, 0.5, ["path"]).collect()[0]["value"] == pytest.approx(0.5)
+
+
+def test_equal_times_are_ordered_by_value(spark):
+    rows = [("a", T0 + timedelta(seconds=s), v) for s, v in [(15, 2.0), (15, 1.0), (30, 5.0), (30, 4.0)]]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "k string, ts timestamp_ntz, value double")
+        r = range_summary(df, ["k"], "1 minute", "1 minute").collect()[0]
+        assert (r["first_v"], r["last_v"], r["delta"]) == (1.0, 5.0, 4.0)
+
+
+def test_extrapolated_increase_by_hand(spark):
+    def value(pairs):
+        df = spark.createDataFrame([("a", T0 + timedelta(seconds=s), float(v)) for s, v in pairs],
+                                   "k string, ts timestamp_ntz, value double")
+        out = {r["t"]: r["value"] for r in increase(df, ["k"], "1 minute", "1 minute").collect()}
+        return out[T0 + timedelta(minutes=1)]
+
+    # 45 s sampled; half a minute's start is within 1.1 spacings, but a counter cannot start below zero
+    assert value([(15, 0), (30, 10), (45, 20), (60, 30)]) == pytest.approx(30)
+    assert value([(15, 5), (30, 15), (45, 25), (60, 35)]) == pytest.approx(30 * (45 + 7.5) / 45)
+    # the window starts 45 s before the first sample, more than 1.1 spacings: half a spacing counts
+    assert value([(45, 100), (60, 110)]) == pytest.approx(10 * (15 + 7.5) / 15)
+    assert value([(15, 50), (60, 50)]) == pytest.approx(0)
+
+
+def test_matchers_compare_whole_values_with_newlines(spark):
+    df = spark.createDataFrame([("ab\n",), ("ab",), ("a\nb",)], "pod string")
+    assert [r["pod"] for r in match(df, ("pod", "=~", "ab")).collect()] == ["ab"]
+    assert [r["pod"] for r in match(df, ("pod", "=~", "a.b")).collect()] == ["a\nb"]

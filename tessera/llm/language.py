@@ -8,17 +8,16 @@ language. The posterior of a row is the product of the three.
 
 from __future__ import annotations
 
-import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Remembered, checkpointed, row_key
+from tessera.llm.common import REMEMBERED_WORDS, checkpointed, mix64, row_key
 
 #: Sample texts of each language that are fetched for training at most.
 MAX_PER_LANGUAGE = 300
@@ -32,9 +31,49 @@ PRIOR_ROWS = 20.0
 LEAST_POSTERIOR, LEAST_KNOWN = 0.6, 0.3
 
 
-def grams(word: str) -> list[int]:
-    b = b"<" + word.encode("utf-8") + b">"
-    return [zlib.crc32(b[i:i + n]) % BUCKETS for n in GRAMS for i in range(len(b) - n + 1)]
+def gram_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Table rows of the n-grams that start at each byte of the marked words (BUCKETS: none), and the words' starts."""
+    marked = [b"<" + w.encode("utf-8") + b">" for w in words]
+    size = np.array([len(m) for m in marked], np.int64)
+    data = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint64)
+    start = np.cumsum(size) - size
+    room = np.repeat(start + size, size) - np.arange(len(data))
+    rows = np.full((len(GRAMS), len(data)), BUCKETS, np.int64)
+    for k, n in enumerate(GRAMS):
+        h = np.full(max(0, len(data) - n + 1), n, np.uint64)
+        for i in range(n):
+            h = mix64(h ^ data[i:i + len(h)])
+        rows[k, :len(h)] = np.where(room[:len(h)] >= n, (h % np.uint64(BUCKETS)).astype(np.int64), BUCKETS)
+    return rows, start
+
+
+class Evidence:
+    """Words' evidence in rows of one bounded matrix, worked out for all new words of a text at once."""
+
+    def __init__(self, model: Model):
+        self.table = np.zeros((BUCKETS + 1, len(model.names) + 2), np.float32)
+        self.table[:-1] = np.column_stack([model.table, np.ones(BUCKETS), model.seen])
+        self.place: dict[str, int] = {}
+        self.rows = np.zeros((REMEMBERED_WORDS, self.table.shape[1]), np.float32)
+
+    def of(self, text: str) -> np.ndarray:
+        """Log-likelihoods, number of n-grams and of those seen; words of digits alone do not count."""
+        words = [w for w in text.lower().split() if not w.isdigit()]
+        total = np.zeros(self.table.shape[1])
+        for k in range(0, len(words), REMEMBERED_WORDS // 4):
+            part = words[k:k + REMEMBERED_WORDS // 4]
+            new = list(set(part).difference(self.place))
+            if len(self.place) + len(new) > REMEMBERED_WORDS:
+                self.place.clear()
+                new = list(set(part))
+            if new:
+                at = len(self.place)
+                self.place.update(zip(new, range(at, at + len(new))))
+                rows, start = gram_rows(new)
+                self.rows[at:at + len(new)] = sum(np.add.reduceat(self.table[r], start) for r in rows)
+            index = np.fromiter(map(self.place.__getitem__, part), np.int64, len(part))
+            total += self.rows[index].sum(axis=0, dtype=np.float64)
+        return total
 
 
 @dataclass
@@ -45,28 +84,16 @@ class Model:
     table: np.ndarray
     seen: np.ndarray
 
-    def words(self) -> Remembered:
-        def value(word: str) -> tuple[float, ...]:
-            g = grams(word)
-            return (*self.table[g].sum(axis=0).tolist(), float(len(g)), float(self.seen[g].sum()))
-        return Remembered(value)
-
-    def evidence(self, text: str, words: Remembered) -> np.ndarray:
-        """Log-likelihoods, number of n-grams and of those seen; only words with a letter count."""
-        found = [w for w in text.lower().split() if not w.isdigit()]
-        width = len(self.names) + 2
-        values = np.fromiter(chain.from_iterable(map(words.__getitem__, found)), np.float64, len(found) * width)
-        return values.reshape(-1, width).sum(axis=0)
-
 
 def train(texts: list[str], langs: list[str]) -> Model:
     names = sorted(set(langs))
     counts = np.zeros((BUCKETS, max(1, len(names))))
-    memory = Remembered(grams)
-    for t, name in zip(texts, langs):
-        k = names.index(name)
-        g = list(chain.from_iterable(memory[w] for w in t.lower().split()))
-        counts[:, k] += np.bincount(g, minlength=BUCKETS) if g else 0
+    for k, name in enumerate(names):
+        times = Counter(w for t, x in zip(texts, langs) if x == name for w in t.lower().split())
+        if times:
+            rows, start = gram_rows(list(times))
+            weight = np.repeat(np.fromiter(times.values(), np.float64), np.diff([*start, rows.shape[1]]))
+            counts[:, k] = sum(np.bincount(r, weight, BUCKETS + 1)[:-1] for r in rows)
     table = np.log((counts + SMOOTH) / (counts.sum(axis=0) + SMOOTH * BUCKETS))
     return Model(names or ["und"], table.astype(np.float32), counts.sum(axis=1) > 0)
 
@@ -97,10 +124,9 @@ def identify(items: DataFrame, model: Model) -> DataFrame:
     at = items.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        words = m.words()
+        evidence = Evidence(shared.value)
         for batch in batches:
-            ll = [m.evidence(t.as_py() or "", words) for t in batch.column(at)]
+            ll = [evidence.of(t.as_py() or "") for t in batch.column(at)]
             cols = [batch.column(k) for k in range(batch.num_columns) if k != at]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(ll, pa.list_(pa.float64()))], [*carried, "ll"])
 

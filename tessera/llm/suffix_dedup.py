@@ -384,7 +384,8 @@ def repeated_windows(rows: DataFrame, firsts: DataFrame, hot: int) -> DataFrame:
     ``rows`` are ``doc_id, text_key, ref, text``; ``firsts`` names one row of each distinct text and
     its number of copies.
     """
-    sent = rows.select("ref", "text").mapInArrow(_occurrences, "hash long, ref long, spot long, n long")
+    long = rows.where(F.octet_length("text") >= LENGTH)
+    sent = long.select("ref", "text").mapInArrow(_occurrences, "hash long, ref long, spot long, n long")
     deal = F.when(F.col("n") == 0, F.xxhash64("ref", "spot")).otherwise(F.col("hash"))
     found = checkpointed(sent.repartition(partitions(rows), deal).sortWithinPartitions("hash").mapInArrow(
         _verdicts(hot), "hash long, ref long, spot long, n long"))
@@ -414,18 +415,19 @@ def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: in
     """
     rows = text_or_empty(docs, id_col, text_col).withColumn("text_key", row_key(F.col("text")))
     rows = rows.withColumn("ref", F.xxhash64("doc_id", "text_key"))
-    long = rows.where(F.octet_length("text") >= LENGTH)
-    firsts = checkpointed(long.groupBy(F.md5("text").alias("digest")).agg(
+    firsts = checkpointed(rows.where(F.octet_length("text") >= LENGTH).groupBy(F.md5("text").alias("digest")).agg(
         F.min(F.struct("doc_id", "text_key", "ref")).alias("f"), F.count(F.lit(1)).alias("copies")).select("f.*", "copies"))
-    ranges = (repeated_windows(long, firsts, hot).groupBy("doc_id", "text_key", "no_id")
+    ranges = (repeated_windows(rows, firsts, hot).groupBy("doc_id", "text_key", "no_id")
               .agg(F.flatten(F.collect_list("low")).alias("low"), F.flatten(F.collect_list("high")).alias("high")))
     ranges = ranges.select(F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "text_key", "low", "high")
     f, g = firsts.alias("f"), ranges.alias("g")
     known = f.join(g, F.col("f.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("f.text_key") == F.col("g.text_key")),
-                   "left").select("f.doc_id", "f.text_key", "copies", "low", "high").alias("k")
-    r = rows.select("doc_id", "text", "text_key").alias("r")
-    joined = r.join(known, F.col("r.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("r.text_key") == F.col("k.text_key")),
-                    "left")
-    whole = F.coalesce(F.col("copies"), F.lit(2)) > 1  # a row that is not the first of its text is a copy
-    return joined.select("r.doc_id", "r.text", whole.alias("whole"), "low", "high").mapInArrow(
+                   "left").select("ref", F.struct("f.doc_id", "f.text_key", "copies", "low", "high").alias("k"))
+    # by ref alone, as in the join with the spots: both then read one exchange of the texts; rows
+    # whose refs are equal by chance are told apart behind it
+    known = known.groupBy("ref").agg(F.collect_list("k").alias("k"))
+    joined = rows.join(known, "ref", "left").withColumn("k", F.get(F.filter(
+        "k", lambda x: x["doc_id"].eqNullSafe(F.col("doc_id")) & (x["text_key"] == F.col("text_key"))), F.lit(0)))
+    whole = F.coalesce(F.col("k.copies"), F.lit(2)) > 1  # a row that is not the first of its text is a copy
+    return joined.select("doc_id", "text", whole.alias("whole"), "k.low", "k.high").mapInArrow(
         _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

@@ -27,8 +27,9 @@ BUCKETS, GRAMS, SMOOTH = 1 << 16, (2, 3, 4), 0.5
 TEMPER = 0.25
 #: Rows that the next level's prior counts as in a host's or suffix's.
 PRIOR_ROWS = 20.0
-#: A row is rejected below this posterior, or if fewer of its n-grams are known from any language.
-LEAST_POSTERIOR, LEAST_KNOWN = 0.6, 0.3
+#: A row is rejected if no language is likelier than all others together, or if fewer of its n-grams are
+#: known from any language.
+LEAST_POSTERIOR, LEAST_KNOWN = 0.5, 0.3
 
 
 def gram_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -104,8 +104,10 @@ def train_on(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
         F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)).alias("h"))
-    first = Window.partitionBy("lang").orderBy("h")
-    ids = rows.select("lang", "h").distinct().withColumn("k", F.row_number().over(first)).where(F.col("k") <= MAX_PER_LANGUAGE)
+    ids = rows.select("lang", "h").distinct()
+    for part in (F.pmod("h", F.lit(64)), F.lit(0)):  # first within slices of a language, which may hold most rows
+        first = Window.partitionBy("lang", part).orderBy("h")
+        ids = ids.withColumn("k", F.row_number().over(first)).where(F.col("k") <= MAX_PER_LANGUAGE)
     got = rows.join(F.broadcast(ids.select("lang", "h")), ["lang", "h"]).dropDuplicates(["h"]).collect()
     got.sort(key=lambda r: (r.lang, r.h))
     return train([r.text for r in got], [r.lang for r in got])

@@ -27,40 +27,67 @@ BUCKETS, GRAMS, SMOOTH = 1 << 16, (2, 3, 4), 0.5
 TEMPER = 0.25
 #: Rows that the next level's prior counts as in a host's or suffix's.
 PRIOR_ROWS = 20.0
-#: A row is rejected if no language is likelier than all others together, or if fewer of its n-grams are
-#: known from any language.
-LEAST_POSTERIOR, LEAST_KNOWN = 0.5, 0.3
+#: A row is rejected if no language is likelier than all others together, if fewer of its n-grams are
+#: known from any language, or if fewer of its words can be read in any language.
+LEAST_POSTERIOR, LEAST_KNOWN, LEAST_READ = 0.5, 0.3, 0.3
+#: A word can be read in a language if its n-grams have on average more than this: what each of the
+#: table's rows would have if all were equally likely. Rows drawn blindly never have more on average.
+LEAST_LIKELY = -float(np.log(BUCKETS))
 
 
-def gram_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Table rows of the n-grams that start at each byte of the marked words (BUCKETS: none), and the words' starts."""
+def gram_keys(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the n-grams that start at each byte of the marked words (0: none), and the words' starts.
+
+    Different n-grams have different keys: length and bytes fill less than 64 bits, and mix64 is one-to-one.
+    """
     marked = [b"<" + w.encode("utf-8") + b">" for w in words]
     size = np.array([len(m) for m in marked], np.int64)
     data = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint64)
     start = np.cumsum(size) - size
     room = np.repeat(start + size, size) - np.arange(len(data))
-    rows = np.full((len(GRAMS), len(data)), BUCKETS, np.int64)
+    keys = np.zeros((len(GRAMS), len(data)), np.uint64)
     for k, n in enumerate(GRAMS):
-        h = np.full(max(0, len(data) - n + 1), n, np.uint64)
+        code = np.full(max(0, len(data) - n + 1), n, np.uint64)
         for i in range(n):
-            h = mix64(h ^ data[i:i + len(h)])
-        rows[k, :len(h)] = np.where(room[:len(h)] >= n, (h % np.uint64(BUCKETS)).astype(np.int64), BUCKETS)
-    return rows, start
+            code = code << np.uint64(8) | data[i:i + len(code)]
+        keys[k, :len(code)] = np.where(room[:len(code)] >= n, mix64(code), np.uint64(0))
+    return keys, start
+
+
+def table_rows(keys: np.ndarray) -> np.ndarray:
+    """Table rows of n-grams (BUCKETS: none)."""
+    return np.where(keys != 0, (keys % np.uint64(BUCKETS)).astype(np.int64), BUCKETS)
 
 
 class Evidence:
     """Words' evidence in rows of one bounded matrix, worked out for all new words of a text at once."""
 
     def __init__(self, model: Model):
-        self.table = np.zeros((BUCKETS + 1, len(model.names) + 2), np.float32)
-        self.table[:-1] = np.column_stack([model.table, np.ones(BUCKETS), model.seen])
+        self.table = np.zeros((BUCKETS + 1, len(model.names) + 1), np.float32)
+        self.table[:-1] = np.column_stack([model.table, np.ones(BUCKETS)])
+        bits = len(model.known).bit_length() + 2
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(model.known, np.arange(1 << bits, dtype=np.uint64) << self.shift)
+        self.known = np.append(model.known, np.uint64(np.iinfo(np.uint64).max))
         self.place: dict[str, int] = {}
-        self.rows = np.zeros((REMEMBERED_WORDS, self.table.shape[1]), np.float32)
+        self.rows = np.zeros((REMEMBERED_WORDS, self.table.shape[1] + 3), np.float32)
+
+    def is_known(self, keys: np.ndarray) -> np.ndarray:
+        """Which n-grams the training texts hold: steps from the first known key with the same leading bits."""
+        at = self.first[(keys >> self.shift).astype(np.int64)]
+        low = np.flatnonzero(self.known[at] < keys)
+        while low.size:
+            at[low] += 1
+            low = low[self.known[at[low]] < keys[low]]
+        return self.known[at] == keys
 
     def of(self, text: str) -> np.ndarray:
-        """Log-likelihoods, number of n-grams and of those seen; words of digits alone do not count."""
+        """Log-likelihoods, number of n-grams and of those known, of words that can be read and of words.
+
+        Words of digits alone do not count.
+        """
         words = [w for w in text.lower().split() if not w.isdigit()]
-        total = np.zeros(self.table.shape[1])
+        total = np.zeros(self.rows.shape[1])
         for k in range(0, len(words), REMEMBERED_WORDS // 4):
             part = words[k:k + REMEMBERED_WORDS // 4]
             new = list(set(part).difference(self.place))
@@ -70,8 +97,11 @@ class Evidence:
             if new:
                 at = len(self.place)
                 self.place.update(zip(new, range(at, at + len(new))))
-                rows, start = gram_rows(new)
-                self.rows[at:at + len(new)] = sum(np.add.reduceat(self.table[r], start) for r in rows)
+                keys, start = gram_keys(new)
+                ll = sum(np.add.reduceat(self.table[r], start) for r in table_rows(keys))
+                hits = sum(np.add.reduceat(self.is_known(k), start, dtype=np.int64) for k in keys)
+                readable = ll[:, :-1].max(axis=1) > LEAST_LIKELY * ll[:, -1]
+                self.rows[at:at + len(new)] = np.column_stack([ll, hits, readable, np.ones(len(new))])
             index = np.fromiter(map(self.place.__getitem__, part), np.int64, len(part))
             total += self.rows[index].sum(axis=0, dtype=np.float64)
         return total
@@ -79,24 +109,25 @@ class Evidence:
 
 @dataclass
 class Model:
-    """Names of the languages; log-probability of each n-gram in each, and whether it was seen at all."""
+    """Names of the languages; log-probability of each table row in each; sorted keys of all n-grams of the training."""
 
     names: list[str]
     table: np.ndarray
-    seen: np.ndarray
+    known: np.ndarray
 
 
 def train(texts: list[str], langs: list[str]) -> Model:
     names = sorted(set(langs))
-    counts = np.zeros((BUCKETS, max(1, len(names))))
+    counts, known = np.zeros((BUCKETS, max(1, len(names)))), np.empty(0, np.uint64)
     for k, name in enumerate(names):
         times = Counter(w for t, x in zip(texts, langs) if x == name for w in t.lower().split())
         if times:
-            rows, start = gram_rows(list(times))
-            weight = np.repeat(np.fromiter(times.values(), np.float64), np.diff([*start, rows.shape[1]]))
-            counts[:, k] = sum(np.bincount(r, weight, BUCKETS + 1)[:-1] for r in rows)
+            keys, start = gram_keys(list(times))
+            weight = np.repeat(np.fromiter(times.values(), np.float64), np.diff([*start, keys.shape[1]]))
+            counts[:, k] = sum(np.bincount(r, weight, BUCKETS + 1)[:-1] for r in table_rows(keys))
+            known = np.union1d(known, keys[keys != 0])
     table = np.log((counts + SMOOTH) / (counts.sum(axis=0) + SMOOTH * BUCKETS))
-    return Model(names or ["und"], table.astype(np.float32), counts.sum(axis=1) > 0)
+    return Model(names or ["und"], table.astype(np.float32), known)
 
 
 def train_on(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
@@ -117,7 +148,8 @@ def identify(items: DataFrame, model: Model) -> DataFrame:
     """``items`` without their text, with ``lang, text_lang, posterior, known, keep``.
 
     ``items`` has ``text, declared, suffix, host`` and any columns that name a row (none of the
-    names above). A null or empty text, or one without known n-grams, is rejected as ``und``. Null
+    names above). ``known`` is the share of the text's n-grams that the training texts hold. A null or
+    empty text, or one that is mostly of other n-grams than theirs, is rejected as ``und``. Null
     declared languages say nothing; null hosts and suffixes are a group of their own. Ties go to
     the first language by name. An empty table gives none.
     """
@@ -138,7 +170,9 @@ def identify(items: DataFrame, model: Model) -> DataFrame:
     ll = F.slice("ll", 1, n)
     scored = checkpointed(scored.select(
         *carried, F.transform(ll, lambda x: x * TEMPER).alias("ll"), F.element_at("ll", n + 1).alias("n_grams"),
-        F.element_at("ll", n + 2).alias("n_seen"), (F.array_position(ll, F.array_max(ll)) - 1).cast("int").alias("best")))
+        F.element_at("ll", n + 2).alias("n_seen"), F.element_at("ll", n + 3).alias("n_read"),
+        F.element_at("ll", n + 4).alias("n_words"),
+        (F.array_position(ll, F.array_max(ll)) - 1).cast("int").alias("best")))
     voice = scored.where("n_seen > 0")
     votes = [F.sum((F.col("best") == k).cast("long")).alias(f"v{k}") for k in range(n)]
     total = lambda p: sum((F.col(f"{p}{k}") for k in range(1, n)), F.col(f"{p}0"))
@@ -166,7 +200,8 @@ def identify(items: DataFrame, model: Model) -> DataFrame:
     weight = F.aggregate("lp", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("top")))
     tongue = F.array(*[F.lit(x) for x in names])
     known = F.when(F.col("n_grams") > 0, F.col("n_seen") / F.col("n_grams")).otherwise(F.lit(0.0))
-    keep = (known >= LEAST_KNOWN) & (1 / weight >= LEAST_POSTERIOR)
+    read = F.col("n_read") >= LEAST_READ * F.col("n_words")
+    keep = (known >= LEAST_KNOWN) & read & (1 / weight >= LEAST_POSTERIOR)
     place = F.array_position("lp", F.col("top")).cast("int")
     return fused.select(*carried, F.when(keep, F.element_at(tongue, place)).otherwise("und").alias("lang"),
                         F.when(F.col("n_seen") > 0, F.element_at(tongue, F.col("best") + 1)).otherwise("und").alias("text_lang"),

@@ -1,5 +1,6 @@
 """Held-out accuracy of the trained operators."""
 
+import random
 import zlib
 
 import pytest
@@ -69,3 +70,18 @@ def test_language_evidence_is_fused(make):
     assert {r.doc_id for r in language.keep_identified(docs).collect()} == set(got) - {202, 203, 204}
     assert language.identify(language.from_documents(make([])), language.train(["a b"], ["en"])).count() == 0
     assert language.keep_identified(make([])).count() == 0
+
+
+def test_unseen_scripts_and_noise_are_rejected(make, spark):
+    model, rng = language.train_on(table(spark, DATA, "documents")), random.Random(3)
+    low = "abcdefghijklmnopqrstuvwxyz"
+    kinds = {"cjk": ("".join(map(chr, range(0x4E00, 0x9FA0))), 4), "cyrillic": ("".join(map(chr, range(0x430, 0x450))), 7),
+             "greek": ("".join(map(chr, range(0x3B1, 0x3CA))), 7), "letters": (low, 9), "base 36": (low + "0123456789", 24),
+             "hex": ("abcdef0123456789", 32)}
+    texts = [" ".join("".join(rng.choices(signs, k=size)) for _ in range(n)) for signs, size in kinds.values() for n in (40, 400)]
+    noise = [(k, t) for k, t in enumerate(texts)]
+    got = language.identify(language.from_documents(make(noise)), model).collect()
+    assert len(got) == len(noise) and not any(r.keep for r in got) and {r.lang for r in got} == {"und"}
+    assert all(r.known < 0.05 for r in got if r.doc_id < 6)  # other scripts share next to nothing
+    plain = language.identify(language.from_documents(table(spark, DATA, "documents").where("length(text) > 0")), model)
+    assert plain.where("not keep").count() == 0

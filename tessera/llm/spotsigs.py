@@ -1,7 +1,8 @@
 """Document fingerprints by SpotSigs: content words that follow common-word anchors.
 
-Each anchor (a common word of the language) is followed by a chain of the next content words;
-anchor and chain make one signature. The fingerprint of a text is the sorted set of its
+Each anchor (a common word of the language, or a word that its own hash picks, which code, lists and
+other languages have too) is followed by a chain of the next content words; anchor and chain make
+one signature, whatever the rest of the text holds. The fingerprint of a text is the sorted set of its
 signature hashes, as hex, repeats numbered apart. Two are compared by Jaccard similarity; sets whose
 lengths alone rule out the wanted similarity are not compared at all.
 """
@@ -30,8 +31,8 @@ el los las y en es por con para su del al se lo como más una
 """.split())
 #: Content words of a chain, and hex digits of a signature.
 CHAIN, DIGITS = 2, 8
-#: With fewer anchored chains than words over this, chains from every word are signatures too.
-SPARSE = 8
+#: One content word in so many is an anchor too, by its hash.
+PICKED = 3
 _SALTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -49,30 +50,28 @@ def _words() -> Remembered:
 
 
 def signatures(text: str) -> np.ndarray:
-    """Sorted 32-bit signatures of a whole text; a repeated signature counts as often as it occurs."""
+    """Sorted 32-bit signatures of a whole text; a repeated signature counts as often as it occurs.
+
+    The word of the least hash anchors a chain as long as the text gives, so that each text with words has one.
+    """
     words = text.lower().split()
     value = np.fromiter(map(_words().__getitem__, words), np.uint64, len(words))
     value = value[value != 0]
-    anchor = (value & np.uint64(1)).astype(bool)
-    found = []
-    content, places = value[~anchor], np.flatnonzero(anchor)
-    following = places - np.arange(len(places))  # content words that stand before the anchor
-    full = following + CHAIN <= len(content)
-    if full.any():
-        places, following = places[full], following[full]
-        h = value[places] * _SALTS[0]
-        for k in range(CHAIN):
-            h = mix64(h ^ (content[following + k] * _SALTS[1 + k % 2]))
-        found.append(h)
-    if full.sum() * SPARSE < len(value):
-        n = max(1, len(value) - CHAIN)  # a chain from every word; a short text is one chain
-        h = np.full(n, len(value) if len(value) <= CHAIN else 0, np.uint64)
-        for k in range(min(CHAIN + 1, len(value))):
-            h = mix64(h ^ (value[k:k + n] * _SALTS[k % 3]))
-        found.append(h)
-    if not found:
+    if not len(value):
         return np.empty(0, np.uint32)
-    h = np.sort(np.concatenate(found))
+    anchor = (value & np.uint64(1)).astype(bool)
+    content, following = value[~anchor], np.cumsum(~anchor)  # content words up to each place, its own included
+    picked = anchor | ((value >> np.uint64(1)) % np.uint64(PICKED) == 0)
+    places = np.flatnonzero(picked & (following + CHAIN <= len(content)))
+    h = value[places] * _SALTS[0]
+    for k in range(CHAIN):
+        h = mix64(h ^ (content[following[places] + k] * _SALTS[1 + k % 2]))
+    least = int(value.argmin())
+    chain = content[following[least]:following[least] + CHAIN]
+    one = value[least:least + 1] * _SALTS[2]
+    for k in range(len(chain)):
+        one = mix64(one ^ (chain[k:k + 1] * _SALTS[1 + k % 2]))
+    h = np.sort(np.concatenate([h, one]))
     first = np.concatenate([[True], h[1:] != h[:-1]])
     repeat = np.arange(len(h)) - np.flatnonzero(first)[np.cumsum(first) - 1]
     h = mix64(h + repeat.astype(np.uint64) * _SALTS[0])  # the k-th occurrence is an element of its own: a multiset

@@ -1,4 +1,5 @@
 import hashlib
+import random
 from itertools import combinations
 
 from tessera.llm import spotsigs
@@ -54,3 +55,19 @@ def test_similar_equals_all_pairs(make):
             want.add(frozenset((min(a), min(b))))
     got = spotsigs.similar(make(rows)).collect()
     assert {frozenset((r.a, r.b)) for r in got} == want and len(got) == len(want)
+
+
+def test_likeness_does_not_depend_on_the_density_of_anchors():
+    rng, common = random.Random(5), ["the", "of", "and", "to"]
+    for size in (60, 600):
+        got = []
+        for _ in range(20):
+            plain = [f"x{rng.randrange(10 ** 6)}" for _ in range(size)]  # no common word: a list, code, another language
+            prose = [rng.choice(common) if rng.random() < 0.5 else f"y{rng.randrange(10 ** 6)}" for _ in range(size // 2)]
+            kept = plain[:size - size // 3]
+            got.append(spotsigs.likeness(*(spotsigs.signatures(" ".join(w)) for w in (plain, kept + prose[:size // 3]))))
+            assert len(spotsigs.signatures(" ".join(plain))) > size // 8
+        assert 0.3 < sum(got) / len(got) < 0.7
+    # a text below the chain's length, or with no picked word, has a signature
+    assert all(len(spotsigs.signatures(t)) for t in ("x", "the", "x y", "the x", *(f"w{k} v{k} u{k}" for k in range(50))))
+    assert len({spotsigs.to_text(spotsigs.signatures(f"w{k}")) for k in range(50)}) == 50

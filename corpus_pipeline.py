@@ -9,6 +9,8 @@ from tessera.sources.tables import table
 
 #: SQL can state neither the learned language evidence nor BPE; tests hold the rows against brute force.
 ORACLE_SQL = None
+#: Similarity in hundredths from which the near-duplicates stage links documents, as its test holds it.
+NEAR = 85
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +20,7 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
-    return minhash.keep_one(docs)
+    return minhash.keep_one(docs, link=NEAR)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,9 @@ whose sketches look alike, gets their full sets, and returns only links that joi
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -26,12 +28,12 @@ from pyspark.sql import functions as F
 from tessera.llm.common import Remembered, checkpointed, mix64, row_key, text_or_empty
 from tessera.llm.components import components
 
-#: Words of a shingle; similarity in hundredths from which texts are linked.
+#: Words of a shingle; similarity in hundredths from which texts are linked unless a caller names another.
 SHINGLE, LINK = 5, 85
-#: Bands and samples of each: a pair of similarity 0.85 shares no band with probability 8e-6.
-BANDS, ROWS = 20, 5
-#: Samples and bits of an Odd sketch; bits that may differ: 4.5 deviations beyond those of similarity 0.85.
-SAMPLES, BITS, MAX_ODD = 128, 512, 68
+#: Samples of a band; as many bands that a pair just alike enough shares none with this probability at most.
+ROWS, LEAST_MISS = 5, 1e-5
+#: Samples and bits of an Odd sketch; deviations beyond the mean of a pair just alike enough that its bits may differ.
+SAMPLES, BITS, DEVIATIONS = 128, 512, 4.5
 #: Classes of a bucket that one search task compares; larger buckets are searched block against block.
 BLOCK = 256
 _RNG = np.random.default_rng(20)
@@ -40,6 +42,42 @@ _SALTS = _RNG.integers(0, 2 ** 63, SAMPLES, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+@dataclass(frozen=True)
+class Sieve:
+    """What follows from a similarity in hundredths: number of bands, bits of two sketches that may differ."""
+
+    link: int
+    bands: int
+    max_odd: int
+
+
+@lru_cache(maxsize=None)
+def sieve(link: int) -> Sieve:
+    """Bands and bits for pairs of similarity ``link`` or more (1 to 100).
+
+    Of the samples a binomial number d differs, and 2 d draws flip one of the bits each; mean and
+    variance of the bits that are flipped an odd number of times are those over all d.
+    """
+    if not 1 <= link <= 100:
+        raise ValueError(f"similarity in hundredths: {link}")
+    alike = link / 100
+    bands = 1 if link == 100 else math.ceil(math.log(LEAST_MISS) / math.log1p(-alike ** ROWS))
+    mean = square = 0.0
+    for d in range(SAMPLES + 1):
+        chance = math.comb(SAMPLES, d) * (1 - alike) ** d * alike ** (SAMPLES - d)
+        one, two = (1 - 2 / BITS) ** (2 * d), (1 - 4 / BITS) ** (2 * d)
+        mean += chance * BITS * (1 - one) / 2
+        square += chance * (BITS * (1 - one) / 2 + BITS * (BITS - 1) * (1 - 2 * one + two) / 4)
+    return Sieve(link, bands, math.floor(mean + DEVIATIONS * math.sqrt(max(0.0, square - mean ** 2))))
+
+
+@lru_cache(maxsize=4)
+def _factors(n: int) -> np.ndarray:
+    """Odd factors of the samples; bands may need more of them than a sketch has."""
+    more = np.random.default_rng(21).integers(0, 2 ** 63, max(0, n - SAMPLES), dtype=np.uint64)
+    return np.concatenate([_FACTORS, more * np.uint64(2) + np.uint64(1)])
+
+
 @lru_cache(maxsize=1)
 def _words() -> Remembered:
     return Remembered(xxhash.xxh3_64_intdigest)
@@ -58,36 +96,37 @@ def shingles(text: str) -> np.ndarray:
     return np.unique(out)
 
 
-def samples(found: np.ndarray) -> np.ndarray:
-    """The MinHash samples: the least product with each factor, modulo 2**64."""
-    least = np.full(SAMPLES, np.iinfo(np.uint64).max, np.uint64)
+def samples(found: np.ndarray, bands: int = 0) -> np.ndarray:
+    """The MinHash samples, enough for a sketch and the bands: the least product with each factor, modulo 2**64."""
+    factors = _factors(max(SAMPLES, bands * ROWS))
+    least = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
     for s in range(0, len(found), 4096):
-        np.minimum(least, (found[s:s + 4096, None] * _FACTORS).min(axis=0), out=least)
+        np.minimum(least, (found[s:s + 4096, None] * factors).min(axis=0), out=least)
     return least
 
 
-def band_keys(least: np.ndarray) -> np.ndarray:
-    keys = np.arange(BANDS, dtype=np.uint64)
+def band_keys(least: np.ndarray, bands: int) -> np.ndarray:
+    keys = np.arange(bands, dtype=np.uint64)
     for k in range(ROWS):
-        keys = mix64(keys * _STEP + least[:BANDS * ROWS].reshape(BANDS, ROWS)[:, k])
+        keys = mix64(keys * _STEP + least[:bands * ROWS].reshape(bands, ROWS)[:, k])
     return keys.view(np.int64)
 
 
 def odd_sketch(least: np.ndarray) -> np.ndarray:
-    """Parity bitmap of the samples, as 64-bit words."""
-    bit = (mix64(least ^ _SALTS) % np.uint64(BITS)).astype(np.int64)
+    """Parity bitmap of the first samples, as 64-bit words."""
+    bit = (mix64(least[:SAMPLES] ^ _SALTS) % np.uint64(BITS)).astype(np.int64)
     return np.packbits(np.bincount(bit, minlength=BITS).astype(np.uint8) & 1).view(np.int64)
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketches(batches: Iterator[pa.RecordBatch], n_bands: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, keys, bands, odd = [], [], [], []
         for value in batch.column(2):
             found = shingles(value.as_py())
             sizes.append(len(found))
             keys.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
-            least = samples(found)
-            bands.append(band_keys(least) if len(found) else [])
+            least = samples(found, n_bands)
+            bands.append(band_keys(least, n_bands) if len(found) else [])
             odd.append(odd_sketch(least))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
@@ -123,18 +162,18 @@ def _columns(table: pa.Table, names: list[str]) -> dict:
             else table.column(n).to_numpy() for n in names}
 
 
-def _search(table: pa.Table) -> pa.Table:
+def _search(table: pa.Table, by: Sieve) -> pa.Table:
     """The rows of a tile that look alike to one of another component: by size and by Odd sketch."""
     cols = _columns(table, ["label", "block", "tile_a", "tile_b", "n_shingles"])
     size = cols["n_shingles"]
     odd = np.stack([np.asarray(x, np.int64) for x in table.column("odd").to_pylist()]).view(np.uint64)
     bits = sum(np.bitwise_count(odd[:, None, k] ^ odd[None, :, k]).astype(np.int16) for k in range(odd.shape[1]))
-    close = (bits <= MAX_ODD) & (100 * np.minimum.outer(size, size) >= LINK * np.maximum.outer(size, size))
+    close = (bits <= by.max_odd) & (100 * np.minimum.outer(size, size) >= by.link * np.maximum.outer(size, size))
     pairs = _pairs(cols, close)
     return table.drop_columns(["odd"]).filter(pa.array(pairs.any(axis=0) | pairs.any(axis=1)))
 
 
-def _link(table: pa.Table) -> pa.Table:
+def _link(table: pa.Table, by: Sieve) -> pa.Table:
     """Links of a tile on its full sets, as few as join its components.
 
     Intersections of all pairs at once: a product of the 0/1 matrix of the shingles that more than
@@ -154,7 +193,7 @@ def _link(table: pa.Table) -> pa.Table:
         holds = np.zeros((n, 4096), np.float32)
         holds[row[part], column[part] - s] = 1
         both += holds @ holds.T
-    alike = 100 * both >= LINK * (np.add.outer(size, size) - both)
+    alike = 100 * both >= by.link * (np.add.outer(size, size) - both)
     head: dict = {}
 
     def top(x):
@@ -180,28 +219,31 @@ def _full_sets(wanted: DataFrame, classes: DataFrame, texts: DataFrame) -> DataF
     return checkpointed(found)
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, by: Sieve) -> DataFrame:
     """Of candidate pairs ``u, v`` those whose full sets are alike enough."""
     found = _full_sets(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), classes, texts)
     u = found.select(F.col("node").alias("u"), F.col("found").alias("fu"))
     v = found.select(F.col("node").alias("v"), F.col("found").alias("fv"))
     shared = F.size(F.array_intersect("fu", "fv"))
     union = F.size("fu") + F.size("fv") - shared
-    return (pairs.join(u, "u").join(v, "v").where(100 * shared >= LINK * union).select("u", "v"))
+    return (pairs.join(u, "u").join(v, "v").where(100 * shared >= by.link * union).select("u", "v"))
 
 
-def near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_label: bool = False) -> DataFrame:
+def near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_label: bool = False,
+         link: int = LINK) -> DataFrame:
     """``doc_id, text_key, n_shingles, component_id, kept`` of every row.
 
     ``component_id`` is the least id that links reach, the row's own included; ``kept`` says that
     it is the row's own. Texts without words (null, empty) are linked with nothing. Equal sets are
     linked. Null ids keep their row and name no component as long as an id is there; rows with the
     same id are rows of their own. Other columns are ignored, whatever their names. ``with_label``
-    adds the component's own key, null without words.
+    adds the component's own key, null without words. Texts are linked from a similarity of ``link``
+    hundredths.
     """
+    by = sieve(link)
     texts = text_or_empty(docs, id_col, text_col).withColumn("text_key", row_key(F.col("text")))
     rows = checkpointed(texts.select("doc_id", "text_key", "text").mapInArrow(
-        _sketches, "doc_id long, text_key long, n_shingles long, node binary, bands array<long>, odd array<long>"))
+        lambda batches: _sketches(batches, by.bands), "doc_id long, text_key long, n_shingles long, node binary, bands array<long>, odd array<long>"))
     classes = checkpointed(rows.where("n_shingles > 0").groupBy("node").agg(
         F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_key")).alias("first"),
         F.min("n_shingles").alias("n_shingles"), F.min("bands").alias("bands"), F.min("odd").alias("odd")))
@@ -213,9 +255,9 @@ def near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_l
     pairs = members.where("node <> pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct()
     pu = size.select(F.col("node").alias("u"), F.col("n_shingles").alias("nu"), F.col("odd").alias("ou"))
     pv = size.select(F.col("node").alias("v"), F.col("n_shingles").alias("nv"), F.col("odd").alias("ov"))
-    alike = (100 * F.least("nu", "nv") >= LINK * F.greatest("nu", "nv")) & (_odd_bits("ou", "ov") <= MAX_ODD)
+    alike = (100 * F.least("nu", "nv") >= by.link * F.greatest("nu", "nv")) & (_odd_bits("ou", "ov") <= by.max_odd)
     close = checkpointed(pairs.join(pu, "u").join(pv, "v").where(alike).select("u", "v"))
-    links = checkpointed(_confirmed(close, classes, texts))
+    links = checkpointed(_confirmed(close, classes, texts, by))
     labels = components(links, "u", "v")
 
     # what is left: buckets that hold several components
@@ -229,9 +271,9 @@ def near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_l
     dealt = dealt.select("bucket", "node", "label", "n_shingles", "odd", "block", F.explode(tiles).alias("t")).select(
         "*", F.col("t.a").alias("tile_a"), F.col("t.b").alias("tile_b")).drop("t")
     schema = "bucket long, node binary, label binary, n_shingles long, block int, tile_a int, tile_b int"
-    close = checkpointed(dealt.groupBy(*_TILE).applyInArrow(_search, schema))
+    close = checkpointed(dealt.groupBy(*_TILE).applyInArrow(lambda t: _search(t, by), schema))
     found = _full_sets(close.select("node").distinct(), classes, texts)
-    more = checkpointed(close.join(found, "node").groupBy(*_TILE).applyInArrow(_link, "u binary, v binary"))
+    more = checkpointed(close.join(found, "node").groupBy(*_TILE).applyInArrow(lambda t: _link(t, by), "u binary, v binary"))
     labels = components(links.union(more), "u", "v")
 
     named = (classes.select("node", "least_id").join(labels, "node", "left")
@@ -245,9 +287,9 @@ def near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_l
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", link: int = LINK) -> DataFrame:
     """``docs`` with one row of each component, of the least id (then text hash); rows without words all stay."""
-    found = near(docs, id_col, text_col, with_label=True)
+    found = near(docs, id_col, text_col, with_label=True, link=link)
     per_row = found.where("kept and label is not null").groupBy("label", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
     one = per_row.groupBy("label").agg(F.min(F.struct("doc_id", "text_key", "n")).alias("f")).select("f.*")
     stays = one.unionByName(found.where("label is null").select("doc_id", "text_key", F.lit(1).alias("n")).distinct())

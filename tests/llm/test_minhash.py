@@ -90,3 +90,28 @@ def test_empty_and_components_of_a_chain(make, spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     got = {r.node: r.label for r in components.components(links, "a", "b").collect()}
     assert got == {k: 0 for k in range(41)} | {100: 100, 101: 100}
+
+
+def test_bands_and_sketch_bits_follow_from_the_similarity():
+    by = minhash.sieve(85)
+    assert (by.bands, by.max_odd) == (20, 68) and minhash.sieve(80).max_odd > 68
+    for link in (50, 80, 85, 95):
+        assert (1 - (link / 100) ** minhash.ROWS) ** minhash.sieve(link).bands <= 1e-5
+
+
+def test_keep_one_links_from_a_given_similarity(make):
+    rng = random.Random(8)
+    rows, pairs = [], 0
+    for k in range(60):  # pairs of similarity 0.80 to 0.85 and of less than 0.80
+        a = [f"v{rng.randrange(10 ** 6)}" for _ in range(104)]
+        cut = rng.choice([10, 11, 9, 13, 16])  # of 100 shingles, the last so many differ
+        b = a[:-cut] + [f"u{rng.randrange(10 ** 6)}" for _ in range(cut)]
+        pairs += 100 * (100 - cut) >= 80 * (100 + cut)
+        rows += [(2 * k, " ".join(a)), (2 * k + 1, " ".join(b))]
+    got = {r.doc_id for r in minhash.keep_one(make(rows), link=80).collect()}
+    assert 0 < pairs < 60 and len(got) == 120 - pairs
+    sets = word_sets([t for _, t in rows])
+    alike = {2 * k + 1 for k in range(60)
+             if 100 * len(sets[2 * k] & sets[2 * k + 1]) >= 80 * len(sets[2 * k] | sets[2 * k + 1])}
+    assert got == set(range(120)) - alike
+    assert minhash.near(make(rows), link=85).where("not kept").count() < len(alike)

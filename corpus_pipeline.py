@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import bpe, language, minhash, mixing, secret_scan
+from tessera.session import ensure_checkpoint_dir
 from tessera.sources.tables import table
 
 #: SQL can state neither the learned language evidence nor BPE; tests hold the rows against brute force.
@@ -42,8 +45,10 @@ STAGES = [("languages", languages), ("near_duplicates", near_duplicates), ("secr
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows for `documents`."""
+    """The last stage's rows for `documents`; every stage is written to the shared folder once and read from there."""
+    folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
     return docs

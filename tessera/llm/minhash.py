@@ -297,5 +297,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", li
     d = docs.select(F.struct(*[F.col(c) for c in names]).alias("row"), F.col(id_col).cast("long").alias("id"),
                     row_key(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("key"))
     joined = d.join(stays, d.id.eqNullSafe(stays.doc_id) & (d.key == stays.text_key))
-    repeats = joined.where("n > 1").dropDuplicates(["id", "key"])  # whole rows that stand there more than once
+    # rows that share id and text: the first by all columns, whoever evaluates it
+    repeats = joined.where("n > 1").groupBy("id", "key").agg(F.min_by("row", F.to_json("row")).alias("row"))
     return joined.where("n = 1").select("row.*").unionByName(repeats.select("row.*"))

@@ -115,3 +115,10 @@ def test_keep_one_links_from_a_given_similarity(make):
              if 100 * len(sets[2 * k] & sets[2 * k + 1]) >= 80 * len(sets[2 * k] | sets[2 * k + 1])}
     assert got == set(range(120)) - alike
     assert minhash.near(make(rows), link=85).where("not kept").count() < len(alike)
+
+
+def test_repeats_that_differ_elsewhere_are_chosen_by_all_columns(spark):
+    schema = "doc_id long, text string, source string"
+    for order in ("abc", "cba", "bca"):
+        docs = spark.createDataFrame([(1, "one two three", c) for c in order] + [(2, "four", "z")], schema).coalesce(1)
+        assert sorted(map(tuple, minhash.keep_one(docs).collect())) == [(1, "one two three", "a"), (2, "four", "z")]

@@ -43,3 +43,18 @@ def test_each_stage_on_what_the_one_before_kept(spark, tmp_path):
         want.append((r.doc_id, len(ids), sha(",".join(map(str, ids))), sha(r.text)))
     assert sorted(map(tuple, tokens.collect())) == sorted(want)
     assert sorted(map(tuple, entry.queries()["pipeline"](spark, DATA).collect())) == sorted(want)
+
+
+def test_run_rereads_each_stage_from_parquet(spark, monkeypatch):
+    read = []
+
+    def keep(spark, docs, sf_dir):
+        read.append(docs.inputFiles())
+        return docs
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", keep), ("two", keep), ("three", keep)])
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    read.append(out.inputFiles())
+    for name, files in zip(["one", "two", "three"], read[1:]):
+        assert files and all(f"/{name}/" in f for f in files)
+    assert out.count() == table(spark, "/root/testdata/sf0.001", "documents").count()

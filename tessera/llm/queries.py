@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, language, lexical, minhash, mixing, quality, quality_rules, secret_scan, spotsigs, suffix_dedup, topk, toxicity
+from tessera.llm import bpe, language, lexical, minhash, mixing, phrases, quality, quality_rules, secret_scan, spotsigs, suffix_dedup, topk, toxicity
 from tessera.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,8 @@ def op11(spark, sf_dir):
 @_query("op12_quality_rules")
 def op12(spark, sf_dir):
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query("op13_phrases", phrases.MINE_SQL)
+def op13(spark, sf_dir):
+    return phrases.mine(table(spark, sf_dir, "documents"))

@@ -236,7 +236,12 @@ def from_pages(pages: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose language stays open."""
+    """``docs`` without the rows whose language stays open.
+
+    Null and empty texts go; rows alike in id and text go or stay together; null ids and all columns,
+    whatever their names, are kept. Without any declared language nothing can be learnt and every row
+    goes. An empty table stays empty.
+    """
     items = from_documents(docs)
     kept = identify(items, train_on(docs)).where("keep").select("doc_id", "text_key").distinct().alias("k")
     d = docs.alias("d")

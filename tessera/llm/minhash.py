@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.columns import c
 from tessera.llm.common import Remembered, checkpointed, mix64, row_key, text_or_empty
 from tessera.llm.components import components
 
@@ -288,13 +289,18 @@ def near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_l
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", link: int = LINK) -> DataFrame:
-    """``docs`` with one row of each component, of the least id (then text hash); rows without words all stay."""
+    """``docs`` with one row of each component, of the least id (then text hash); rows without words all stay.
+
+    Of rows that share id and text the first by all their columns (as JSON) stays, without words
+    too. Null ids stay if no row of their component has an id. Columns keep their order and may have any
+    name. An empty table stays empty.
+    """
     found = near(docs, id_col, text_col, with_label=True, link=link)
     per_row = found.where("kept and label is not null").groupBy("label", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
     one = per_row.groupBy("label").agg(F.min(F.struct("doc_id", "text_key", "n")).alias("f")).select("f.*")
     stays = one.unionByName(found.where("label is null").select("doc_id", "text_key", F.lit(1).alias("n")).distinct())
     names = docs.columns
-    d = docs.select(F.struct(*[F.col(c) for c in names]).alias("row"), F.col(id_col).cast("long").alias("id"),
+    d = docs.select(F.struct(*map(c, names)).alias("row"), F.col(id_col).cast("long").alias("id"),
                     row_key(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("key"))
     joined = d.join(stays, d.id.eqNullSafe(stays.doc_id) & (d.key == stays.text_key))
     # rows that share id and text: the first by all columns, whoever evaluates it

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.columns import c
 from tessera.llm.common import WORD
 
 #: Leading hex digits of the seeded hash that name a block of documents; blocks are summed first.
@@ -56,8 +57,12 @@ def mix(docs: DataFrame, carry=("doc_id",), id_col: str = "doc_id", text_col: st
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     name = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("")), text)
-    rows = docs.select(F.struct(*[F.col(c) for c in carry]).alias("row"), F.col(source_col).alias("source"),
-                       F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.md5(name).alias("h"))
+    rows = docs.select(F.struct(*map(c, carry)).alias("row"), F.col(source_col).alias("source"),
+                       F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.md5(name).alias("h"),
+                       F.col(text_col).isNull().alias("void"))
+    # rows alike in id and text are told apart by what else they carry
+    rest = [x for x in carry if x not in (id_col, text_col)]
+    rows = rows.withColumn("tie", F.to_json(F.struct(*[F.col("row")[x].alias(x) for x in rest])) if rest else F.lit(""))
     rows = rows.withColumn("block", F.substring("h", 1, BLOCK_DIGITS))
     blocks = rows.groupBy("source", "block").agg(F.sum("size").alias("block_size"))
     goal = targets(blocks.groupBy("source").agg(F.sum("block_size").alias("source_size")), weights, share, max_epochs)
@@ -70,7 +75,7 @@ def mix(docs: DataFrame, carry=("doc_id",), id_col: str = "doc_id", text_col: st
     plan = b.join(g, F.col("b.source").eqNullSafe(F.col("g.source"))).select(
         F.col("b.source").alias("s"), F.col("b.block").alias("k"), "before", "source_size", "target", "whole", "rest")
     joined = rows.join(plan, rows.source.eqNullSafe(plan.s) & (rows.block == plan.k)).drop("s", "k")
-    inner = Window.partitionBy("source", "block").orderBy("h", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inner = Window.partitionBy("source", "block").orderBy("h", "size", "void", "tie").rowsBetween(Window.unboundedPreceding, 0)
     start = F.col("before") + F.sum("size").over(inner) - F.col("size")
     extra = (start + F.col("size") / 2 <= F.col("rest")).cast("long")
     return joined.withColumn("repeats", F.col("whole") + extra).select(
@@ -79,7 +84,11 @@ def mix(docs: DataFrame, carry=("doc_id",), id_col: str = "doc_id", text_col: st
 
 
 def sample(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: the rows of ``docs`` with all their columns, each as often as it is taken."""
+    """The mix itself: the rows of ``docs`` with all their columns, each as often as it is taken.
+
+    Null and empty texts have no words and come along where the order puts them. Of rows alike in id
+    and text, the first by their other columns (as JSON) is taken once more first. Column names, repeats and empty tables: as in :func:`mix`.
+    """
     mixed = mix(docs, carry=tuple(docs.columns), **options)
     copies = F.array_repeat(F.lit(0), F.col("repeats").cast("int"))
     return mixed.withColumn("copy", F.explode(copies)).select("row.*")

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.columns import quote
 from tessera.llm.common import checkpointed, row_key
 
 #: The kinds in their listed order, and the least length of what counts (see _KINDS).
@@ -115,17 +116,23 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **opti
 
 
 def redact(docs: DataFrame, mark: str = "[secret]", id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with every live value replaced by ``mark`` in the texts that hold it; copied examples stay."""
+    """``docs`` with every live value replaced by ``mark`` in the texts that hold it; copied examples stay.
+
+    Longer values go first, equally long ones by code point. A null or empty text stays as it is, null
+    ids and repeated rows keep their rows, columns keep their order and may have any name (dots
+    and names of this operator's own columns included). An empty table stays empty.
+    """
     live = (spans(docs, id_col, text_col, **options).where(F.col("kind") == KINDS.index("live"))
             .groupBy("doc_id", "text_key").agg(F.collect_set("value").alias("values")))
-    text = F.col(f"d.{text_col}")
-    longest = F.array_sort(F.coalesce("values", F.array().cast("array<string>")),
+    d_col = lambda name: F.col(f"d.{quote(name)}")
+    text = d_col(text_col)
+    longest = F.array_sort(F.coalesce("s.values", F.array().cast("array<string>")),
                            lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a))
                            .when(a < b, -1).when(a > b, 1).otherwise(0))
     clean = F.aggregate(longest, text, lambda t, v: F.replace(t, v, F.lit(mark)))
-    d = docs.alias("d").join(live.alias("s"), F.col(f"d.{id_col}").cast("long").eqNullSafe(F.col("s.doc_id"))
+    d = docs.alias("d").join(live.alias("s"), d_col(id_col).cast("long").eqNullSafe(F.col("s.doc_id"))
                              & (row_key(F.coalesce(text, F.lit(""))) == F.col("s.text_key")), "left")
-    return d.select(*[clean.alias(c) if c == text_col else F.col(f"d.{c}") for c in docs.columns])
+    return d.select(*[clean.alias(c) if c == text_col else d_col(c) for c in docs.columns])
 
 
 def _kind_sql(kind: str) -> str:

@@ -15,7 +15,7 @@ DATA = "/root/testdata/sf0.01"
 
 def test_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_each_stage_on_what_the_one_before_kept(spark, tmp_path):

@@ -6,17 +6,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value worked out once: a name inside a lambda is not inlined, a column is."""
+    return F.transform(F.array(value), body)[0]
+
+
 def softmax(logits: Column) -> Column:
-    """Exp-normalise along the array: ``exp(x - max) / sum(exp(x - max))``."""
-    m = F.array_max(logits)
-    e = F.transform(logits, lambda x: F.exp(x - m))
-    total = F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(e, lambda x: x / total)
+    """Exp-normalise along the array: ``exp(x - max) / sum(exp(x - max))``, linear in its length."""
+    def shares(e: Column) -> Column:
+        total = F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x)
+        return _bound(total, lambda t: F.transform(e, lambda x: x / t))
+
+    return _bound(F.array_max(logits), lambda m: _bound(F.transform(logits, lambda x: F.exp(x - m)), shares))
 
 
 def argmax(values: Column) -> Column:
     """0-based index of the largest element; the first one wins ties."""
-    return (F.array_position(values, F.array_max(values)) - 1).cast("int")
+    return _bound(values, lambda v: (F.array_position(v, F.array_max(v)) - 1).cast("int"))
 
 
 def confidence(probs: Column) -> Column:

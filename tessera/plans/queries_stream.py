@@ -8,11 +8,11 @@ states the same rule.
 from __future__ import annotations
 
 from tessera.plans.catalog import register, rounded
-from tessera.plans.derived import request_counter
-from tessera.plans.queries_metrics import (RANGE_S, REQUEST_COUNTER_SQL, STEP_S, extrapolated_sql,
-                                           summary_sql)
-from tessera.streaming.rates import stream_rate
-from tessera.streaming.runs import drain, publish_samples, scratch_path
+from tessera.plans.derived import prediction_class_counter, request_counter
+from tessera.plans.queries_metrics import (CLASS_COUNTER_SQL, LONG_RANGE_S, LONG_STEP_S, RANGE_S, REQUEST_COUNTER_SQL,
+                                           STEP_S, extrapolated_sql, summary_sql)
+from tessera.streaming.rates import stream_increase, stream_rate
+from tessera.streaming.runs import drain, publish_in_turn, publish_samples, scratch_path
 
 DELAY_S = 7200  # watermark delay
 
@@ -31,6 +31,24 @@ def q_stream_rate_1h(spark, sf_dir):
     return rounded(drain(out, f"{base}/out", f"{base}/ckpt"), 9)
 
 
+SLICES = 5  # micro-batches of the long stream
+
+
+@register("stream_increase_24h", (
+    f"with {summary_sql(CLASS_COUNTER_SQL, ['prediction_class'], LONG_RANGE_S, LONG_STEP_S)} "
+    f"select prediction_class, make_timestamp(t_us) as t, round({extrapolated_sql(LONG_RANGE_S, False)}, 9) as value "
+    f"from summ where n >= 2 and t_us <= (select max(epoch_us(ts)) - 1 from ({CLASS_COUNTER_SQL})) "
+    f"- {DELAY_S * 1_000_000}"))
+def q_stream_increase_24h(spark, sf_dir):
+    """The class panel's own window and step, fed in several micro-batches."""
+    base = scratch_path(spark, "stream-increase")
+    samples = prediction_class_counter(spark, sf_dir)
+    src = publish_in_turn(samples, f"{base}/samples", "ts", SLICES)
+    stream = spark.readStream.schema(samples.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    out = stream_increase(stream, ["prediction_class"], LONG_RANGE_S, LONG_STEP_S, watermark=f"{DELAY_S} seconds")
+    return rounded(drain(out, f"{base}/out", f"{base}/ckpt"), 9)
+
+
 from tessera.plans.catalog import LINEITEM_COLS, LINEITEM_NULLS_SQL, _union  # noqa: E402
 from tessera.plans.derived import lineitem_with_nulls  # noqa: E402
 from tessera.streaming.quality import stream_quality  # noqa: E402

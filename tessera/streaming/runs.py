@@ -5,7 +5,9 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tessera.functions.columns import c
 from tessera.session import ensure_checkpoint_dir
 from tessera.streaming.triggers import trigger_for
 
@@ -21,6 +23,22 @@ def publish_samples(df: DataFrame, path: str) -> str:
     return path
 
 
+def publish_in_turn(df: DataFrame, path: str, ts: str, slices: int) -> str:
+    """Write samples as files of consecutive spans of time, one span after the other.
+
+    A stream that takes a file at a time then sees several micro-batches in time order.
+    """
+    lo, hi = df.agg(F.min(c(ts)), F.max(c(ts))).first()
+    for k in range(slices):
+        part = df
+        if k:
+            part = part.where(c(ts) >= F.lit(lo + (hi - lo) / slices * k))
+        if k < slices - 1:
+            part = part.where(c(ts) < F.lit(lo + (hi - lo) / slices * (k + 1)))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def drain(stream_result: DataFrame, sink: str, checkpoint: str, cadence: str | None = None,
           timeout_s: float | None = None) -> DataFrame:
     """Append the stream's output to parquet at ``sink`` until the input is drained."""

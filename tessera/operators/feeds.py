@@ -91,16 +91,27 @@ def to_buckets(df: DataFrame, keys: list[str], bounds: list[float], observed: st
     requests (one shuffle of the request rows, not one per bucket); the
     per-bucket rows are made after it.
     """
+    wide = to_histogram(df, keys, bounds, observed, ts, reset_every, order)
+    per_bucket = F.array(*[F.struct(F.lit(bucket_label(b)).alias("le"), F.col(n).alias("value"))
+                           for b, n in zip(*histogram_columns(bounds))])
+    return wide.select(*[c(k) for k in keys], c(ts), F.inline(per_bucket)).select(*[c(k) for k in keys], "le", c(ts), "value")
+
+
+def histogram_columns(bounds: list[float]) -> tuple[list[float], list[str]]:
+    """Ascending bounds with ``+Inf``, and the names of their columns in a wide histogram."""
     bounds = sorted(set(float(b) for b in bounds) | {float("inf")})
+    return bounds, [f"bucket_{i}" for i, _ in enumerate(bounds)]
+
+
+def to_histogram(df: DataFrame, keys: list[str], bounds: list[float], observed: str = "duration",
+                 ts: str = "ts", reset_every: str | float | None = None,
+                 order: list[str] | None = None) -> DataFrame:
+    """The same histogram with one row per request: ``(keys..., ts, bucket_0, ...)``, see :func:`histogram_columns`."""
+    bounds, counts = histogram_columns(bounds)
     hits = {f"__h{i}": (F.col("__obs") <= F.lit(b)).cast("double") for i, b in enumerate(bounds)}
     d = df.select(*[c(k) for k in keys], c(ts), c(observed).alias("__obs"), *[c(o) for o in (order or [])])
-    d = d.withColumns(hits)
-    counts = [f"__b{i}" for i in range(len(bounds))]
-    run = running_total(d, keys, ts, list(hits), order, reset_every, out=counts)
-    per_bucket = F.array(*[F.struct(F.lit(bucket_label(b)).alias("le"), F.col(n).alias("value"))
-                           for b, n in zip(bounds, counts)])
-    out = run.select(*[c(k) for k in keys], c(ts), F.inline(per_bucket))
-    return out.select(*[c(k) for k in keys], "le", c(ts), "value")
+    run = running_total(d.withColumns(hits), keys, ts, list(hits), order, reset_every, out=counts)
+    return run.select(*[c(k) for k in keys], c(ts), *counts)
 
 
 def class_counter(scored: DataFrame, prediction: str = "prediction") -> DataFrame:

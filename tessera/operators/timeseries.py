@@ -25,6 +25,9 @@ Scale design (no range join, no per-sample fan-out, no whole-series task):
 
 from __future__ import annotations
 
+import builtins
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +44,10 @@ def reset_step(value: Column, prev: Column) -> Column:
             .when(value >= prev, value - prev).otherwise(value)
 
 
+def _list(value: str | list[str]) -> list[str]:
+    return [value] if isinstance(value, str) else list(value)
+
+
 def counter_delta(df: DataFrame, keys: list[str], ts: str = "ts", value: str = "value",
                   chunk: str | float = "1 day") -> DataFrame:
     """Total reset-aware increase per series over all its samples.
@@ -50,7 +57,7 @@ def counter_delta(df: DataFrame, keys: list[str], ts: str = "ts", value: str = "
     """
     iv = _intervals(df, keys, seconds(chunk), ts, value, True)
     return (iv.groupBy(*[c(k) for k in keys])
-              .agg(F.sum(F.col("__inner") + F.col("__bstep")).alias("increase"),
+              .agg(F.sum(F.col("__inner0") + F.col("__bstep0")).alias("increase"),
                    F.sum("__n").alias("samples")))
 
 
@@ -59,32 +66,40 @@ def _with_interval(df: DataFrame, ts: str, step_us: int) -> DataFrame:
     return df.withColumn("__us", us).withColumn("__k", F.expr(f"(__us - 1) div {step_us} + 1"))
 
 
-def _intervals(df: DataFrame, keys: list[str], step_s: float, ts: str, value: str,
+def _intervals(df: DataFrame, keys: list[str], step_s: float, ts: str, value: str | list[str],
                counter: bool, chunk_s: float = DAY_S) -> DataFrame:
     """One row per (series, step interval): count, first/last sample, inner increase,
     plus the boundary step to the previous non-empty interval and running sums.
 
+    ``value`` may be several columns, counters that share their samples (a histogram's buckets):
+    they travel in one row; a number at the end of a column's name says whose it is.
+
     Running values are two-phase, so no task sorts a whole series: a window
     inside each (series, chunk of intervals), plus a per-chunk table (one row
     per series and chunk) that carries the neighbours across chunk edges and
     the exclusive totals of earlier chunks. Internal columns carry a ``__``
     prefix so they never meet a label name.
     """
+    values = _list(value)
+    of = range(len(values))
     step_us = int(round(step_s * 1_000_000))
     per_chunk = max(1, int(chunk_s // step_s))
     # the series is one non-null struct of its labels: a label may be null (a series
     # without it), and struct equality keeps such series in the chunk join below
     sk = F.struct(*[c(k) for k in keys]) if keys else F.lit(0)
-    s = _with_interval(df.select(sk.alias("__sk"), c(ts), c(value).cast("double").alias("__v")), ts, step_us)
-    s = s.where(F.col("__us").isNotNull() & F.col("__v").isNotNull())
-    w_in = Window.partitionBy("__sk", "__k").orderBy("__us", "__v")  # equal times by value
-    s = s.withColumn("__step", reset_step(F.col("__v"), F.lag("__v").over(w_in)) if counter
-                     else F.lit(0.0))
+    s = _with_interval(df.select(sk.alias("__sk"), c(ts), *[c(v).cast("double").alias(f"__v{i}") for i, v in enumerate(values)]),
+                       ts, step_us)
+    s = s.where(F.col("__us").isNotNull() & reduce(Column.__and__, [F.col(f"__v{i}").isNotNull() for i in of]))
+    sample = ["__us", *[f"__v{i}" for i in of]]
+    w_in = Window.partitionBy("__sk", "__k").orderBy(*sample)  # equal times by value
+    s = s.withColumns({f"__step{i}": reset_step(F.col(f"__v{i}"), F.lag(f"__v{i}").over(w_in)) if counter
+                       else F.lit(0.0) for i in of})
     iv = s.groupBy("__sk", "__k").agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.min("__us").alias("__first_us"), F.min(F.struct("__us", "__v"))["__v"].alias("__first_v"),
-        F.max("__us").alias("__last_us"), F.max(F.struct("__us", "__v"))["__v"].alias("__last_v"),
-        F.coalesce(F.sum("__step"), F.lit(0.0)).alias("__inner"))
+        F.count(F.lit(1)).alias("__n"), F.min(F.struct(*sample)).alias("__first"), F.max(F.struct(*sample)).alias("__last"),
+        *[F.coalesce(F.sum(f"__step{i}"), F.lit(0.0)).alias(f"__inner{i}") for i in of])
+    iv = iv.select("__sk", "__k", "__n", F.col("__first.__us").alias("__first_us"), F.col("__last.__us").alias("__last_us"),
+                   *[F.col(f"__first.__v{i}").alias(f"__first_v{i}") for i in of],
+                   *[F.col(f"__last.__v{i}").alias(f"__last_v{i}") for i in of], *[f"__inner{i}" for i in of])
     # non-null chunk number: no null filter is inferred from the join, so both join
     # branches keep the same plan and share the sample shuffle
     iv = iv.withColumn("__c", F.coalesce(F.expr(f"__k div {per_chunk}"), F.lit(0).cast("long")))
@@ -92,42 +107,45 @@ def _intervals(df: DataFrame, keys: list[str], step_s: float, ts: str, value: st
     # phase 1: neighbours and running sums inside each (series, chunk)
     w_c = Window.partitionBy("__sk", "__c").orderBy("__k")
     run_c = w_c.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prev_last = F.lag("__last_v").over(w_c)
-    inner_b = F.coalesce(reset_step(F.col("__first_v"), prev_last), F.lit(0.0)) if counter else F.lit(0.0)
+
+    def edge(i, previous):
+        return F.coalesce(reset_step(F.col(f"__first_v{i}"), previous), F.lit(0.0)) if counter else F.lit(0.0)
+
     iv = iv.withColumns({"__prev_in": F.lag("__k").over(w_c), "__next_in": F.lead("__k").over(w_c),
-                         "__b_in": inner_b})
-    iv = iv.withColumns({"__cum_in": F.sum(F.col("__inner") + F.col("__b_in")).over(run_c),
-                         "__ncum_in": F.sum("__n").over(run_c)})
+                         **{f"__b_in{i}": edge(i, F.lag(f"__last_v{i}").over(w_c)) for i in of}})
+    iv = iv.withColumns({"__ncum_in": F.sum("__n").over(run_c),
+                         **{f"__cum_in{i}": F.sum(F.col(f"__inner{i}") + F.col(f"__b_in{i}")).over(run_c) for i in of}})
 
     # phase 2: one row per (series, chunk); same partitioning as phase 1, no exchange
     ch = iv.groupBy("__sk", "__c").agg(
-        F.min("__k").alias("__ck_first"), F.min_by("__first_v", "__k").alias("__cv_first"),
-        F.max("__k").alias("__ck_last"), F.max_by("__last_v", "__k").alias("__cv_last"),
-        F.sum(F.col("__inner") + F.col("__b_in")).alias("__csum"), F.sum("__n").alias("__cn"))
+        F.min("__k").alias("__ck_first"), F.max("__k").alias("__ck_last"), F.sum("__n").alias("__cn"),
+        *[F.min_by(f"__first_v{i}", "__k").alias(f"__first_v{i}") for i in of],
+        *[F.max_by(f"__last_v{i}", "__k").alias(f"__last_v{i}") for i in of],
+        *[F.sum(F.col(f"__inner{i}") + F.col(f"__b_in{i}")).alias(f"__csum{i}") for i in of])
     w_ch = Window.partitionBy("__sk").orderBy("__c")
     before = w_ch.rowsBetween(Window.unboundedPreceding, -1)
-    cb = F.coalesce(reset_step(F.col("__cv_first"), F.lag("__cv_last").over(w_ch)), F.lit(0.0)) \
-        if counter else F.lit(0.0)
     ch = ch.withColumns({"__cprev_k": F.lag("__ck_last").over(w_ch), "__cnext_k": F.lead("__ck_first").over(w_ch),
-                         "__cb": cb})
-    ch = ch.select("__sk", "__c", "__cprev_k", "__cnext_k", "__cb",
-                   F.coalesce(F.sum(F.col("__csum") + F.col("__cb")).over(before), F.lit(0.0)).alias("__coff"),
+                         **{f"__cb{i}": edge(i, F.lag(f"__last_v{i}").over(w_ch)) for i in of}})
+    ch = ch.select("__sk", "__c", "__cprev_k", "__cnext_k", *[f"__cb{i}" for i in of],
+                   *[F.coalesce(F.sum(F.col(f"__csum{i}") + F.col(f"__cb{i}")).over(before), F.lit(0.0)).alias(f"__coff{i}")
+                     for i in of],
                    F.coalesce(F.sum("__cn").over(before), F.lit(0)).alias("__cnoff"))
 
     first_in_chunk = F.col("__prev_in").isNull()
     out = iv.join(ch, ["__sk", "__c"])
+    kept = ["__first_v", "__last_v", "__inner"]
     return out.select(
         *[F.col("__sk").getField(k).alias(k) for k in keys],
-        "__k", "__n", "__first_us", "__first_v", "__last_us", "__last_v", "__inner",
+        "__k", "__n", "__first_us", "__last_us", *[f"{x}{i}" for x in kept for i in of],
         F.coalesce("__prev_in", "__cprev_k").alias("__prev_k"),
         F.coalesce("__next_in", "__cnext_k").alias("__next_k"),
-        F.when(first_in_chunk, F.col("__cb")).otherwise(F.col("__b_in")).alias("__bstep"),
-        (F.col("__coff") + F.col("__cb") + F.col("__cum_in")).alias("__cum"),
+        *[F.when(first_in_chunk, F.col(f"__cb{i}")).otherwise(F.col(f"__b_in{i}")).alias(f"__bstep{i}") for i in of],
+        *[(F.col(f"__coff{i}") + F.col(f"__cb{i}") + F.col(f"__cum_in{i}")).alias(f"__cum{i}") for i in of],
         (F.col("__cnoff") + F.col("__ncum_in")).alias("__ncum"))
 
 
 def range_summary(df: DataFrame, keys: list[str], range: str | float, step: str | float,
-                  ts: str = "ts", value: str = "value", counter: bool = True,
+                  ts: str = "ts", value: str | list[str] = "value", counter: bool = True,
                   chunk: str | float = DAY_S, closed: str = "right") -> DataFrame:
     """Per series and step end ``t``: the samples in ``(t - range, t]``
     (``closed="both"``: ``[t - range, t]``, the older rule).
@@ -137,7 +155,9 @@ def range_summary(df: DataFrame, keys: list[str], range: str | float, step: str
     between first and last sample when ``counter``). One row for every step
     whose window holds at least one sample. ``chunk`` is the span of
     intervals one running-sum task sorts (results do not depend on it).
+    Several values that share their samples give arrays ``first_v``, ``last_v``, ``delta``.
     """
+    of = builtins.range(len(_list(value)))
     if closed not in ("right", "both"):
         raise ValueError(f"closed must be 'right' or 'both', not {closed!r}")
     range_s, step_s = seconds(range), seconds(step)
@@ -163,49 +183,50 @@ def range_summary(df: DataFrame, keys: list[str], range: str | float, step: str
     if closed == "both":
         on_edge = F.col("__last_us") == k * F.lit(step_us)
         parts.append(F.filter(F.array(tag(k + n_steps, 2)), lambda x: on_edge))
-    e = iv.select(*kcols, F.explode(F.concat(*parts)).alias("__e"), "__first_us", "__first_v", "__last_us",
-                  "__last_v", "__n", "__inner", "__cum", "__ncum")
-    kind = F.col("__e.T")
-
-    def side(t, col):
-        return F.max(F.when(kind == t, F.col(col)))
-
-    aggs = [side(1, "__last_us").alias("__last_us"), side(1, "__last_v").alias("__last_v"),
-            side(1, "__cum").alias("__cum_last"), side(1, "__ncum").alias("__ncum_last"),
-            side(0, "__first_us").alias("__first_us"), side(0, "__first_v").alias("__first_v"),
-            side(0, "__n").alias("__n_first"), side(0, "__inner").alias("__inner_first"),
-            side(0, "__cum").alias("__cum_first"), side(0, "__ncum").alias("__ncum_first")]
+    each = [f"{x}{i}" for x in ("__first_v", "__last_v", "__inner", "__cum") for i in of]
+    e = iv.select(*kcols, F.explode(F.concat(*parts)).alias("__e"), "__first_us", "__last_us", "__n", "__ncum", *each)
+    kind = F.col("__e.K"), F.col("__e.T")
+
+    def side(t, col, name=None):
+        return F.max(F.when(kind[1] == t, F.col(col))).alias(name or f"{col}_{t}")
+
+    aggs = [side(1, "__last_us"), side(1, "__ncum"), side(0, "__first_us"), side(0, "__n"), side(0, "__ncum")]
+    aggs += [side(t, f"{x}{i}") for i in of for t, x in ((1, "__last_v"), (1, "__cum"), (0, "__first_v"), (0, "__inner"), (0, "__cum"))]
     if closed == "both":
-        aggs += [side(2, "__last_us").alias("__edge_us"), side(2, "__last_v").alias("__edge_v")]
-    j = e.groupBy(*kcols, F.col("__e.K").alias("__K")).agg(*aggs)
+        aggs += [side(2, "__last_us"), *[side(2, f"__last_v{i}") for i in of]]
+    j = e.groupBy(*kcols, kind[0].alias("__K")).agg(*aggs)
     t_us = F.col("__K") * F.lit(step_us)
-    n = F.col("__ncum_last") - F.col("__ncum_first") + F.col("__n_first")
-    first_us, first_v = F.col("__first_us"), F.col("__first_v")
-    last_us, last_v = F.col("__last_us"), F.col("__last_v")
-    delta = F.col("__cum_last") - F.col("__cum_first") + F.col("__inner_first")
+    n = F.col("__ncum_1") - F.col("__ncum_0") + F.col("__n_0")
+    first_us, last_us = F.col("__first_us_0"), F.col("__last_us_1")
+    firsts, lasts = [F.col(f"__first_v{i}_0") for i in of], [F.col(f"__last_v{i}_1") for i in of]
+    deltas = [F.col(f"__cum{i}_1") - F.col(f"__cum{i}_0") + F.col(f"__inner{i}_0") for i in of]
     if closed == "both":
-        edge = F.col("__edge_us").isNotNull()
+        edge = F.col("__last_us_2").isNotNull()
         inside = n.isNotNull()
-        edge_step = reset_step(first_v, F.col("__edge_v")) if counter else F.lit(0.0)
-        delta = F.when(edge & inside, delta + edge_step).when(edge, F.lit(0.0)).otherwise(delta)
+        for i in of:
+            at = F.col(f"__last_v{i}_2")
+            edge_step = reset_step(firsts[i], at) if counter else F.lit(0.0)
+            deltas[i] = F.when(edge & inside, deltas[i] + edge_step).when(edge, F.lit(0.0)).otherwise(deltas[i])
+            firsts[i] = F.when(edge, at).otherwise(firsts[i])
+            lasts[i] = F.when(inside, lasts[i]).otherwise(at)
         n = F.coalesce(n, F.lit(0)) + F.when(edge, 1).otherwise(0)
-        first_us = F.when(edge, F.col("__edge_us")).otherwise(first_us)
-        first_v = F.when(edge, F.col("__edge_v")).otherwise(first_v)
-        last_us = F.coalesce(last_us, F.col("__edge_us"))
-        last_v = F.when(inside, last_v).otherwise(F.col("__edge_v"))
+        first_us = F.when(edge, F.col("__last_us_2")).otherwise(first_us)
+        last_us = F.coalesce(last_us, F.col("__last_us_2"))
+    one = (lambda cols: cols[0]) if isinstance(value, str) else (lambda cols: F.array(*cols))
     return j.select(
         *kcols, ntz_from_micros(t_us).alias("t"), t_us.alias("t_us"), n.alias("n"),
-        first_us.alias("first_us"), first_v.alias("first_v"), last_us.alias("last_us"),
-        last_v.alias("last_v"), delta.alias("delta"))
+        first_us.alias("first_us"), one(firsts).alias("first_v"), last_us.alias("last_us"),
+        one(lasts).alias("last_v"), one(deltas).alias("delta"))
 
 
-def _extrapolated(summary: DataFrame, range_s: float, counter: bool, as_rate: bool) -> Column:
+def _extrapolated(summary: DataFrame, range_s: float, counter: bool, as_rate: bool, of: int | None = None) -> Column:
     """Extend the observed increase to the window edges.
 
     An edge gap counts fully while under 1.1 x the mean sample spacing,
     else half a spacing; for counters the start never goes before the
-    point where the counter would have been zero.
+    point where the counter would have been zero. ``of`` names one of several values.
     """
+    of_value = (lambda name: F.col(name)) if of is None else (lambda name: F.col(name)[of])
     n = F.col("n").cast("double")
     t_end = F.col("t_us").cast("double")
     t_start = t_end - range_s * 1e6
@@ -214,11 +235,11 @@ def _extrapolated(summary: DataFrame, range_s: float, counter: bool, as_rate: bo
     sampled = (F.col("last_us") - F.col("first_us")) / 1e6
     avg_gap = sampled / (n - 1)
     threshold = avg_gap * 1.1
-    delta = F.col("delta")
+    delta, first_v = of_value("delta"), of_value("first_v")
     ds = F.when(dur_start >= threshold, avg_gap / 2).otherwise(dur_start)
     if counter:
-        to_zero = sampled * (F.col("first_v") / delta)
-        ds = F.when((delta > 0) & (F.col("first_v") >= 0) & (to_zero < ds), to_zero).otherwise(ds)
+        to_zero = sampled * (first_v / delta)
+        ds = F.when((delta > 0) & (first_v >= 0) & (to_zero < ds), to_zero).otherwise(ds)
     de = F.when(dur_end >= threshold, avg_gap / 2).otherwise(dur_end)
     factor = (sampled + ds + de) / sampled
     if as_rate:
@@ -227,21 +248,24 @@ def _extrapolated(summary: DataFrame, range_s: float, counter: bool, as_rate: bo
 
 
 def increase(df: DataFrame, keys: list[str], range: str | float, step: str | float,
-             ts: str = "ts", value: str = "value", extrapolate: bool = True,
+             ts: str = "ts", value: str | list[str] = "value", extrapolate: bool = True,
              as_rate: bool = False, closed: str = "right") -> DataFrame:
     """Counter increase over ``(t - range, t]`` (or ``[t - range, t]``) per series
-    and step; needs 2 samples."""
+    and step; needs 2 samples. Several values that share their samples keep their names."""
     range_s = seconds(range)
     s = range_summary(df, keys, range, step, ts, value, counter=True, closed=closed).where(F.col("n") >= 2)
-    if extrapolate:
-        out = _extrapolated(s, range_s, counter=True, as_rate=as_rate)
-    else:
-        out = F.col("delta") / range_s if as_rate else F.col("delta")
-    return s.select(*[c(k) for k in keys], "t", out.alias("value"))
+    def out(of):
+        if extrapolate:
+            return _extrapolated(s, range_s, counter=True, as_rate=as_rate, of=of)
+        delta = F.col("delta") if of is None else F.col("delta")[of]
+        return delta / range_s if as_rate else delta
+
+    named = [out(None).alias("value")] if isinstance(value, str) else [out(i).alias(v) for i, v in enumerate(value)]
+    return s.select(*[c(k) for k in keys], "t", *named)
 
 
 def rate(df: DataFrame, keys: list[str], range: str | float, step: str | float,
-         ts: str = "ts", value: str = "value", extrapolate: bool = True, closed: str = "right") -> DataFrame:
+         ts: str = "ts", value: str | list[str] = "value", extrapolate: bool = True, closed: str = "right") -> DataFrame:
     """Per-second counter rate over ``(t - range, t]`` (or ``[t - range, t]``) per series and step."""
     return increase(df, keys, range, step, ts, value, extrapolate, as_rate=True, closed=closed)
 
@@ -284,6 +308,19 @@ def histogram_quantile(df: DataFrame, q: float, by: list[str], le: str = "le",
     merged = df.withColumn("__ub", bound).groupBy(*group, "__ub").agg(F.sum(c(value).cast("double")).alias("__cnt"))
     g = merged.groupBy(*group).agg(F.array_sort(F.collect_list(
         F.struct(F.col("__ub").alias("ub"), F.col("__cnt").alias("cnt")))).alias("__b"))
+    return _quantile(g, q, group, value)
+
+
+def histogram_quantile_wide(df: DataFrame, q: float, by: list[str], counts: list[str], bounds: list[float],
+                            value: str = "value", time_col: str = "t") -> DataFrame:
+    """The same from one row per group and step with a column for each bucket, ascending ``bounds``."""
+    group = [c(time_col)] + [c(b) for b in by]
+    buckets = F.array(*[F.struct(F.lit(float(b)).alias("ub"), c(n).cast("double").alias("cnt")) for b, n in zip(bounds, counts)])
+    return _quantile(df.select(*group, buckets.alias("__b")), q, group, value)
+
+
+def _quantile(g: DataFrame, q: float, group: list[Column], value: str) -> DataFrame:
+    """Quantile of the sorted buckets ``__b`` of each row."""
     mono = F.expr("transform(__b, (x, i) -> named_struct('ub', x.ub, 'cnt', "
                   "array_max(transform(slice(__b, 1, i + 1), y -> y.cnt))))")
     g = g.withColumn("__b", mono)

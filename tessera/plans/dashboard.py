@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.labels import match, series_name
-from tessera.operators.timeseries import (histogram_quantile, increase, last_not_null, latest, rate,
+from tessera.operators.feeds import histogram_columns
+from tessera.operators.timeseries import (histogram_quantile, histogram_quantile_wide, increase, last_not_null, latest, rate,
                                           sum_by, threshold_band)
 
 # Fixed values from the dashboard: label matchers (also applied to a feed's log, before its running
@@ -41,6 +42,16 @@ def latency_quantile(buckets: DataFrame, q: float, range="1 minute", step="15 se
     return h.withColumn("series", series_name(h, legend))
 
 
+def latency_quantile_wide(histogram: DataFrame, bounds: list[float], q: float, range="1 minute", step="15 seconds",
+                          legend: str = "p95 - {{path}}") -> DataFrame:
+    """The same panel from one row per request with a column for each bucket (``feeds.to_histogram``)."""
+    bounds, counts = histogram_columns(bounds)
+    r = rate(histogram, ["path"], range, step, value=counts)
+    r = r.groupBy("t", "path").agg(*[F.sum(n).alias(n) for n in counts])
+    h = histogram_quantile_wide(r, q, ["path"], counts, bounds)
+    return h.withColumn("series", series_name(h, legend))
+
+
 def prediction_rate(counter: DataFrame, range="5 minutes", step="15 seconds") -> DataFrame:
     """Total successful ``/predict...`` requests per second."""
     sel = match(counter, OK, PREDICT)

@@ -96,6 +96,12 @@ def latency_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_buckets(request_log(spark, sf_dir), ["path"], LATENCY_BOUNDS, reset_every=RESET_EVERY)
 
 
+def latency_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same histogram per path, one row per request."""
+    from tessera.operators.feeds import to_histogram
+    return to_histogram(request_log(spark, sf_dir), ["path"], LATENCY_BOUNDS, reset_every=RESET_EVERY)
+
+
 def cpu_counter(spark: SparkSession, sf_dir: str, *matchers) -> DataFrame:
     """CPU seconds per pod: running sum of request durations, restarted daily."""
     from tessera.operators.feeds import to_counters

@@ -1,9 +1,9 @@
 """Queries for metric feeds, label matching, rates, increases and dashboard panels.
 
 The driver's events are sparse (one request per series every ~20 minutes
-at sf0.01), so the registered panels use hour-scale windows; range and
-step are parameters of every panel function. Oracles are brute force:
-each step joined to every sample of its window.
+at sf0.01), so the registered panels use hour-scale windows, where most windows hold
+samples; the ``_1m`` and ``_5m`` ones run at the dashboard's own windows and step. Oracles are
+brute force: each step joined to every sample of its window.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from tessera.operators.feeds import class_counter
 from tessera.operators.timeseries import _extrapolated, counter_delta, increase, range_summary, rate
 from tessera.plans import dashboard as dash
 from tessera.plans.catalog import REQUEST_LOG_SQL, register, rounded
-from tessera.plans.derived import (LATENCY_BOUNDS, cpu_counter, latency_buckets, memory_gauge,
+from tessera.plans.derived import (LATENCY_BOUNDS, cpu_counter, latency_buckets, latency_histogram, memory_gauge,
                                    scraped_request_counter,
                                    prediction_class_counter, request_counter)
 from tessera.sources.tables import table
@@ -249,9 +249,9 @@ def q_panel_error_rate(spark, sf_dir):
     return rounded(dash.error_rate(request_counter(spark, sf_dir, dash.FAILED), RANGE_S, STEP_S), DIGITS)
 
 
-def _quantile_sql(q: float, legend: str) -> str:
-    rates = (f"select path, le, t_us, {extrapolated_sql(RANGE_S, True)} as cnt from summ where n >= 2")
-    return f"""with {summary_sql(LATENCY_BUCKETS_SQL, ['path', 'le'], RANGE_S, STEP_S)},
+def _quantile_sql(q: float, legend: str, range_s: int = RANGE_S, step_s: int = STEP_S) -> str:
+    rates = (f"select path, le, t_us, {extrapolated_sql(range_s, True)} as cnt from summ where n >= 2")
+    return f"""with {summary_sql(LATENCY_BUCKETS_SQL, ['path', 'le'], range_s, step_s)},
 hb as (select path, t_us, case when le = '+Inf' then 'inf'::double else cast(le as double) end as ub,
               sum(cnt) as cnt from ({rates}) group by path, t_us, le),
 hm as (select *, max(cnt) over (partition by path, t_us order by ub rows between unbounded preceding
@@ -277,14 +277,14 @@ select make_timestamp(t_us) as t, path, {_r('value')} as value, '{legend}' || pa
 
 @register("panel_latency_p95", _quantile_sql(0.95, "p95 - "))
 def q_panel_latency_p95(spark, sf_dir):
-    return rounded(dash.latency_quantile(latency_buckets(spark, sf_dir), dash.P95, RANGE_S, STEP_S,
-                                         "p95 - {{path}}"), DIGITS)
+    return rounded(dash.latency_quantile_wide(latency_histogram(spark, sf_dir), LATENCY_BOUNDS, dash.P95, RANGE_S, STEP_S,
+                                              "p95 - {{path}}"), DIGITS)
 
 
 @register("panel_latency_p50", _quantile_sql(0.5, "median - "))
 def q_panel_latency_p50(spark, sf_dir):
-    return rounded(dash.latency_quantile(latency_buckets(spark, sf_dir), dash.P50, RANGE_S, STEP_S,
-                                         "median - {{path}}"), DIGITS)
+    return rounded(dash.latency_quantile_wide(latency_histogram(spark, sf_dir), LATENCY_BOUNDS, dash.P50, RANGE_S, STEP_S,
+                                              "median - {{path}}"), DIGITS)
 
 
 _PRED_RATE_SQL = (
@@ -322,6 +322,68 @@ def q_panel_pod_memory(spark, sf_dir):
     return rounded(dash.pod_memory(memory_gauge(spark, sf_dir), STEP_S, RANGE_S), 6)
 
 
+# ---- the panels at the dashboard's own windows, every 15 seconds ---------------
+
+OWN_RANGE_S, OWN_LONG_S, OWN_STEP_S = 60, 300, 15
+
+
+def _own(src: str, keys: list[str], range_s: int, counter: bool = True) -> str:
+    return summary_sql(src, keys, range_s, OWN_STEP_S, counter)
+
+
+_OWN_RATE = _r(extrapolated_sql(OWN_RANGE_S, True))
+
+
+@register("panel_request_rate_1m", (
+    f"with {_own(REQUEST_COUNTER_SQL, ['path', 'status'], OWN_RANGE_S)} "
+    f"select path, status, {_t()}, {_OWN_RATE} as value, path as series from summ where n >= 2 and status = '200'"))
+def q_panel_request_rate_1m(spark, sf_dir):
+    return rounded(dash.request_rate(request_counter(spark, sf_dir, dash.OK)), DIGITS)
+
+
+@register("panel_error_rate_1m", (
+    f"with {_own(REQUEST_COUNTER_SQL, ['path', 'status'], OWN_RANGE_S)} "
+    f"select path, status, {_t()}, {_OWN_RATE} as value, status || ' - ' || path as series "
+    f"from summ where n >= 2 and status <> '200'"))
+def q_panel_error_rate_1m(spark, sf_dir):
+    return rounded(dash.error_rate(request_counter(spark, sf_dir, dash.FAILED)), DIGITS)
+
+
+def _own_quantile(name: str, q: float, legend: str):
+    @register(name, _quantile_sql(q, legend, OWN_RANGE_S, OWN_STEP_S))
+    def q_own_quantile(spark, sf_dir):
+        return rounded(dash.latency_quantile_wide(latency_histogram(spark, sf_dir), LATENCY_BOUNDS, q,
+                                                  legend=legend + "{{path}}"), DIGITS)
+
+
+_own_quantile("panel_latency_p95_1m", dash.P95, "p95 - ")
+_own_quantile("panel_latency_p50_1m", dash.P50, "median - ")
+
+
+@register("panel_prediction_rate_5m", (
+    f"with {_own(REQUEST_COUNTER_SQL, ['path', 'status'], OWN_LONG_S)} "
+    f"select {_t()}, {_r(f'sum({extrapolated_sql(OWN_LONG_S, True)})')} as value from summ "
+    f"where n >= 2 and status = '200' and regexp_full_match(path, '/predict.*') group by t_us"))
+def q_panel_prediction_rate_5m(spark, sf_dir):
+    return rounded(dash.prediction_rate(request_counter(spark, sf_dir, dash.OK, dash.PREDICT)), DIGITS)
+
+
+@register("panel_pod_cpu_1m", (
+    f"with {_own(CPU_COUNTER_SQL, ['pod'], OWN_RANGE_S)} "
+    f"select {_t()}, pod, {_r(f'sum({extrapolated_sql(OWN_RANGE_S, True)}) * 100')} as value, pod as series "
+    f"from summ where n >= 2 and regexp_full_match(pod, 'ml-api.*') group by t_us, pod"))
+def q_panel_pod_cpu_1m(spark, sf_dir):
+    return rounded(dash.pod_cpu(cpu_counter(spark, sf_dir, dash.ML_PODS)), DIGITS)
+
+
+@register("panel_pod_memory_5m", (
+    f"with {_own(MEMORY_GAUGE_SQL, ['pod'], OWN_LONG_S, counter=False)} "
+    f"select {_t()}, pod, round(sum(last_v), 6) as value, pod as series "
+    f"from summ where regexp_full_match(pod, 'ml-api.*') group by t_us, pod"))
+def q_panel_pod_memory_5m(spark, sf_dir):
+    return rounded(dash.pod_memory(memory_gauge(spark, sf_dir)), 6)
+
+
 _CLASS_INC_SQL = (
     f"with {summary_sql(CLASS_COUNTER_SQL, ['prediction_class'], LONG_RANGE_S, LONG_STEP_S)}, "
     f"ci as (select t_us, prediction_class, sum({extrapolated_sql(LONG_RANGE_S, False)}) as value "

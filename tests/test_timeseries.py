@@ -233,3 +233,27 @@ def test_matchers_compare_whole_values_with_newlines(spark):
     df = spark.createDataFrame([("ab\n",), ("ab",), ("a\nb",)], "pod string")
     assert [r["pod"] for r in match(df, ("pod", "=~", "ab")).collect()] == ["ab"]
     assert [r["pod"] for r in match(df, ("pod", "=~", "a.b")).collect()] == ["a\nb"]
+
+
+def test_wide_histogram_equals_one_row_a_bucket(spark):
+    from datetime import datetime, timedelta
+
+    from tessera.operators.feeds import to_buckets, to_histogram
+    from tessera.plans import dashboard as dash
+    rows = [(f"/p{i % 3}", datetime(2024, 1, 1) + timedelta(seconds=7 * i), (i * 37 % 100) / 40) for i in range(600)]
+    log = spark.createDataFrame(rows + [("/p0", rows[5][1], 0.3), (None, rows[9][1], 0.1), (None, rows[19][1], 0.2)],
+                                "path string, ts timestamp_ntz, duration double")
+    bounds = [0.5, 0.1, 2.0]
+    for q in (0.0, 0.5, 0.95, 1.0):
+        a = dash.latency_quantile(to_buckets(log, ["path"], bounds, reset_every="1 hour", order=["duration"]), q, "2 minutes", "30 seconds")
+        b = dash.latency_quantile_wide(to_histogram(log, ["path"], bounds, reset_every="1 hour", order=["duration"]), bounds, q, "2 minutes", "30 seconds")
+        norm = lambda df: sorted((str(r.t), str(r.path), str(round(r.value, 9)), r.series) for r in df.select("t", "path", "value", "series").collect())
+        assert norm(a) == norm(b) and a.count() > 100
+
+
+def test_one_request_is_one_row_through_the_shuffle(spark):
+    from tessera.plans.derived import latency_histogram
+    from tessera.plans import dashboard as dash
+    wide = dash.latency_quantile_wide(latency_histogram(spark, "/root/testdata/sf0.001"), [0.1, 0.25, 0.5, 1.0, 2.5, 5.0], 0.95)
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate inline" not in plan  # nothing multiplies a request by its buckets; only steps are generated

@@ -15,72 +15,126 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Remembered, checkpointed
+from tessera.llm.common import checkpointed, mix64
 
-#: Phrases of one trie, and words that are walked at once.
-BLOCK_PHRASES, CHUNK_WORDS = 1 << 18, 1 << 20
+#: Phrases of one trie, and bytes of text that are walked at once.
+BLOCK_PHRASES, CHUNK_BYTES = 1 << 18, 1 << 21
 #: Characters between pieces, and between words.
 PIECE_ENDS, WORD_ENDS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
-_CUT = bytes.maketrans(PIECE_ENDS + WORD_ENDS, b"\n" * len(PIECE_ENDS) + b" " * len(WORD_ENDS))
-#: Hash values that no word has: nothing, and the end of a piece.
-_NOTHING, _END = np.uint64(0), np.uint64(1)
+_ENDS = np.isin(np.arange(256), list(PIECE_ENDS))
+_IN_WORD = ~np.isin(np.arange(256), list(PIECE_ENDS + WORD_ENDS))
+#: Hash value that no word has: the end of a piece.
+_END = np.uint64(1)
 _LOW = (1 << 28) - 1
 _SCHEMA = "lang string, rank long, phrase string, a long, l long, r long, n long, score long"
 
 
-def _hasher(salt: int) -> Remembered:
-    def value(token: bytes) -> int:
-        return {b"": 0, b"\n": 1}.get(token) or (xxhash.xxh3_64_intdigest(token, salt) | 2 if token else 0)
-    return Remembered(value)
+def _letters(salt: int) -> np.ndarray:
+    """A random number for each byte, the same for A-Z as for a-z; the last one, odd, is the base of a word's hash."""
+    table = np.random.default_rng(salt).integers(0, 1 << 64, 257, dtype=np.uint64)
+    table[ord("A"):ord("Z") + 1] = table[ord("a"):ord("z") + 1]
+    table[256] = table[256] << np.uint64(3) | np.uint64(5)
+    return table
 
 
-def _tokens(text: bytes) -> list[bytes]:
-    """Words of a whole text, a newline for the end of each piece, and empty strings that mean nothing."""
-    return text.lower().translate(_CUT).replace(b"\n", b" \n ").split(b" ")
+class _Hasher:
+    """Hashes of all words of a chunk from the prefix sums of one polynomial over its bytes, modulo 2**64."""
 
+    def __init__(self, salt: int):
+        self.table = _letters(salt)
+        self.up = self.down = np.ones(0, np.uint64)
 
-def _chunks(batches: Iterator[pa.RecordBatch], hashes: Remembered):
-    """``langs, lang number, hash, word`` of each position of some whole texts, pieces closed by _END."""
+    def __call__(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        if len(self.up) < len(data) + 1:
+            base = int(self.table[256])
+            self.up, self.down = (np.full(len(data) + 1, x, np.uint64) for x in (base, pow(base, -1, 1 << 64)))
+            self.up[0] = self.down[0] = 1
+            np.multiply.accumulate(self.up, out=self.up)
+            np.multiply.accumulate(self.down, out=self.down)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.table[data] * self.up[:len(data)], out=sums[1:])
+        return mix64((sums[stops] - sums[starts]) * self.down[starts]) | np.uint64(2)
+
+
+@dataclass
+class _Chunk:
+    """Words of whole pieces of some texts: bytes, place, language (a number into ``langs``) and piece."""
+
+    data: np.ndarray
+    starts: np.ndarray
+    stops: np.ndarray
+    langs: list
+    number: np.ndarray
+    piece: np.ndarray
+
+    def word(self, i: int) -> str:
+        return self.data[self.starts[i]:self.stops[i]].tobytes().lower().decode("utf-8")
+
+    def positions(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash and language by position, with an _END after each piece; and each position's word."""
+        last = np.concatenate([self.piece[1:] != self.piece[:-1], [True]]) if len(hashes) else np.empty(0, bool)
+        at = np.arange(len(hashes)) + np.cumsum(last) - last
+        size = len(hashes) + int(last.sum())
+        value, number, word = np.full(size, _END), np.zeros(size, np.int64), np.full(size, -1)
+        value[at], number[at], word[at] = hashes, self.number, np.arange(len(hashes))
+        return value, number, word
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Chunk]:
+    """Chunks of about CHUNK_BYTES, cut between texts or pieces; a longer piece is a chunk of its own."""
     for batch in batches:
-        langs, numbers, found, size = {}, [], [], 0
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
-            found.append(_tokens(text.as_py()) + [b"\n"])
-            numbers.append(langs.setdefault(lang, len(langs)))
-            size += len(found[-1])
-            if size >= CHUNK_WORDS:
-                yield _positions(langs, numbers, found, hashes)
-                langs, numbers, found, size = {}, [], [], 0
-        if found:
-            yield _positions(langs, numbers, found, hashes)
-
-
-def _positions(langs, numbers, found, hashes):
-    tokens = [t for f in found for t in f]
-    value = np.fromiter(map(hashes.__getitem__, tokens), np.uint64, len(tokens))
-    filled = np.flatnonzero(value != _NOTHING)
-    number = np.repeat(np.array(numbers, np.int64), [len(f) for f in found])
-    return list(langs), number[filled], value[filled], tokens, filled
+        texts = batch.column(1).cast(pa.large_binary())
+        _, offsets, data = texts.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        if not len(texts) or offsets[-1] == offsets[0]:
+            continue
+        data = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]]
+        offsets = offsets - offsets[0]
+        lang, of_row = np.unique(np.array(batch.column(0).to_pylist(), object), return_inverse=True)
+        at = 0
+        while at < len(data):
+            to = min(at + CHUNK_BYTES, len(data))
+            while to < len(data):
+                row = int(np.searchsorted(offsets, to, "right")) - 1
+                ends = np.flatnonzero(_ENDS[data[at:to]])
+                cut = max(int(offsets[row]) if offsets[row] > at else 0, at + int(ends[-1]) + 1 if len(ends) else 0)
+                if cut:
+                    to = cut
+                    break
+                to = min(to + CHUNK_BYTES, len(data))
+            yield _chunk(data[at:to], offsets, at, list(lang), of_row)
+            at = to
+
+
+def _chunk(data: np.ndarray, offsets: np.ndarray, at: int, langs: list, of_row: np.ndarray) -> _Chunk:
+    heads = np.unique(offsets[(offsets > at) & (offsets < at + len(data))] - at)  # where a text begins
+    inside = _IN_WORD[data]
+    before = np.concatenate([[False], inside[:-1]])
+    before[heads] = False
+    after = np.concatenate([inside[1:], [False]])
+    after[heads - 1] = False
+    starts, stops = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
+    row = np.searchsorted(offsets, starts + at, "right") - 1
+    return _Chunk(data, starts, stops, langs, of_row[row], np.cumsum(_ENDS[data])[starts] + row)
 
 
 def _count_words(salt: int):
-    """Task: occurrences of each word of a language in a chunk; their total as a row without a word."""
+    """Task: occurrences of each word of a language in a chunk by hash, with the range of a second hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for langs, number, value, tokens, filled in _chunks(batches, _hasher(salt)):
-            word = np.flatnonzero(value != _END)
-            for k, lang in enumerate(langs):
-                at = word[number[word] == k]
-                if not len(at):
-                    continue
-                h, first, n = np.unique(value[at], return_index=True, return_counts=True)
-                texts = [tokens[i] for i in filled[at[first]]]
+        first, second = _Hasher(salt), _Hasher(salt + 1000)
+        for c in _chunks(batches):
+            h, other = first(c.data, c.starts, c.stops), second(c.data, c.starts, c.stops).view(np.int64)
+            order = np.lexsort((h, c.number))
+            h, other, number = h[order], other[order], c.number[order]
+            new = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (number[1:] != number[:-1])])[:len(h)])
+            if len(new):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * (len(h) + 1), pa.string()), pa.array(np.concatenate([[0], h.astype(np.int64)])),
-                     pa.array([None, *texts], pa.binary()).cast(pa.string()), pa.array(np.concatenate([[len(at)], n]))],
-                    ["lang", "h", "word", "n"])
+                    [pa.array([c.langs[k] for k in number[new]], pa.string()), pa.array(h[new].view(np.int64)),
+                     pa.array(np.minimum.reduceat(other, new)), pa.array(np.maximum.reduceat(other, new)),
+                     pa.array(np.diff([*new, len(h)]))], ["lang", "h", "low", "high", "n"])
     return run
 
 
@@ -125,8 +179,8 @@ class Trie:
         root = slots.root()
         return cls(vocabulary, {x: int(base[root] + len(vocabulary) + i) for x, i in names.items()}, base, check, accept, depth)
 
-    def walk(self, langs: list[str], number: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions where a phrase begins, and which."""
+    def walk(self, langs: list[str], number: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Positions where a phrase begins, and which; the code of each position, -1 for none."""
         code = np.searchsorted(self.words, value)
         code[code == len(self.words)] = 0
         code = np.concatenate([np.where(self.words[code] == value, code, -1), np.full(self.depth, -1)])
@@ -140,7 +194,7 @@ class Trie:
             to = self.base[state] + c[known]
             hit = self.check[to] == state
             at, state = at[hit], to[hit].astype(np.int64)
-        return at, self.accept[state]
+        return at, self.accept[state], code
 
 
 class _Slots:
@@ -193,12 +247,19 @@ class _Slots:
 
 
 def _count_phrases(shared, block: int, blocks: int, salt: int, extend: bool):
-    """Task: occurrences of a trie's phrases, by id; and of the windows one word longer, by id and next word."""
+    """Task: occurrences of a trie's phrases, by id; and of the windows one word longer, by id and next word.
+
+    Counts of single words name the word.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, trie = shared.value
-        total = np.zeros(len(ids), np.int64)
-        for langs, number, value, _, _ in _chunks(batches, _hasher(salt)):
-            at, phrase = trie.walk(langs, number, value)
+        hashes, total, words = _Hasher(salt), np.zeros(len(ids), np.int64), {}
+        for c in _chunks(batches):
+            value, number, word = c.positions(hashes(c.data, c.starts, c.stops))
+            at, phrase, code = trie.walk(c.langs, number, value)
+            if trie.depth == 1:
+                found, first = np.unique(phrase, return_index=True)
+                words |= {p: c.word(word[at[i]]) for p, i in zip(found.tolist(), first) if not total[p]}
             total += np.bincount(phrase, minlength=len(ids))
             if not extend:
                 continue
@@ -211,37 +272,41 @@ def _count_phrases(shared, block: int, blocks: int, salt: int, extend: bool):
                 tail = [value[at[inside] + 1 + i] for i in range(trie.depth)]
                 safe[inside] |= _block(tail, blocks) != block
             at, phrase = at[safe], phrase[safe]
-            following = value[at + trie.depth]
-            order = np.lexsort((following, phrase))
-            phrase, following = phrase[order], following[order]
-            new = np.flatnonzero((np.diff(phrase, prepend=-1) != 0) | (np.diff(following, prepend=_NOTHING) != 0))
-            yield _rows(ids[phrase[new]], following[new].astype(np.int64), np.diff([*new, len(phrase)]))
+            following, key = value[at + trie.depth], phrase.astype(np.int64) * (len(trie.words) + 1) + code[at + trie.depth] + 1
+            # by number where the trie has the next word, by hash too where it has not
+            order = np.argsort(key, kind="stable") if blocks == 1 else np.lexsort((following, key))
+            key, following, phrase = key[order], following[order], phrase[order]
+            new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (following[1:] != following[:-1])])[:len(key)])
+            yield _rows(ids[phrase[new]], following[new].astype(np.int64), None, np.diff([*new, len(key)]))
         met = np.flatnonzero(total)
-        yield _rows(ids[met], None, total[met])
+        yield _rows(ids[met], None, [words.get(p) for p in met.tolist()], total[met])
     return run
 
 
-def _rows(ids, following, n) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(ids), pa.nulls(len(ids), pa.int64()) if following is None else pa.array(following),
-                                       pa.array(np.asarray(n, np.int64))], ["id", "next", "n"])
+def _rows(ids, following, words, n) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ids), pa.nulls(len(ids), pa.int64()) if following is None else pa.array(following),
+         pa.array([None] * len(ids) if words is None else words, pa.string()), pa.array(np.asarray(n, np.int64))],
+        ["id", "next", "word", "n"])
 
 
 def _words(rows: DataFrame, least: int) -> tuple[DataFrame, DataFrame, int]:
-    """Totals by language, frequent words, and the salt under which no two words of a language share a hash."""
+    """Totals by language, frequent words by hash, and the salt under which no two words of a language share a hash."""
     for salt in range(8):
-        counted = (rows.mapInArrow(_count_words(salt), "lang string, h long, word string, n long").groupBy("lang", "h")
-                   .agg(F.sum("n").alias("n"), F.min("word").alias("word"), (F.min("word") != F.max("word")).alias("shared")))
-        counted = checkpointed(counted.where((F.col("n") >= least) | (F.col("h") == 0) | F.col("shared")))
+        counted = (rows.mapInArrow(_count_words(salt), "lang string, h long, low long, high long, n long").groupBy("lang", "h")
+                   .agg(F.sum("n").alias("n"), (F.min("low") != F.max("high")).alias("shared")))
+        # the words below the wanted frequency matter in the totals only
+        counted = checkpointed(counted.groupBy("lang", F.when((F.col("n") >= least) | F.col("shared"), F.col("h")).alias("h"))
+                               .agg(F.sum("n").alias("n"), F.max("shared").alias("shared")))
         if not counted.where("shared").head(1):
             break
     else:
         raise RuntimeError("words share hashes under every salt")
-    return (counted.where("h = 0").select("lang", "n"),
-            counted.where(F.col("h") != 0).select("lang", "h", "word"), salt)
+    return counted.groupBy("lang").agg(F.sum("n").alias("n")), counted.where("h is not null").select("lang", "h"), salt
 
 
 def _count_level(rows: DataFrame, level: DataFrame, k: int, salt: int, extend: bool) -> DataFrame:
-    """``id, next, n``: occurrences of the level's phrases (``next`` null) and of the safe windows."""
+    """``id, next, word, n``: occurrences of the level's phrases (``next`` null) and of the safe windows."""
     blocks = max(1, -(-level.count() // BLOCK_PHRASES))
     out = None
     for b in range(blocks):
@@ -252,9 +317,9 @@ def _count_level(rows: DataFrame, level: DataFrame, k: int, salt: int, extend: b
         hashes = part["words"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, k)
         trie = Trie.build(part["lang"].to_pylist(), hashes)
         shared = rows.sparkSession.sparkContext.broadcast((part["id"].to_numpy(), trie))
-        found = rows.mapInArrow(_count_phrases(shared, b, blocks, salt, extend), "id long, next long, n long")
+        found = rows.mapInArrow(_count_phrases(shared, b, blocks, salt, extend), "id long, next long, word string, n long")
         out = found if out is None else out.unionByName(found)
-    return out.groupBy("id", "next").agg(F.sum("n").alias("n"))
+    return out.groupBy("id", "next", "word").agg(F.sum("n").alias("n"))
 
 
 def mine(docs: DataFrame, least: int = 100, longest: int = 5, top: int = 2000, text_col: str = "text",
@@ -270,18 +335,20 @@ def mine(docs: DataFrame, least: int = 100, longest: int = 5, top: int = 2000, t
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     totals, words, salt = _words(rows, least)
     level = words.select(F.monotonically_increasing_id().alias("id"), "lang", F.array("h").alias("words"),
-                         F.col("word").alias("phrase"))
-    following = words.select(F.col("lang"), F.col("h").alias("next"), "word")
+                         F.lit("").alias("phrase"))
     levels = []
     for k in range(1, longest + 1):
         if not level.head(1):
             break
         found = _count_level(rows, level, k, salt, extend=k < longest)
         found = checkpointed(found.where(F.col("next").isNull() | (F.col("n") >= least)))
-        levels.append(level.join(found.where(F.col("next").isNull()), "id").where(F.col("n") >= least)
-                      .select("lang", "words", "phrase", F.col("n").alias("f"), F.lit(k).alias("k")))
-        longer = (found.where(F.col("next").isNotNull()).select("id", "next").join(level, "id").join(following, ["lang", "next"])
-                  .select("lang", F.concat("words", F.array("next")).alias("words"), F.concat_ws(" ", "phrase", "word").alias("phrase")))
+        level = level.join(found.where(F.col("next").isNull()).select("id", "word", "n"), "id").where(F.col("n") >= least)
+        if k == 1:
+            level = checkpointed(level.withColumn("phrase", F.col("word")))
+            following = level.select("lang", F.col("words")[0].alias("next"), F.col("word").alias("more"))
+        levels.append(level.select("lang", "words", "phrase", F.col("n").alias("f"), F.lit(k).alias("k")))
+        longer = (found.where(F.col("next").isNotNull()).select("id", "next").join(level.drop("n", "word"), "id").join(following, ["lang", "next"])
+                  .select("lang", F.concat("words", F.array("next")).alias("words"), F.concat_ws(" ", "phrase", "more").alias("phrase")))
         level = checkpointed(longer).select(F.monotonically_increasing_id().alias("id"), "*")
     if len(levels) < 2:
         return docs.sparkSession.createDataFrame([], _SCHEMA)

@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.llm import phrases
@@ -64,16 +65,39 @@ def test_many_small_tries(spark, corpus, monkeypatch):
 
 
 def test_words_that_share_a_hash_take_another_salt(spark, corpus, monkeypatch):
-    hash_of = phrases._hasher
+    letters = phrases._letters
 
     def poor(salt):
-        good = hash_of(salt)
-        return good if salt else phrases.Remembered(lambda t: good[t] % np.uint64(7) * 4 + 2 if good[t] > 1 else good[t])
+        return letters(salt) if salt else np.where(np.arange(257) < 256, 3, letters(0)).astype(np.uint64)  # only the length counts
 
-    monkeypatch.setattr(phrases, "_hasher", poor)
+    monkeypatch.setattr(phrases._Hasher, "__init__", lambda self, salt: setattr(self, "table", poor(salt)) or setattr(
+        self, "up", np.ones(0, np.uint64)) or setattr(self, "down", np.ones(0, np.uint64)))
+    salts = []
+    count = phrases._count_words
+    monkeypatch.setattr(phrases, "_count_words", lambda salt: salts.append(salt) or _in_task(count, salt, poor))
     rows = corpus[:30]
-    # the tasks' functions take the patched one along
-    assert run(spark, rows, 3) == brute(rows, 3, 5, 2000)
+    assert run(spark, rows, 3) == brute(rows, 3, 5, 2000) and salts == [0, 1]
+
+
+def _in_task(count, salt, poor):
+    """The counting task with the poor hasher, which only this process would know otherwise."""
+    def task(batches):
+        from tessera.llm import phrases as there
+        good = there._letters
+        there._letters = poor
+        try:
+            yield from count(salt)(batches)
+        finally:
+            there._letters = good
+    return task
+
+
+def test_chunks_are_cut_between_pieces_and_texts(monkeypatch):
+    monkeypatch.setattr(phrases, "CHUNK_BYTES", 9)
+    texts = ["one two, three four five six seven. eight", "", "Nine", "ten.\n", "é eleven" * 3]
+    batch = pa.RecordBatch.from_arrays([pa.array(["a", "b", "a", "b", "c"]), pa.array(texts)], ["lang", "text"])
+    found = [(c.langs[c.number[i]], c.word(i)) for c in phrases._chunks(iter([batch.slice(0, 2), batch.slice(2)])) for i in range(len(c.starts))]
+    assert found == [(x, w) for x, t in zip("abab c".replace(" ", ""), texts) for w in re.findall(r"[^ .,\n]+", t.lower())]
 
 
 def test_tries_find_each_phrase_where_it_begins():
@@ -83,7 +107,7 @@ def test_tries_find_each_phrase_where_it_begins():
         langs = [["p", "q"][int(x)] for x in rng.integers(0, 2, len(words))]
         trie = phrases.Trie.build(langs, words)
         value, number = rng.integers(1, 45, 3000).astype(np.uint64), np.repeat([0, 1, 2], 1000)
-        at, phrase = trie.walk(["p", "q", "none"], number, value)
+        at, phrase, _ = trie.walk(["p", "q", "none"], number, value)
         known = {(x, *w): i for i, (x, w) in enumerate(zip(langs, words.tolist()))}
         wanted = [(i, known[key]) for i in range(3000 - depth + 1)
                   if (key := (["p", "q", "none"][number[i]], *value[i:i + depth].tolist())) in known]

@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tessera.llm.common import Remembered, text_or_empty
+from tessera.llm.common import Remembered, forgetting, text_or_empty
 
 #: Fixed value: the pre-tokenising pattern of byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -130,7 +130,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))],
                                              ["doc_id", "ids"])
 
-    return text_or_empty(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
+    return text_or_empty(docs, id_col, text_col).mapInArrow(forgetting(run, lambda: load(vocabulary).words), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
@@ -166,4 +166,4 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return text_or_empty(docs, id_col, text_col).mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        forgetting(run, lambda: load(vocabulary).words), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from sys import getsizeof
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -16,8 +17,10 @@ _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _S30, _S27, _S31 = np.uint64(30), np.uint64(27), np.uint64(31)
 
 
-#: Words whose values a Python worker remembers; beyond it the older half is forgotten.
-REMEMBERED_WORDS = 400_000
+#: Words, and bytes of words and values, that a Python worker remembers; beyond either the older half is forgotten.
+REMEMBERED_WORDS, REMEMBERED_BYTES = 400_000, 48 << 20
+#: Bytes of a dictionary's entry.
+_ENTRY = 100
 #: Longer words are worked out anew each time.
 REMEMBERED_CHARS = 64
 
@@ -27,7 +30,7 @@ class Remembered(dict):
 
     def __init__(self, value_of: Callable):
         super().__init__()
-        self.value_of, self.old = value_of, {}
+        self.value_of, self.old, self.bytes = value_of, {}, 0
 
     def __missing__(self, word):
         value = self.old.get(word)
@@ -35,12 +38,28 @@ class Remembered(dict):
             value = self.value_of(word)
             if len(word) > REMEMBERED_CHARS:
                 return value
-        if len(self) >= REMEMBERED_WORDS // 2:
-            self.old = dict(self)
+        if len(self) >= REMEMBERED_WORDS // 2 or self.bytes >= REMEMBERED_BYTES // 2:
+            self.old, self.bytes = dict(self), 0
             self.clear()
         self[word] = value
+        self.bytes += getsizeof(word) + getsizeof(value) + _ENTRY
         return value
 
+    def forget(self) -> None:
+        """Worker processes outlive their tasks; what a task remembered should not."""
+        self.clear()
+        self.old, self.bytes = {}, 0
+
+
+def forgetting(run: Callable, remembered: Callable) -> Callable:
+    """A task function over batches after which ``remembered()`` is empty, however it ends."""
+    def bounded(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            remembered().forget()
+    return bounded
+
 
 def text_or_empty(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id (as long) and the text, a null text as the empty one; other columns are left behind."""

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import c
-from tessera.llm.common import Remembered, checkpointed, mix64, row_key, text_or_empty
+from tessera.llm.common import Remembered, checkpointed, forgetting, mix64, row_key, text_or_empty
 from tessera.llm.components import components
 
 #: Words of a shingle; similarity in hundredths from which texts are linked unless a caller names another.
@@ -216,7 +216,7 @@ def _full_sets(wanted: DataFrame, classes: DataFrame, texts: DataFrame) -> DataF
     """``node, found``: the full sets of some classes, from the text of one row each."""
     named = wanted.join(classes.select("node", "first"), "node").select("node", "first.*")
     found = (texts.join(named, texts.doc_id.eqNullSafe(named.doc_id) & (texts.text_key == named.text_key))
-             .select("node", "text").dropDuplicates(["node"]).mapInArrow(_sets, "node binary, found array<long>"))
+             .select("node", "text").dropDuplicates(["node"]).mapInArrow(forgetting(_sets, _words), "node binary, found array<long>"))
     return checkpointed(found)
 
 
@@ -244,7 +244,7 @@ def near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_l
     by = sieve(link)
     texts = text_or_empty(docs, id_col, text_col).withColumn("text_key", row_key(F.col("text")))
     rows = checkpointed(texts.select("doc_id", "text_key", "text").mapInArrow(
-        lambda batches: _sketches(batches, by.bands), "doc_id long, text_key long, n_shingles long, node binary, bands array<long>, odd array<long>"))
+        forgetting(lambda batches: _sketches(batches, by.bands), _words), "doc_id long, text_key long, n_shingles long, node binary, bands array<long>, odd array<long>"))
     classes = checkpointed(rows.where("n_shingles > 0").groupBy("node").agg(
         F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_key")).alias("first"),
         F.min("n_shingles").alias("n_shingles"), F.min("bands").alias("bands"), F.min("odd").alias("odd")))

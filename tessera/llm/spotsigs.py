@@ -20,7 +20,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Remembered, mix64, partitions, row_key, text_or_empty
+from tessera.llm.common import Remembered, forgetting, mix64, partitions, row_key, text_or_empty
 
 #: Common words that anchor a chain.
 ANCHORS = frozenset("""
@@ -109,7 +109,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                               pa.array(list(map(to_text, sets)), pa.string())],
                                              ["doc_id", "n_signatures", "fingerprint"])
 
-    return text_or_empty(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_signatures long, fingerprint string")
+    return text_or_empty(docs, id_col, text_col).mapInArrow(forgetting(run, _words), "doc_id long, n_signatures long, fingerprint string")
 
 
 def length_class(n, least: float):
@@ -212,5 +212,5 @@ def against_edited_and_next(docs: DataFrame, id_col: str = "doc_id", text_col: s
     dealt = rows.select(*columns).withColumn("ghost", F.lit(0)).unionByName(ghosts)
     return (dealt.repartitionByRange(n, "stretch").sortWithinPartitions("stretch", "ghost", *order)
             .select("stretch", "ghost", "doc_id", "text")
-            .mapInArrow(_compare, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
+            .mapInArrow(forgetting(_compare, _words), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
                         "edited_fingerprint string, near_edited double, near_next double"))

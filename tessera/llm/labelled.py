@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import checkpointed
+
 
 def remainder(id_col, folds: int):
     """crc32 of the id as text, modulo ``folds``; a null id counts as the empty text."""
@@ -17,11 +19,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, he
     """Texts, labels and the count of each label among all labelled rows that are not held out.
 
     At most ``most`` rows (of each class, if ``by_class``) are fetched, chosen by a hash of the id.
-    Null labels, labels of absent documents and held-out rows are never read; empty texts count.
+    Null labels, labels of absent documents and held-out rows count nowhere and take no place in
+    the sample; empty texts count. If ids repeat, a document's label is the largest of its labels
+    and its text the first by hash, so that reruns agree.
     """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     known = (labels.where(F.col(label).isNotNull() & (remainder(F.col("doc_id"), folds) != held_out))
              .select(F.col("doc_id").cast("long").alias("doc_id"), (F.col(label) > 0).cast("int").alias("y"))
-             .groupBy("doc_id").agg(F.max("y").alias("y")))
+             .groupBy("doc_id").agg(F.max("y").alias("y"))
+             .join(texts.select("doc_id"), "doc_id", "left_semi"))
+    known = checkpointed(known)  # two small numbers a label, read three times
     counts = dict(known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect())
     known = known.withColumn("h", F.xxhash64("doc_id"))
     if by_class:
@@ -29,8 +36,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, he
         chosen = chosen[0].unionByName(chosen[1])
     else:
         chosen = known.orderBy("h", "doc_id").limit(most)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    got = texts.join(F.broadcast(chosen.select("doc_id", "y")), "doc_id").dropDuplicates(["doc_id"]).collect()
+    one = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t")
+    got = (texts.join(F.broadcast(chosen.select("doc_id", "y")), "doc_id").groupBy("doc_id", "y").agg(one)
+           .select("doc_id", "y", "t.text").collect())
     got.sort(key=lambda r: r.doc_id)
     return ([r.text for r in got], np.array([r.y for r in got], np.float64),
             np.array([counts.get(0, 0), counts.get(1, 0)], np.float64))

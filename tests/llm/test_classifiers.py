@@ -5,7 +5,7 @@ import zlib
 
 import pytest
 
-from tessera.llm import language, quality, queries, toxicity
+from tessera.llm import language, quality, quality_rules, queries, toxicity
 from tessera.llm.labelled import remainder
 from tessera.sources.tables import table
 
@@ -85,3 +85,15 @@ def test_unseen_scripts_and_noise_are_rejected(make, spark):
     assert all(r.known < 0.05 for r in got if r.doc_id < 6)  # other scripts share next to nothing
     plain = language.identify(language.from_documents(table(spark, DATA, "documents").where("length(text) > 0")), model)
     assert plain.where("not keep").count() == 0
+
+
+@pytest.mark.parametrize("operator", [toxicity, quality, quality_rules])
+def test_absent_and_repeated_ids_do_not_change_scores(spark, operator):
+    docs, labels = (table(spark, "/root/testdata/sf0.01", t) for t in ("documents", "labels"))
+    score = operator.judge if operator is quality_rules else operator.score
+    unknown = labels.selectExpr("doc_id + 10000000 as doc_id", "1 - quality as quality", "1 - toxic as toxic")
+    more = labels.unionByName(labels).unionByName(unknown).repartition(5)
+    twice = docs.unionByName(docs.selectExpr("doc_id", "concat(text, ' zz') as text", "lang", "source", "n_chars").where("doc_id % 50 = 0"))
+    found = [{(r.doc_id, r.score) for r in score(d.repartition(n), lab).collect()} for d, lab, n in
+             ((docs, labels, 2), (docs, more, 3), (twice, labels, 4), (twice, more, 7))]
+    assert found[0] == found[1] and found[2] == found[3]

@@ -25,8 +25,8 @@ from tessera.llm.labelled import fit_logistic, remainder, sigmoid, training_rows
 MAX_PER_CLASS = 700
 #: Rows of the n-gram table, width of a vector, n-gram lengths in bytes, words of a segment.
 BUCKETS, WIDTH, GRAMS, SEGMENT = 1 << 18, 4, (3, 4, 5), 4
-#: Share of the training texts that an n-gram must occur in (3 texts at least), training steps and rate.
-MIN_SHARE, STEPS, RATE = 0.0125, 50, 0.15
+#: Training texts that an n-gram must occur in, and in which its vector counts half; training steps and rate.
+MIN_TEXTS, HALF_TEXTS, STEPS, RATE = 3, 30, 50, 0.15
 #: Share of labels 1 in every four, held-out remainder, threshold of a predicted 1.
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 
@@ -73,7 +73,7 @@ def _learn(texts: list[str], y: np.ndarray, seed: int) -> tuple[np.ndarray, floa
     """Margin of each table row and the constant, by full-batch Adam on the cross-entropy of segments.
 
     In the second half a toxic text counts with its most toxic segment alone. N-grams of
-    fewer texts than MIN_SHARE keep a zero vector.
+    fewer texts than MIN_TEXTS keep a zero vector, those of few texts a short one.
     """
     ids: dict[str, int] = {}
     bag, lengths, owner = [], [], []
@@ -92,9 +92,10 @@ def _learn(texts: list[str], y: np.ndarray, seed: int) -> tuple[np.ndarray, floa
     gram = np.concatenate(rows)
     word_texts = np.unique(bag.astype(np.int64) * len(texts) + np.repeat(owner, lengths))
     seen = np.bincount(gram, np.bincount(word_texts // len(texts), minlength=len(rows))[of_gram], BUCKETS)
-    kept = seen[gram] >= max(3, MIN_SHARE * len(texts))
+    kept = seen[gram] >= MIN_TEXTS
     gram, of_gram = gram[kept], of_gram[kept]
     gram, table = np.unique(gram, return_inverse=True)
+    trust = (seen[gram] / (seen[gram] + HALF_TEXTS))[:, None]
     seg_of = np.repeat(np.arange(len(lengths)), lengths)
     length = lengths[:, None].astype(np.float32)
     rng = np.random.default_rng(seed)
@@ -105,7 +106,7 @@ def _learn(texts: list[str], y: np.ndarray, seed: int) -> tuple[np.ndarray, floa
     first = np.flatnonzero(np.diff(owner, prepend=-1))
     for step in range(1, STEPS + 1):
         vectors, layer, bias = params
-        word = _sum_rows(of_gram, vectors[table], len(rows)) / size
+        word = _sum_rows(of_gram, (vectors * trust)[table], len(rows)) / size
         seg = _sum_rows(seg_of, word[bag], len(lengths)) / length
         z = seg @ layer + bias
         if step > STEPS // 2:
@@ -117,13 +118,13 @@ def _learn(texts: list[str], y: np.ndarray, seed: int) -> tuple[np.ndarray, floa
         p /= p.sum(axis=1, keepdims=True)
         dz = (p - target) * weight[:, None]
         dword = _sum_rows(bag, ((dz @ layer.T) / length)[seg_of], len(rows)) / size
-        grads = [_sum_rows(table, dword[of_gram], len(gram)), seg.T @ dz, dz.sum(axis=0)]
+        grads = [_sum_rows(table, dword[of_gram], len(gram)) * trust, seg.T @ dz, dz.sum(axis=0)]
         for q, g, m in zip(params, grads, moment):
             m[0] += 0.1 * (g - m[0])
             m[1] += 0.01 * (g * g - m[1])
             q -= RATE * (m[0] / (1 - 0.9 ** step)) / (np.sqrt(m[1] / (1 - 0.99 ** step)) + 1e-8)
     margin = np.zeros(BUCKETS, np.float32)
-    margin[gram] = params[0] @ (params[1][:, 1] - params[1][:, 0])
+    margin[gram] = (params[0] * trust) @ (params[1][:, 1] - params[1][:, 0])
     return margin, float(params[2][1] - params[2][0])
 
 

@@ -2,9 +2,9 @@
 
 A served-request table becomes cumulative counters and cumulative latency
 histograms (one sample per request), the way an exporter would publish them.
-Running sums are two-phase so no task ever holds a whole series: a window
-inside each (series, chunk), plus the exclusive total of the earlier chunks
-from a per-chunk table that is tiny next to the data.
+Running sums are a prefix scan, so no task ever holds a whole series: a window inside each (series,
+chunk), chunks cut so that none holds too many rows, plus the exclusive total of the earlier
+chunks from a per-chunk table.
 """
 
 from __future__ import annotations
@@ -16,21 +16,68 @@ from tessera.functions.columns import c
 from tessera.functions.timecols import micros, ntz_from_micros, seconds
 
 
+#: Spans of time that a series is cut into, the first that keeps every piece within CHUNK_ROWS rows.
+CHUNKS = ("1 hour", "1 minute", "1 s", "1 ms")
+CHUNK_ROWS = 1_000_000
+
+
+def balanced_chunk(df: DataFrame, keys: list[str], ts: str = "ts", rows: int | None = None,
+                   chunks: tuple[str, ...] = CHUNKS) -> str:
+    """The longest of ``chunks`` by which no series has more than ``rows`` rows in a piece, else the shortest.
+
+    Counts are exact and partial before the shuffle, so the cut depends on the data alone: plans
+    that cut twice, and reruns after a lost executor, cut alike. Most feeds need one count.
+    """
+    rows = CHUNK_ROWS if rows is None else rows
+    us = micros(c(ts), df.schema[ts].dataType)
+    d = df.select(*[c(k).alias(f"__k{i}") for i, k in enumerate(keys)], us.alias("__us"))
+    names = [f"__k{i}" for i, _ in enumerate(keys)]
+    for chunk in chunks[:-1]:
+        piece = F.expr(f"__us div {int(seconds(chunk) * 1_000_000)}")
+        most = d.groupBy(*names, piece.alias("__p")).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        if (most or 0) <= rows:
+            return chunk
+    return chunks[-1]
+
+
+def _carried(per_chunk: DataFrame, totals: list[str], offsets: list[str], per_group: int) -> DataFrame:
+    """``__jk`` and the totals of earlier chunks of its series and period.
+
+    Chunks are summed inside groups of ``per_group`` first and the groups after them, so that
+    a series cut into many pieces is not one task either.
+    """
+    key = F.col("__jk")
+    p = per_chunk.withColumn("__sp", F.struct(*[key.getField(f).alias(f) for f in per_chunk.schema["__jk"].dataType.names
+                                                if f != "__chunk"]))
+    p = p.withColumns({"__at": key.getField("__chunk"), "__grp": F.coalesce(F.expr(f"__jk.__chunk div {per_group}"), F.lit(0).cast("long"))})
+    inside = Window.partitionBy("__sp", "__grp").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    p = p.withColumns({f"{o}_in": F.lit(0.0) if per_group == 1 else F.coalesce(F.sum(t).over(inside), F.lit(0.0))
+                       for t, o in zip(totals, offsets)})  # a group of one chunk holds nothing earlier
+    groups = p.groupBy("__sp", "__grp").agg(*[F.sum(t).alias(t) for t in totals])
+    before = Window.partitionBy("__sp").orderBy("__grp").rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.select("__sp", "__grp", *[F.coalesce(F.sum(t).over(before), F.lit(0.0)).alias(f"{o}_before")
+                                              for t, o in zip(totals, offsets)])
+    return p.join(groups, ["__sp", "__grp"]).select("__jk", *[(F.col(f"{o}_before") + F.col(f"{o}_in")).alias(o) for o in offsets])
+
+
 def running_total(df: DataFrame, keys: list[str], ts: str = "ts", weight: str | list[str] | None = None,
                   order: list[str] | None = None, reset_every: str | float | None = None,
-                  chunk: str | float = "1 hour", out: str | list[str] = "value") -> DataFrame:
+                  chunk: str | float | None = None, out: str | list[str] = "value") -> DataFrame:
     """Cumulative sum of ``weight`` (default 1 per row) per series in time order.
 
     ``weight`` and ``out`` may be lists: several running sums in the same
     order then share one shuffle and one window. ``reset_every`` restarts the
-    total at each period boundary (a process restart). ``chunk`` bounds the
-    rows one window task sorts (a hot series is cut into hours, not held
-    whole); it must divide ``reset_every``.
+    total at each period boundary (a process restart). ``chunk`` is the span of time of one
+    series that one window task sorts; unless given it follows from row counts
+    (:func:`balanced_chunk`), so that an hour that holds most rows spreads over the tasks. It must
+    divide ``reset_every``. Rows of one instant follow ``order``.
     """
     weights = weight if isinstance(weight, list) else [weight]
     outs = out if isinstance(out, list) else [out]
     if len(weights) != len(outs):
         raise ValueError("one output column per weight")
+    if chunk is None:
+        chunk = balanced_chunk(df, keys, ts)
     chunk_us = int(seconds(chunk) * 1_000_000)
     reset_us = int(seconds(reset_every) * 1_000_000) if reset_every else None
     if reset_us and reset_us % chunk_us:
@@ -54,13 +101,8 @@ def running_total(df: DataFrame, keys: list[str], ts: str = "ts", weight: str |
         totals = [F.col(f"__run{i}") for i in range(len(ws))]
     else:
         per_chunk = d.groupBy("__jk").agg(*[F.sum(w).alias(f"__ct{i}") for i, w in enumerate(ws)])
-        series_period = F.struct(*[F.col("__jk").getField(f"__k{i}") for i in range(len(keys))],
-                                 F.col("__jk").getField("__period"))
-        before = Window.partitionBy(series_period).orderBy(F.col("__jk").getField("__chunk")) \
-                       .rowsBetween(Window.unboundedPreceding, -1)
-        per_chunk = per_chunk.select("__jk", *[F.coalesce(F.sum(f"__ct{i}").over(before), F.lit(0.0))
-                                               .alias(f"__off{i}") for i in range(len(ws))])
-        d = d.join(per_chunk, "__jk")
+        hour = max(1, int(seconds(CHUNKS[0]) * 1_000_000) // chunk_us)
+        d = d.join(_carried(per_chunk, [f"__ct{i}" for i in range(len(ws))], [f"__off{i}" for i in range(len(ws))], hour), "__jk")
         totals = [F.col(f"__off{i}") + F.col(f"__run{i}") for i in range(len(ws))]
     internal = [*ws, "__us", "__chunk", "__period", "__jk", *[f"__run{i}" for i in range(len(ws))],
                 *[f"__off{i}" for i in range(len(ws))]]

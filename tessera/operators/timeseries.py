@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import c
 from tessera.functions.timecols import micros, ntz_from_micros, seconds
+from tessera.operators.feeds import CHUNKS, balanced_chunk
 
 
 DAY_S = 86400.0
@@ -49,12 +50,13 @@ def _list(value: str | list[str]) -> list[str]:
 
 
 def counter_delta(df: DataFrame, keys: list[str], ts: str = "ts", value: str = "value",
-                  chunk: str | float = "1 day") -> DataFrame:
+                  chunk: str | float | None = None) -> DataFrame:
     """Total reset-aware increase per series over all its samples.
 
-    ``10, 15, 2, 7`` gives 12. Samples are reduced per (series, chunk) first,
-    so no task holds a whole series.
+    ``10, 15, 2, 7`` gives 12. Samples are reduced per (series, chunk) first, so no task holds a
+    whole series; unless given, the chunk is cut by row counts (:func:`tessera.operators.feeds.balanced_chunk`).
     """
+    chunk = balanced_chunk(df, keys, ts, chunks=("1 day", *CHUNKS)) if chunk is None else chunk
     iv = _intervals(df, keys, seconds(chunk), ts, value, True)
     return (iv.groupBy(*[c(k) for k in keys])
               .agg(F.sum(F.col("__inner0") + F.col("__bstep0")).alias("increase"),

@@ -107,6 +107,26 @@ def _materialise(df: DataFrame, aggs, rows) -> DataFrame:
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
+def partial_stats(df: DataFrame, column_ranges: dict | None = None, missing_threshold: float = 0.1,
+                  nan_as_missing: bool = False) -> DataFrame:
+    """One row of counts, minima and maxima over ``df``, from which :func:`merged_checks` makes the check rows."""
+    return df.agg(*_stat_plan(df, df.columns, column_ranges, missing_threshold, nan_as_missing)[0])
+
+
+def merged_checks(partials: DataFrame, of: DataFrame, expected_types: dict | None = None, column_ranges: dict | None = None,
+                  missing_threshold: float = 0.1, nan_as_missing: bool = False) -> DataFrame:
+    """The rows of :func:`run_all_checks` over all that the partial rows stand for; ``of`` gives the schema.
+
+    Counts add up, a least value is the least of the least ones; partials of no rows change nothing.
+    """
+    _, rows = _stat_plan(of, of.columns, column_ranges, missing_threshold, nan_as_missing)
+    merge = {"__lo": F.min, "__hi": F.max}
+    merged = partials.agg(*[merge.get(n[:4], lambda x: F.coalesce(F.sum(x), F.lit(0)))(n).alias(n)
+                            for n in partials.columns if n.startswith("__")])
+    result = merged.select(F.inline(F.array(*rows))) if rows else partials.sparkSession.createDataFrame([], RESULT_SCHEMA)
+    return result.unionByName(check_types(of, expected_types)) if expected_types else result
+
+
 def check_missing(df: DataFrame, threshold: float = 0.1, nan_as_missing: bool = False) -> DataFrame:
     """Per column ``nulls / rows``; passes when ``<= threshold``.
 

@@ -15,8 +15,12 @@ from tessera.sources.tables import table
 
 def lineitem_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` with ``l_discount`` null where 0.05 and ``l_returnflag`` null where 'N'."""
-    li = table(spark, sf_dir, "lineitem")
-    return li.withColumns({
+    return with_nulls(table(spark, sf_dir, "lineitem"))
+
+
+def with_nulls(lineitem: DataFrame) -> DataFrame:
+    """The same of any frame of that shape, a stream too."""
+    return lineitem.withColumns({
         "l_discount": F.nullif(F.col("l_discount"), F.lit(0.05)),
         "l_returnflag": F.nullif(F.col("l_returnflag"), F.lit("N")),
     })

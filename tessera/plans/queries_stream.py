@@ -7,12 +7,15 @@ states the same rule.
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tessera.plans.catalog import register, rounded
 from tessera.plans.derived import prediction_class_counter, request_counter
 from tessera.plans.queries_metrics import (CLASS_COUNTER_SQL, LONG_RANGE_S, LONG_STEP_S, RANGE_S, REQUEST_COUNTER_SQL,
                                            STEP_S, extrapolated_sql, summary_sql)
 from tessera.streaming.rates import stream_increase, stream_rate
-from tessera.streaming.runs import drain, publish_in_turn, publish_samples, scratch_path
+from tessera.sources.tables import table, table_stream
+from tessera.streaming.runs import drain, finished, publish_in_turn, publish_samples, scratch_path
 
 DELAY_S = 7200  # watermark delay
 
@@ -50,7 +53,7 @@ def q_stream_increase_24h(spark, sf_dir):
 
 
 from tessera.plans.catalog import LINEITEM_COLS, LINEITEM_NULLS_SQL, _union  # noqa: E402
-from tessera.plans.derived import lineitem_with_nulls  # noqa: E402
+from tessera.plans.derived import lineitem_with_nulls, with_nulls  # noqa: E402
 from tessera.streaming.quality import stream_quality  # noqa: E402
 
 STREAM_THRESHOLD = 0.1
@@ -70,10 +73,77 @@ def q_stream_quality(spark, sf_dir):
     data = lineitem_with_nulls(spark, sf_dir)
     src = publish_samples(data, f"{base}/in")
     stream = spark.readStream.schema(data.schema).parquet(src)
-    q = stream_quality(stream, f"{base}/results", f"{base}/verdict", f"{base}/ckpt",
-                       missing_threshold=STREAM_THRESHOLD)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+    finished(stream_quality(stream, f"{base}/results", f"{base}/verdict", f"{base}/ckpt",
+                            missing_threshold=STREAM_THRESHOLD))
     res = spark.read.parquet(f"{base}/results")
     return res.select("check", "column_name", "missing_fraction", "passed", "batch_id")
+
+
+from tessera.plans.queries_quality import LINEITEM_RANGES, _missing_sql, _range_sql  # noqa: E402
+from tessera.streaming.quality import stream_checks, stream_partials  # noqa: E402
+
+
+@register("stream_quality_total", f"with t as ({LINEITEM_NULLS_SQL})\n" + _union(
+    _missing_sql(LINEITEM_COLS, threshold=STREAM_THRESHOLD) + _range_sql(LINEITEM_RANGES, LINEITEM_COLS)))
+def q_stream_quality_total(spark, sf_dir):
+    """The table itself as a stream, a file at a time; the checks over all of it from one row a micro-batch."""
+    base = scratch_path(spark, "stream-quality-total")
+    stream = with_nulls(table_stream(spark, sf_dir, "lineitem"))
+    finished(stream_partials(stream, f"{base}/partials", f"{base}/ckpt", LINEITEM_RANGES, STREAM_THRESHOLD))
+    return stream_checks(spark.read.parquet(f"{base}/partials"), with_nulls(table(spark, sf_dir, "lineitem")), None,
+                         LINEITEM_RANGES, STREAM_THRESHOLD)
+
+
+from tessera.operators.models import build_model  # noqa: E402
+from tessera.plans.queries_text import _TAB_REQ_SQL, REQUEST_SCHEMA, REQUIRED, tabular_request_text  # noqa: E402
+from tessera.sources.requests import parse_tabular_requests  # noqa: E402
+from tessera.plans.scoring import score_requests  # noqa: E402
+from tessera.sources.sinks import write_scores  # noqa: E402
+from tessera.streaming.scoring import stream_scores  # noqa: E402
+
+#: Requests are delivered again in a later file while the watermark still covers them.
+REDELIVERED, SCORE_FEATURES = "event_id % 3 = 0", ["feature1", "feature2"]
+
+
+@register("stream_scoring", f"""select request_id, pos, status, error,
+  case when status = 'ok' then true end as has_class, case when status = 'ok' then true end as has_confidence
+from ({_TAB_REQ_SQL})""")
+def q_stream_scoring(spark, sf_dir):
+    """Request files with redelivered ids, in several micro-batches: one answer for each, rejects apart."""
+    base = scratch_path(spark, "stream-scoring")
+    events = table(spark, sf_dir, "events")
+    sent = events.select(F.col("event_id").alias("request_id"), F.col("ts").cast("timestamp").alias("sent"))
+    requests = tabular_request_text(events).join(sent, "request_id")
+    again = requests.where(F.expr(REDELIVERED.replace("event_id", "request_id"))).withColumn("sent", F.expr("sent + interval 1 hour"))
+    src = publish_in_turn(requests.unionByName(again), f"{base}/requests", "sent", SLICES)
+    train = (parse_tabular_requests(requests, "body", REQUEST_SCHEMA, REQUIRED)
+             .where("status = 'ok' and feature2 is not null and feature3 is not null")
+             .withColumn("label", (F.col("feature3") == "purchase").cast("int")))
+    pipe = build_model("gbt", SCORE_FEATURES, "label")
+    gbt = pipe.getStages()[-1]
+    model = pipe.fit(train, {gbt.maxIter: 5, gbt.maxDepth: 3})
+    finished(stream_scores(spark, src, model, SCORE_FEATURES, REQUEST_SCHEMA, REQUIRED, f"{base}/scores", f"{base}/log",
+                           f"{base}/ckpt", file_schema="request_id bigint, body string, sent timestamp", max_files_per_trigger=1,
+                           sent_col="sent", delay="2 hours", rejects_path=f"{base}/rejects"))
+    out = spark.read.parquet(f"{base}/scores").unionByName(spark.read.parquet(f"{base}/rejects"))
+    return out.select("request_id", "pos", "status", "error", F.col("prediction").isin(0, 1).alias("has_class"),
+                      F.col("confidence").between(0.5, 1).alias("has_confidence"))
+
+
+@register("batch_scoring_log", f"select count(*) as rows, count(*) filter (where status <> 'ok') as rejected, "
+          f"1::bigint as runs, true as timed from ({_TAB_REQ_SQL})")
+def q_batch_scoring_log(spark, sf_dir):
+    """Scored requests written under a run's id, twice: the log states the counts of one run."""
+    base = scratch_path(spark, "batch-scoring")
+    requests = parse_tabular_requests(tabular_request_text(table(spark, sf_dir, "events")), "body", REQUEST_SCHEMA, REQUIRED)
+    train = (requests.where("status = 'ok' and feature2 is not null and feature3 is not null")
+             .withColumn("label", (F.col("feature3") == "purchase").cast("int")))
+    pipe = build_model("gbt", SCORE_FEATURES, "label")
+    gbt = pipe.getStages()[-1]
+    scored = score_requests(pipe.fit(train, {gbt.maxIter: 5, gbt.maxDepth: 3}), requests, SCORE_FEATURES)
+    for _ in range(2):
+        write_scores(scored, f"{base}/scores", f"{base}/log", run_id="run", rejected=F.col("status") != "ok")
+    stored = spark.read.parquet(f"{base}/scores").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("status") != "ok").alias("rejected"))
+    log = spark.read.parquet(f"{base}/log").agg(F.sum("rows").alias("n"), F.sum("rejected").alias("r"), F.count(F.lit(1)).alias("runs"),
+                                                F.min(F.col("processing_time_seconds") > 0).alias("timed"))
+    return stored.join(log, (stored["rows"] == log["n"]) & (stored["rejected"] == log["r"])).select("rows", "rejected", "runs", "timed")

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import os
+import time
+from datetime import datetime, timezone
 from urllib.parse import urlparse
+from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
 SINK_FORMATS = ("parquet", "csv")
 
@@ -46,9 +50,27 @@ def load(df: DataFrame, destination_path: str, format: str = "parquet",
         writer.option("header", "true").csv(destination_path)
 
 
-def write_scores(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Append scored rows (one response per request) to a parquet table."""
-    writer = df.write.mode("append")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+def write_scores(df: DataFrame, path: str, log_path: str | None = None, run_id: str | None = None,
+                 rejected: Column | None = None) -> tuple[str, int, float]:
+    """Write scored rows (one response per request) under a run's id; ``(run id, rows, seconds)``.
+
+    The log row ``(run_id, rows, rejected, processing_time_seconds, logged_at)`` is observed by the write
+    itself, with no second pass. A run that is repeated under its id replaces what it wrote before.
+    """
+    run_id = run_id or uuid4().hex
+    obs = Observation(f"scores-{run_id}")
+    seen = df.observe(obs, F.count(F.lit(1)).alias("rows"),
+                      F.count_if(F.lit(False) if rejected is None else rejected).alias("rejected"))
+    start = time.perf_counter()
+    _replace_run(seen, run_id, path)
+    seconds = time.perf_counter() - start
+    if log_path:
+        row = (obs.get["rows"], obs.get["rejected"], seconds, datetime.now(timezone.utc).isoformat())
+        log = df.sparkSession.createDataFrame([row], "rows long, rejected long, processing_time_seconds double, logged_at string")
+        _replace_run(log, run_id, log_path)
+    return run_id, obs.get["rows"], seconds
+
+
+def _replace_run(df: DataFrame, run_id: str, path: str) -> None:
+    (df.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("run_id").parquet(path))

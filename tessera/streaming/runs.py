@@ -39,15 +39,20 @@ def publish_in_turn(df: DataFrame, path: str, ts: str, slices: int) -> str:
     return path
 
 
+def finished(query, timeout_s: float | None = None) -> None:
+    """Wait for a query that drains its input, and raise what it raised."""
+    query.awaitTermination(timeout_s)
+    if query.isActive:
+        query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+
+
 def drain(stream_result: DataFrame, sink: str, checkpoint: str, cadence: str | None = None,
           timeout_s: float | None = None) -> DataFrame:
     """Append the stream's output to parquet at ``sink`` until the input is drained."""
     q = (stream_result.writeStream.format("parquet").option("path", sink)
          .option("checkpointLocation", checkpoint).outputMode("append")
          .trigger(**trigger_for(cadence)).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-    if q.exception() is not None:
-        raise q.exception()
+    finished(q, timeout_s)
     return stream_result.sparkSession.read.parquet(sink)

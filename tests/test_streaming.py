@@ -62,3 +62,78 @@ def test_stream_scoring_writes_scores_and_log(spark):
     assert sum(r["rows"] for r in log) == 5 and all(r["processing_time_seconds"] >= 0 for r in log)
     assert trigger_for(None) == {"availableNow": True}
     assert trigger_for("5 seconds") == {"processingTime": "5 seconds"}
+
+
+def _run(q):
+    q.awaitTermination(180)
+    assert q.exception() is None
+
+
+def test_quality_over_the_whole_stream_equals_one_batch(spark):
+    from tessera.operators.quality import run_all_checks
+    from tessera.streaming.quality import stream_checks, stream_partials
+    base = tempfile.mkdtemp(prefix="tessera-stream-t-")
+    df = spark.createDataFrame([(i, None if i % 4 == 0 else "x", str(i) if i % 9 else "bad", float("nan") if i == 5 else i / 7)
+                                for i in range(90)], "id int, s string, t string, v double")
+    df.repartition(6).write.parquet(f"{base}/in")
+    spark.createDataFrame([], df.schema).write.mode("append").parquet(f"{base}/in")
+    ranges, types = {"id": (0, 80), "t": (0, 100), "v": (0, 50), "none": (0, 1)}, {"id": "int"}
+    start = lambda: stream_partials(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in"),
+                                    f"{base}/partials", f"{base}/ck", ranges)
+    _run(start())
+    partials = spark.read.parquet(f"{base}/partials")
+    assert partials.count() >= 6
+    norm = lambda d: sorted(map(str, d.collect()))
+    expected = norm(run_all_checks(df, types, ranges))
+    assert norm(stream_checks(partials, df, types, ranges)) == expected
+    df.where("id = 3").write.mode("append").parquet(f"{base}/in")  # the query goes on where it stopped
+    _run(start())
+    both = spark.read.parquet(f"{base}/in")
+    assert norm(stream_checks(spark.read.parquet(f"{base}/partials"), both, types, ranges)) == norm(run_all_checks(both, types, ranges))
+
+
+def test_a_replayed_batch_replaces_its_partial_row(spark):
+    from tessera.operators.quality import merged_checks, partial_stats, run_all_checks
+    from tessera.streaming.triggers import write_batch
+    path = tempfile.mkdtemp(prefix="tessera-partials-")
+    df = spark.createDataFrame([(1, None), (2, "x"), (3, "y")], "id int, s string")
+    for k, part in ((0, "id = 1"), (1, "id > 1"), (1, "id > 1")):
+        write_batch(partial_stats(df.where(part)), k, path)
+    norm = lambda d: sorted(map(str, d.collect()))
+    assert norm(merged_checks(spark.read.parquet(path), df)) == norm(run_all_checks(df))
+
+
+def test_redelivered_and_late_requests_are_answered_once(spark):
+    from tessera.operators.models import build_model
+    from tessera.streaming.scoring import stream_scores
+    base = tempfile.mkdtemp(prefix="tessera-stream-r-")
+    train = spark.range(100).select((F.col("id") % 7).cast("double").alias("a"), ((F.col("id") % 7) > 3).cast("int").alias("label"))
+    pipe = build_model("gbt", ["a"])
+    gbt = pipe.getStages()[-1]
+    model = pipe.fit(train, {gbt.maxIter: 2, gbt.maxDepth: 2})
+    at = lambda minutes: T0 + timedelta(minutes=minutes)
+    files = [[(1, '{"a": 6}', at(0)), (2, '{"a": 1}', at(1)), (1, '{"a": 6}', at(2)), (9, '{"a": 1}', None)],
+             [(1, '{"a": 6}', at(9)), (3, "{", at(60)), (2, '{"a": 1}', at(3))],
+             [(4, '{"b": 1}', at(61)), (3, "{", at(62))],
+             [(5, '{"a": 5}', at(5))]]  # an hour late
+    for f in files:
+        spark.createDataFrame(f, "request_id bigint, body string, sent timestamp").coalesce(1).write.mode("append").parquet(f"{base}/in")
+    args = dict(file_schema="request_id bigint, body string, sent timestamp", max_files_per_trigger=1, sent_col="sent",
+                delay="20 minutes", rejects_path=f"{base}/rejects")
+    _run(stream_scores(spark, f"{base}/in", model, ["a"], "a double", ["a"], f"{base}/scores", f"{base}/log", f"{base}/ck", **args))
+    assert sorted(r.request_id for r in spark.read.parquet(f"{base}/scores").collect()) == [1, 2]
+    assert sorted((r.request_id, r.status) for r in spark.read.parquet(f"{base}/rejects").collect()) == [(3, "malformed"), (4, "rejected")]
+    log = spark.read.parquet(f"{base}/log").agg(F.sum("rows"), F.sum("rejected")).first()
+    assert tuple(log) == (4, 2)
+
+
+def test_scores_of_a_run_are_replaced_when_it_runs_again(spark):
+    from tessera.sources.sinks import write_scores
+    base = tempfile.mkdtemp(prefix="tessera-scores-")
+    df = spark.createDataFrame([(1, "ok"), (2, "rejected"), (3, "ok")], "request_id int, status string")
+    for run in ("a", "b", "a"):
+        assert write_scores(df, f"{base}/s", f"{base}/l", run, F.col("status") != "ok")[:2] == (run, 3)
+    assert spark.read.parquet(f"{base}/s").count() == 6
+    assert sorted((r.run_id, r["rows"], r.rejected) for r in spark.read.parquet(f"{base}/l").collect()) == [("a", 3, 1), ("b", 3, 1)]
+    name, n, seconds = write_scores(df.limit(0), f"{base}/none")
+    assert n == 0 and seconds > 0 and len(name) == 32

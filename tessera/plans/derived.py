@@ -131,6 +131,7 @@ REQUEST_BUCKET = "flask_http_request_duration_seconds_bucket"
 POD_CPU = "container_cpu_usage_seconds_total"
 POD_MEMORY = "container_memory_usage_bytes"
 CLASS_TOTAL = "ml_prediction_class_total"
+STORE_LABELS = ("path", "status", "le", "pod", "prediction_class")
 
 
 def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:

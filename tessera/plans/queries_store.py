@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.labels import match, select_metric
 from tessera.functions.timecols import elapsed_seconds, seconds_text, stamp
 from tessera.plans.catalog import register
-from tessera.plans.derived import CLASS_TOTAL, REQUEST_COUNT, metric_samples
+from tessera.plans.derived import CLASS_TOTAL, REQUEST_BUCKET, REQUEST_COUNT, STORE_LABELS, metric_samples
 from tessera.plans.queries_metrics import (CLASS_COUNTER_SQL, CPU_COUNTER_SQL, LATENCY_BUCKETS_SQL,
                                            MEMORY_GAUGE_SQL, REQUEST_COUNTER_SQL)
 from tessera.sources.files import read_samples
+from tessera.sources.samples import read_store, read_store_stream, write_samples
 from tessera.sources.tables import table
-from tessera.streaming.runs import scratch_path
+from tessera.streaming.runs import drain, scratch_path
 
 _STORE_SQL = (f"select 'flask_http_request_duration_seconds_count' as metric, ts, value from ({REQUEST_COUNTER_SQL}) "
               f"union all select 'flask_http_request_duration_seconds_bucket', ts, value from ({LATENCY_BUCKETS_SQL}) "
@@ -39,13 +39,43 @@ def q_metric_scan(spark, sf_dir):
     return s.groupBy("metric").agg(F.count(F.lit(1)).alias("samples"), F.sum("value").alias("total"))
 
 
+def stored(spark, sf_dir):
+    """All feeds written as a store; its folder."""
+    path = scratch_path(spark, "store")
+    write_samples(metric_samples(spark, sf_dir), path, STORE_LABELS)
+    return path
+
+
 @register("metric_select", f"select path, count(*) as samples, max(value) as max_value from ({REQUEST_COUNTER_SQL}) "
                            f"where status = '200' and regexp_full_match(path, '/predict.*') group by path")
 def q_metric_select(spark, sf_dir):
-    s = select_metric(metric_samples(spark, sf_dir), REQUEST_COUNT)
-    s = match(s, ("status", "=", "200"), ("path", "=~", "/predict.*"))
-    return s.groupBy(F.element_at("labels", F.lit("path")).alias("path")).agg(
-        F.count(F.lit(1)).alias("samples"), F.max("value").alias("max_value"))
+    """From the store on disk: folders of one metric, row groups of the wanted labels."""
+    s = read_store(spark, stored(spark, sf_dir), REQUEST_COUNT, (("status", "=", "200"), ("path", "=~", "/predict.*")))
+    return s.groupBy("path").agg(F.count(F.lit(1)).alias("samples"), F.max("value").alias("max_value"))
+
+
+_FROM, _TO = "2024-01-10 06:00:00", "2024-01-12 18:00:00"
+_RANGE_SQL = (f"select path, le, count(*) as samples, sum(value) as total from ({LATENCY_BUCKETS_SQL}) where ts > timestamp '{_FROM}' "
+              f"and ts <= timestamp '{_TO}' and path in ('/predict/click', '/predict/view') and le <> '+Inf' group by path, le")
+
+
+@register("store_range", _RANGE_SQL)
+def q_store_range(spark, sf_dir):
+    """One metric, some days and a few paths of the store: folders by metric and day, row groups by label and time."""
+    s = read_store(spark, stored(spark, sf_dir), REQUEST_BUCKET, _RANGE_MATCHERS, _FROM, _TO)
+    return s.groupBy("path", "le").agg(F.count(F.lit(1)).alias("samples"), F.sum("value").alias("total"))
+
+
+@register("store_stream", _RANGE_SQL)
+def q_store_stream(spark, sf_dir):
+    """The same from a stream of the store's files."""
+    base = scratch_path(spark, "store-stream")
+    s = read_store_stream(spark, stored(spark, sf_dir), REQUEST_BUCKET, _RANGE_MATCHERS, _FROM, _TO)
+    out = drain(s, f"{base}/out", f"{base}/ckpt")
+    return out.groupBy("path", "le").agg(F.count(F.lit(1)).alias("samples"), F.sum("value").alias("total"))
+
+
+_RANGE_MATCHERS = (("path", "=~", "/predict/(click|view)"), ("le", "!=", "+Inf"))
 
 
 @register("version_stamps", """select event_id, 'gbt_' || strftime(ts, '%Y%m%d_%H%M%S') as version_name,

@@ -6,10 +6,11 @@ so each row only needs to be compared with a few boundary rows. Boundaries
 are found without sorting the data:
 
 1. count rows per 3-hex-digit hash prefix (4,096 groups, partial aggregation);
-2. inside the one prefix bucket holding a boundary, count per 6-digit prefix;
-3. rank only the rows of that bucket (about n / 16.7 million rows at scale).
+2. inside the prefixes that hold a boundary, count per 6-digit prefix;
+3. inside those, count per key (about n / 16.7 million keys at scale).
 
-The split itself is then a per-row comparison, with no shuffle and no join.
+The split itself is then a per-row comparison, with no shuffle and no join; folds compare
+each row with the boundaries of its class, which are joined by label.
 Mini-batches need every row's rank: rows are counted by hash prefix (or stretch
 of the key), and a rank is the position within the prefix plus the rows before it.
 """
@@ -17,13 +18,13 @@ of the key), and a rank is the position within the prefix plus the rows before i
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import c
+from tessera.session import cut_lineage
 
 H = "__h"
 G = "__g"
@@ -36,73 +37,37 @@ def order_hash(key: str, seed: int = 42, epoch: int | None = None) -> Column:
     return F.md5(F.concat_ws(":", *parts))
 
 
-def _walk(buckets: list[tuple[str, int]], rank: int) -> tuple[str, int]:
-    """Bucket holding the ``rank``-th row (1-based) and the rank inside it."""
-    seen = 0
-    for name, cnt in buckets:
-        if seen + cnt >= rank:
-            return name, rank - seen
-        seen += cnt
-    raise ValueError("rank beyond the row count")
+def _narrowed(counts: DataFrame, within: list[str], by: list[str], wanted: DataFrame, ids: list[str]) -> DataFrame:
+    """The unit (``by``) that holds each wanted rank, and the rank inside it.
 
-
-def group_counts(df: DataFrame) -> dict:
-    """Rows per group and 3-digit prefix: ``{group: [(prefix, count), ...]}`` sorted."""
-    rows = df.groupBy(G, F.substring(H, 1, 3).alias("p")).count().collect()
-    out = defaultdict(list)
-    for r in rows:
-        out[r[G]].append((r["p"], r["count"]))
-    for g in out:
-        out[g].sort()
-    return dict(out)
+    ``counts`` has ``n`` rows for each unit of a group (``within``); ``wanted`` has a rank ``__r`` in a group.
+    """
+    w = Window.partitionBy(*within).orderBy(*by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (counts.withColumn("__upto", F.sum("n").over(w)).join(wanted, within)
+            .where((F.col("__r") <= F.col("__upto")) & (F.col("__r") > F.col("__upto") - F.col("n")))
+            .select(*ids, *within, *[b for b in by if b not in within], (F.col("__r") - F.col("__upto") + F.col("n")).alias("__r"),
+                    (F.col("__upto") - F.col("n")).alias("__before"), "n"))
 
 
-def boundary_rows(df: DataFrame, key: str, counts: dict, targets: dict) -> dict:
-    """The ``(hash, key)`` of the row at each requested rank of each group.
+def located(df: DataFrame, key: str, targets: DataFrame, ids: list[str]) -> DataFrame:
+    """The row at each wanted rank of each group: ``ids..., __g, __h, __k``, its place ``__r`` among the ``n`` rows of its key.
 
-    ``df`` carries the hash ``__h`` and group ``__g``; ``targets`` maps a
-    group to 1-based ranks within it. Returns ``{(group, rank): (h, key)}``.
+    ``df`` carries the hash ``__h`` and the group ``__g``; ``targets`` has ``ids..., __g, __r`` (1-based). Rows are
+    counted by prefix of 3 digits, then, under the prefixes that hold a target, of 6, then by key; each time partial
+    sums first, and what holds the targets is joined, not fetched.
     """
-    wanted = [(g, r) for g, ranks in targets.items() for r in ranks]
-    if not wanted:
-        return {}
-    level1 = {(g, r): _walk(counts[g], r) for g, r in wanted}
-    need3 = sorted({(g, p) for (g, _), (p, _) in level1.items()})
-    cond3 = F.lit(False)
-    for g, p in need3:
-        cond3 = cond3 | ((F.col(G) == F.lit(g)) & (F.substring(H, 1, 3) == F.lit(p)))
-    rows = (df.where(cond3).groupBy(G, F.substring(H, 1, 3).alias("p3"),
-                                    F.substring(H, 1, 6).alias("p6")).count().collect())
-    sub = defaultdict(list)
-    for r in rows:
-        sub[(r[G], r["p3"])].append((r["p6"], r["count"]))
-    level2 = {}
-    for (g, r), (p3, r1) in level1.items():
-        level2[(g, r)] = _walk(sorted(sub[(g, p3)]), r1)
-    return _rank_in_buckets(df, key, level2, 6)
-
-
-def _rank_in_buckets(df: DataFrame, key: str, located: dict, width: int) -> dict:
-    """Rank only the rows of the located prefix buckets and pick the target rows."""
-    prefix = F.substring(H, 1, width)
-    cond = F.lit(False)
-    for g, p in sorted({(g, p) for (g, _), (p, _) in located.items()}):
-        cond = cond | ((F.col(G) == F.lit(g)) & (prefix == F.lit(p)))
-    w = Window.partitionBy(G, prefix).orderBy(H, c(key))
-    ranked = df.where(cond).select(G, H, c(key).alias("__k"), prefix.alias("__p"),
-                                   F.row_number().over(w).alias("__rn"))
-    pick = F.lit(False)
-    for (g, r), (p, rr) in located.items():
-        pick = pick | ((F.col(G) == F.lit(g)) & (F.col("__p") == F.lit(p)) & (F.col("__rn") == rr))
-    ties = Window.partitionBy(G, H, "__k")
-    ranked = ranked.withColumn("__after", F.max("__rn").over(ties) - F.col("__rn"))
-    found = {(row[G], row["__p"], row["__rn"]): (row[H], row["__k"], row["__after"])
-             for row in ranked.where(pick).collect()}
-    out = {(g, r): found[(g, located[(g, r)][0], located[(g, r)][1])] for (g, r) in located}
-    for (_, _), (_, k, after) in out.items():
-        if after:
-            raise ValueError(f"{after} more rows share the boundary key {k}; name columns that tell rows apart")
-    return {at: (h, k) for at, (h, k, _) in out.items()}
+    d = df.select(G, H, F.substring(H, 1, 3).alias("__p3"), F.substring(H, 1, 6).alias("__p6"), c(key).alias("__k"))
+    n = F.count(F.lit(1)).alias("n")
+    at = _narrowed(d.groupBy(G, "__p3").agg(n), [G], ["__p3"], targets, ids).drop("n", "__before")
+    for by, finer in (([G, "__p3"], ["__p6"]), ([G, "__p6"], [H, "__k"])):
+        inside = d.join(at.select(*by).distinct(), by, "left_semi").groupBy(*by, *finer).agg(n)
+        at = _narrowed(inside, by, finer, at, ids).drop("__before", *(["n"] if finer == ["__p6"] else []))
+    return at.select(*ids, G, H, "__k", "__r", "n")
+
+
+def _refuse_ties(after: int, key) -> None:
+    if after:
+        raise ValueError(f"{after} more rows share the boundary key {key}; name columns that tell rows apart")
 
 
 def _after(key: str, bound: tuple) -> Column:
@@ -118,31 +83,56 @@ def test_count(n: int, test_size: float) -> int:
     return int(test_size)
 
 
+def _by_content(df: DataFrame, key: str, seed: int) -> Column:
+    """The hash of the key, then one of the whole row, which tells rows of one key apart unless they are alike."""
+    return F.concat(order_hash(key, seed), F.md5(F.to_json(F.struct(*[c(x) for x in df.columns]))))
+
+
 def train_test_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42,
-                     exact: bool = True, split_col: str = "split") -> DataFrame:
+                     exact: bool = True, split_col: str = "split", ties: str = "refuse") -> DataFrame:
     """Add ``split`` = 'test' | 'train'; the test part is the first ``ceil(test_size * n)``
     rows in hash order (disjoint, complete, same for any partitioning).
 
     ``exact=False`` skips the counting jobs and compares the hash with a
     fixed threshold (test size then only approximately ``test_size * n``).
+
+    If the boundary falls between rows of one key, ``ties="refuse"`` raises, and ``ties="content"``
+    allots them by a hash of the whole row. Rows that are alike in every column cannot be told apart: as many
+    of them as the size needs go to the test part, from their count, so reruns agree there too.
     """
+    if ties not in ("refuse", "content"):
+        raise ValueError(f"ties must be 'refuse' or 'content', not {ties!r}")
     hashed = df.withColumn(H, order_hash(key, seed))
     if not exact:
         cut = format(int(test_size * 16 ** 8), "08x")
         out = F.when(F.substring(H, 1, 8) < F.lit(cut), "test").otherwise("train")
         return hashed.withColumn(split_col, out).drop(H)
-    g = hashed.withColumn(G, F.lit(0))
-    counts = group_counts(g)
-    n = sum(cnt for _, cnt in counts.get(0, []))
+    n = df.count()
     m = test_count(n, test_size)
-    if m <= 0:
-        out = F.lit("train")
-    elif m >= n:
-        out = F.lit("test")
-    else:
-        bound = boundary_rows(g, key, counts, {0: [m]})[(0, m)]
-        out = F.when(_after(key, bound), "train").otherwise("test")
-    return hashed.withColumn(split_col, out).drop(H)
+    if m <= 0 or m >= n:
+        return df.withColumn(split_col, F.lit("train" if m <= 0 else "test"))
+    target = df.sparkSession.createDataFrame([(0, m)], f"{G} int, __r long")
+
+    def boundary(d):
+        return located(d.withColumn(G, F.lit(0)), key, target, []).first()
+
+    at = boundary(hashed)
+    if at["n"] > at["__r"]:
+        if ties == "refuse":
+            _refuse_ties(at["n"] - at["__r"], at["__k"])
+        hashed = df.withColumn(H, _by_content(df, key, seed))
+        at = boundary(hashed)
+    side = F.when(_after(key, (at[H], at["__k"])), "train").otherwise("test")
+    if at["n"] == at["__r"]:
+        return hashed.withColumn(split_col, side).drop(H)
+    # rows alike in every column straddle the boundary: one of them, as often as each side needs it
+    alike = (F.col(H) == at[H]) & c(key).eqNullSafe(F.lit(at["__k"]))
+    one = hashed.where(alike).limit(1)
+    parts = F.array(*[F.struct(F.lit(name).alias("s"), F.lit(int(times)).alias("t"))
+                      for name, times in (("test", at["__r"]), ("train", at["n"] - at["__r"]))])
+    copies = one.withColumn("__part", F.explode(parts)).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__part.t"))))
+    copies = copies.select(*[c(x) for x in df.columns], F.col("__part.s").alias(split_col))
+    return hashed.where(~alike).withColumn(split_col, side).drop(H).unionByName(copies)
 
 
 def fold_allocation(class_counts: list[tuple[object, int]], k: int) -> dict:
@@ -162,41 +152,48 @@ def fold_allocation(class_counts: list[tuple[object, int]], k: int) -> dict:
     return out
 
 
+def _fold_ranks(totals: DataFrame, k: int) -> DataFrame:
+    """``__g, n, __f, __r``: the rank in its class of the last row of each fold but the last; see :func:`fold_allocation`.
+
+    ``totals`` has one row for each class.
+    """
+    start = F.sum("n").over(Window.orderBy(G).rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
+    t = totals.withColumn("__s", start).withColumn("__f", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+    first = F.pmod(F.col("__f") - F.col("__s"), F.lit(k))  # rows of the class before the fold's first one
+    t = t.withColumn("__a", F.greatest(F.floor((F.col("n") - 1 - first) / k) + 1, F.lit(0)))
+    upto = Window.partitionBy(G).orderBy("__f").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return t.withColumn("__r", F.sum("__a").over(upto)).where(F.col("__f") < k - 1).select(G, "n", "__f", "__r")
+
+
 def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 42,
                      fold_col: str = "fold") -> DataFrame:
     """Add ``fold`` in ``0..k-1``: per class, contiguous blocks in hash order whose
-    sizes follow an unshuffled stratified k-fold over the sorted labels."""
+    sizes follow an unshuffled stratified k-fold over the sorted labels.
+
+    The boundary rows of all classes are found and kept in one table, a row for each class, that is joined
+    by label; a row's fold is the number of its class's boundaries that lie before it. The driver
+    sees counts only, however many classes there are.
+    """
     hashed = df.withColumn(H, order_hash(key, seed)).withColumn(G, c(label))
-    counts = group_counts(hashed)
-    if None in counts:
-        raise ValueError(f"{sum(n for _, n in counts[None])} rows have no {label}; folds need a label on every row")
-    totals = [(g, sum(cnt for _, cnt in b)) for g, b in counts.items()]
-    if any(n < k for _, n in totals) and sum(n for _, n in totals) < k:
-        raise ValueError(f"Cannot make {k} folds from {sum(n for _, n in totals)} rows")
-    alloc = fold_allocation(totals, k)
-    targets = {}
-    for g, a in alloc.items():
-        cum, ranks = 0, []
-        for f in range(k - 1):
-            cum += a[f]
-            ranks.append(cum)
-        targets[g] = ranks
-    bounds = boundary_rows(hashed, key, counts,
-                           {g: sorted({r for r in rs if 0 < r < dict(totals)[g]}) for g, rs in targets.items()})
-    fold = None
-    for g, ranks in targets.items():
-        n_g = dict(totals)[g]
-        terms = []
-        for r in ranks:
-            if r <= 0:
-                terms.append(F.lit(1))
-            elif r >= n_g:
-                terms.append(F.lit(0))
-            else:
-                terms.append(_after(key, bounds[(g, r)]).cast("int"))
-        expr = sum(terms[1:], terms[0]) if terms else F.lit(0)
-        fold = F.when(F.col(G) == F.lit(g), expr) if fold is None else fold.when(F.col(G) == F.lit(g), expr)
-    return hashed.withColumn(fold_col, fold.cast("int")).drop(H, G)
+    totals = cut_lineage(hashed.groupBy(G).agg(F.count(F.lit(1)).alias("n")))  # one row for each class
+    rows, lost = totals.agg(F.sum("n"), F.sum(F.when(F.col(G).isNull(), F.col("n")))).first()
+    if lost:
+        raise ValueError(f"{lost} rows have no {label}; folds need a label on every row")
+    if (rows or 0) < k:
+        raise ValueError(f"Cannot make {k} folds from {rows or 0} rows")
+    ranks = _fold_ranks(totals, k)
+    inside = (F.col("__r") > 0) & (F.col("__r") < F.col("n"))
+    bounds = cut_lineage(located(hashed, key, ranks.where(inside).select("__f", G, "__r"), ["__f"]))
+    tie = bounds.where(F.col("n") > F.col("__r")).first()
+    if tie:
+        _refuse_ties(tie["n"] - tie["__r"], tie["__k"])
+    table = (ranks.groupBy(G).agg(F.count_if(F.col("__r") <= 0).alias("__empty"))
+             .join(bounds.groupBy(G).agg(F.collect_list(F.struct(H, "__k")).alias("__bounds")), G, "left")
+             .withColumnRenamed(G, "__label"))
+    joined = hashed.join(table, hashed[G] == table["__label"])
+    mine = F.struct(F.col(H).alias(H), c(key).alias("__k"))
+    before = F.size(F.filter(F.coalesce("__bounds", F.array().cast(table.schema["__bounds"].dataType)), lambda b: b < mine))
+    return joined.withColumn(fold_col, (F.col("__empty") + before).cast("int")).select(*[c(x) for x in df.columns], fold_col)
 
 
 def rank_in_groups(df: DataFrame, group: Column, order: list[Column], rank_col: str = "rank") -> DataFrame:

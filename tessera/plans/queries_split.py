@@ -33,6 +33,21 @@ def q_split_sizes(spark, sf_dir):
     return s.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
 
+_LINES = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate"
+
+
+@register("split_lineitem", (
+    f"with t as (select l_orderkey, md5('{SEED}:' || cast(l_orderkey as varchar)) as h, row_number() over "
+    f"(order by md5('{SEED}:' || cast(l_orderkey as varchar)), l_orderkey) as rn from lineitem), "
+    f"m as (select cast(ceil({TEST_SIZE} * count(*)) as bigint) as m from t), "
+    f"select l_orderkey, count(*) as n_rows, count(*) filter (where rn <= m) as n_test from t, m group by l_orderkey"))
+def q_split_lineitem(spark, sf_dir):
+    """A table without a unique key: every order's lines, and how many of them fell into the test part."""
+    lines = table(spark, sf_dir, "lineitem").select(*_LINES.split(", "))
+    s = train_test_split(lines, "l_orderkey", TEST_SIZE, SEED, ties="content")
+    return s.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("split") == "test").alias("n_test"))
+
+
 def _orders_train(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", (F.col("o_orderstatus") == "F").cast("int").alias("label"), "o_totalprice")

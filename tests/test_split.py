@@ -81,3 +81,56 @@ def test_split_of_repeated_keys_is_exact_or_refused(spark):
     with pytest.raises(ValueError, match="share the boundary key"):
         train_test_split(df, "key", 0.25).count()
     assert train_test_split(df, "key", 0.2).where("split = 'test'").count() == 20
+
+
+def _split_of(spark, rows, size, parts):
+    df = spark.createDataFrame(rows, "key long, a string, `a.b` int").repartition(parts)
+    out = train_test_split(df, "key", size, ties="content")
+    assert out.columns == ["key", "a", "a.b", "split"]
+    return sorted(map(str, out.collect()))
+
+
+@pytest.mark.parametrize("size", [0.05, 0.25, 0.5, 0.99, 7])
+def test_repeated_keys_split_exactly_and_alike_for_any_partitioning(spark, size):
+    hot = [(1, f"x{i % 50}" if i % 3 else None, i % 2) for i in range(300)]  # one key holds most rows, many alike
+    rows = hot + [(i // 4, "y", i) for i in range(120)] + [(None, None, None)] * 20
+    one, eight = _split_of(spark, rows, size, 1), _split_of(spark, rows, size, 8)
+    n = len(rows)
+    assert one == eight and len(one) == n
+    assert sum("split='test'" in r for r in one) == (math.ceil(size * n) if isinstance(size, float) else size)
+    df = spark.createDataFrame(rows, "key long, a string, `a.b` int")
+    assert sorted(map(str, train_test_split(df, "key", size, ties="content").drop("split").collect())) == sorted(map(str, df.collect()))
+
+
+def test_rows_that_are_all_alike_split_by_their_count(spark):
+    df = spark.createDataFrame([(5, "x")] * 103, "key long, a string").repartition(6)
+    got = train_test_split(df, "key", 0.2, ties="content").groupBy("split").count().collect()
+    assert {r.split: r["count"] for r in got} == {"test": 21, "train": 82}
+    with pytest.raises(ValueError):
+        train_test_split(df, "key", ties="guess")
+
+
+def test_folds_of_many_labels_need_no_rows_on_the_driver(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+    n, k = 6000, 4
+    df = spark.range(n).select(F.col("id").alias("key"), (F.col("id") * 7919 % 2003).cast("string").alias("y"), F.lit(1).alias("n"))
+    collected = []
+    monkeypatch.setattr(type(df), "collect", lambda self, c=type(df).collect: collected.append(r := c(self)) or r)
+    out = stratified_folds(df, "y", "key", k)
+    assert isinstance(out, DataFrame) and sum(map(len, collected)) <= 2
+    monkeypatch.undo()
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.y, []).append((r.key, r.fold))
+    alloc = fold_allocation([(y, len(v)) for y, v in got.items()], k)
+    import hashlib
+    for y, rows in got.items():
+        rows.sort(key=lambda x: (hashlib.md5(f"42:{x[0]}".encode()).hexdigest(), x[0]))
+        assert [f for _, f in rows] == [f for f in range(k) for _ in range(alloc[y][f])]
+    assert out.columns == ["key", "y", "n", "fold"]
+
+
+def test_folds_refuse_repeated_boundary_keys(spark):
+    df = spark.createDataFrame([(k // 10, 1) for k in range(100)], "key long, y int")
+    with pytest.raises(ValueError, match="share the boundary key"):
+        stratified_folds(df, "y", "key", 3)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.plans.catalog import register
 from tessera.plans.etl import run_pipeline
-from tessera.sources.files import extract
+from tessera.sources.files import extract, extract_checked
 from tessera.sources.sinks import load
 from tessera.sources.tables import table
 from tessera.streaming.runs import scratch_path
@@ -47,3 +47,41 @@ def q_etl_run(spark, sf_dir):
     load(raw, f"{base}/raw", "csv")
     run_pipeline(spark, f"{base}/raw", f"{base}/processed", "csv", "parquet", schema=CUSTOMER_SCHEMA)
     return spark.read.parquet(f"{base}/processed")
+
+
+# What does not fit: a line for each nation, cut short (csv) or without its end (json).
+
+def _with_bad_lines(spark, sf_dir, path, format):
+    nation = table(spark, sf_dir, "nation").select(F.concat(F.col("n_nationkey").cast("string"), F.lit("|")).alias("value"))
+    bad = nation if format == "csv" else nation.select(F.concat(F.lit('{"c_custkey": '), "value").alias("value"))
+    head = spark.createDataFrame([("c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment",)], "value string")
+    (head.union(bad).coalesce(1) if format == "csv" else bad).write.mode("append").text(path)
+
+
+def _inferred(spark, sf_dir, format):
+    """`customer` written as text, some malformed lines beside it, read back without a schema."""
+    path = scratch_path(spark, f"inferred-{format}")
+    customer = table(spark, sf_dir, "customer")
+    if format == "csv":
+        load(customer, path, "csv")
+    else:
+        customer.write.json(path)
+    _with_bad_lines(spark, sf_dir, path, format)
+    return extract_checked(spark, path, format)
+
+
+_INFERRED_SQL = ("select cast(c_custkey as bigint) as c_custkey, c_name, cast(c_nationkey as bigint) as c_nationkey, c_acctbal, "
+                 "c_mktsegment, (select count(*) from nation) as bad_lines from customer")
+
+
+def _inferred_query(format):
+    @register(f"{format}_inferred", _INFERRED_SQL)
+    def q_inferred(spark, sf_dir):
+        rows, bad = _inferred(spark, sf_dir, format)
+        return rows.select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name", F.col("c_nationkey").cast("long").alias("c_nationkey"),
+                           F.col("c_acctbal").cast("double").alias("c_acctbal"), "c_mktsegment").crossJoin(
+            F.broadcast(bad.agg(F.count("line").alias("bad_lines"))))
+
+
+_inferred_query("csv")
+_inferred_query("json")

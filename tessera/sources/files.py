@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from tessera.functions.columns import c
 
 SCAN_FORMATS = ("csv", "parquet", "json")
 
@@ -30,6 +33,34 @@ def extract(spark: SparkSession, path: str, format: str = "csv",
     return reader.json(path)
 
 
+#: Column of a line that does not fit the schema, beside whatever could be read of it.
+CORRUPT = "_corrupt_record"
+
+
+def extract_checked(spark: SparkSession, path: str, format: str = "csv",
+                    schema: StructType | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows of a csv or json scan that fit the schema, and the lines that do not (column ``line``).
+
+    The schema is the given one, or inferred as in :func:`extract`; a JSON inference leaves malformed lines
+    out of account. A csv line is malformed with too few or too many fields, or one that is no value of its
+    type; empty lines are no rows. The two frames scan the files each for itself.
+    """
+    if format not in ("csv", "json"):
+        raise ValueError(f"Unsupported format: {format}")
+    if schema is None:
+        schema = extract(spark, path, format).schema
+    known = StructType([f for f in schema.fields if f.name != CORRUPT])
+    whole = StructType([*known.fields, StructField(CORRUPT, StringType())])
+    reader = spark.read.schema(whole).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    rows = reader.option("header", "true").csv(path) if format == "csv" else reader.json(path)
+    names = [c(f.name) for f in known.fields]
+    # a line is judged by the columns that are read of it, and the corrupt column alone cannot be asked for: a
+    # condition that always holds keeps every column in the scan, a count's too
+    whole_line = F.hash(*[c(f.name) if "map<" not in f.dataType.simpleString() else F.to_json(c(f.name)) for f in known.fields]) >= -(1 << 31)
+    odd = rows.where(c(CORRUPT).isNotNull() & whole_line).select(c(CORRUPT).alias("line"))
+    return rows.where(c(CORRUPT).isNull() & whole_line).select(*names), odd
+
+
 def read_training(spark: SparkSession, path: str, format: str | None = None,
                   schema: StructType | str | None = None) -> DataFrame:
     """Training-set scan: format from ``format`` or else from the path suffix."""

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import os
 import time
+from collections.abc import Callable
 from datetime import datetime, timezone
 from urllib.parse import urlparse
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 SINK_FORMATS = ("parquet", "csv")
+#: Suffix of the folder that holds a destination's old data while new ones move in.
+OLD = ".replaced"
 
 
 def _norm(path: str) -> str:
@@ -21,21 +24,74 @@ def _norm(path: str) -> str:
     return f"{parsed.scheme}://{parsed.netloc}{parsed.path}".rstrip("/")
 
 
+def scan_roots(df: DataFrame) -> list[str]:
+    """The paths that the plan of ``df`` scans, as they were given to the reader; no file is listed."""
+    found, open_ = [], [df._jdf.queryExecution().analyzed()]
+    while open_:
+        node = open_.pop()
+        for seq in (node.children(), node.subqueries()):
+            open_ += [seq.apply(i) for i in range(seq.size())]
+        kind = lambda x: x.getClass().getSimpleName()
+        if kind(node) == "LogicalRelation" and kind(node.relation()) == "HadoopFsRelation":
+            roots = node.relation().location().rootPaths()
+            found += [roots.apply(i).toString() for i in range(roots.size())]
+    return found
+
+
 def _reads_from(df: DataFrame, destination: str) -> bool:
     dest = _norm(destination)
-    for f in df.inputFiles():
-        src = _norm(f)
-        if src == dest or src.startswith(dest + "/"):
-            return True
-    return False
+    return any(src == dest or src.startswith(dest + "/") for src in map(_norm, scan_roots(df)))
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def recover(spark: SparkSession, destination_path: str) -> bool:
+    """Put back the old data of a destination whose publishing was cut off between its two renames."""
+    fs, dest = _file_system(spark, destination_path)
+    old = dest.suffix(OLD)
+    if fs.exists(dest) or not fs.exists(old):
+        return False
+    return fs.rename(old, dest)
+
+
+def publish(spark: SparkSession, write: Callable[[str], None], destination_path: str) -> None:
+    """Let ``write`` fill a staged folder beside the destination, and swap it in once it is complete.
+
+    Complete means that Spark's commit marker is there. A write that fails, or a driver that is lost
+    while it runs, leaves the old data as they were; the time between the two renames is covered
+    by :func:`recover`, which every publish begins with. Renames are atomic on HDFS and local disks; on
+    stores that copy instead, readers may meet a missing folder meanwhile, never a half-written one that
+    carries the marker.
+    """
+    recover(spark, destination_path)
+    fs, dest = _file_system(spark, destination_path)
+    staged, old = dest.suffix(f".staged-{uuid4().hex[:12]}"), dest.suffix(OLD)
+    try:
+        write(staged.toString())
+        if not fs.exists(staged.suffix("/_SUCCESS")):
+            raise RuntimeError(f"{staged} has no commit marker")
+        if fs.exists(dest):
+            fs.delete(old, True)
+            if not fs.rename(dest, old):
+                raise RuntimeError(f"cannot move {dest} aside")
+        if not fs.rename(staged, dest):
+            recover(spark, destination_path)
+            raise RuntimeError(f"cannot move {staged} to {dest}")
+        fs.delete(old, True)
+    finally:
+        if fs.exists(staged):
+            fs.delete(staged, True)
 
 
 def load(df: DataFrame, destination_path: str, format: str = "parquet",
          partition_by: list[str] | None = None) -> None:
-    """Overwrite ``destination_path`` with ``df`` as parquet or csv (with header).
+    """Overwrite ``destination_path`` with ``df`` as parquet or csv (with header), by :func:`publish`.
 
     JSON is readable but not writable here. Writing over the folder the frame
-    reads from would delete its own input mid-job, so that raises too.
+    reads from would delete its own input, so that raises too.
     """
     if format not in SINK_FORMATS:
         raise ValueError(f"Unsupported format: {format}")
@@ -44,10 +100,7 @@ def load(df: DataFrame, destination_path: str, format: str = "parquet",
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if format == "parquet":
-        writer.parquet(destination_path)
-    else:
-        writer.option("header", "true").csv(destination_path)
+    publish(df.sparkSession, writer.parquet if format == "parquet" else writer.option("header", "true").csv, destination_path)
 
 
 def write_scores(df: DataFrame, path: str, log_path: str | None = None, run_id: str | None = None,

@@ -13,18 +13,18 @@ import math
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer, SQLTransformer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.columns import is_numeric
-from tessera.operators.features import TOKEN_PATTERN
+from tessera.functions.columns import is_numeric, quote
+from tessera.operators.features import TOKEN_PATTERN, fit_scaler
 
 MODEL_KINDS = ("gbt", "gbt_leaf")
 
@@ -47,18 +47,43 @@ def _check_features(df: DataFrame, features: list[str]) -> None:
             raise TypeError(f"Feature {name} is {df.schema[name].dataType.simpleString()}, not numeric")
 
 
+class PopulationScaler(Estimator):
+    """Fits ``(x - mean) / std`` of the features, population deviation, to columns ``__scaled_0, ...``.
+
+    The fitted stage is plain SQL with the numbers in it, so it is saved and loaded with its pipeline. MLlib's own
+    scaler divides by the sample deviation.
+    """
+
+    def __init__(self, features: list[str]):
+        super().__init__()
+        self.features = list(features)
+
+    def outputs(self) -> list[str]:
+        return [f"__scaled_{i}" for i, _ in enumerate(self.features)]
+
+    def _fit(self, dataset: DataFrame) -> SQLTransformer:
+        stats = {r["column_name"]: (r["mean"], r["std"]) for r in fit_scaler(dataset, self.features).collect()}
+        scaled = [f"(CAST({quote(name)} AS DOUBLE) - {stats[name][0]!r}D) / {stats[name][1]!r}D AS {out}"
+                  for name, out in zip(self.features, self.outputs())]
+        return SQLTransformer(statement=f"SELECT *, {', '.join(scaled)} FROM __THIS__")
+
+
+def preparation(features: list[str]) -> Pipeline:
+    """Scaler and assembler: what comes before the trees, the same for every point of a search."""
+    scaler = PopulationScaler(features)
+    return Pipeline(stages=[scaler, VectorAssembler(inputCols=scaler.outputs(), outputCol="features", handleInvalid="error")])
+
+
 def build_model(kind: str, features: list[str], label: str = "label", seed: int = 42) -> Pipeline:
-    """Assembler -> scaler -> boosted trees (binary logistic loss).
+    """Scaler -> assembler -> boosted trees (binary logistic loss).
 
     Trees split on feature order only, so scaling leaves their fit
     unchanged; it is kept to match the reference pipeline's shape.
     """
     if kind not in MODEL_KINDS:
         raise ValueError(f"Unsupported model type: {kind}")
-    assembler = VectorAssembler(inputCols=features, outputCol="raw_features", handleInvalid="error")
-    scaler = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
     gbt = GBTClassifier(featuresCol="features", labelCol=label, lossType="logistic", seed=seed)
-    return Pipeline(stages=[assembler, scaler, gbt])
+    return Pipeline(stages=[*preparation(features).getStages(), gbt])
 
 
 def param_grid(pipeline: Pipeline, kind: str, grid: dict | None = None) -> list[dict]:

@@ -91,6 +91,24 @@ def q_gbt_leaf_leaderboard(spark, sf_dir):
     return leaderboard(spark, cv)
 
 
+# Two points of the first family, with few trees (seven fits have to end in seconds).
+TWO_POINTS = dict(POINT, n_estimators=[10], learning_rate=[0.1, 0.2])
+
+
+@register("gbt_search_board", """with r as (select unnest(range(1, 3)) as "rank")
+select "rank"::integer as "rank", 2::bigint as points, true as in_order, true as accuracy_is_a_share, "rank" = 1 as refitted from r""")
+def q_gbt_search_board(spark, sf_dir):
+    """A search that compares two points over three folds: the board's order, and that the best one was refitted."""
+    model, _, _, cv = train_tabular(_orders_training(spark, sf_dir), "o_orderkey", "is_final",
+                                    ["o_totalprice", "o_custkey", "o_dayofyear"], "gbt", grid=TWO_POINTS, folds=3)
+    board = leaderboard(spark, cv)
+    step = model.stages[-1].getStepSize()
+    best = board.agg(F.max("mean_accuracy").alias("best"), F.countDistinct("params").alias("points"))
+    return board.crossJoin(best).select(
+        "rank", "points", ((F.col("rank") > 1) | (F.col("mean_accuracy") == F.col("best"))).alias("in_order"),
+        F.col("mean_accuracy").between(0, 1).alias("accuracy_is_a_share"), F.col("params").contains(f"stepSize={step}").alias("refitted"))
+
+
 _TEST_ROWS_SQL = "cast(ceil(0.2 * count(*)) as bigint)"
 
 

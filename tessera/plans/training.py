@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import c
 from tessera.operators.evaluate import evaluate, metrics_dict
 from tessera.operators.models import (_check_features, build_model, build_text_model, grid_search,
-                                      param_grid, save_model, score)
+                                      param_grid, preparation, save_model, score)
 from tessera.operators.split import stratified_folds, train_test_split
 from tessera.sources.files import read_training
 
@@ -37,16 +38,19 @@ def train_tabular(df: DataFrame, key: str, target: str, features: list[str] | No
     s = train_test_split(data.select(c(key), *[c(x) for x in feats], "label"), key, test_size, seed)
     train = s.where(F.col("split") == "train").drop("split")
     test = s.where(F.col("split") == "test").drop("split")
-    train = stratified_folds(train, "label", key, folds, seed).cache()
-    pipe = build_model(kind, feats, "label", seed)
+    # scaled and assembled once, outside the folds and points of the search
+    prep = preparation(feats).fit(train)
+    ready = stratified_folds(prep.transform(train).select(c(key), "label", "features"), "label", key, folds, seed).cache()
+    pipe = Pipeline(stages=build_model(kind, feats, "label", seed).getStages()[-1:])
     points, cv_model = param_grid(pipe, kind, grid), None
     if search:
-        cv_model = grid_search(train, pipe, points, "label", "fold", parallelism, seed, folds)
-        model = cv_model.bestModel
+        cv_model = grid_search(ready, pipe, points, "label", "fold", parallelism, seed, folds)
+        trees = cv_model.bestModel
     else:
-        model = pipe.fit(train, points[0])
+        trees = pipe.fit(ready, points[0])
+    model = PipelineModel(stages=[*prep.stages, *trees.stages])
     scored = score(model, test, keep=[key, "label"])
-    train.unpersist()
+    ready.unpersist()
     return model, feats, scored, cv_model
 
 

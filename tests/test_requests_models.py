@@ -51,3 +51,25 @@ def test_model_fits_saves_reloads_and_scores(spark, tmp_path):
     res = {r["request_id"]: r for r in score_requests(m2, parsed, ["a", "b"]).collect()}
     assert res[1]["prediction"] == 1 and len(res[1]["probability"]) == 2
     assert res[2]["prediction"] is None and res[2]["status"] == "rejected"
+
+
+def test_training_scales_by_the_population_once_and_chooses_between_points(spark, tmp_path):
+    import math
+
+    from tessera.operators.models import leaderboard, load_model, save_model, score
+    from tessera.plans.training import train_tabular
+    df = spark.range(300).selectExpr("id as key", "cast(id % 17 as double) as `a.b`", "7.0 as same", "cast(id % 17 > 8 as int) as y")
+    grid = {"n_estimators": [1, 4], "max_depth": [1], "learning_rate": [0.1], "subsample": [1.0], "colsample_bytree": [1.0]}
+    model, feats, scored, cv = train_tabular(df, "key", "y", ["a.b", "same"], grid=grid, folds=3)
+    assert feats == ["a.b", "same"] and [type(s).__name__ for s in model.stages] == ["SQLTransformer", "VectorAssembler", "GBTClassificationModel"]
+    train = [r.key % 17 for r in df.join(scored.select("key"), "key", "left_anti").select("key").collect()]
+    mean = sum(train) / len(train)
+    deviation = math.sqrt(sum((x - mean) ** 2 for x in train) / len(train))
+    row = model.transform(df.where("key = 3")).first()
+    assert abs(row.features[0] - (3 - mean) / deviation) < 1e-9 and row.features[1] == 0.0  # a constant column keeps its scale
+    board = leaderboard(spark, cv).collect()
+    assert [r["rank"] for r in board] == [1, 2] and board[0].mean_accuracy >= board[1].mean_accuracy
+    assert model.stages[-1].getNumTrees == (1 if "maxIter=1" in board[0].params else 4)
+    path = save_model(spark, model, str(tmp_path), feats, {"accuracy": 1.0}, "gbt")
+    again = load_model(spark, str(tmp_path))[0]
+    assert path and score(again, df, ["key"]).exceptAll(score(model, df, ["key"])).count() == 0

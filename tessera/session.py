@@ -58,6 +58,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, wherever it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def cut_lineage(df):
     """Materialise ``df`` in the shared checkpoint folder (never a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)

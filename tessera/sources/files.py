@@ -95,12 +95,3 @@ def read_samples(spark: SparkSession, path: str, format: str = "parquet",
     if metric is not None:
         df = df.where(df["metric"] == metric)
     return df
-
-
-def read_samples_stream(spark: SparkSession, path: str, format: str = "parquet",
-                        schema: str = SAMPLE_SCHEMA, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming twin of :func:`read_samples`; streams need the schema up front."""
-    reader = spark.readStream.schema(schema).format(format)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path)

@@ -7,7 +7,10 @@ one scan instead of n jobs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from uuid import uuid4
+
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import c, is_numeric, is_string, to_double
@@ -28,10 +31,10 @@ def _stats_rows(df: DataFrame, picked, with_nulls: bool):
 
     Numeric statistics (and null counts) go in one hash aggregate; text
     min/max need variable-width buffers, which force a slower sort-based
-    aggregate, so they run as a second aggregate over the text columns only.
-    Parquet is columnar, so the two still read every column once.
+    aggregate, so they run as a second aggregate over the text columns only,
+    which are thus read twice; :func:`observed_profile` reads everything once.
     """
-    num_aggs, str_aggs, rows = [F.count(F.lit(1)).alias("__rows")], [F.count(F.lit(1)).alias("__rows2")], []
+    num_aggs, str_aggs = [F.count(F.lit(1)).alias("__rows")], [F.count(F.lit(1)).alias("__rows2")]
     for i, (name, dtype) in enumerate(picked):
         col = c(name)
         if with_nulls:
@@ -96,6 +99,27 @@ def profile(df: DataFrame) -> DataFrame:
     return _profile_frame(df, picked, with_nulls=False)
 
 
+def observed_profile(df: DataFrame) -> tuple[DataFrame, Callable[[], list[Row]]]:
+    """``df`` observed on its way to a sink, and what returns the rows of :func:`profile_with_nulls` afterwards.
+
+    The statistics are gathered by the action that ``df`` is used in, so they cost no scan of their own.
+    Call the second one after that action, which must be the frame's first.
+    """
+    picked = [(f.name, f.dataType) for f in df.schema.fields]
+    num_aggs, str_aggs = _stats_rows(df, picked, True)
+    seen = Observation(f"profile-{uuid4().hex}")
+
+    def rows() -> list[Row]:
+        got = seen.get
+        fields = ["column_name", "null_count", "n", "mean", "stddev", "min_num", "max_num", "min_str", "max_str"]
+        return [Row(*fields)(name, *(got.get(f"{x}{i}") for x in "znas"),
+                             *([got.get(f"lo{i}"), got.get(f"hi{i}")] if is_numeric(dtype) else [None, None]),
+                             *([got.get(f"lo{i}"), got.get(f"hi{i}")] if is_string(dtype) else [None, None]))
+                for i, (name, dtype) in enumerate(picked)]
+
+    return df.observe(seen, *num_aggs, *str_aggs[1:]), rows
+
+
 class UnfillableColumnError(TypeError):
     pass
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.operators.clean import fill_missing, profile_with_nulls
+from tessera.operators.clean import fill_missing, observed_profile, profile_with_nulls
 from tessera.sources.files import extract
 from tessera.sources.sinks import load
 
@@ -18,10 +18,10 @@ def run_pipeline(spark: SparkSession, source_path: str, destination_path: str, s
                  dest_format: str = "parquet", schema=None, strict: bool = False):
     """Extract, profile, fill and load; returns ``(filled frame, profile rows)``.
 
-    One profiling scan and one write; the returned frame stays lazy.
+    The source is parsed once (after an inference, if no schema is given): the profile is observed
+    by the write itself. The returned frame stays lazy.
     """
     df = extract(spark, source_path, source_format, schema)
-    filled, prof = transform(df, strict)
-    stats = prof.collect()  # one row per input column
-    load(filled, destination_path, dest_format)
-    return filled, stats
+    seen, profile_rows = observed_profile(df)
+    load(fill_missing(seen, strict=strict), destination_path, dest_format)
+    return fill_missing(df, strict=strict), profile_rows()

@@ -51,3 +51,23 @@ def test_etl_run_end_to_end(spark, tmp_path):
     assert back[1]["s"] == "unknown" and back[1]["x"] == 0.0
     assert {r["column_name"]: r["null_count"] for r in stats} == {"id": 0, "s": 1, "x": 1}
     assert filled.count() == 2
+
+
+def test_profile_observed_by_the_write_equals_its_own_scan(spark, tmp_path):
+    from tessera.operators.clean import observed_profile, profile_with_nulls
+    df = spark.createDataFrame([(i, float(i) if i % 3 else None, str(i % 4) if i % 5 else None, i % 2 == 0, f"w{i}") for i in range(90)],
+                               "a int, `x.y` double, s string, b boolean, w string").repartition(4)
+    for k, part in enumerate((df, df.limit(0), df.where("a = 1"))):
+        seen, rows = observed_profile(part)
+        seen.write.parquet(str(tmp_path / str(k)))
+        near = lambda r: tuple(round(v, 9) if isinstance(v, float) else v for v in r)
+        assert [near(r) for r in rows()] == [near(r) for r in sorted(profile_with_nulls(part).collect(), key=lambda r: df.columns.index(r.column_name))]
+
+
+def test_etl_run_parses_its_source_once(spark, tmp_path):
+    from tessera.plans.etl import run_pipeline
+    spark.range(50).selectExpr("id", "cast(id as string) as s").write.option("header", True).csv(str(tmp_path / "in"))
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    run_pipeline(spark, str(tmp_path / "in"), str(tmp_path / "out"), schema="id long, s string")
+    jobs = set(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - set(before)
+    assert len(jobs) == 1

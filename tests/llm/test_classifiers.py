@@ -97,3 +97,13 @@ def test_absent_and_repeated_ids_do_not_change_scores(spark, operator):
     found = [{(r.doc_id, r.score) for r in score(d.repartition(n), lab).collect()} for d, lab, n in
              ((docs, labels, 2), (docs, more, 3), (twice, labels, 4), (twice, more, 7))]
     assert found[0] == found[1] and found[2] == found[3]
+
+
+def test_language_of_held_out_rows_by_text_alone(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    held = remainder(docs.doc_id, 5) == 2
+    model = language.train_on(docs.where(~held))
+    got = language.identify(language.from_documents(docs.where(held)), model).toPandas()
+    judged = got.merge(docs.toPandas(), on="doc_id")
+    assert len(judged) > 150 and (judged.text_lang == judged.lang_y).mean() > 0.97
+    assert (judged.lang_x == judged.lang_y).mean() > 0.98

@@ -18,7 +18,7 @@ _S30, _S27, _S31 = np.uint64(30), np.uint64(27), np.uint64(31)
 
 
 #: Words, and bytes of words and values, that a Python worker remembers; beyond either the older half is forgotten.
-REMEMBERED_WORDS, REMEMBERED_BYTES = 400_000, 48 << 20
+REMEMBERED_WORDS, REMEMBERED_BYTES = 400_000, 160 << 20
 #: Bytes of a dictionary's entry.
 _ENTRY = 100
 #: Longer words are worked out anew each time.
@@ -79,6 +79,35 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _S31)
 
 
+def byte_numbers(salt: int) -> np.ndarray:
+    """A random number for each byte; the last one, odd, is the base of a :class:`PrefixHasher`."""
+    table = np.random.default_rng(salt).integers(0, 1 << 64, 257, dtype=np.uint64)
+    table[256] = table[256] << np.uint64(3) | np.uint64(5)
+    return table
+
+
+class PrefixHasher:
+    """Hashes of all words of a buffer from the prefix sums of one polynomial over its bytes, modulo 2**64.
+
+    No hash is 0 or 1.
+    """
+
+    def __init__(self, numbers: np.ndarray):
+        self.numbers = numbers
+        self.up = self.down = np.ones(0, np.uint64)
+
+    def __call__(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        if len(self.up) < len(data) + 1:
+            base = int(self.numbers[256])
+            self.up, self.down = (np.full(len(data) + 1, x, np.uint64) for x in (base, pow(base, -1, 1 << 64)))
+            self.up[0] = self.down[0] = 1
+            np.multiply.accumulate(self.up, out=self.up)
+            np.multiply.accumulate(self.down, out=self.down)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.numbers[data] * self.up[:len(data)], out=sums[1:])
+        return mix64((sums[stops] - sums[starts]) * self.down[starts]) | np.uint64(2)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` in the folder that spark.checkpoint.dir names; see ensure_checkpoint_dir."""
     ensure_checkpoint_dir(df.sparkSession)

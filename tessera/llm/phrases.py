@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import checkpointed, mix64
+from tessera.llm.common import PrefixHasher, byte_numbers, checkpointed
 
 #: Phrases of one trie, and bytes of text that are walked at once.
 BLOCK_PHRASES, CHUNK_BYTES = 1 << 18, 1 << 21
@@ -33,30 +33,14 @@ _SCHEMA = "lang string, rank long, phrase string, a long, l long, r long, n long
 
 
 def _letters(salt: int) -> np.ndarray:
-    """A random number for each byte, the same for A-Z as for a-z; the last one, odd, is the base of a word's hash."""
-    table = np.random.default_rng(salt).integers(0, 1 << 64, 257, dtype=np.uint64)
+    """Numbers of the bytes, the same for A-Z as for a-z, and the base."""
+    table = byte_numbers(salt)
     table[ord("A"):ord("Z") + 1] = table[ord("a"):ord("z") + 1]
-    table[256] = table[256] << np.uint64(3) | np.uint64(5)
     return table
 
 
-class _Hasher:
-    """Hashes of all words of a chunk from the prefix sums of one polynomial over its bytes, modulo 2**64."""
-
-    def __init__(self, salt: int):
-        self.table = _letters(salt)
-        self.up = self.down = np.ones(0, np.uint64)
-
-    def __call__(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-        if len(self.up) < len(data) + 1:
-            base = int(self.table[256])
-            self.up, self.down = (np.full(len(data) + 1, x, np.uint64) for x in (base, pow(base, -1, 1 << 64)))
-            self.up[0] = self.down[0] = 1
-            np.multiply.accumulate(self.up, out=self.up)
-            np.multiply.accumulate(self.down, out=self.down)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.table[data] * self.up[:len(data)], out=sums[1:])
-        return mix64((sums[stops] - sums[starts]) * self.down[starts]) | np.uint64(2)
+def _hasher(salt: int) -> PrefixHasher:
+    return PrefixHasher(_letters(salt))
 
 
 @dataclass
@@ -124,7 +108,7 @@ def _chunk(data: np.ndarray, offsets: np.ndarray, at: int, langs: list, of_row:
 def _count_words(salt: int):
     """Task: occurrences of each word of a language in a chunk by hash, with the range of a second hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second = _Hasher(salt), _Hasher(salt + 1000)
+        first, second = _hasher(salt), _hasher(salt + 1000)
         for c in _chunks(batches):
             h, other = first(c.data, c.starts, c.stops), second(c.data, c.starts, c.stops).view(np.int64)
             order = np.lexsort((h, c.number))
@@ -253,7 +237,7 @@ def _count_phrases(shared, block: int, blocks: int, salt: int, extend: bool):
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, trie = shared.value
-        hashes, total, words = _Hasher(salt), np.zeros(len(ids), np.int64), {}
+        hashes, total, words = _hasher(salt), np.zeros(len(ids), np.int64), {}
         for c in _chunks(batches):
             value, number, word = c.positions(hashes(c.data, c.starts, c.stops))
             at, phrase, code = trie.walk(c.langs, number, value)

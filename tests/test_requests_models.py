@@ -73,3 +73,30 @@ def test_training_scales_by_the_population_once_and_chooses_between_points(spark
     path = save_model(spark, model, str(tmp_path), feats, {"accuracy": 1.0}, "gbt")
     again = load_model(spark, str(tmp_path))[0]
     assert path and score(again, df, ["key"]).exceptAll(score(model, df, ["key"])).count() == 0
+
+
+def test_search_runs_folds_side_by_side_and_names_a_bad_fold(spark, monkeypatch):
+    import threading
+    import pytest
+    from pyspark.ml import Pipeline
+    from pyspark.sql import functions as F
+    from tessera.operators.models import build_model, grid_search, param_grid, preparation
+    df = spark.range(120).select((F.col("id") % 10).cast("double").alias("a"), (F.col("id") % 10 > 4).cast("int").alias("label"),
+                                 (F.col("id") % 3).cast("int").alias("fold"))
+    ready = preparation(["a"]).fit(df).transform(df)
+    pipe = Pipeline(stages=build_model("gbt", ["a"]).getStages()[-1:])
+    grid = param_grid(pipe, "gbt", {"n_estimators": [2], "max_depth": [2], "learning_rate": [0.1], "subsample": [1.0], "colsample_bytree": [1.0]})
+    together, fit = threading.Barrier(3), Pipeline.fit
+
+    def waits(self, data, params=None):
+        if threading.current_thread() is not threading.main_thread():
+            together.wait(60)  # goes on only if three fits of the one point are running
+        return fit(self, data, params)
+
+    monkeypatch.setattr(Pipeline, "fit", waits)
+    cv = grid_search(ready, pipe, grid, folds=3)
+    assert cv.avgMetrics == [1.0] and cv.bestModel.stages[-1].getNumTrees == 2 and cv.getNumFolds() == 3
+    with pytest.raises(ValueError, match="fold 3"):
+        grid_search(ready, pipe, grid, folds=4)
+    with pytest.raises(ValueError, match="40 rows have no fold"):
+        grid_search(ready, pipe, grid, folds=2)

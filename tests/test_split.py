@@ -134,3 +134,30 @@ def test_folds_refuse_repeated_boundary_keys(spark):
     df = spark.createDataFrame([(k // 10, 1) for k in range(100)], "key long, y int")
     with pytest.raises(ValueError, match="share the boundary key"):
         stratified_folds(df, "y", "key", 3)
+
+
+@pytest.mark.parametrize("few", [10_000, 1])
+def test_folds_read_no_class_whole_in_one_task(spark, monkeypatch, few):
+    from tessera.operators import split
+    monkeypatch.setattr(split, "FEW_CLASSES", few, raising=False)
+    monkeypatch.setattr(split, "FREQUENT", 1000, raising=False)
+    n = 8000
+    y = F.when(F.col("id") < 6000, 0).when(F.col("id") < 7900, 1).otherwise(F.col("id") % 7 + 2)
+    df = spark.range(n, numPartitions=8).select(F.col("id").alias("key"), y.cast("int").alias("y"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = stratified_folds(df, "y", "key", 5)
+        most = out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        rows = {r.key: (r.y, r.fold) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert most <= 1100 and len(rows) == n
+    import hashlib
+    sizes = {}
+    for y, _ in rows.values():
+        sizes[y] = sizes.get(y, 0) + 1
+    alloc = fold_allocation(list(sizes.items()), 5)
+    for y in sizes:
+        mine = sorted((k for k in rows if rows[k][0] == y), key=lambda k: (hashlib.md5(f"42:{k}".encode()).hexdigest(), k))
+        assert [rows[k][1] for k in mine] == [f for f in range(5) for _ in range(alloc[y][f])]

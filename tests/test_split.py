@@ -161,3 +161,11 @@ def test_folds_read_no_class_whole_in_one_task(spark, monkeypatch, few):
     for y in sizes:
         mine = sorted((k for k in rows if rows[k][0] == y), key=lambda k: (hashlib.md5(f"42:{k}".encode()).hexdigest(), k))
         assert [rows[k][1] for k in mine] == [f for f in range(5) for _ in range(alloc[y][f])]
+
+
+def test_rows_are_dealt_evenly_and_alike_for_any_partitioning(spark):
+    from tessera.operators.split import dealt
+    df = spark.range(5000).select(F.col("id").alias("key"))
+    assert dealt(df, "key", 5000).rdd.getNumPartitions() == 1
+    parts = [dealt(df.repartition(p), "key", 5000, most=1000, least=10).rdd.glom().map(lambda rs: [r.key for r in rs]).collect() for p in (1, 7)]
+    assert parts[0] == parts[1] and max(map(len, parts[0])) <= 1000

@@ -15,7 +15,7 @@ from tessera.plans.queries_metrics import (CLASS_COUNTER_SQL, LONG_RANGE_S, LONG
                                            STEP_S, extrapolated_sql, summary_sql)
 from tessera.streaming.rates import stream_increase, stream_rate
 from tessera.sources.tables import table, table_stream
-from tessera.streaming.runs import drain, finished, publish_in_turn, publish_samples, scratch_path
+from tessera.streaming.runs import drain, drain_in_turn, finished, publish_in_turn, publish_samples, scratch_path, staged
 
 DELAY_S = 7200  # watermark delay
 
@@ -46,10 +46,10 @@ def q_stream_increase_24h(spark, sf_dir):
     """The class panel's own window and step, fed in several micro-batches."""
     base = scratch_path(spark, "stream-increase")
     samples = prediction_class_counter(spark, sf_dir)
-    src = publish_in_turn(samples, f"{base}/samples", "ts", SLICES)
-    stream = spark.readStream.schema(samples.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    arrivals = publish_in_turn(samples, f"{base}/samples", "ts", SLICES)
+    stream = spark.readStream.schema(samples.schema).parquet(f"{base}/samples")
     out = stream_increase(stream, ["prediction_class"], LONG_RANGE_S, LONG_STEP_S, watermark=f"{DELAY_S} seconds")
-    return rounded(drain(out, f"{base}/out", f"{base}/ckpt"), 9)
+    return rounded(drain_in_turn(out, arrivals, f"{base}/out", f"{base}/ckpt"), 9)
 
 
 from tessera.plans.catalog import LINEITEM_COLS, LINEITEM_NULLS_SQL, _union  # noqa: E402
@@ -115,16 +115,17 @@ def q_stream_scoring(spark, sf_dir):
     sent = events.select(F.col("event_id").alias("request_id"), F.col("ts").cast("timestamp").alias("sent"))
     requests = tabular_request_text(events).join(sent, "request_id")
     again = requests.where(F.expr(REDELIVERED.replace("event_id", "request_id"))).withColumn("sent", F.expr("sent + interval 1 hour"))
-    src = publish_in_turn(requests.unionByName(again), f"{base}/requests", "sent", SLICES)
     train = (parse_tabular_requests(requests, "body", REQUEST_SCHEMA, REQUIRED)
              .where("status = 'ok' and feature2 is not null and feature3 is not null")
              .withColumn("label", (F.col("feature3") == "purchase").cast("int")))
+    train = staged(train, "stream-scoring-train")  # a fit reads its rows several times
     pipe = build_model("gbt", SCORE_FEATURES, "label")
     gbt = pipe.getStages()[-1]
     model = pipe.fit(train, {gbt.maxIter: 5, gbt.maxDepth: 3})
-    finished(stream_scores(spark, src, model, SCORE_FEATURES, REQUEST_SCHEMA, REQUIRED, f"{base}/scores", f"{base}/log",
-                           f"{base}/ckpt", file_schema="request_id bigint, body string, sent timestamp", max_files_per_trigger=1,
-                           sent_col="sent", delay="2 hours", rejects_path=f"{base}/rejects"))
+    for _ in publish_in_turn(requests.unionByName(again), f"{base}/requests", "sent", SLICES):
+        finished(stream_scores(spark, f"{base}/requests", model, SCORE_FEATURES, REQUEST_SCHEMA, REQUIRED, f"{base}/scores", f"{base}/log",
+                               f"{base}/ckpt", file_schema="request_id bigint, body string, sent timestamp",
+                               sent_col="sent", delay="2 hours", rejects_path=f"{base}/rejects"))
     out = spark.read.parquet(f"{base}/scores").unionByName(spark.read.parquet(f"{base}/rejects"))
     return out.select("request_id", "pos", "status", "error", F.col("prediction").isin(0, 1).alias("has_class"),
                       F.col("confidence").between(0.5, 1).alias("has_confidence"))

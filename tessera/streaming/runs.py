@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import c
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import ensure_checkpoint_dir, make_folder
 from tessera.streaming.triggers import trigger_for
 
 
@@ -23,20 +24,33 @@ def publish_samples(df: DataFrame, path: str) -> str:
     return path
 
 
-def publish_in_turn(df: DataFrame, path: str, ts: str, slices: int) -> str:
-    """Write samples as files of consecutive spans of time, one span after the other.
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed once: written to a fresh shared folder and read back, for work that reads it several times."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    A stream that takes a file at a time then sees several micro-batches in time order.
+
+def publish_in_turn(df: DataFrame, path: str, ts: str, slices: int) -> Iterator[int]:
+    """Write samples as files of consecutive spans of time, one span at each step of the iterator.
+
+    A stream that drains what is there after each step sees the spans as micro-batches in time order, however many
+    files a span is. The samples are computed once, and each span is written by all tasks that hold some of it.
     """
-    lo, hi = df.agg(F.min(c(ts)), F.max(c(ts))).first()
-    for k in range(slices):
-        part = df
-        if k:
-            part = part.where(c(ts) >= F.lit(lo + (hi - lo) / slices * k))
-        if k < slices - 1:
-            part = part.where(c(ts) < F.lit(lo + (hi - lo) / slices * (k + 1)))
-        part.coalesce(1).write.mode("append").parquet(path)
-    return path
+    make_folder(df.sparkSession, path)  # a stream can be defined before its first files are there
+
+    def spans():
+        samples = staged(df, "in-turn")
+        lo, hi = samples.agg(F.min(c(ts)), F.max(c(ts))).first()
+        for k in range(slices):
+            part = samples
+            if k:
+                part = part.where(c(ts) >= F.lit(lo + (hi - lo) / slices * k))
+            if k < slices - 1:
+                part = part.where(c(ts) < F.lit(lo + (hi - lo) / slices * (k + 1)))
+            part.write.mode("append").parquet(path)
+            yield k
+    return spans()
 
 
 def finished(query, timeout_s: float | None = None) -> None:
@@ -48,11 +62,21 @@ def finished(query, timeout_s: float | None = None) -> None:
         raise query.exception()
 
 
+def _to_parquet(stream_result: DataFrame, sink: str, checkpoint: str, cadence: str | None = None):
+    return (stream_result.writeStream.format("parquet").option("path", sink)
+            .option("checkpointLocation", checkpoint).outputMode("append")
+            .trigger(**trigger_for(cadence)).start())
+
+
 def drain(stream_result: DataFrame, sink: str, checkpoint: str, cadence: str | None = None,
           timeout_s: float | None = None) -> DataFrame:
     """Append the stream's output to parquet at ``sink`` until the input is drained."""
-    q = (stream_result.writeStream.format("parquet").option("path", sink)
-         .option("checkpointLocation", checkpoint).outputMode("append")
-         .trigger(**trigger_for(cadence)).start())
-    finished(q, timeout_s)
+    finished(_to_parquet(stream_result, sink, checkpoint, cadence), timeout_s)
+    return stream_result.sparkSession.read.parquet(sink)
+
+
+def drain_in_turn(stream_result: DataFrame, arrivals: Iterable, sink: str, checkpoint: str) -> DataFrame:
+    """The same after each arrival of files: the query goes on from its checkpoint, its state and watermark with it."""
+    for _ in arrivals:
+        finished(_to_parquet(stream_result, sink, checkpoint))
     return stream_result.sparkSession.read.parquet(sink)

@@ -47,6 +47,7 @@ def stream_scores(spark: SparkSession, source_path: str, model: PipelineModel, f
             requests, names, ids = parse_text_requests(batch, json_col), ["text"], ("request_id",)
         else:
             requests, names, ids = parse_tabular_requests(batch, json_col, request_schema, required), features, ("request_id", "pos")
+        requests = requests.persist()  # parsed, and told from redelivered ones, once for both parts
         ok = F.col("status") == "ok"
         parts = [(requests, sink_path)] if rejects_path is None else [(requests.where(ok), sink_path), (requests.where(~ok), rejects_path)]
         seconds, counts = 0.0, {"rows": 0, "rejected": 0}
@@ -56,6 +57,7 @@ def stream_scores(spark: SparkSession, source_path: str, model: PipelineModel, f
                 obs, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("status") != "ok").alias("rejected"))
             seconds += write_batch(scored, batch_id, path)
             counts = {n: counts[n] + obs.get[n] for n in counts}  # counted by the write itself, no second pass
+        requests.unpersist()
         log = spark.createDataFrame([(counts["rows"], counts["rejected"], seconds, datetime.now(timezone.utc).isoformat())],
                                     "rows long, rejected long, processing_time_seconds double, logged_at string")
         write_batch(log, batch_id, log_path)

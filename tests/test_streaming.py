@@ -137,3 +137,16 @@ def test_scores_of_a_run_are_replaced_when_it_runs_again(spark):
     assert sorted((r.run_id, r["rows"], r.rejected) for r in spark.read.parquet(f"{base}/l").collect()) == [("a", 3, 1), ("b", 3, 1)]
     name, n, seconds = write_scores(df.limit(0), f"{base}/none")
     assert n == 0 and seconds > 0 and len(name) == 32
+
+
+def test_spans_are_written_by_all_tasks_in_order_of_time(spark):
+    from tessera.streaming.runs import publish_in_turn
+    base = tempfile.mkdtemp()
+    df = spark.range(4000, numPartitions=4).select((F.col("id") * 7919 % 4000).alias("v"), F.timestamp_seconds(F.col("id") * 7919 % 4000).alias("ts"))
+    seen = 0
+    for k in publish_in_turn(df, f"{base}/spans", "ts", 4):
+        rows = spark.read.parquet(f"{base}/spans")
+        top = rows.agg(F.max("v"), F.count("v")).first()
+        assert top[0] == top[1] - 1 and top[1] > seen and len(rows.inputFiles()) >= 2 * (k + 1)
+        seen = top[1]
+    assert seen == 4000

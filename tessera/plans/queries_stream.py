@@ -136,7 +136,9 @@ def q_stream_scoring(spark, sf_dir):
 def q_batch_scoring_log(spark, sf_dir):
     """Scored requests written under a run's id, twice: the log states the counts of one run."""
     base = scratch_path(spark, "batch-scoring")
-    requests = parse_tabular_requests(tabular_request_text(table(spark, sf_dir, "events")), "body", REQUEST_SCHEMA, REQUIRED)
+    # parsed once, for the fit and for both runs
+    requests = staged(parse_tabular_requests(tabular_request_text(table(spark, sf_dir, "events")), "body", REQUEST_SCHEMA, REQUIRED),
+                      "batch-scoring-requests")
     train = (requests.where("status = 'ok' and feature2 is not null and feature3 is not null")
              .withColumn("label", (F.col("feature3") == "purchase").cast("int")))
     pipe = build_model("gbt", SCORE_FEATURES, "label")

@@ -150,3 +150,19 @@ def test_spans_are_written_by_all_tasks_in_order_of_time(spark):
         assert top[0] == top[1] - 1 and top[1] > seen and len(rows.inputFiles()) >= 2 * (k + 1)
         seen = top[1]
     assert seen == 4000
+
+
+def test_requests_are_parsed_once_for_fit_and_answers(spark, monkeypatch):
+    from tessera.plans import queries_models, queries_stream
+    from tessera.streaming import scoring
+    plans = []
+    for module in (queries_models, queries_stream, scoring):
+        def kept(model, requests, *args, real=module.score_requests):
+            plans.append(requests._jdf.queryExecution().optimizedPlan().toString())
+            return real(model, requests, *args)
+        monkeypatch.setattr(module, "score_requests", kept)
+    queries_stream.q_batch_scoring_log(spark, "/root/testdata/sf0.001")
+    queries_models.q_request_scoring(spark, "/root/testdata/sf0.001")
+    assert len(plans) == 2 and not any("from_json" in p for p in plans)
+    queries_stream.q_stream_scoring(spark, "/root/testdata/sf0.001")
+    assert len(plans) > 2 and all("InMemoryRelation" in p for p in plans[2:])

@@ -6,6 +6,8 @@ them (the same expressions are spelled in the DuckDB oracles).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -134,13 +136,17 @@ CLASS_TOTAL = "ml_prediction_class_total"
 STORE_LABELS = ("path", "status", "le", "pod", "prediction_class")
 
 
-def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All feeds as one sample store ``(metric, labels map, ts, value)``."""
+def metric_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The feeds by metric name, each as samples ``(metric, labels map, ts, value)``."""
     def long(df, metric, labels):
         m = F.create_map(*[x for name in labels for x in (F.lit(name), F.col(name))])
         return df.select(F.lit(metric).alias("metric"), m.alias("labels"), "ts", "value")
-    return (long(request_counter(spark, sf_dir), REQUEST_COUNT, ["path", "status"])
-            .unionByName(long(latency_buckets(spark, sf_dir), REQUEST_BUCKET, ["path", "le"]))
-            .unionByName(long(cpu_counter(spark, sf_dir), POD_CPU, ["pod"]))
-            .unionByName(long(memory_gauge(spark, sf_dir), POD_MEMORY, ["pod"]))
-            .unionByName(long(prediction_class_counter(spark, sf_dir), CLASS_TOTAL, ["prediction_class"])))
+    feeds = ((REQUEST_COUNT, request_counter, ["path", "status"]), (REQUEST_BUCKET, latency_buckets, ["path", "le"]),
+             (POD_CPU, cpu_counter, ["pod"]), (POD_MEMORY, memory_gauge, ["pod"]),
+             (CLASS_TOTAL, prediction_class_counter, ["prediction_class"]))
+    return {metric: long(feed(spark, sf_dir), metric, labels) for metric, feed, labels in feeds}
+
+
+def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All feeds as one sample store ``(metric, labels map, ts, value)``."""
+    return reduce(DataFrame.unionByName, metric_feeds(spark, sf_dir).values())

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.timecols import elapsed_seconds, seconds_text, stamp
 from tessera.plans.catalog import register
-from tessera.plans.derived import CLASS_TOTAL, REQUEST_BUCKET, REQUEST_COUNT, STORE_LABELS, metric_samples
+from tessera.plans.derived import CLASS_TOTAL, REQUEST_BUCKET, REQUEST_COUNT, STORE_LABELS, metric_feeds, metric_samples
 from tessera.plans.queries_metrics import (CLASS_COUNTER_SQL, CPU_COUNTER_SQL, LATENCY_BUCKETS_SQL,
                                            MEMORY_GAUGE_SQL, REQUEST_COUNTER_SQL)
 from tessera.sources.files import read_samples
@@ -34,7 +34,9 @@ def q_metric_store(spark, sf_dir):
 def q_metric_scan(spark, sf_dir):
     """The store on disk, one folder for each metric, read back for one metric."""
     path = scratch_path(spark, "samples")
-    metric_samples(spark, sf_dir).write.partitionBy("metric").parquet(path)
+    for metric, feed in metric_feeds(spark, sf_dir).items():
+        # a folder at a time: a write that deals rows to folders itself sorts all rows of a task first
+        feed.drop("metric").write.parquet(f"{path}/metric={metric}")
     s = read_samples(spark, path, metric=CLASS_TOTAL)
     return s.groupBy("metric").agg(F.count(F.lit(1)).alias("samples"), F.sum("value").alias("total"))
 

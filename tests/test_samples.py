@@ -92,3 +92,12 @@ def test_samples_that_could_not_be_found_again_are_refused(spark):
             write_samples(spark.createDataFrame([row], schema), tempfile.mkdtemp() + "/s", ["path"])
     with pytest.raises(ValueError):
         _pruned(spark.createDataFrame([], schema), None, [], "2024-01-01", None)
+
+
+def test_metric_scan_writes_each_folder_without_a_sort_over_metrics(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+    from tessera.plans import queries_store
+    dealt, real = [], DataFrameWriter.partitionBy
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", lambda self, *names: dealt.append(names) or real(self, *names))
+    row = queries_store.q_metric_scan(spark, "/root/testdata/sf0.001").collect()
+    assert not dealt and len(row) == 1 and row[0].samples == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()

@@ -12,6 +12,7 @@ decides what is left. Batch and stream read the same folders.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable
 
@@ -20,9 +21,13 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import c
 from tessera.functions.labels import anchored, time_range
+from tessera.session import remove
+from tessera.streaming.runs import scratch_path
 
 #: Fixed value: what a label's column is called.
 PREFIX = "label_"
+#: Samples that one task sorts and writes.
+FILE_ROWS = 500_000
 _PLAIN = re.compile(r"[A-Za-z0-9 _/:,;=@#%&~<>\"'`!-]*")
 _GROUP = re.compile(r"(?P<head>[^()|]*)\((?P<inner>[^()]*)\)(?P<tail>[^()|]*)")
 
@@ -31,7 +36,8 @@ def write_samples(samples: DataFrame, path: str, labels: Iterable[str], mode: st
     """Append samples to the store; ``labels`` names the label columns that the store has.
 
     A sample with a label that is not named is refused, and so is one without a metric or a time: nothing
-    that could not be found again is stored. Null values are kept.
+    that could not be found again is stored. Null values are kept. The samples are computed once, into a folder
+    that goes again: their number says how many tasks sort and write them, :data:`FILE_ROWS` rows or so each.
     """
     names = sorted(set(labels))
     known = F.array(*[F.lit(n) for n in names]).cast("array<string>")
@@ -42,8 +48,15 @@ def write_samples(samples: DataFrame, path: str, labels: Iterable[str], mode: st
     flat = samples.select(F.when(odd.isNotNull(), F.raise_error(odd).cast("string")).otherwise(F.col("metric")).alias("metric"),
                           F.to_date("ts").alias("day"), *cols, "ts", "value")
     order = ["metric", "day", *[PREFIX + n for n in names], "ts"]
-    (flat.repartitionByRange(*order).sortWithinPartitions(*order)
-         .write.mode(mode).partitionBy("metric", "day").parquet(path))
+    spark, unsorted = samples.sparkSession, scratch_path(samples.sparkSession, "unsorted-samples")
+    try:
+        flat.write.parquet(unsorted)
+        rows = spark.read.schema(flat.schema).parquet(unsorted)
+        parts = max(1, math.ceil(rows.count() / FILE_ROWS))
+        (rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+             .write.mode(mode).partitionBy("metric", "day").parquet(path))
+    finally:
+        remove(spark, unsorted)
 
 
 def implied(pattern: str) -> tuple[str, list[str]] | None:

@@ -94,6 +94,22 @@ def test_samples_that_could_not_be_found_again_are_refused(spark):
         _pruned(spark.createDataFrame([], schema), None, [], "2024-01-01", None)
 
 
+def test_tasks_of_a_write_follow_from_the_number_of_samples(spark, monkeypatch):
+    from tessera.session import ensure_checkpoint_dir
+    from tessera.sources import samples as store
+    monkeypatch.setattr(store, "FILE_ROWS", 1000, raising=False)
+    df = spark.range(12_000).selectExpr("'m' as metric", "map('path', cast(id % 10 as string)) as labels",
+                                        "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, id div 10) as ts", "cast(id as double) as value")
+    path = tempfile.mkdtemp() + "/s"
+    write_samples(df, path, ["path"])
+    back = spark.read.parquet(path)
+    sizes = [spark.read.parquet(f).count() for f in back.inputFiles()]
+    assert sum(sizes) == 12_000 and len(sizes) >= 10 and max(sizes) <= 2500
+    where = spark._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark) + "/tessera-unsorted-samples-*")
+    left = where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where)
+    assert len(left) == 0
+
+
 def test_metric_scan_writes_each_folder_without_a_sort_over_metrics(spark, monkeypatch):
     from pyspark.sql import DataFrameWriter
     from tessera.plans import queries_store

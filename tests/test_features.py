@@ -56,3 +56,24 @@ def test_weighted_metrics_with_unseen_classes(spark):
     assert m["recall"] == pytest.approx(m["accuracy"])  # weighted recall equals accuracy
     # class 0: P=1, R=.5; class 1: P=1/3, R=1; class 2: never predicted -> 0
     assert m["precision"] == pytest.approx((2 * 1 + 1 * (1 / 3)) / 4)
+
+
+def test_quantile_cuts_hold_for_skew_few_values_and_any_partitioning(spark):
+    from tessera.operators.features import quantile_cuts
+    n = 4000
+    place = F.pmod(F.xxhash64("id"), F.lit(n)) / n
+    df = spark.range(n).select(
+        F.when(F.col("id") == 0, 1e9).otherwise(F.exp(20 * place) / 1e9).alias("a.b"),  # nearly all in one cell at first
+        F.when(F.col("id") < 5, F.col("id") * 1e-12).otherwise(0.5).alias("few"), F.lit(0.0).alias("same"),
+        F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit(float("nan"))).otherwise(place * 2).alias("gaps"),
+        F.lit(None).cast("double").alias("none"))
+    names = ["a.b", "few", "same", "gaps", "none"]
+    cuts = quantile_cuts(df, names)
+    assert cuts == quantile_cuts(df.repartition(7), names)
+    assert cuts[1] == [0.0, 1e-12, 2e-12, 3e-12, 4e-12, 0.5] and cuts[2] == [0.0] and cuts[4] == []
+    rows = df.toPandas()
+    for i in (0, 3):
+        x, ends = rows[names[i]].dropna(), cuts[i]
+        held = [((x > lo) & (x <= hi)).sum() for lo, hi in zip([float("-inf"), *ends], ends)]
+        assert len(ends) == 32 and ends == sorted(set(ends)) and ends[-1] == x.max() and sum(held) == len(x)
+        assert max(held) <= len(x) / 32 * 1.13 + x.value_counts().max()

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tessera.operators.models import build_model, load_model, param_grid, save_model, score
@@ -100,3 +101,66 @@ def test_search_runs_folds_side_by_side_and_names_a_bad_fold(spark, monkeypatch)
         grid_search(ready, pipe, grid, folds=4)
     with pytest.raises(ValueError, match="40 rows have no fold"):
         grid_search(ready, pipe, grid, folds=2)
+
+
+POINT = {"n_estimators": [8], "max_depth": [4], "learning_rate": [0.2], "subsample": [1.0], "colsample_bytree": [1.0]}
+
+
+def _training(spark, n=6000):
+    h = F.xxhash64("id")
+    a, b = F.pmod(h, F.lit(1009)) / 10.0, F.exp(F.pmod(h, F.lit(61)) / 7.0)
+    y = (a + F.pmod(F.xxhash64("id", F.lit(1)), F.lit(60)) > 80) != (b > 3000)
+    return spark.range(n).select(F.col("id").alias("key"), a.alias("a"), b.alias("b"), y.cast("int").alias("y"))
+
+
+def test_search_fits_rows_alike_in_their_bins_as_one_and_finds_the_same_trees(spark, monkeypatch):
+    from pyspark.ml import Pipeline
+    from tessera.operators.models import grid_search
+    from tessera.operators.split import stratified_folds
+    from tessera.plans.training import train_tabular
+    df, fit, seen = _training(spark), Pipeline.fit, []
+
+    def counting(self, data, params=None):
+        if type(self.getStages()[-1]).__name__ == "GBTClassifier":
+            seen.append(data.count())
+        return fit(self, data, params)
+
+    monkeypatch.setattr(Pipeline, "fit", counting)
+    model, _, scored, cv = train_tabular(df, "key", "y", ["a", "b"], grid=POINT, folds=3)
+    monkeypatch.undo()
+    assert len(seen) == 4 and max(seen) <= 2 * 32 * 32  # of 4,800 rows
+    # the same search over single rows
+    train = df.join(scored.select("key"), "key", "left_anti")
+    rows = PipelineModel(stages=model.stages[:2]).transform(train).selectExpr("key", "y as label", "features")
+    pipe = Pipeline(stages=build_model("gbt", ["a", "b"]).getStages()[-1:])
+    one = grid_search(stratified_folds(rows, "label", "key", 3).cache(), pipe, param_grid(pipe, "gbt", POINT), folds=3)
+    assert cv.avgMetrics == pytest.approx(one.avgMetrics, abs=1e-12) and cv.avgMetrics[0] > 0.7
+    both = [score(PipelineModel(stages=[*model.stages[:2], trees]), df, ["key"]) for trees in (model.stages[-1], one.bestModel.stages[-1])]
+    assert both[0].join(both[1].toDF("key", "p", "q"), "key").where("prediction != p or abs(probability[1] - q[1]) > 1e-9").count() == 0
+
+
+def test_search_that_samples_rows_gets_single_rows(spark, monkeypatch):
+    from pyspark.ml import Pipeline
+    from tessera.plans.training import train_tabular
+    fit, seen = Pipeline.fit, []
+    monkeypatch.setattr(Pipeline, "fit", lambda self, data, params=None: seen.append(data.count()) or fit(self, data, params))
+    train_tabular(_training(spark, 1000), "key", "y", ["a", "b"], grid=dict(POINT, n_estimators=[1], subsample=[0.8, 1.0]), search=False)
+    assert set(seen) == {800}
+
+
+def test_refit_of_a_lone_point_does_not_wait_for_the_folds(spark, monkeypatch):
+    import threading
+    from pyspark.ml import Pipeline
+    from tessera.plans.training import train_tabular
+    refit, fit = threading.Event(), Pipeline.fit
+
+    def waits(self, data, params=None):
+        if threading.current_thread() is not threading.main_thread():
+            assert refit.wait(60)  # goes on only if the refit has begun
+        elif type(self.getStages()[-1]).__name__ == "GBTClassifier":
+            refit.set()
+        return fit(self, data, params)
+
+    monkeypatch.setattr(Pipeline, "fit", waits)
+    model, _, _, cv = train_tabular(_training(spark, 500), "key", "y", ["a", "b"], grid=dict(POINT, n_estimators=[2]), folds=2)
+    assert len(cv.avgMetrics) == 1 and model.stages[-1].getNumTrees == 2

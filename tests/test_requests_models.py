@@ -164,3 +164,22 @@ def test_refit_of_a_lone_point_does_not_wait_for_the_folds(spark, monkeypatch):
     monkeypatch.setattr(Pipeline, "fit", waits)
     model, _, _, cv = train_tabular(_training(spark, 500), "key", "y", ["a", "b"], grid=dict(POINT, n_estimators=[2]), folds=2)
     assert len(cv.avgMetrics) == 1 and model.stages[-1].getNumTrees == 2
+
+
+def test_training_pipeline_fits_no_more_rows_for_more_data(spark, tmp_path, monkeypatch):
+    from pyspark.ml import Pipeline
+    from tessera.plans.training import train_pipeline
+    fit, seen = Pipeline.fit, {}
+    metrics = {}
+    for n in (3000, 24_000):
+        _training(spark, n).write.parquet(f"{tmp_path}/{n}.parquet")
+        monkeypatch.setattr(Pipeline, "fit", lambda self, data, params=None, n=n: (
+            seen.setdefault(n, []).append(data.count()) if len(self.getStages()) == 1 else None) or fit(self, data, params))
+        path, metrics[n] = train_pipeline(spark, f"{tmp_path}/{n}.parquet", "key", "y", f"{tmp_path}/models", ["a", "b"], "gbt",
+                                          grid=dict(POINT, n_estimators=[3]))
+        again, feats, stored = load_model(spark, f"{tmp_path}/models", name=path.rsplit("/", 1)[1])
+        assert stored == metrics[n] and feats == ["a", "b"]
+        assert score(again, spark.read.parquet(f"{tmp_path}/{n}.parquet")).where("prediction in (0, 1)").count() == n
+    monkeypatch.undo()
+    assert len(seen[24_000]) == 6 and max(seen[24_000]) <= 2 * 32 * 32 < 24_000 * 0.8 * 0.8
+    assert metrics[24_000]["accuracy"] > 0.7

@@ -169,3 +169,21 @@ def test_rows_are_dealt_evenly_and_alike_for_any_partitioning(spark):
     assert dealt(df, "key", 5000).rdd.getNumPartitions() == 1
     parts = [dealt(df.repartition(p), "key", 5000, most=1000, least=10).rdd.glom().map(lambda rs: [r.key for r in rs]).collect() for p in (1, 7)]
     assert parts[0] == parts[1] and max(map(len, parts[0])) <= 1000
+
+
+def test_few_boundaries_are_found_without_a_shuffle_of_rows(spark, monkeypatch):
+    from tessera.operators import split
+    real, found = split.located, []
+    monkeypatch.setattr(split, "located", lambda *a, **b: found.append(real(*a, **b)) or found[-1])
+    df = spark.range(3000).select(F.col("id").alias("key"), (F.col("id") % 3).cast("int").alias("y"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parts = train_test_split(df, "key", 0.2)
+        folds = stratified_folds(df, "y", "key", 5)
+        plans = [f._jdf.queryExecution().sparkPlan().toString() for f in found]
+        assert parts.where("split = 'test'").count() == 600 and folds.groupBy("y", "fold").count().agg(F.min("count"), F.max("count")).first() == (200, 200)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    semi = [line for plan in plans for line in plan.splitlines() if "LeftSemi" in line]
+    assert len(found) == 2 and semi and all("BroadcastHashJoin" in line for line in semi)
